@@ -165,6 +165,26 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     return work.mapInArrow(compare, "u long, v long")
 
 
+def plausible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) that sizes and bitmaps don't rule out; maps: (fp, n, bits)."""
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m, n = (batch.column(c).to_numpy().astype(np.int64) for c in ("m", "n"))
+            keep = 100 * np.minimum(m, n) >= percent * np.maximum(m, n)
+            for row in np.flatnonzero(keep).tolist():
+                x, y = (np.frombuffer(batch.column(c)[row].as_py(), dtype=np.uint8) for c in ("x", "y"))
+                bits = 8 * min(x.size, y.size)
+                apart = int(np.bitwise_count(folded(x, bits).view(np.uint64) ^ folded(y, bits).view(np.uint64)).sum())
+                total = int(m[row] + n[row])
+                keep[row] = 100 * (total - apart) >= percent * (total + apart)
+            yield batch.select(["u", "v"]).filter(pa.array(keep))
+
+    rows = pairs.select("u", "v").join(maps.select(F.col("fp").alias("v"), "n", F.col("bits").alias("y")), "v")
+    rows = rows.join(maps.select(F.col("fp").alias("u"), F.col("n").alias("m"), F.col("bits").alias("x")), "u")
+    return rows.select("u", "v", "m", "n", "x", "y").mapInArrow(bound, "u long, v long")
+
+
 def _tile_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """(u, v) that the bitmaps don't rule out; rows: (key, fp, component, n, band, bits)."""
     banded = rows.select("key", "fp", "component", "n", "bits", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("b"), "band")
@@ -246,7 +266,9 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
 
         return written(found.select("fp", "text").mapInArrow(own, "fp long, text string"))
 
+    maps = sig.where("bits is not null").groupBy("fp").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
     pairs = written(multi.where("fp != lo").select(F.col("lo").alias("u"), F.col("fp").alias("v")).distinct())
+    pairs = written(plausible(pairs, maps, percent))
     links = written(verified(pairs, texts(pairs), width, percent))
     comp = written(components(links))
 
@@ -254,7 +276,6 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     mixed = mixed.withColumn("component", F.coalesce("component", "fp"))
     mixed = mixed.withColumn("lo", F.min("component").over(group)).withColumn("hi", F.max("component").over(group)).where("lo != hi")
     mixed = written(mixed.select("key", "fp", "component"))
-    maps = sig.where("bits is not null").join(mixed.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
     base = float(np.log(100 / percent))
     maps = maps.withColumn("band", F.floor(F.ln(F.col("n").cast("double")) / base + 1e-9).cast("int"))
     more = written(_tile_pairs(mixed.join(maps, "fp"), percent))
