@@ -23,13 +23,15 @@ from tidemark.llm.common import LOWER, mix, text_chunks
 
 BUCKETS = 1 << 18
 ORDERS = (3, 4, 5)
-DIM = 8
-EPOCHS = 12
+DIM = 4
+EPOCHS = 6
 #: The sample of labelled documents that the classifier is fitted on holds at most so many of each class.
 SAMPLE = {1: 3000, 0: 5000}
 #: Bytes of a passage.
 PASSAGE = 256
 SCALE = 64.0
+#: Least total weight of a passage's average.
+FLOOR = 32.0
 
 _CLEAN = LOWER.copy()
 _CLEAN[[b for b in range(128) if not chr(b).isalpha()]] = 0x20
@@ -54,9 +56,11 @@ def subwords(raw: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
 
 @dataclass
 class Model:
-    """`value` is each bucket's share of the log-odds; `join` weighs bias, text, strongest and second passage."""
+    """`value` is each bucket's share of the log-odds, times its weight in an average; `join` weighs
+    bias, text, strongest and third strongest passage."""
 
     value: np.ndarray
+    weight: np.ndarray
     bias: float
     join: np.ndarray
 
@@ -67,7 +71,7 @@ class Model:
         for buckets, fits in subwords(raw):
             m = len(buckets)
             total[1 : m + 1] += np.where(fits, self.value[buckets], 0.0)
-            count[1 : m + 1] += fits
+            count[1 : m + 1] += np.where(fits, self.weight[buckets], 0.0)
         np.cumsum(total, out=total)
         np.cumsum(count, out=count)
         out = np.zeros((len(starts) - 1, 4))
@@ -76,8 +80,8 @@ class Model:
             grid = np.arange(a, z, PASSAGE // 2)
             stop = np.minimum(grid + PASSAGE, z)
             sums, counts = total[stop] - total[grid], count[stop] - count[grid]
-            odds = np.sort(self.bias + sums / np.maximum(counts, 32))
-            out[d, 1] = self.bias + (total[z] - total[a]) / max(count[z] - count[a], 32)
+            odds = np.sort(self.bias + sums / np.maximum(counts, FLOOR))
+            out[d, 1] = self.bias + (total[z] - total[a]) / max(count[z] - count[a], FLOOR)
             out[d, 2] = odds[-1]
             out[d, 3] = odds[-3] if len(odds) > 2 else odds[0]
         return out
@@ -86,11 +90,17 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.features(raw, starts) @ self.join, -30, 30)))
 
 
-def train(bags: list[np.ndarray], toxic: np.ndarray, texts: list[tuple[np.ndarray, np.ndarray]], prior: float, seed: int = 11) -> Model:
-    """Fit embeddings and softmax on bags of distinct buckets, then the weights that join a text's parts."""
+def train(bags: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, texts: list[tuple[np.ndarray, np.ndarray]], prior: float, seed: int = 11) -> Model:
+    """Fit embeddings and softmax on bags of buckets, then the weights that join a text's parts."""
     if not len(toxic) or toxic.min() == toxic.max():
         rate = min(0.999, max(0.001, float(toxic.mean()) if len(toxic) else 0.001))
-        return Model(np.zeros(BUCKETS, dtype=np.float32), 0.0, np.array([np.log(rate / (1 - rate)), 0, 0, 0]))
+        return Model(np.zeros(BUCKETS, dtype=np.float32), np.ones(BUCKETS, dtype=np.float32), 0.0, np.array([np.log(rate / (1 - rate)), 0, 0, 0]))
+    found = np.zeros(BUCKETS)
+    for buckets, _ in bags:
+        found[buckets] += 1
+    # frequent n-grams weigh less; one that no sampled text holds weighs as the rarest
+    weight = np.log((len(bags) + 1) / (found + 0.5)).clip(0.02).astype(np.float32)
+    weight[found == 0] = np.log(len(bags) + 1)
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32) * 0.1
     soft = rng.standard_normal((DIM, 2)).astype(np.float32) * 0.1
@@ -100,24 +110,27 @@ def train(bags: list[np.ndarray], toxic: np.ndarray, texts: list[tuple[np.ndarra
     for epoch in range(EPOCHS):
         rate = 0.25 * (1 - epoch / EPOCHS)
         for i in rng.permutation(len(bags)):
-            bag = bags[i]
+            bag, times = bags[i]
             if not len(bag):
                 continue
-            mean = table[bag].mean(axis=0) * SCALE
+            part = weight[bag] * times
+            part *= SCALE / part.sum()
+            rows = table[bag]
+            mean = part @ rows
             z = mean @ soft + bias
             p = np.exp(z - z.max())
             p /= p.sum()
             p[int(toxic[i])] -= 1
             p *= 0.5 / share[int(toxic[i])]
-            g = (soft @ p) * (SCALE / len(bag))
+            g = part[:, None] * (soft @ p)
             gs = np.outer(mean, p)
-            table_sum[bag] += g @ g / DIM
-            table[bag] -= rate * g / np.sqrt(table_sum[bag])
+            table_sum[bag] = scale = table_sum[bag] + (g * g).mean(axis=1, keepdims=True)
+            table[bag] = rows - rate * g / np.sqrt(scale)
             soft_sum += gs * gs
             soft -= 0.1 * rate * gs / np.sqrt(soft_sum)
             bias_sum += p * p
             bias -= 0.1 * rate * p / np.sqrt(bias_sum)
-    model = Model((table @ (soft[:, 1] - soft[:, 0]) * SCALE).astype(np.float32), float(bias[1] - bias[0]), np.array([0.0, 1, 0, 0]))
+    model = Model((table @ (soft[:, 1] - soft[:, 0]) * SCALE * weight).astype(np.float32), weight, float(bias[1] - bias[0]), np.array([0.0, 1, 0, 0]))
     rows = np.concatenate([model.features(raw, starts) for raw, starts in texts])
     size = np.append(1, rows[:, 1:].std(axis=0) + 1e-9)
     x, y = rows / size, toxic.astype(float)
@@ -136,8 +149,9 @@ def train(bags: list[np.ndarray], toxic: np.ndarray, texts: list[tuple[np.ndarra
     return model
 
 
-def _bags(raw: np.ndarray) -> np.ndarray:
-    return np.unique(np.concatenate([b[f] for b, f in subwords(raw)]))
+def _bags(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    buckets, times = np.unique(np.concatenate([b[f] for b, f in subwords(raw)]), return_counts=True)
+    return buckets, times.astype(np.float32)
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = None) -> Model:
