@@ -60,7 +60,7 @@ def band(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def bitmap_bits(b: int, percent: int) -> int:
-    return int(min(WIDEST, max(128, 2 ** np.ceil(np.log2(2 * (100 / percent) ** (b + 1))))))
+    return int(min(WIDEST, max(128, 2 ** np.ceil(np.log2(0.8 * (100 / percent) ** (b + 1))))))
 
 
 def bitmap(values: np.ndarray, bits: int) -> np.ndarray:
@@ -185,16 +185,23 @@ def plausible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     return rows.select("u", "v", "m", "n", "x", "y").mapInArrow(bound, "u long, v long")
 
 
-def _tile_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """(u, v) that the bitmaps don't rule out; rows: (key, fp, component, n, band, bits)."""
-    banded = rows.select("key", "fp", "component", "n", "bits", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("b"), "band")
+def _tile_pairs(rows: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """(u, v) of different components that the bitmaps don't rule out.
+
+    rows: (key, fp, n, component, c) with c rows under a key; maps: (fp, n, bits).
+    """
+    base = float(np.log(100 / percent))
+    rows = rows.withColumn("band", F.floor(F.ln(F.col("n").cast("double")) / base + 1e-9).cast("int"))
+    one = F.lit(0)
+    small = rows.where(F.col("c") <= TILE).select("key", F.lit(-1).alias("b"), one.alias("i"), one.alias("j"), one.alias("own"), "fp", "component", "n", "band")
+    banded = rows.where(F.col("c") > TILE).select("key", "fp", "component", "n", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("b"), "band")
     count = banded.groupBy("key", "b").agg(F.count("*").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("band").alias("top"))
     count = count.where((F.col("lo") != F.col("hi")) & (F.col("top") == F.col("b"))).select("key", "b", F.ceil(F.col("c") / TILE).cast("int").alias("tiles"))
-    dealt = banded.join(count, ["key", "b"]).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    dealt = dealt.select("key", "b", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "fp", "component", "n", "band", "bits")
+    large = banded.join(count, ["key", "b"]).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
+    large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    large = large.select("key", "b", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "fp", "component", "n", "band")
     keys = ["key", "b", "i", "j"]
-    dealt = dealt.repartition(*keys).sortWithinPartitions(*keys)
+    dealt = small.unionAll(large).join(maps.select("fp", "bits"), "fp").repartition(*keys).sortWithinPartitions(*keys)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in group_runs(batches, keys):
@@ -213,7 +220,8 @@ def _tile_pairs(rows: DataFrame, percent: int) -> DataFrame:
                     fits = at["component"][x, None] != at["component"][None]
                     # each pair once: the higher band's tile group, one order, and not twice among tiles
                     fits &= at["fp"][x, None] < at["fp"][None]
-                    fits &= np.maximum(at["band"][x, None], at["band"][None]) == at["b"][x, None]
+                    if at["b"][0] >= 0:
+                        fits &= np.maximum(at["band"][x, None], at["band"][None]) == at["b"][0]
                     if at["i"][0] != at["j"][0]:
                         fits &= at["own"][x, None] != at["own"][None]
                     sizes = at["n"][x, None] + at["n"][None]
@@ -245,10 +253,10 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     docs = docs.select("doc_id", "text")
     sig = written(signatures(docs, width, percent, _common_cells(docs, width)))
 
-    rows = sig.where("keys is not null").select(F.explode("keys").alias("key"), "fp")
+    rows = sig.where("keys is not null").select(F.explode("keys").alias("key"), "fp", "n")
     group = Window.partitionBy("key")
     rows = rows.withColumn("lo", F.min("fp").over(group)).withColumn("hi", F.max("fp").over(group))
-    multi = written(rows.where("lo != hi").select("key", "fp", "lo"))
+    multi = written(rows.where("lo != hi").select("key", "fp", "n", "lo"))
 
     def texts(pairs: DataFrame) -> DataFrame:
         need = pairs.select("u").unionAll(pairs.select("v")).distinct().withColumnRenamed("u", "fp")
@@ -272,13 +280,11 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     links = written(verified(pairs, texts(pairs), width, percent))
     comp = written(components(links))
 
-    mixed = multi.select("key", "fp").join(comp.withColumnRenamed("node", "fp"), "fp", "left")
+    mixed = multi.select("key", "fp", "n").join(comp.withColumnRenamed("node", "fp"), "fp", "left")
     mixed = mixed.withColumn("component", F.coalesce("component", "fp"))
-    mixed = mixed.withColumn("lo", F.min("component").over(group)).withColumn("hi", F.max("component").over(group)).where("lo != hi")
-    mixed = written(mixed.select("key", "fp", "component"))
-    base = float(np.log(100 / percent))
-    maps = maps.withColumn("band", F.floor(F.ln(F.col("n").cast("double")) / base + 1e-9).cast("int"))
-    more = written(_tile_pairs(mixed.join(maps, "fp"), percent))
+    mixed = mixed.withColumn("lo", F.min("component").over(group)).withColumn("hi", F.max("component").over(group)).withColumn("c", F.count("*").over(group)).where("lo != hi")
+    mixed = written(mixed.select("key", "fp", "n", "component", "c"))
+    more = written(_tile_pairs(mixed, maps, percent))
     # what the first step has compared already is known
     more = written(more.join(pairs, ["u", "v"], "left_anti"))
     if not more.isEmpty():
