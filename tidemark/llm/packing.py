@@ -180,7 +180,7 @@ def packed(parts: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFr
         begin = np.append(True, own[order][1:] != own[order][:-1])
         offset = np.zeros(len(rows), dtype=np.int64)
         offset[order] = before - np.repeat(before[begin], np.diff(np.append(np.flatnonzero(begin), len(rows))))
-        rows["sequence_id"] = (rows["g"] << SEQUENCE_BITS) + own
+        rows["sequence_id"] = rows["g"] * (1 << SEQUENCE_BITS) + own
         rows["offset"] = offset
         return rows.drop(columns="g")
 

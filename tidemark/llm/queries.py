@@ -1,11 +1,69 @@
-"""The registered queries of the training-data operators."""
+"""The registered queries of the training-data operators, and SQL oracles where SQL can express them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import ngram_join
-from tidemark.llm.common import table
+from tidemark.llm import decontamination, embedding_dedup, language_id, license_scan, ngram_join, packing, ppm, secret_scan, sharding, toxicity
+from tidemark.llm.common import fold, scratch_dir, table
+
+
+def tokenizer_files() -> tuple[str, str]:
+    """The tokenizer file of the packing query, and the ranks of the same vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id")) != 0)
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
+
+
+def op4_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
+def op5_differencing_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), *tokenizer_files())
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    base = secret_scan.rendered(F.filter("found", lambda s: s["rank"] < 3))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(base, 256).alias("base_sha256"), secret_scan.rendered(F.col("found")).alias("spans"))
+
+
+def op7_tiered_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: the live file that holds it after its source's arrival and a compaction."""
+    shards = sharding.Shards(spark, scratch_dir(spark))
+    shards.append(table(spark, sf_dir, "documents"), "source")
+    version = shards.compact()
+    found = shards.rows(["doc_id"], version)
+    return found.select("doc_id", F.sha1("file").alias("file"), "kind", "tier", "file_rows", "file_bytes", F.lit(version).alias("version"))
+
+
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(fold(F.col("doc_id")) != 0).select("lang", "text"))
+    found = language_id.identify(docs, model)
+    return found.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score")
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,7 +71,67 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    f.__name__: f
+    for f in (
+        op1_embedding_near_dedup,
+        op2_license_scan,
+        op3_toxicity,
+        op4_ppm_scores,
+        op5_differencing_packing,
+        op6_secret_scan,
+        op7_tiered_shards,
+        op8_benchmark_decontamination,
+        op9_language_id,
+        op10_ngram_jaccard_join,
+    )
 }
 
-ORACLES: dict[str, str] = {}
+_COMPONENTS = """
+reach(a, b) AS (
+  SELECT id, id FROM nodes
+  UNION
+  SELECT r.a, l.v FROM reach r JOIN links l ON l.u = r.b
+)"""
+
+ORACLES: dict[str, str] = {
+    "op1_embedding_near_dedup": f"""
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0
+), nodes AS (SELECT DISTINCT vec_id AS id FROM embeddings),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM good a JOIN good b ON a.label = b.label AND a.vec_id != b.vec_id
+  WHERE list_inner_product(a.e, b.e) / sqrt(list_inner_product(a.e, a.e)) / sqrt(list_inner_product(b.e, b.e)) >= 0.98
+), {_COMPONENTS}, component AS (SELECT a, min(b) AS c FROM reach GROUP BY a),
+degree AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT e.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, c.c AS component_id, e.vec_id = c.c AS kept
+FROM embeddings e JOIN component c ON c.a = e.vec_id LEFT JOIN degree d ON d.u = e.vec_id""",
+    "op8_benchmark_decontamination": r"""
+WITH words AS (
+  SELECT 0 AS kind, doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT 1, item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
+), shingles AS (
+  SELECT DISTINCT kind, id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s FROM words WHERE len(w) >= 5
+), items AS (SELECT id, count(*) AS n FROM shingles WHERE kind = 1 GROUP BY id),
+both_have AS (
+  SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n FROM shingles d JOIN shingles b ON d.s = b.s AND d.kind = 0 AND b.kind = 1 GROUP BY ALL
+)
+SELECT doc_id, item_id, i.n AS n_item, h.n AS n_contained, h.n / i.n::DOUBLE AS containment
+FROM both_have h JOIN items i ON i.id = h.item_id WHERE h.n * 10 >= i.n * 8""",
+    "op10_ngram_jaccard_join": rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words
+), sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS u, b.doc_id AS v FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id != b.doc_id
+    JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))
+), nodes AS (SELECT DISTINCT doc_id AS id FROM documents),{_COMPONENTS}, component AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, c.c AS component_id
+FROM documents d JOIN component c ON c.a = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id""",
+}

@@ -197,3 +197,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     out = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """`docs` without the rows that the model predicts to be toxic, scored in place; nothing is joined."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [shared.value.score(raw, starts) for _, _, raw, starts in text_chunks(batch.column(at))]
+            yield batch.filter(pa.array(np.concatenate([np.zeros(0), *parts]) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
