@@ -6,8 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ngram_join
+from tidemark.llm import decontamination, ngram_join, packing, secret_scan, toxicity
 from tidemark.llm.common import table, written
+from tidemark.llm.queries import tokenizer_files
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; it learns from all labels of these documents."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.without_toxic(docs, model)
 
 
 def jaccard_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,8 +22,27 @@ def jaccard_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return ngram_join.keep_one(docs)
 
 
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
+    return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; every document stays."""
+    return secret_scan.redacted(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in their sequences."""
+    return packing.pack(docs, *tokenizer_files())
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
     ("ngram_jaccard_join", jaccard_dedup),
+    ("benchmark_decontamination", drop_benchmark),
+    ("secret_scan", redact_secrets),
+    ("differencing_packing", pack),
 ]
 
 #: The stages learn a classifier and count tokens, which SQL cannot express; see tests/llm.
