@@ -154,9 +154,20 @@ class Lookup:
         order = np.lexsort((keys, n))
         keys, values = keys[order].view(np.uint64), values[order]
         at = self.slot(keys, slots)
-        self.slots, self.used = slots, np.zeros(slots, dtype=bool)
-        self.keys, self.values = np.zeros(slots, dtype=np.uint64), np.zeros(slots)
-        self.keys[at], self.values[at], self.used[at] = keys, values, True  # later ones, more frequent, win
+        held = np.full(slots, -1, dtype=np.int64)
+        held[at] = np.arange(len(keys))  # later ones, more frequent, win
+        held = held[held >= 0]
+        self.__setstate__((slots, keys[held], values[held]))
+
+    def __getstate__(self) -> tuple:
+        return self.slots, self.keys[self.used], self.values[self.used]
+
+    def __setstate__(self, state: tuple) -> None:
+        self.slots, keys, values = state
+        at = self.slot(keys, self.slots)
+        self.used = np.zeros(self.slots, dtype=bool)
+        self.keys, self.values = np.zeros(self.slots, dtype=np.uint64), np.zeros(self.slots)
+        self.keys[at], self.values[at], self.used[at] = keys, values, True
 
     @staticmethod
     def slot(keys: np.ndarray, slots: int) -> np.ndarray:
