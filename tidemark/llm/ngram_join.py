@@ -38,7 +38,7 @@ COMMON_CELLS = 1 << 16
 #: A tile holds about so many documents.
 TILE = 512
 #: Widest bitmap in bits.
-WIDEST = 8192
+WIDEST = 1 << 16
 _LAST = np.uint64(1) << np.uint64(63)
 
 
@@ -213,8 +213,7 @@ def _tile_pairs(rows: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
                     continue
                 at = {k: v[a:z] for k, v in column.items()}
                 maps = [np.frombuffer(raw[int(x)].as_py(), dtype=np.uint8) for x in range(a, z)]
-                bits = min(m.size for m in maps) * 8
-                maps = np.stack([folded(m, bits) for m in maps]).view(np.uint64)
+                width = np.array([m.size for m in maps])
                 for first in range(0, z - a, 64):
                     x = slice(first, min(first + 64, z - a))
                     fits = at["component"][x, None] != at["component"][None]
@@ -224,17 +223,24 @@ def _tile_pairs(rows: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
                         fits &= np.maximum(at["band"][x, None], at["band"][None]) == at["b"][0]
                     if at["i"][0] != at["j"][0]:
                         fits &= at["own"][x, None] != at["own"][None]
-                    sizes = at["n"][x, None] + at["n"][None]
                     fits &= 100 * np.minimum(at["n"][x, None], at["n"][None]) >= percent * np.maximum(at["n"][x, None], at["n"][None])
                     p, q = np.nonzero(fits)
-                    for lo in range(0, len(p), 1 << 14):
-                        pp, qq = p[lo : lo + (1 << 14)], q[lo : lo + (1 << 14)]
-                        apart = np.bitwise_count(maps[first + pp] ^ maps[qq]).sum(axis=1, dtype=np.int64)
-                        total = sizes[pp, qq]
-                        # |x delta y| >= apart bounds the overlap by (total - apart) / 2
-                        keep = 100 * (total - apart) >= percent * (total + apart)
-                        left.append(at["fp"][first + pp[keep]])
-                        right.append(at["fp"][qq[keep]])
+                    p += first
+                    both = np.minimum(width[p], width[q])
+                    for size in np.unique(both):
+                        # a pair is compared at the width of its narrower bitmap
+                        u, v = p[both == size], q[both == size]
+                        rows, place = np.unique(np.concatenate([u, v]), return_inverse=True)
+                        narrow = np.stack([folded(maps[r], int(size) * 8) for r in rows]).view(np.uint64)
+                        step = max(1, (1 << 22) // int(size))
+                        for lo in range(0, len(u), step):
+                            hi = min(lo + step, len(u))
+                            apart = np.bitwise_count(narrow[place[lo:hi]] ^ narrow[place[len(u) + lo : len(u) + hi]]).sum(axis=1, dtype=np.int64)
+                            total = at["n"][u[lo:hi]] + at["n"][v[lo:hi]]
+                            # |x delta y| >= apart bounds the overlap by (total - apart) / 2
+                            keep = 100 * (total - apart) >= percent * (total + apart)
+                            left.append(at["fp"][u[lo:hi][keep]])
+                            right.append(at["fp"][v[lo:hi][keep]])
             none = np.zeros(0, dtype=np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *left])), pa.array(np.concatenate([none, *right]))], names=["u", "v"])
 
