@@ -56,7 +56,7 @@ def feature_correlation(panel: DataFrame, names: list[str], targets: list[str])
 
 def aux_summary(rows: DataFrame, vector: str) -> DataFrame:
     """Figures of a vector column over all its elements."""
-    x = rows.select(F.explode(vector).cast("double").alias("x"))
+    x = rows.select(F.explode(vector).alias("x")).select(F.col("x").cast("double").alias("x"))
     fine = F.col("x").isNotNull() & ~F.isnan("x") & (F.abs("x") != float("inf"))
     v = F.when(fine, F.col("x"))
     return x.agg(F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.avg(F.abs(v)).alias("mean_abs"), F.max(F.abs(v)).alias("max_abs"), F.avg((F.abs(v) < 1e-8).cast("double")).alias("zero_share"), F.avg(fine.cast("double")).alias("finite_share"))

@@ -452,8 +452,8 @@ def assign_folds(panel: DataFrame, folds: DataFrame) -> DataFrame:
 
 
 def first_test_year(assigned: DataFrame) -> DataFrame:
-    test = assigned.where("split = 'test'")
-    return test.where(F.year("date") == F.min(F.year("date")).over(Window.partitionBy("fold_id")))
+    test = assigned.where("split = 'test'").withColumn("_y", F.min(F.year("date")).over(Window.partitionBy("fold_id")))
+    return test.where(F.year("date") == F.col("_y")).drop("_y")
 
 
 def stitch_first_years(assigned: DataFrame) -> DataFrame:
