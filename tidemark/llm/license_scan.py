@@ -132,8 +132,8 @@ def scan(docs: DataFrame) -> DataFrame:
     also repeated ones; columns of these names are replaced.
     """
     words = F.trim(F.regexp_replace(F.lower(F.coalesce(F.col("text"), F.lit(""))), BREAKS, " "))
-    out = docs.withColumn("_words", words)
-    w = F.col("_words")
+    out = docs.withColumn("tidemark_words", words)
+    w = F.col("tidemark_words")
     blanks = lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))
     out = out.withColumn("n_words", F.when(w == "", 0).otherwise(blanks(w) + 1).cast("long"))
 
@@ -143,11 +143,11 @@ def scan(docs: DataFrame) -> DataFrame:
         return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), label.alias("label"), rank.alias("rank"), sure.alias("sure")))
 
     base = [F.when(F.contains(w, F.lit(p)), found(match_spans(w, _whole(p)), F.lit(label), F.lit(0), F.lit(BASE_CONFIDENCE))).otherwise(none) for p, label in BASE]
-    out = out.withColumn("_base", F.concat(*base))
+    out = out.withColumn("tidemark_base", F.concat(*base))
     table = F.array(*(F.struct(F.lit(label).alias("label"), F.lit(keyword).alias("keyword"), F.lit(rank).alias("rank"), F.lit(sure).alias("sure"), F.lit(_whole(regex)).alias("regex")) for label, keyword, rank, sure, regex in rules()))
     open_rules = F.filter(table, lambda r: F.contains(w, r["keyword"]))
     hits = F.flatten(F.transform(open_rules, lambda r: found(match_spans(w, r["regex"]), r["label"], r["rank"], r["sure"])))
-    out = out.withColumn("_hits", F.when(w.rlike(GATE), hits).otherwise(none))
+    out = out.withColumn("tidemark_hits", F.when(w.rlike(GATE), hits).otherwise(none))
 
     def inside(a: Column, b: Column) -> Column:
         """b holds a, and is longer or ranks before it."""
@@ -155,20 +155,20 @@ def scan(docs: DataFrame) -> DataFrame:
         longer = (b["end"] - b["start"]) > (a["end"] - a["start"])
         return holds & ((longer & (b["rank"] <= a["rank"])) | (b["rank"] < a["rank"]))
 
-    everything = F.concat(F.col("_base"), F.col("_hits"))
-    kept = F.filter(F.col("_hits"), lambda a: ~F.exists(everything, lambda b: inside(a, b)))
-    out = out.withColumn("detections", F.array_sort(F.array_distinct(F.concat(F.col("_base"), kept))))
+    everything = F.concat(F.col("tidemark_base"), F.col("tidemark_hits"))
+    kept = F.filter(F.col("tidemark_hits"), lambda a: ~F.exists(everything, lambda b: inside(a, b)))
+    out = out.withColumn("detections", F.array_sort(F.array_distinct(F.concat(F.col("tidemark_base"), kept))))
 
     names = lambda spans: F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
-    starts = F.transform("_base", lambda s: blanks(F.substring(w, F.lit(1), s["start"])).cast("long"))
+    starts = F.transform("tidemark_base", lambda s: blanks(F.substring(w, F.lit(1), s["start"])).cast("long"))
     out = out.withColumns(
         {
-            "n_base": F.size("_base").cast("long"),
+            "n_base": F.size("tidemark_base").cast("long"),
             "first_word": F.array_min(starts),
             "last_word": F.array_max(starts),
-            "base_labels": names(F.col("_base")),
+            "base_labels": names(F.col("tidemark_base")),
             "labels": names(F.col("detections")),
             "score": F.coalesce(F.array_max(F.transform("detections", lambda s: s["sure"])), F.lit(0.0)),
         }
     )
-    return out.drop("_words", "_base", "_hits")
+    return out.drop("tidemark_words", "tidemark_base", "tidemark_hits")

@@ -9,9 +9,11 @@ reaches `percent` / 100.  The join is exact (sets are compared as sorted
    share.  This only orders shingles, it never drops one.
 2. Each document sends out the first ``n - ceil(t n) + 1`` shingles of that
    order (rare ones first).  Similar documents must share one of them.
-3. All documents under one shingle are first compared with the group's least
-   document alone, and components are taken.  Groups of near copies of any
-   size collapse in this linear step.
+3. All documents under one shingle are first compared with one hub alone: the
+   document that shares the largest part of what it sends out, which is the
+   original if the others are its edited copies.  Components are taken, and
+   what is left gets another hub.  Groups of near copies of any size collapse
+   in these linear steps.
 4. Groups that still hold several components are cut into tiles by size band;
    within a tile pair, bit counts of hashed bitmaps bound the overlap from
    above, and only pairs that can still reach the threshold go on.
@@ -35,6 +37,10 @@ from tidemark.llm.components import components
 SKETCH_BITS = 22
 #: At most so many sketch cells are marked as common: a fixed bound of the broadcast.
 COMMON_CELLS = 1 << 16
+#: Rounds of comparing a group with one hub.
+HUB_ROUNDS = 2
+#: Ids of up to so many documents (16 bytes each) are broadcast to find their texts; more are joined by a shuffle.
+BROADCAST_ROWS = 1 << 20
 #: A tile holds about so many documents.
 TILE = 512
 #: Widest bitmap in bits.
@@ -60,7 +66,7 @@ def band(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def bitmap_bits(b: int, percent: int) -> int:
-    return int(min(WIDEST, max(128, 2 ** np.ceil(np.log2(2 * (100 / percent) ** (b + 1))))))
+    return int(min(WIDEST, max(128, 2 ** np.ceil(np.log2(4 * (100 / percent) ** (b + 1))))))
 
 
 def bitmap(values: np.ndarray, bits: int) -> np.ndarray:
@@ -105,8 +111,8 @@ def signatures(docs: DataFrame, width: int, percent: int, common: np.ndarray) ->
             out: list[tuple] = []
             for row, values in shingle_sets(batch.column(1), width):
                 n = len(values)
-                if not n:
-                    out.append((ids[row].as_py(), None, 0, None, None))
+                if not n or not ids[row].is_valid:
+                    out.append((ids[row].as_py(), None, n, None, None))
                     continue
                 fp = fingerprint(values)
                 if fp in seen:
@@ -134,7 +140,7 @@ def signatures(docs: DataFrame, width: int, percent: int, common: np.ndarray) ->
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (u, v), u < v, whose sets reach the threshold; `texts` has (fp, text).
+    """Pairs (u, v) whose sets reach the threshold; `texts` has (fp, text).
 
     The text of u is sent once for each `TILE` of its partners, each partner's
     text once per pair; a task holds one set of u and one of v at a time.
@@ -264,10 +270,12 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     rows = rows.withColumn("lo", F.min("fp").over(group)).withColumn("hi", F.max("fp").over(group))
     multi = written(rows.where("lo != hi").select("key", "fp", "n", "lo"))
 
+    first_id = written(sig.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("doc_id")))
+
     def texts(pairs: DataFrame) -> DataFrame:
         need = pairs.select("u").unionAll(pairs.select("v")).distinct().withColumnRenamed("u", "fp")
-        need = need.join(sig.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "fp")
-        found = docs.join(need, "doc_id")
+        need = written(need.join(first_id, "fp"))
+        found = docs.join(F.broadcast(need) if need.count() <= BROADCAST_ROWS else need, "doc_id")
 
         # a repeated doc_id may stand for other texts too: the fingerprint decides, and one row is enough
         def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,24 +289,39 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
         return written(found.select("fp", "text").mapInArrow(own, "fp long, text string"))
 
     maps = sig.where("bits is not null").groupBy("fp").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
-    pairs = written(multi.where("fp != lo").select(F.col("lo").alias("u"), F.col("fp").alias("v")).distinct())
-    pairs = written(plausible(pairs, maps, percent))
-    links = written(verified(pairs, texts(pairs), width, percent))
-    comp = written(components(links))
+    sent = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
+    central = multi.groupBy("fp").agg((F.count("*") / F.max(sent)).alias("central"))
+    active = multi.join(central, "fp").select("key", "fp", F.struct("central", "fp").alias("c"), F.col("fp").alias("component"))
+    links = known = comp = None
+    for _ in range(HUB_ROUNDS):
+        hubs = active.withColumn("hub", F.max("c").over(group)["fp"])
+        pairs = hubs.where("fp != hub").select(F.col("hub").alias("u"), F.col("fp").alias("v")).distinct()
+        pairs = pairs if known is None else pairs.join(known, ["u", "v"], "left_anti")
+        pairs = written(plausible(pairs, maps, percent))
+        known = pairs if known is None else known.unionAll(pairs)
+        new = verified(pairs, texts(pairs), width, percent)
+        links = written(new if links is None else links.unionAll(new))
+        comp = written(components(links))
+        # what the hub's component holds is settled; the rest of a group gets another hub
+        state = hubs.select("key", "fp", "c", "hub").join(comp.select(F.col("node").alias("fp"), F.col("component").alias("own")), "fp", "left")
+        state = state.join(comp.select(F.col("node").alias("hub"), F.col("component").alias("theirs")), "hub", "left")
+        state = state.withColumn("component", F.coalesce("own", "fp")).where(F.col("component") != F.coalesce("theirs", "hub"))
+        state = state.withColumn("low", F.min("component").over(group)).withColumn("high", F.max("component").over(group)).where("low != high")
+        active = written(state.select("key", "fp", "c", "component"))
 
     mixed = multi.select("key", "fp", "n").join(comp.withColumnRenamed("node", "fp"), "fp", "left")
     mixed = mixed.withColumn("component", F.coalesce("component", "fp"))
     mixed = mixed.withColumn("lo", F.min("component").over(group)).withColumn("hi", F.max("component").over(group)).withColumn("c", F.count("*").over(group)).where("lo != hi")
     mixed = written(mixed.select("key", "fp", "n", "component", "c"))
     more = written(_tile_pairs(mixed, maps, percent))
-    # what the first step has compared already is known
-    more = written(more.join(pairs, ["u", "v"], "left_anti"))
+    # what the hub rounds have compared already is known
+    done = known.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    more = written(more.join(done, ["u", "v"], "left_anti"))
     if not more.isEmpty():
         links = written(links.unionAll(verified(more, texts(more), width, percent)))
         comp = written(components(links))
 
-    sets = sig.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
-    sets = sets.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    sets = first_id.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = sets.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     label = sets.join(least, "component").select("fp", "component_id")
     out = sig.select("doc_id", "n", "fp").join(label, "fp", "left")
@@ -308,8 +331,12 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
 def keep_one(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """`docs` with one document left of each component: the one with the least doc_id.
 
-    Identical repeated rows count as one document.
+    Rows with equal doc_id and text count as one document; rows with a null
+    doc_id stay.
     """
-    kept = jaccard_components(docs, width, percent).where("doc_id = component_id").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source")
-    return docs.join(kept, "doc_id", "left_semi").withColumn("_row", F.row_number().over(first)).where("_row = 1").select(docs.columns)
+    found = written(jaccard_components(docs, width, percent))
+    gone = found.where("doc_id != component_id").select("doc_id").distinct()
+    names = docs.columns
+    first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*names))
+    rest = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").withColumn("tidemark_row", F.row_number().over(first))
+    return rest.where("tidemark_row = 1").select(names).unionAll(docs.where("doc_id is null").select(names))

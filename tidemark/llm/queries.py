@@ -27,9 +27,9 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id")) != 0)
+    labels = table(spark, sf_dir, "labels").where("doc_id is not null").where(fold(F.col("doc_id")) != 0)
     scored = toxicity.score(docs, toxicity.fit(docs, labels))
-    return scored.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def op4_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,9 +61,9 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = language_id.fit(docs.where(fold(F.col("doc_id")) != 0).select("lang", "text"))
+    model = language_id.fit(docs.where("doc_id is not null").where(fold(F.col("doc_id")) != 0).select("lang", "text"))
     found = language_id.identify(docs, model)
-    return found.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

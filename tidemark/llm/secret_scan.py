@@ -143,14 +143,8 @@ def _random_spans(text: Column) -> Column:
     return let(let(tested, weighted), chosen)
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """`docs` with `found`: all spans (start, rank of the kind, end) in order, and the counts of the base kinds.
-
-    Looks at the column `text`; a null one is empty.  Every row is kept, also
-    repeated ones, and columns of `docs` other than `found`, `n_assign`,
-    `n_access` and `n_hex` pass through unchanged.
-    """
-    text = F.coalesce(F.col("text"), F.lit(""))
+def spans_of(text: Column) -> Column:
+    """All spans of a text that is not null: (start, rank of the kind, end), in order."""
     none = F.from_json(F.lit("[]"), "array<struct<start:int,rank:int,end:int>>")
 
     def ranked(spans: Column, rank: int) -> Column:
@@ -163,7 +157,17 @@ def scan(docs: DataFrame) -> DataFrame:
         F.when(text.rlike(HEX), ranked(match_spans(text, HEX), 2)).otherwise(none),
         F.when(text.rlike(r"[A-Za-z0-9+/_-]{20}"), ranked(_random_spans(text), 3)).otherwise(none),
     )
-    out = docs.withColumn("found", F.array_sort(F.concat(*parts)))
+    return F.array_sort(F.concat(*parts))
+
+
+def scan(docs: DataFrame) -> DataFrame:
+    """`docs` with `found`: all spans (start, rank of the kind, end) in order, and the counts of the base kinds.
+
+    Looks at the column `text`; a null one is empty.  Every row is kept, also
+    repeated ones; columns named `found`, `n_assign`, `n_access` and `n_hex`
+    are replaced, all others pass through.
+    """
+    out = docs.withColumn("found", spans_of(F.coalesce(F.col("text"), F.lit(""))))
     for rank, name in enumerate(("n_assign", "n_access", "n_hex")):
         out = out.withColumn(name, F.size(F.filter("found", lambda s, rank=rank: s["rank"] == rank)).cast("long"))
     return out
@@ -178,11 +182,11 @@ def rendered(spans: Column) -> Column:
 def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """`docs` with every secret in `text` replaced by `mark`, and n_chars set anew; rows without one stay as they are."""
     names = docs.columns
-    found = scan(docs)
+    out = docs.withColumn("tidemark_spans", spans_of(F.coalesce(F.col("text"), F.lit(""))))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def add(state: Column, span: Column) -> Column:
-        # a span inside what is already replaced adds nothing; one that overlaps it goes on from its end
+        # a span that overlaps what is already replaced only extends it
         fresh = span["start"] >= state["at"]
         gap = F.substring(F.col("text"), state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
         return F.struct(F.greatest(span["end"], state["at"]).alias("at"), F.when(fresh, F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"]).alias("out"))
@@ -190,10 +194,9 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     def whole(state: Column) -> Column:
         return F.concat(state["out"], F.substring(F.col("text"), state["at"] + 1, F.greatest(F.length("text") - state["at"], F.lit(0))))
 
-    clean = F.when(F.size("found") > 0, F.aggregate("found", start, add, whole)).otherwise(F.col("text"))
-    out = found.withColumn("_clean", clean)
-    changed = F.size("found") > 0
-    columns = {"text": F.col("_clean")}
+    changed = F.size("tidemark_spans") > 0
+    out = out.withColumn("tidemark_text", F.when(changed, F.aggregate("tidemark_spans", start, add, whole)).otherwise(F.col("text")))
+    columns = {"text": F.col("tidemark_text")}
     if "n_chars" in names:
-        columns["n_chars"] = F.when(changed, F.length("_clean").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        columns["n_chars"] = F.when(changed, F.length("tidemark_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return out.withColumns(columns).select(names)

@@ -41,11 +41,21 @@ class Shards:
         return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
 
     def append(self, rows: DataFrame, arrival: str) -> None:
-        """Write `rows` as small files, apart for each value of the column `arrival`; nothing is shuffled."""
-        rows.withColumn("_arrival", F.col(arrival)).write.mode("append").option("compression", "zstd").partitionBy("_arrival").parquet(f"{self.root}/small")
+        """Write `rows` as small files, apart for each value of the column `arrival`; nothing is shuffled.
+
+        A null arrival is one of its own.  An empty table leaves no file.
+        """
+        self.schema = rows.schema
+        rows.withColumn("tidemark_arrival", F.col(arrival)).write.mode("append").option("compression", "zstd").partitionBy("tidemark_arrival").parquet(f"{self.root}/small")
+
+    def _has_files(self, kind: str) -> bool:
+        fs, folder = self._fs(f"{self.root}/{kind}")
+        return fs.exists(folder) and any("=" in s.getPath().getName() for s in fs.listStatus(folder))
 
     def _files(self, kind: str) -> DataFrame:
-        """(file, rows, bytes, tier) of the files in `small` or `merged`."""
+        """(file, bytes, rows) of the files in `small` or in a version of `merged`."""
+        if not self._has_files(kind):
+            return self.spark.createDataFrame([], "file string, bytes long, rows long")
         meta = self.spark.read.parquet(f"{self.root}/{kind}").select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
         return meta.groupBy("file", "bytes").agg(F.count("*").alias("rows"))
 
@@ -80,12 +90,19 @@ class Shards:
         """Rewrite what the plan merges and commit the next manifest version, which is returned."""
         version = max(self.versions(), default=0) + 1
         plan = self.plan()
-        small = self.spark.read.parquet(f"{self.root}/small").withColumn("file", F.col("_metadata.file_path"))
-        moved = small.join(plan.where("into is not null").select("file", "into"), "file").drop("file", "_arrival")
-        moved.repartition("into").write.option("compression", "zstd").partitionBy("into").parquet(f"{self.root}/merged/v={version}")
+        if not self._has_files("small"):
+            return self._commit(version, plan.select("file", "bytes", "rows", F.lit("small").alias("kind")))
+        small = self.spark.read.parquet(f"{self.root}/small").withColumn("tidemark_file", F.col("_metadata.file_path"))
+        moves = plan.where("into is not null").select(F.col("file").alias("tidemark_file"), F.col("into").alias("tidemark_into"))
+        moved = small.join(moves, "tidemark_file").drop("tidemark_file", "tidemark_arrival")
+        moved.repartition("tidemark_into").write.option("compression", "zstd").partitionBy("tidemark_into").parquet(f"{self.root}/merged/v={version}")
         kept = plan.where("into is null").select("file", "bytes", "rows", F.lit("small").alias("kind"))
-        merged = self._files(f"merged/v={version}").select("file", "bytes", "rows", F.lit("merged").alias("kind")) if plan.where("into is not null").count() else kept.limit(0)
-        live = kept.unionAll(merged).withColumn("tier", self.tier(F.col("bytes"))).withColumn("version", F.lit(version))
+        merged = self._files(f"merged/v={version}").select("file", "bytes", "rows", F.lit("merged").alias("kind"))
+        return self._commit(version, kept.unionAll(merged))
+
+    def _commit(self, version: int, live: DataFrame) -> int:
+        """Write the manifest aside and rename it into place."""
+        live = live.withColumn("tier", self.tier(F.col("bytes"))).withColumn("version", F.lit(version))
         aside = f"{self.root}/manifest/_v{version}"
         live.write.parquet(aside)
         fs, source = self._fs(aside)
@@ -103,10 +120,12 @@ class Shards:
         live = self.manifest(version).select("file", "kind", "tier", F.col("rows").alias("file_rows"), F.col("bytes").alias("file_bytes"))
         parts = []
         for kind, path in (("small", "small"), ("merged", f"merged/v={version}")):
-            fs, folder = self._fs(f"{self.root}/{path}/_SUCCESS")
-            if fs.exists(folder) and fs.listStatus(self._fs(f"{self.root}/{path}")[1]).__len__() > 1:
+            if self._has_files(path):
                 data = self.spark.read.parquet(f"{self.root}/{path}").select(*columns, F.col("_metadata.file_path").alias("file"))
                 parts.append(data.join(live.where(F.col("kind") == kind), "file"))
+        if not parts:
+            none = self.spark.createDataFrame([], self.schema).select(*columns)
+            return none.crossJoin(live).where("false").select("file", *columns, "kind", "tier", "file_rows", "file_bytes")
         out = parts[0]
         for part in parts[1:]:
             out = out.unionAll(part)
