@@ -117,7 +117,7 @@ PHRASES = (
 
 def rules() -> list[tuple[str, str, int, float, str]]:
     """(label, keyword, priority, confidence, regex) of all rules, in their order."""
-    out = [(label, keyword, rank, sure, form.format(name=name, spdx=spdx)) for rank, sure, form in FORMS for label, keyword, name, spdx in LICENSES]
+    out = [(label, "spdx" if "{spdx}" in form else keyword, rank, sure, form.format(name=name, spdx=spdx)) for rank, sure, form in FORMS for label, keyword, name, spdx in LICENSES]
     return sorted([*out, *PHRASES], key=lambda r: r[2])
 
 

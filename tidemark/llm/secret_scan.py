@@ -168,9 +168,10 @@ def scan(docs: DataFrame) -> DataFrame:
     are replaced, all others pass through.
     """
     out = docs.withColumn("found", spans_of(F.coalesce(F.col("text"), F.lit(""))))
-    for rank, name in enumerate(("n_assign", "n_access", "n_hex")):
-        out = out.withColumn(name, F.size(F.filter("found", lambda s, rank=rank: s["rank"] == rank)).cast("long"))
-    return out
+    def count(rank: int) -> Column:
+        return F.size(F.filter("found", lambda s: s["rank"] == rank)).cast("long")
+
+    return out.withColumns({"n_assign": count(0), "n_access": count(1), "n_hex": count(2)})
 
 
 def rendered(spans: Column) -> Column:

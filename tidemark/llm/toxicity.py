@@ -24,7 +24,10 @@ from tidemark.llm.common import LOWER, mix, text_chunks
 BUCKETS = 1 << 18
 ORDERS = (3, 4, 5)
 DIM = 4
-EPOCHS = 6
+#: Texts shown in training, about; at least six rounds over the sample and sixty at most.
+SHOWN = 24_000
+#: A bucket that fewer texts of the sample hold has no vector: it could only single texts out.
+LEAST_TEXTS = 3
 #: The sample of labelled documents that the classifier is fitted on holds at most so many of each class.
 SAMPLE = {1: 3000, 0: 5000}
 #: Bytes of a passage.
@@ -98,17 +101,19 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, texts: l
     found = np.zeros(BUCKETS)
     for buckets, _ in bags:
         found[buckets] += 1
-    # frequent n-grams weigh less; one that no sampled text holds weighs as the rarest
+    # frequent n-grams weigh less, and those without a vector nothing
     weight = np.log((len(bags) + 1) / (found + 0.5)).clip(0.02).astype(np.float32)
-    weight[found == 0] = np.log(len(bags) + 1)
+    weight[found < LEAST_TEXTS] = 0.0
+    bags = [(b[found[b] >= LEAST_TEXTS], t[found[b] >= LEAST_TEXTS]) for b, t in bags]
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32) * 0.1
     soft = rng.standard_normal((DIM, 2)).astype(np.float32) * 0.1
     bias = np.zeros(2, dtype=np.float32)
     table_sum, soft_sum, bias_sum = np.full((BUCKETS, 1), 1e-6, np.float32), np.full((DIM, 2), 1e-6, np.float32), np.full(2, 1e-6, np.float32)
     share = np.array([1 - toxic.mean(), toxic.mean()])
-    for epoch in range(EPOCHS):
-        rate = 0.25 * (1 - epoch / EPOCHS)
+    epochs = int(np.clip(-(-SHOWN // len(bags)), 6, 60))
+    for epoch in range(epochs):
+        rate = 0.25 * (1 - epoch / epochs)
         for i in rng.permutation(len(bags)):
             bag, times = bags[i]
             if not len(bag):
