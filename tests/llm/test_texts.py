@@ -91,7 +91,8 @@ def test_toxicity_learns_and_meets_odd_rows(spark):
     for i in range(600):
         body = rng.choices(words, k=rng.randint(20, 120))
         if i % 5 == 0:
-            body[rng.randrange(len(body))] = rng.choice(["dreadful", "vilest", "dreadfull", "vileness"])
+            for _ in range(10):
+                body[rng.randrange(len(body))] = rng.choice(["dreadful", "vilest", "dreadfull", "vileness"])
         texts.append(" ".join(body))
         labels.append((i, 0, int(i % 5 == 0)))
     texts += [None, "", "x" * 100_000]
@@ -102,6 +103,8 @@ def test_toxicity_learns_and_meets_odd_rows(spark):
     held = [i for i in range(600) if i % 4 == 0]
     right = sum(got[i].predicted == int(i % 5 == 0) for i in held)
     assert right >= 0.9 * len(held) and all(0 <= r.score <= 1 for r in got.values())
+    again = {r.doc_id: r.score for r in toxicity.score(docs.repartition(5), model).collect()}
+    assert all(again[i] == pytest.approx(r.score, abs=1e-9) for i, r in got.items())
     left = toxicity.without_toxic(docs, model)
     assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {i for i, r in got.items() if r.score < 0.5}
     one = toxicity.fit(docs, known.where("toxic = 0"))

@@ -73,6 +73,8 @@ class Model:
         total, count = np.zeros(n + 1), np.zeros(n + 1)
         for buckets, fits in subwords(raw):
             m = len(buckets)
+            # an n-gram that begins at the blank after a document belongs to the next one
+            fits[starts[1:][starts[1:] <= m] - 1] = False
             total[1 : m + 1] += np.where(fits, self.value[buckets], 0.0)
             count[1 : m + 1] += np.where(fits, self.weight[buckets], 0.0)
         np.cumsum(total, out=total)
