@@ -130,7 +130,8 @@ SELECT symbol, date, round(coalesce(close_logret_1d, 0), 6) + 0.0 AS lag0, round
 FROM feats WINDOW s AS (PARTITION BY symbol ORDER BY date) QUALIFY row_number() OVER s >= 3"""
 
 
-@query()
+@query(S.with_(*S.PANEL) + """--result SELECT symbol, date, 5 AS length, sum(coalesce(close_logret_1d, 0) + coalesce(clv, 0)) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS total
+    FROM feats QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date) >= 5""", 'total')
 def q_window_arrays(spark, d):
     return P.lookback(panel(spark, d), ["close_logret_1d", "clv"], 5).select("symbol", "date", F.size("window").alias("length"), F.aggregate(F.flatten("window"), F.lit(0.0), lambda a, v: a + v).alias("total"))
 
@@ -421,7 +422,7 @@ def q_case_studies(spark, d):
     return B.case_studies(one, B.portfolio_exposure(one)).select("date", "symbol", "weight", "rank", "side")
 
 
-@query()
+@query(S.with_(*S.FULL) + f", y AS ({S.metrics('run_id, year', '1e-8')}), t AS ({S.metrics('run_id')}), r AS (SELECT run_id, year::VARCHAR AS label, cumulative_return, sharpe, max_drawdown, mean_turnover FROM y UNION ALL SELECT run_id, 'total', cumulative_return, sharpe, max_drawdown, mean_turnover FROM t)--result SELECT run_id, label, printf('%-6s %10.4f %10.4f %10.4f %10.4f', label, cumulative_return, sharpe, max_drawdown, mean_turnover) AS line FROM r")
 def q_annual_report_lines(spark, d):
     x = daily(spark, d)
     return B.annual_report_lines(B.metrics_by_year(x), B.performance_metrics(x))
@@ -457,7 +458,8 @@ def q_fold_first_year(spark, d):
     return first.groupBy("fold_id", F.year("date").alias("year")).agg(F.sum("strategy_return").alias("log_return"), F.sum("benchmark_return").alias("log_baseline"), F.avg("turnover").alias("mean_turnover"))
 
 
-@query()
+@query(S.with_(*S.FULL) + _FOLDS + """, a AS (SELECT d.*, f.fold_id, min(year(date)) FILTER (year(date) > val_year) OVER (PARTITION BY f.fold_id) AS y1 FROM daily d, folds f WHERE run_id = 'top5')
+    --result SELECT date, fold_id, exp(greatest(least(sum(strategy_return) OVER (ORDER BY date), 60), -60)) AS equity FROM a WHERE year(date) = y1""", 'equity')
 def q_stitched_equity(spark, d):
     x = B.stitch_first_years(B.assign_folds(daily(spark, d).where("run_id = 'top5'"), B.expanding_year_folds(bars(spark, d))))
     return B.equity_curve(x, "strategy_return").select("date", "fold_id", "equity")
@@ -489,7 +491,7 @@ def q_audit_bars(spark, d):
     return C.audit(order_bars(spark, d))
 
 
-@query()
+@query(f"WITH a AS ({ORACLES['q_audit_bars']})--result SELECT 'status' AS kind, status AS value, count(*) AS count FROM a GROUP BY status UNION ALL SELECT 'issue', i, count(*) FROM (SELECT unnest(string_split(issues, '|')) AS i FROM a WHERE issues != '') GROUP BY i")
 def q_audit_counts(spark, d):
     a = C.audit(order_bars(spark, d))
     return C.status_counts(a).select(F.lit("status").alias("kind"), F.col("status").alias("value"), "count").unionAll(C.issue_counts(a).select(F.lit("issue"), "issue", "count"))
@@ -749,7 +751,9 @@ def q_community_flow(spark, d):
     return G.community_flow(flat_edges(spark, d), communities(spark, d))
 
 
-@query()
+@query(_EDGES + _NODES + """, c AS (SELECT 'N' || n_nationkey AS node, n_regionkey AS community FROM nation), f AS (SELECT a.community AS s, b.community AS t, sum(weight) AS w FROM flat JOIN c a ON a.node = source JOIN c b ON b.node = target GROUP BY ALL)
+    --result SELECT c.community, count(*) AS members, sum(hub_share) AS rank_sum, string_agg(c.node, ',' ORDER BY hub_share DESC NULLS LAST, c.node) AS top_members, coalesce((SELECT sum(w) FROM f WHERE s = c.community AND t = c.community), 0) AS internal,
+      coalesce((SELECT sum(w) FROM f WHERE s = c.community AND t != c.community), 0) AS outgoing, coalesce((SELECT sum(w) FROM f WHERE t = c.community AND s != c.community), 0) AS incoming FROM c LEFT JOIN nodes USING (node) GROUP BY c.community""", 'rank_sum internal outgoing incoming')
 def q_community_summary(spark, d):
     e = flat_edges(spark, d)
     return G.community_summary(e, communities(spark, d), G.node_metrics(e).select("node", F.col("hub_share").alias("rank")))
