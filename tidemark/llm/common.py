@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 #: ASCII white space: blank, tab, newline, vertical tab, form feed, return.
 SPACE = np.zeros(256, dtype=bool)
