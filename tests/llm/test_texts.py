@@ -84,6 +84,31 @@ def test_licenses(spark):
     assert len(license_scan.rules()) > 300
 
 
+# one text per form and per phrase, each without a licensing word beside its own
+LONE = [
+    "released under the gplv3", "distributed under the apache 2 0", "available under the wtfpl", "subject to gpl 2", "governed by the terms of mit", "see the gpl 3 for details", "SPDX-Licence-Identifier: ISC",
+    "under the mit licence", "licenced zlib license", "the unlicense license", "published under the Expat licence", "permission is hereby granted free of charge to any person obtaining a copy of this software",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee", "redistributions of source code must retain the above copyright notice",
+    "be used to endorse or promote products derived from this software", "you may not use this file except in compliance with the license", "this program is free software you can redistribute it and or modify",
+    "without even the implied warranty of merchantability", "this is free and unencumbered software released into the public domain", "do what the fun you want to public licence",
+    "the origin of this software must not be misrepresented", "machine executable object code generated by a source language processor", "no rights reserved", "All Rights Reserved.", "proprietary and confidential", "copyright c 2020", "wir gehen mit",
+]
+
+
+def test_licence_gates_change_no_label(spark):
+    def ungated(text):
+        words = re.sub(license_scan.BREAKS, " ", text.lower()).strip()
+        base = [(m.start(), m.end(), label, 0, license_scan.BASE_CONFIDENCE) for p, label in license_scan.BASE for m in re.finditer(license_scan._whole(p), words)]
+        hits = [(m.start(), m.end(), label, rank, sure) for label, _, rank, sure, regex in license_scan.rules() for m in re.finditer(license_scan._whole(regex), words)]
+        inside = lambda a, b: b[0] <= a[0] and b[1] >= a[1] and (b[1] - b[0] > a[1] - a[0] and b[3] <= a[3] or b[3] < a[3])
+        kept = base + [a for a in hits if not any(inside(a, b) for b in base + hits)]
+        return ",".join(sorted({k[2] for k in kept})), max((k[4] for k in kept), default=0)
+
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan.scan(frame(spark, LONE)).collect()}
+    assert got == {i: ungated(t) for i, t in enumerate(LONE)}
+    assert all(got[i][0] for i in range(len(LONE) - 1)) and got[10][0] == "mit" and got[23][0] == "all-rights-reserved"
+
+
 def test_toxicity_learns_and_meets_odd_rows(spark):
     rng = random.Random(5)
     words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 8))) for _ in range(400)]

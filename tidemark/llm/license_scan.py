@@ -1,9 +1,9 @@
 """License scans: ordered signature rules behind keyword gates.
 
-A text is reduced to lower-case words joined by single blanks.  A document
-that holds a general licensing word is tested by the rules whose own keyword
-it holds; every rule is a regular expression over the words and has a label, a
-priority and a confidence.  A detection that lies inside another's interval
+A text is reduced to lower-case words joined by single blanks.  A document is
+tested by the rules whose own keyword it holds, and every match of a rule holds
+one of its keywords, so the gates lose nothing; every rule is a regular
+expression over the words and has a label, a priority and a confidence.  A detection that lies inside another's interval
 is suppressed unless its priority is better.  Rules are built from the names
 of licences and the forms in which licences are referred to, and a few are
 written out for the texts of licences.  All of it is column expressions on
@@ -24,15 +24,12 @@ BASE_CONFIDENCE = 0.9
 #: Bytes that are not parts of words, once A-Z are lower-cased.
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-#: A document without any of these is not tested by the rules.
-GATE = r"licen[cs]e|copyright|spdx|public domain|creative commons|cc by|cc0|warrant|permission is|copyleft"
-
-# label, keyword, the names by which it goes, its short identifier in words
+# label, keywords (any of them opens the rule), the names by which it goes, its short identifier in words
 LICENSES = (
     ("apache-1.1", "apache", r"apache (?:software )?licen[cs]e (?:version |v )?1 1", "apache 1 1"),
     ("apache-2", "apache", r"apache (?:software )?licen[cs]e (?:version |v )?2(?: 0)?|apache 2(?: 0)?", "apache 2 0"),
     ("apache", "apache", r"apache (?:software )?licen[cs]e", "apache"),
-    ("mit", "mit", r"mit(?: x11)?(?: licen[cs]e)?|expat licen[cs]e", "mit"),
+    ("mit", "mit|expat", r"mit(?: x11)?(?: licen[cs]e)?|expat licen[cs]e", "mit"),
     ("mit-0", "mit", r"mit no attribution", "mit 0"),
     ("bsd-2", "bsd", r"(?:2|two) clause bsd(?: licen[cs]e)?|(?:simplified|freebsd) bsd licen[cs]e|bsd 2 clause", "bsd 2 clause"),
     ("bsd-3", "bsd", r"(?:3|three) clause bsd(?: licen[cs]e)?|(?:new|modified|revised) bsd licen[cs]e|bsd 3 clause", "bsd 3 clause"),
@@ -116,7 +113,7 @@ PHRASES = (
 
 
 def rules() -> list[tuple[str, str, int, float, str]]:
-    """(label, keyword, priority, confidence, regex) of all rules, in their order."""
+    """(label, keywords, priority, confidence, regex) of all rules, in their order."""
     out = [(label, "spdx" if "{spdx}" in form else keyword, rank, sure, form.format(name=name, spdx=spdx)) for rank, sure, form in FORMS for label, keyword, name, spdx in LICENSES]
     return sorted([*out, *PHRASES], key=lambda r: r[2])
 
@@ -144,10 +141,14 @@ def scan(docs: DataFrame) -> DataFrame:
 
     base = [F.when(F.contains(w, F.lit(p)), found(match_spans(w, _whole(p)), F.lit(label), F.lit(0), F.lit(BASE_CONFIDENCE))).otherwise(none) for p, label in BASE]
     out = out.withColumn("tidemark_base", F.concat(*base))
-    table = F.array(*(F.struct(F.lit(label).alias("label"), F.lit(keyword).alias("keyword"), F.lit(rank).alias("rank"), F.lit(sure).alias("sure"), F.lit(_whole(regex)).alias("regex")) for label, keyword, rank, sure, regex in rules()))
-    open_rules = F.filter(table, lambda r: F.contains(w, r["keyword"]))
+    groups: dict[str, list[Column]] = {}
+    for label, keywords, rank, sure, regex in rules():
+        for keyword in keywords.split("|"):
+            groups.setdefault(keyword, []).append(F.struct(F.lit(label).alias("label"), F.lit(rank).alias("rank"), F.lit(sure).alias("sure"), F.lit(_whole(regex)).alias("regex")))
+    table = F.array(*(F.struct(F.lit(keyword).alias("keyword"), F.array(*group).alias("rules")) for keyword, group in groups.items()))
+    open_rules = F.flatten(F.transform(F.filter(table, lambda g: F.contains(w, g["keyword"])), lambda g: g["rules"]))
     hits = F.flatten(F.transform(open_rules, lambda r: found(match_spans(w, r["regex"]), r["label"], r["rank"], r["sure"])))
-    out = out.withColumn("tidemark_hits", F.when(w.rlike(GATE), hits).otherwise(none))
+    out = out.withColumn("tidemark_hits", hits)
 
     def inside(a: Column, b: Column) -> Column:
         """b holds a, and is longer or ranks before it."""
