@@ -1,9 +1,16 @@
 """Graph operators on small graphs with known answers, curves and folds."""
 
+import collections
+import os
+
+import duckdb
 import pytest
 
 from tidemark.operators import attribution as A
 from tidemark.operators import graph as G
+from tidemark.plans.queries import QUERIES, panel
+
+SF = "/root/testdata/sf0.001"
 
 
 def edges(spark, pairs):
@@ -67,3 +74,46 @@ def test_attribution_fills_missing_shares(spark):
     b = spark.createDataFrame([("y", 0.4)], "feature string, share double")
     got = {r.feature: r.mean_share for r in A.attribution_table({"one": a, "two": b}, ["feature"]).collect()}
     assert got == {"x": 0.25, "y": 0.2}
+
+
+def reached(nodes, near):
+    out = {}
+    for n in nodes:
+        seen, todo = {n}, [n]
+        while todo:
+            fresh = near[todo.pop()] - seen
+            seen |= fresh
+            todo += fresh
+        out[n] = seen
+    return out
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_graph_queries_take_all_order_lines(spark):
+    lines = duckdb.sql(f"select distinct o_custkey * 3, l_suppkey * 3 + 1, l_partkey * 3 + 2, l_returnflag = 'R' from '{SF}/lineitem.parquet' join '{SF}/orders.parquet' on o_orderkey = l_orderkey").fetchall()
+    got = lambda name, column: {r["node"]: r[column] for r in QUERIES[name](spark, SF).collect()}
+    near, goods, meet = (collections.defaultdict(set) for _ in range(3))
+    for c, s, p, back in lines:
+        near[c].add(s), near[s].add(c), goods[s].add(c)
+        if back:
+            goods[c].add(s)
+        for x, y in ((c, s), (c, p), (s, p)):
+            meet[x].add(y), meet[y].add(x)
+    assert got("q_weak_components", "component") == {n: min(r) for n, r in reached(near, near).items()}
+    ways = reached(near, goods)
+    assert got("q_strong_components", "component") == {n: min(m for m in r if n in ways[m]) for n, r in ways.items()}
+    left, core, k = {n: set(r) for n, r in near.items()}, {}, 0
+    while left:
+        n = min(left, key=lambda n: len(left[n]))
+        k = max(k, len(left[n]))
+        core[n] = k
+        for m in left.pop(n):
+            left[m].discard(n)
+    assert got("q_core_number", "core") == core
+    assert got("q_trade_triangles", "triangles") == {n: sum(len(meet[n] & meet[m]) for m in meet[n]) // 2 for n in meet}
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_shocks_take_all_symbols(spark):
+    want = {r.symbol for r in panel(spark, SF).where("year(date) >= 2000").select("symbol").distinct().collect()}
+    assert len(want) > 2 and {r.source for r in QUERIES["q_shock_edges"](spark, SF).select("source").distinct().collect()} == want

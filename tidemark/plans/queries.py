@@ -774,16 +774,41 @@ def q_eigenvector(spark, d):
     return G.eigenvector(flat_edges(spark, d))
 
 
-def sparse_edges(spark: SparkSession, d: str) -> DataFrame:
-    """Customers and suppliers who traded in a large order."""
-    lines = table(spark, d, "lineitem").where("l_quantity >= 50").select("l_orderkey", "l_suppkey")
+def trade_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Every order line as numbered nodes: its customer, supplier and part, and whether it came back."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_partkey", "l_returnflag")
     o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    return lines.join(o, "l_orderkey").select((F.col("o_custkey") * 2).alias("source"), (F.col("l_suppkey") * 2 + 1).alias("target")).distinct().withColumn("weight", F.lit(1.0))
+    return lines.join(o, "l_orderkey").select((F.col("o_custkey") * 3).alias("customer"), (F.col("l_suppkey") * 3 + 1).alias("supplier"), (F.col("l_partkey") * 3 + 2).alias("part"), (F.col("l_returnflag") == "R").alias("returned"))
+
+
+def linked(*links: DataFrame) -> DataFrame:
+    """Links of several kinds as edges of weight one, each once."""
+    out = links[0]
+    for x in links[1:]:
+        out = out.union(x)
+    return out.toDF("source", "target").distinct().withColumn("weight", F.lit(1.0))
+
+
+def trade_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Customers and the suppliers of their orders."""
+    return linked(trade_lines(spark, d).select("customer", "supplier"))
+
+
+def shipment_edges(spark: SparkSession, d: str) -> DataFrame:
+    """The same, by where the goods went: to the customer, and back to the supplier if they were returned."""
+    x = trade_lines(spark, d)
+    return linked(x.select("supplier", "customer"), x.where("returned").select("customer", "supplier"))
+
+
+def part_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Customers, suppliers and parts that meet in an order line."""
+    x = trade_lines(spark, d)
+    return linked(x.select("customer", "supplier"), x.select("customer", "part"), x.select("supplier", "part"))
 
 
 @query()
 def q_weak_components(spark, d):
-    return G.weak_components(sparse_edges(spark, d))
+    return G.weak_components(trade_edges(spark, d))
 
 
 @query(
@@ -796,16 +821,19 @@ def q_triangle_count(spark, d):
     return G.triangle_count(e)
 
 
+@query()
+def q_trade_triangles(spark, d):
+    return G.triangle_count(part_edges(spark, d))
+
+
 @query()
 def q_core_number(spark, d):
-    e = flat_edges(spark, d).withColumn("r", F.row_number().over(Window.partitionBy("source").orderBy(F.desc("weight"), "target"))).where("r <= 4")
-    return G.core_number(e)
+    return G.core_number(trade_edges(spark, d))
 
 
 @query()
 def q_strong_components(spark, d):
-    e = flat_edges(spark, d).withColumn("r", F.row_number().over(Window.partitionBy("source").orderBy(F.desc("weight"), "target"))).where("r <= 2")
-    return G.strong_components(e)
+    return G.strong_components(shipment_edges(spark, d))
 
 
 @query(
@@ -912,11 +940,12 @@ def q_surrogate_ridge(spark, d):
 
 @query()
 def q_shock_edges(spark, d):
-    x = panel(spark, d).where("year(date) = 2000").fillna(0.0, MODEL)
+    x = panel(spark, d).where("year(date) >= 2000").fillna(0.0, MODEL)
+    symbols = sorted(r.symbol for r in x.select("symbol").distinct().collect())
     model = A.ridge(A.training_matrix(panel(spark, d).where("year(date) < 2000"), MODEL))
     cols = lambda y: y.select("date", F.col("symbol").alias("target"), "score", F.tanh("score").alias("weight"), "return_1d")
     base = cols(A.score_panel(model, A.training_matrix(x, MODEL)))
-    moved = A.shock_scores(model, x.where("tradable and return_1d is not null"), MODEL, ["N1", "N2"], ["momentum", "volatility"])
+    moved = A.shock_scores(model, x.where("tradable and return_1d is not null"), MODEL, symbols, ["momentum", "volatility"])
     shocked = moved.select("shock", "source", "date", F.col("symbol").alias("target"), "score", F.tanh("score").alias("weight"))
     return G.validated_transmission(G.edge_metrics(base, shocked))
 
