@@ -186,3 +186,13 @@ def test_decontamination(spark):
     left = {r.doc_id for r in D.decontaminated(df, bench).collect()}
     assert left == {d for d, _ in docs} - {w[0] for w in want}
     assert D.contaminated(df.limit(0), bench).count() == 0 and D.contaminated(df, bench.limit(0)).count() == 0
+
+
+def test_decontamination_by_row(spark):
+    """A leak in a row without id is reported, and a clean text stays though its id also stands for a leaking one."""
+    item, clean = "the quick brown fox jumps over a lazy dog", "nothing of the sort is to be found in here"
+    df = spark.createDataFrame([(1, f"so {item} so"), (1, clean), (2, clean), (None, item), (None, clean)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    assert sorted((r.doc_id or 0, r.item_id, r.n_contained) for r in D.contaminated(df, bench).collect()) == [(0, 7, 5), (1, 7, 5)]
+    left = D.decontaminated(df, bench)
+    assert left.columns == df.columns and {(r.doc_id, r.text) for r in left.where("doc_id is not null").collect()} == {(1, clean), (2, clean)}

@@ -56,28 +56,34 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     Words are runs of letters, digits and non-ASCII characters, lower-cased.
     Null texts contain nothing; items of fewer than `width` words, and null
     ones, are contained nowhere.  An item_id that stands for several texts is
-    searched for each of them.  A repeated document row gives repeated rows.
-    Other columns are ignored.
+    searched for each of them.  A repeated document row gives repeated rows,
+    and a row without id is searched like any other.  Other columns are ignored.
     """
+    return _found(docs, benchmark, threshold, width, miss).drop("tidemark_key")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, threshold: float, width: int, miss: float) -> DataFrame:
+    """`contaminated` with `tidemark_key`, the hash of the row's text: ids may be null or stand for several texts."""
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("tidemark_key"))
     items = benchmark.select("item_id", F.array_distinct(shingles(F.col("text"), width)).alias("set"))
     items = items.where(F.size("set") > 0).select(F.struct("item_id", F.xxhash64("set").alias("text")).alias("item"), "set", F.size("set").alias("size")).dropDuplicates(["item"])
     items = written(items)
     sample = sampled(items, threshold, miss)
     rows = sample.count()
-    probes = docs.select("doc_id", shingles(F.col("text"), width).alias("s"))
-    probes = probes.select("doc_id", F.size("s").alias("n"), F.explode("s").alias("shingle"))
+    probes = docs.select("tidemark_key", shingles(F.col("text"), width).alias("s"))
+    probes = probes.select("tidemark_key", F.size("s").alias("n"), F.explode("s").alias("shingle"))
     met = probes.join(F.broadcast(sample) if rows <= BROADCAST_ROWS else sample, "shingle")
     met = met.where(F.col("n") >= F.ceil(F.col("size") * threshold - 1e-9))
-    candidates = written(met.groupBy("doc_id", "item").agg(F.count("*").alias("hits")))
+    candidates = written(met.groupBy("tidemark_key", "item").agg(F.count("*").alias("hits")))
     # written tables have known sizes, so the planner broadcasts the candidates only if they are small
-    sides = candidates.select("doc_id", "item").join(items, "item")
-    own = docs.select("doc_id", "text").join(written(sides), "doc_id")
-    exact = own.select("doc_id", F.col("item.item_id").alias("item_id"), F.col("size").cast("long").alias("n_item"), F.size(F.array_intersect(shingles(F.col("text"), width), "set")).cast("long").alias("n_contained"))
+    sides = candidates.select("tidemark_key", "item").join(items, "item")
+    own = docs.join(written(sides), "tidemark_key")
+    exact = own.select("doc_id", "tidemark_key", F.col("item.item_id").alias("item_id"), F.col("size").cast("long").alias("n_item"), F.size(F.array_intersect(shingles(F.col("text"), width), "set")).cast("long").alias("n_contained"))
     exact = exact.withColumn("containment", F.col("n_contained") / F.col("n_item").cast("double"))
     return exact.where(F.col("n_contained") >= F.ceil(F.col("n_item") * threshold - 1e-9))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """`docs` without the documents that contain a benchmark item; rows with a null id stay."""
-    found = written(contaminated(docs, benchmark, threshold).select("doc_id").distinct())
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    """`docs` without the rows that contain a benchmark item; rows with a null id stay."""
+    found = written(_found(docs, benchmark, threshold, WIDTH, MISS).select("doc_id", "tidemark_key").distinct())
+    return docs.withColumn("tidemark_key", F.xxhash64("text")).join(found, ["doc_id", "tidemark_key"], "left_anti").select(docs.columns)
