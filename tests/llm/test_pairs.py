@@ -97,7 +97,6 @@ def test_keep_one(spark):
 def test_tiles_of_large_mixed_groups(spark, monkeypatch):
     """Groups above the tile size go through the banded tiles and lose no pair."""
     monkeypatch.setattr(J, "TILE", 4)
-    monkeypatch.setattr(J, "HUB_ROUNDS", 1)
     rng = random.Random(3)
     shared = [f"s{i}" for i in range(8)]
     rows = []
@@ -111,6 +110,45 @@ def test_tiles_of_large_mixed_groups(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in J.jaccard_components(df).collect()} == want
 
 
+def test_keep_one_decides_by_row(spark):
+    """An id that stands for two texts loses only the copy; rows without id are copies like others."""
+    one, two, three = "a b c d e f g", "p q r s t u v", "k l m n o"
+    rows = [(2, one), (5, one), (5, two), (7, two), (None, two), (None, three), (None, three), (None, None), (9, None)]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, h string, rows long")
+    got = sorted(((r.doc_id, r.text) for r in J.keep_one(df).collect()), key=str)
+    assert got == sorted([(2, one), (5, two), (None, three), (None, None), (9, None)], key=str)
+    assert J.keep_one(df).columns == df.columns
+    assert J.keep_one(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("tile", [16, 4096])
+def test_large_near_copy_groups_and_strays(spark, monkeypatch, tile):
+    """One original with many edited copies, variants of it that don't link, and strays that share a part of it."""
+    monkeypatch.setattr(J, "TILE", tile)
+    monkeypatch.setattr(J, "PARTNERS", 32)
+    rng = random.Random(5)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    base = rng.choices(vocabulary, k=120)
+
+    def edited(words, times):
+        out = list(words)
+        for _ in range(times):
+            out[rng.randrange(len(out))] = rng.choice(vocabulary)
+        return out
+
+    texts = [edited(base, rng.randint(0, 4)) for _ in range(150)]
+    for _ in range(6):
+        variant = edited(base, 9)
+        texts += [edited(variant, rng.randint(0, 3)) for _ in range(12)]
+    texts += [base[20:60] + rng.choices(vocabulary, k=rng.randint(5, 90)) for _ in range(40)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    rng.shuffle(rows)
+    sets = {i: shingles(t) for i, t in rows}
+    links = [(i, j) for i in sets for j in sets if j < i and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    got = {r.doc_id: r.component_id for r in J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == roots(sets, links)
+
+
 VECTORS = "vec_id long, embedding array<float>, label int, keys string"
 
 

@@ -7,6 +7,7 @@ not on the number of rows in a partition.
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -61,6 +62,35 @@ def written(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of a batch on its way to a Python worker, about.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, so that long texts don't add up in a worker, unless the session sets a bound."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name, str(2**31 - 1)).rstrip("b")) >= 2**31 - 1:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
+def tidy(function):
+    """A mapInArrow function that gives its memory back when it ends.
+
+    Spark keeps Python workers for later tasks, and what one step has cached
+    would stay beside the next one's.
+    """
+
+    @functools.wraps(function)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            _POWERS.clear()
+            pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """splitmix64 finaliser."""
     x = x ^ (x >> np.uint64(30))

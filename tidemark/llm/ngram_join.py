@@ -11,20 +11,23 @@ reaches `percent` / 100.  The join is exact (sets are compared as sorted
    order (rare ones first).  Similar documents must share one of them.
 3. All documents under one shingle are first compared with one hub alone: the
    document that shares the largest part of what it sends out, which is the
-   original if the others are its edited copies.  Components are taken, and
-   what is left gets another hub.  Groups of near copies of any size collapse
-   in these linear steps.
-4. Groups that still hold several components are cut into tiles by size band;
-   within a tile pair, short vectors of bucket counts bound the overlap from
-   above, then bit counts of hashed bitmaps do, and only pairs that can still
-   reach the threshold go on.
+   original if the others are its edited copies.  Components are taken, so
+   groups of near copies of any size collapse in one linear step.
+4. Shingles that still hold several components are put together by their hub,
+   so that documents which share many shingles meet once and not under each of
+   them.  The groups are cut into tiles by size band; within a tile pair, bit
+   counts of hashed bitmaps bound the overlap of documents of different
+   components from above.  In the first of two rounds a document goes on with
+   its first possible partner only, which keeps clusters of variants linear;
+   groups in which some had more partners take the second round, in which all
+   pairs that can still reach the threshold go on.
 5. These are compared exactly, and components are taken over all links.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,20 +35,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import group_runs, group_starts, mix, shingle_sets, written
+from tidemark.llm.common import bounded_batches, group_runs, group_starts, mix, shingle_sets, tidy, written
 from tidemark.llm.components import components
 
 SKETCH_BITS = 22
 #: At most so many sketch cells are marked as common: a fixed bound of the broadcast.
 COMMON_CELLS = 1 << 16
-#: Rounds of comparing a group with one hub.
-HUB_ROUNDS = 2
 #: Ids of up to so many documents (16 bytes each) are broadcast to find their texts; more are joined by a shuffle.
 BROADCAST_ROWS = 1 << 20
-#: A tile holds about so many documents.
-TILE = 512
+#: A hub's text is sent once for about so many partners.
+PARTNERS = 512
+#: A tile holds about so many documents' bitmaps.
+TILE = 4096
 #: Widest bitmap in bits.
-WIDEST = 1 << 16
+WIDEST = 1 << 15
+#: Words (8 bytes) of bitmaps that are compared at a time.
+BLOCK = 1 << 20
 _LAST = np.uint64(1) << np.uint64(63)
 
 
@@ -77,24 +82,15 @@ def bitmap(values: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(flags, bitorder="little")
 
 
-def bucket_counts(values: np.ndarray) -> np.ndarray:
-    """Shingles in each of about n / 10 hash buckets, up to 255.
-
-    The differences of two documents' counts add up to no more than the
-    shingles that one of them lacks, so they bound the overlap like bit
-    counts do, in a tenth of the space; they tell unrelated documents apart.
-    """
-    buckets = int(max(16, 2 ** np.ceil(np.log2(0.06 * len(values) + 1))))
-    at = (mix(values) >> np.uint64(32) & np.uint64(buckets - 1)).astype(np.int64)
-    return np.minimum(np.bincount(at, minlength=buckets), 255).astype(np.uint8)
-
-
-def folded(words: np.ndarray, bits: int) -> np.ndarray:
-    """A wider bitmap as one of `bits`: its pieces joined by or."""
-    return words if words.size * 8 == bits else np.bitwise_or.reduce(words.reshape(-1, bits // 8), axis=0)
+def folded(words: np.ndarray, size: int) -> np.ndarray:
+    """Bitmaps of 64-bit words (rows) as narrower ones of `size` words: their pieces joined by or."""
+    if words.shape[1] == size:
+        return words
+    return np.bitwise_or.reduce(words.reshape(len(words), words.shape[1] // size, size), axis=1)
 
 
 def _common_cells(docs: DataFrame, width: int) -> np.ndarray:
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, total = np.zeros(1 << SKETCH_BITS, dtype=np.int32), 0
         for batch in batches:
@@ -111,61 +107,73 @@ def _common_cells(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, width: int, percent: int, common: np.ndarray) -> DataFrame:
-    """(doc_id, fp, n) per row; keys, bitmap and bucket counts with the first row of each set in a task, else null."""
+    """(doc_id, h, fp, n) per row; keys, hot (keys in common cells) and bitmap with the first row of each set in a task."""
     marked = docs.sparkSession.sparkContext.broadcast(common)
+    names = ["doc_id", "h", "fp", "n", "keys", "hot", "bits"]
+    kind = pa.list_(pa.int64())
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), kind, kind, pa.binary()]
+
+    def batch_of(out: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*out, strict=True)) if out else [[]] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
+    @tidy
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_common = np.zeros(1 << SKETCH_BITS, dtype=bool)
         is_common[marked.value] = True
         seen: set[int] = set()
-        kind = pa.list_(pa.int64())
         for batch in batches:
-            ids = batch.column(0)
+            ids, hashes = batch.column(0), batch.column(1)
             out: list[tuple] = []
-            for row, values in shingle_sets(batch.column(1), width):
-                n = len(values)
-                if not n or not ids[row].is_valid:
-                    out.append((ids[row].as_py(), None, n, None, None, None))
+            size = 0
+            for row, values in shingle_sets(batch.column(2), width):
+                n, own = len(values), (ids[row].as_py(), hashes[row].as_py())
+                if not n:
+                    out.append((*own, None, n, None, None, None))
                     continue
                 fp = fingerprint(values)
                 if fp in seen:
-                    out.append((ids[row].as_py(), fp, n, None, None, None))
+                    out.append((*own, fp, n, None, None, None))
                     continue
                 seen.add(fp)
-                order = values | np.where(is_common[(values & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)], _LAST, np.uint64(0))
-                # values are sorted, so hashes that lack the top bit come first in both halves
-                order = np.where(order == values, values & ~_LAST, order)
+                flag = is_common[(values & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]
+                # rare ones first; the flag takes the place of the hash's top bit
+                order = (values & ~_LAST) | np.where(flag, _LAST, np.uint64(0))
                 p = prefix_length(n, percent)
                 first = np.argpartition(order, p - 1)[:p]
                 bits = bitmap_bits(int(band(np.array([n]), percent)[0]), percent)
-                out.append((ids[row].as_py(), fp, n, _key(values[first]), bitmap(values, bits).tobytes(), bucket_counts(values).tobytes()))
-                if len(out) >= 2000:
-                    yield _rows(out, kind)
-                    out = []
-            yield _rows(out, kind)
+                out.append((*own, fp, n, _key(values[first[~flag[first]]]), _key(values[first[flag[first]]]), bitmap(values, bits).tobytes()))
+                size += p
+                if len(out) >= 2000 or size >= 1 << 18:
+                    yield batch_of(out)
+                    out, size = [], 0
+            yield batch_of(out)
 
-    def _rows(out: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
-        columns = list(zip(*out, strict=True)) if out else [[]] * 6
-        types = [pa.int64(), pa.int64(), pa.int64(), kind, pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "fp", "n", "keys", "bits", "counts"])
+    schema = "doc_id long, h long, fp long, n long, keys array<long>, hot array<long>, bits binary"
+    return docs.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(make, schema)
 
-    return docs.select("doc_id", "text").mapInArrow(make, "doc_id long, fp long, n long, keys array<long>, bits binary, counts binary")
+
+def _dealt(pairs: DataFrame, payload: DataFrame) -> DataFrame:
+    """(u, t, member, fp, payload...) sorted so that a hub u comes before its partners.
+
+    The payload of u is sent once for about `PARTNERS` of its partners, each
+    partner's once per pair.  payload: (fp, ...) with one row per fp.
+    """
+    count = pairs.groupBy("u").agg(F.ceil(F.count("*") / PARTNERS).alias("c"))
+    dealt = written(pairs.join(count, "u").select("u", "v", F.pmod(F.xxhash64("v"), F.col("c")).cast("int").alias("t")))
+    work = dealt.select("u", "t").distinct().select("u", "t", F.col("u").alias("fp")).unionAll(dealt.select("u", "t", F.col("v").alias("fp")))
+    rest = [c for c in payload.columns if c != "fp"]
+    work = work.join(payload, "fp").select("u", "t", (F.col("fp") != F.col("u")).alias("member"), "fp", *rest)
+    return work.repartition("u", "t").sortWithinPartitions("u", "t", "member")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (u, v) whose sets reach the threshold; `texts` has (fp, text).
+    """Pairs (u, v) whose sets reach the threshold; `texts` has one (fp, text) of each.
 
-    The text of u is sent once for each `TILE` of its partners, each partner's
-    text once per pair; a task holds one set of u and one of v at a time.
+    A task holds one set of u and one of v at a time.
     """
-    count = pairs.groupBy("u").agg(F.count("*").alias("c"))
-    dealt = pairs.join(count, "u").select("u", "v", F.pmod(F.xxhash64("v"), F.ceil(F.col("c") / TILE)).cast("int").alias("t"))
-    dealt = written(dealt)
-    hubs = dealt.groupBy("u", "t").agg(F.lit(0).alias("z")).select("u", "t", F.col("u").alias("fp"))
-    work = hubs.unionAll(dealt.select("u", "t", F.col("v").alias("fp"))).join(texts, "fp")
-    work = work.select("u", "t", (F.col("fp") != F.col("u")).alias("member"), "fp", "text")
-    work = work.repartition("u", "t").sortWithinPartitions("u", "t", "member")
 
+    @tidy
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, own = None, np.zeros(0, dtype=np.uint64)
         for batch in batches:
@@ -181,175 +189,242 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
                         right.append(fp[row])
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["u", "v"])
 
-    return work.mapInArrow(compare, "u long, v long")
+    return _dealt(pairs, texts).mapInArrow(compare, "u long, v long")
+
+
+def _possible(m: np.ndarray, n: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the sets behind rows of bitmaps x (sizes m) and y (sizes n) can reach the threshold; broadcasts."""
+    apart = np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
+    # |a delta b| >= apart bounds the overlap by (m + n - apart) / 2
+    return 100 * (m + n - apart) >= percent * (m + n + apart)
+
+
+def _words(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, dtype=np.uint64).reshape(1, -1)
 
 
 def plausible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) that sizes and bitmaps don't rule out; maps: (fp, n, bits)."""
+    """The pairs (u, v) that the bitmaps don't rule out; maps: one (fp, n, bits) of each."""
 
-    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @tidy
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, size, own = None, 0, np.zeros((1, 0), dtype=np.uint64)
         for batch in batches:
-            m, n = (batch.column(c).to_numpy().astype(np.int64) for c in ("m", "n"))
-            keep = 100 * np.minimum(m, n) >= percent * np.maximum(m, n)
-            for row in np.flatnonzero(keep).tolist():
-                x, y = (np.frombuffer(batch.column(c)[row].as_py(), dtype=np.uint8) for c in ("x", "y"))
-                bits = 8 * min(x.size, y.size)
-                apart = int(np.bitwise_count(folded(x, bits).view(np.uint64) ^ folded(y, bits).view(np.uint64)).sum())
-                total = int(m[row] + n[row])
-                keep[row] = 100 * (total - apart) >= percent * (total + apart)
-            yield batch.select(["u", "v"]).filter(pa.array(keep))
+            u, fp, n = (batch.column(c).to_pylist() for c in ("u", "fp", "n"))
+            bits, keep = batch.column("bits"), []
+            for row in range(batch.num_rows):
+                words = _words(bits[row].as_py())
+                if fp[row] == u[row]:
+                    hub, size, own = u[row], n[row], words
+                elif hub == u[row]:
+                    w = min(own.shape[1], words.shape[1])
+                    if _possible(size, n[row], folded(own, w), folded(words, w), percent)[0]:
+                        keep.append(row)
+            found = batch.take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays([found.column("u"), found.column("fp")], names=["u", "v"])
 
-    rows = pairs.select("u", "v").join(maps.select(F.col("fp").alias("v"), "n", F.col("bits").alias("y")), "v")
-    rows = rows.join(maps.select(F.col("fp").alias("u"), F.col("n").alias("m"), F.col("bits").alias("x")), "u")
-    return rows.select("u", "v", "m", "n", "x", "y").mapInArrow(bound, "u long, v long")
+    return _dealt(pairs, maps.select("fp", "n", "bits")).mapInArrow(compare, "u long, v long")
 
 
-def _tile_pairs(rows: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
-    """(u, v) of different components that sizes and bucket counts don't rule out.
+def _cross_pairs(component: np.ndarray, n: np.ndarray, allowed: Callable, maps: list[np.ndarray], leaders: bool, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, left out) of one tile: possible pairs of different components that `allowed(i, j)` lets pass.
 
-    rows: (key, fp, n, component, c) with c rows under a key; maps: (fp, counts).
+    Only rows outside of the largest component are run against all rows, so a
+    few strays beside a large group cost a multiple of their own number.  Rows
+    are sorted by rank: with `leaders`, a row i goes on with its first possible
+    partner, and is marked if it had others.
+    """
+    values, place, counts = np.unique(component, return_inverse=True, return_counts=True)
+    if len(values) < 2:
+        return
+    stray = place != counts.argmax()
+    sizes = np.array([m.shape[1] for m in maps])
+    by_size = {int(s): np.flatnonzero(sizes == s) for s in np.unique(sizes)}
+    stacked = {s: np.concatenate([maps[r] for r in rows]) for s, rows in by_size.items()}
+    taken = np.zeros(len(n), dtype=bool)
+    for a, rows in by_size.items():
+        # sizes that can reach the threshold have bitmaps of the same width or one step apart
+        for b in (a // 2, a, a * 2):
+            if b not in by_size:
+                continue
+            w = min(a, b)
+            at = np.flatnonzero(stray[rows])
+            left, right = folded(stacked[a][at], w), folded(stacked[b], w)
+            i, j = rows[at], by_size[b]
+            step = max(1, BLOCK // len(j))
+            for lo in range(0, len(i), step):
+                x = i[lo : lo + step]
+                fits = component[x, None] != component[None, j]
+                fits &= ~stray[None, j] | (x[:, None] > j[None])
+                fits &= 100 * np.minimum(n[x, None], n[None, j]) >= percent * np.maximum(n[x, None], n[None, j])
+                fits &= allowed(x[:, None], j[None])
+                p, q = np.nonzero(fits)
+                keep = np.zeros(len(p), dtype=bool)
+                some = max(1, BLOCK // w)
+                for k in range(0, len(p), some):
+                    u, v = p[k : k + some], q[k : k + some]
+                    keep[k : k + some] = _possible(n[x[u]], n[j[v]], left[lo + u], right[v], percent)
+                p, q = p[keep], q[keep]
+                more = np.zeros(len(p), dtype=bool)
+                if leaders and len(p):
+                    p, first, times = np.unique(p, return_index=True, return_counts=True)
+                    q, more = q[first], (times > 1) | taken[x[p]]
+                    taken[x[p]] = True
+                yield x[p], j[q], more
+
+
+def _tile_pairs(rows: DataFrame, maps: DataFrame, leaders: bool, percent: int) -> DataFrame:
+    """(g, u, v, more) of different components in a group that sizes and bitmaps don't rule out.
+
+    rows: (g, fp, n, component), distinct; maps: one (fp, n, bits, central) of
+    each.  With `leaders`, a document goes on with one partner of each bitmap
+    width in a tile at most, the most central one; `more` marks those that had others.
     """
     base = float(np.log(100 / percent))
     rows = rows.withColumn("band", F.floor(F.ln(F.col("n").cast("double")) / base + 1e-9).cast("int"))
+    count = rows.groupBy("g").agg(F.count("*").alias("c"))
+    rows = rows.join(count, "g")
     one = F.lit(0)
-    small = rows.where(F.col("c") <= TILE).select("key", F.lit(-1).alias("b"), one.alias("i"), one.alias("j"), one.alias("own"), "fp", "component", "n", "band")
-    banded = rows.where(F.col("c") > TILE).select("key", "fp", "component", "n", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("b"), "band")
-    count = banded.groupBy("key", "b").agg(F.count("*").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("band").alias("top"))
-    count = count.where((F.col("lo") != F.col("hi")) & (F.col("top") == F.col("b"))).select("key", "b", F.ceil(F.col("c") / TILE).cast("int").alias("tiles"))
-    large = banded.join(count, ["key", "b"]).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
+    small = rows.where(F.col("c") <= TILE).select("g", F.lit(-1).alias("b"), one.alias("i"), one.alias("j"), one.alias("own"), "fp", "component", "band")
+    banded = rows.where(F.col("c") > TILE).select("g", "fp", "component", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("b"), "band")
+    count = banded.groupBy("g", "b").agg(F.count("*").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("band").alias("top"))
+    count = count.where((F.col("lo") != F.col("hi")) & (F.col("top") == F.col("b"))).select("g", "b", F.ceil(F.col("c") / TILE).cast("int").alias("tiles"))
+    large = banded.join(count, ["g", "b"]).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
     large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    large = large.select("key", "b", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "fp", "component", "n", "band")
-    keys = ["key", "b", "i", "j"]
-    dealt = small.unionAll(large).join(maps.select("fp", "counts"), "fp").repartition(*keys).sortWithinPartitions(*keys)
+    large = large.select("g", "b", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "fp", "component", "band")
+    keys = ["g", "b", "i", "j"]
+    dealt = small.unionAll(large).join(maps.select("fp", "n", "bits", "central"), "fp").repartition(*keys).sortWithinPartitions(*keys, F.desc("central"), "fp")
 
+    @tidy
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in group_runs(batches, keys):
             edges = group_starts(run, keys)
-            column = {k: run.column(k).to_numpy(zero_copy_only=False) for k in ("b", "i", "j", "own", "fp", "component", "n", "band")}
-            raw, left, right = run.column("counts"), [], []
+            column = {k: run.column(k).to_numpy(zero_copy_only=False) for k in (*keys, "own", "fp", "component", "n", "band")}
+            raw = run.column("bits")
             for a, z in zip(edges[:-1], edges[1:], strict=True):
-                if z - a < 2:
-                    continue
                 at = {k: v[a:z] for k, v in column.items()}
-                maps = [np.frombuffer(raw[int(x)].as_py(), dtype=np.uint8) for x in range(a, z)]
-                width = np.array([m.size for m in maps])
-                for first in range(0, z - a, 64):
-                    x = slice(first, min(first + 64, z - a))
-                    fits = at["component"][x, None] != at["component"][None]
-                    # each pair once: the higher band's tile group, one order, and not twice among tiles
-                    fits &= at["fp"][x, None] < at["fp"][None]
-                    if at["b"][0] >= 0:
-                        fits &= np.maximum(at["band"][x, None], at["band"][None]) == at["b"][0]
-                    if at["i"][0] != at["j"][0]:
-                        fits &= at["own"][x, None] != at["own"][None]
-                    fits &= 100 * np.minimum(at["n"][x, None], at["n"][None]) >= percent * np.maximum(at["n"][x, None], at["n"][None])
-                    p, q = np.nonzero(fits)
-                    p += first
-                    both = np.minimum(width[p], width[q])
-                    for size in np.unique(both):
-                        # a pair is compared at the width of its narrower vector
-                        u, v = p[both == size], q[both == size]
-                        rows, place = np.unique(np.concatenate([u, v]), return_inverse=True)
-                        narrow = np.stack([maps[r].reshape(-1, size).sum(axis=0, dtype=np.int32) for r in rows])
-                        step = max(1, (1 << 22) // int(size))
-                        for lo in range(0, len(u), step):
-                            hi = min(lo + step, len(u))
-                            apart = np.abs(narrow[place[lo:hi]] - narrow[place[len(u) + lo : len(u) + hi]]).sum(axis=1, dtype=np.int64)
-                            total = at["n"][u[lo:hi]] + at["n"][v[lo:hi]]
-                            # |x delta y| >= apart bounds the overlap by (total - apart) / 2
-                            keep = 100 * (total - apart) >= percent * (total + apart)
-                            left.append(at["fp"][u[lo:hi][keep]])
-                            right.append(at["fp"][v[lo:hi][keep]])
-            none = np.zeros(0, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *left])), pa.array(np.concatenate([none, *right]))], names=["u", "v"])
-
-    return dealt.mapInArrow(compare, "u long, v long").distinct()
+                b, within, own, bands = at["b"][0], at["i"][0] == at["j"][0], at["own"], at["band"]
 
+                def allowed(x, y, b=b, within=within, own=own, bands=bands):
+                    # each pair once: under the higher band, and in one pair of tiles
+                    ok = np.ones(np.broadcast_shapes(x.shape, y.shape), dtype=bool)
+                    if b >= 0:
+                        ok &= np.maximum(bands[x], bands[y]) == b
+                    if not within:
+                        ok &= own[x] != own[y]
+                    return ok
 
-def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each row of `docs` (doc_id, text, ...).
+                words = [_words(raw[int(r)].as_py()) for r in range(a, z)]
+                for i, j, more in _cross_pairs(at["component"], at["n"], allowed, words, leaders, percent):
+                    u, v = at["fp"][i], at["fp"][j]
+                    out = [at["g"][i], np.minimum(u, v), np.maximum(u, v), more]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=["g", "u", "v", "more"])
 
-    Words are runs of anything but ASCII white space, A-Z lower-cased.  Null
-    and blank texts have no shingles and are components of their own; equal
-    texts share a component; a repeated doc_id gives one row per input row.
-    Other columns are ignored.  Very long texts are handled whole.
-    """
-    spark = docs.sparkSession
+    return dealt.mapInArrow(compare, "g long, u long, v long, more boolean")
+
+
+def _linked(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """((doc_id, h, fp, n) of each row, (node, component) of each set that has a link)."""
+    bounded_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     sig = written(signatures(docs, width, percent, _common_cells(docs, width)))
 
-    rows = sig.where("keys is not null").select(F.explode("keys").alias("key"), "fp", "n")
+    own = sig.where("keys is not null")
     group = Window.partitionBy("key")
-    rows = rows.withColumn("lo", F.min("fp").over(group)).withColumn("hi", F.max("fp").over(group))
-    multi = written(rows.where("lo != hi").select("key", "fp", "n", "lo"))
+    rare = own.select(F.explode("keys").alias("key"), "fp", "n")
+    rare = rare.withColumn("lo", F.min("fp").over(group)).withColumn("hi", F.max("fp").over(group)).where("lo != hi")
+    # keys in common cells may be in any share of all rows: these are joined to aggregates only
+    hot = own.select(F.explode("hot").alias("key"), "fp", "n").distinct()
+    multi = written(rare.select("key", "fp", "n").unionAll(hot))
 
-    first_id = written(sig.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("doc_id")))
+    # the row that stands for a set: the least id, null ids last
+    owner = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("o")
+    owners = sig.where("fp is not null").groupBy("fp").agg(owner).select("fp", "o.doc_id", "o.h")
 
     def texts(pairs: DataFrame) -> DataFrame:
-        need = pairs.select("u").unionAll(pairs.select("v")).distinct().withColumnRenamed("u", "fp")
-        need = written(need.join(first_id, "fp"))
-        found = docs.join(F.broadcast(need) if need.count() <= BROADCAST_ROWS else need, "doc_id")
-
-        # a repeated doc_id may stand for other texts too: the fingerprint decides, and one row is enough
-        def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                fp, keep = batch.column(0).to_pylist(), []
-                for row, values in shingle_sets(batch.column(1), width):
-                    if len(values) and fingerprint(values) == fp[row]:
-                        keep.append(row)
-                yield batch.take(pa.array(keep, pa.int64()))
-
-        return written(found.select("fp", "text").mapInArrow(own, "fp long, text string"))
+        need = pairs.select(F.col("u").alias("fp")).unionAll(pairs.select(F.col("v").alias("fp"))).distinct()
+        need = written(need.join(owners, "fp").select("fp", F.col("doc_id").alias("id"), "h"))
+        need = F.broadcast(need) if need.count() <= BROADCAST_ROWS else need
+        found = docs.join(need, (F.xxhash64("text") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("id")))
+        return written(found.groupBy("fp").agg(F.first("text").alias("text")))
 
-    maps = sig.where("bits is not null").groupBy("fp").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("counts").alias("counts"))
     sent = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
     central = multi.groupBy("fp").agg((F.count("*") / F.max(sent)).alias("central"))
-    active = multi.join(central, "fp").select("key", "fp", F.struct("central", "fp").alias("c"), F.col("fp").alias("component"))
-    links = known = comp = None
-    for _ in range(HUB_ROUNDS):
-        hubs = active.withColumn("hub", F.max("c").over(group)["fp"])
-        pairs = hubs.where("fp != hub").select(F.col("hub").alias("u"), F.col("fp").alias("v")).distinct()
-        pairs = pairs if known is None else pairs.join(known, ["u", "v"], "left_anti")
-        pairs = written(plausible(pairs, maps, percent))
-        known = pairs if known is None else known.unionAll(pairs)
-        new = verified(pairs, texts(pairs), width, percent)
-        links = written(new if links is None else links.unionAll(new))
-        comp = written(components(links))
-        # what the hub's component holds is settled; the rest of a group gets another hub
-        state = hubs.select("key", "fp", "c", "hub").join(comp.select(F.col("node").alias("fp"), F.col("component").alias("own")), "fp", "left")
-        state = state.join(comp.select(F.col("node").alias("hub"), F.col("component").alias("theirs")), "hub", "left")
-        state = state.withColumn("component", F.coalesce("own", "fp")).where(F.col("component") != F.coalesce("theirs", "hub"))
-        state = state.withColumn("low", F.min("component").over(group)).withColumn("high", F.max("component").over(group)).where("low != high")
-        active = written(state.select("key", "fp", "c", "component"))
-
-    mixed = multi.select("key", "fp", "n").join(comp.withColumnRenamed("node", "fp"), "fp", "left")
-    mixed = mixed.withColumn("component", F.coalesce("component", "fp"))
-    mixed = mixed.withColumn("lo", F.min("component").over(group)).withColumn("hi", F.max("component").over(group)).withColumn("c", F.count("*").over(group)).where("lo != hi")
-    mixed = written(mixed.select("key", "fp", "n", "component", "c"))
-    more = written(_tile_pairs(mixed, maps, percent))
-    # what the hub rounds have compared already is known
-    done = known.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    more = written(plausible(more.join(done, ["u", "v"], "left_anti"), maps, percent))
-    if not more.isEmpty():
-        links = written(links.unionAll(verified(more, texts(more), width, percent)))
-        comp = written(components(links))
-
-    sets = first_id.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    maps = own.groupBy("fp").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
+    maps = written(maps.join(central, "fp"))
+    members = multi.join(maps.select("fp", "central"), "fp").select("key", "fp", F.struct("central", "fp", "n").alias("c"))
+    hubs = members.groupBy("key").agg(F.max("c").alias("hub"))
+    # documents that meet under several shingles of one hub meet there once
+    under = members.join(hubs, "key").select("key", F.col("hub.fp").alias("g"), F.col("hub.n").alias("m"), "fp", F.col("c.n").alias("n"))
+    under = written(under)
+    near = 100 * F.least("m", "n") >= percent * F.greatest("m", "n")
+    pairs = under.where("g != fp").where(near).select(F.col("g").alias("u"), F.col("fp").alias("v")).distinct()
+    pairs = written(plausible(pairs, maps, percent))
+    known = pairs
+    links = written(verified(pairs, texts(pairs), width, percent))
+    comp = written(components(links))
+
+    # a hub has met all that share its shingles; the others of its group meet each other, if still apart
+    under = under.where("g != fp").select("key", "g", "fp", "n")
+    for leaders in (True, False):
+        rows = under.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+        mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
+        rows = written(rows.join(mixed, "key", "left_semi").select("g", "fp", "n", "component").distinct())
+        tiles = written(_tile_pairs(rows, maps, leaders, percent))
+        done = known.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+        more = written(tiles.select("u", "v").distinct().join(done, ["u", "v"], "left_anti"))
+        known = known.unionAll(more)
+        if not more.isEmpty():
+            links = written(links.unionAll(verified(more, texts(more), width, percent)))
+            comp = written(components(links))
+        again = tiles.where("more").select("g").distinct()
+        if again.isEmpty():
+            break
+        under = under.join(again, "g", "left_semi")
+    return sig.select("doc_id", "h", "fp", "n"), comp
+
+
+def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each row of `docs` (doc_id, text, ...).
+
+    Words are runs of anything but ASCII white space, A-Z lower-cased.  Null
+    and blank texts have no shingles and are components of their own; equal
+    texts share a component.  Rows are the documents: a repeated doc_id gives
+    one row per input row, each in its own text's component.  Rows without id
+    have no component_id, but their texts link like others.  An empty table
+    gives an empty result; other columns are ignored.  Very long texts are
+    handled whole.
+    """
+    sig, comp = _linked(docs, width, percent)
+    sets = sig.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
+    sets = sets.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = sets.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     label = sets.join(least, "component").select("fp", "component_id")
     out = sig.select("doc_id", "n", "fp").join(label, "fp", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
-    """`docs` with one document left of each component: the one with the least doc_id.
+    """`docs` with one row left of each group of similar texts: the one with the least doc_id.
 
-    Rows with equal doc_id and text count as one document; rows with a null
-    doc_id stay.
+    Rows are the documents, so a doc_id that stands for two texts loses only
+    the copies among them.  Rows without id come last, and rows of one id are
+    taken in the order of their text's hash.  Null and blank texts are similar
+    to nothing and stay; rows with equal doc_id and text count as one.  Extra
+    columns are kept and an empty table stays empty.
     """
-    found = written(jaccard_components(docs, width, percent))
-    gone = found.where("doc_id != component_id").select("doc_id").distinct()
+    sig, comp = _linked(docs, width, percent)
+    sets = sig.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    rows = written(sets.groupBy("doc_id", "h").agg(F.max("component").alias("component"), F.count("*").alias("rows")))
+    best = rows.where("component is not null").groupBy("component").agg(F.min(rank).alias("best"))
+    gone = rows.join(best, "component").where(~F.col("best").eqNullSafe(rank)).select("doc_id", "h", F.lit(0).alias("rows"))
+    # only rows that go or repeat are looked up; all others pass where they are
+    marked = written(rows.where("rows > 1").select("doc_id", "h", "rows").unionAll(gone).groupBy("doc_id", "h").agg(F.min("rows").alias("rows")))
+    marked = marked.select(F.col("doc_id").alias("tidemark_id"), F.col("h").alias("tidemark_h"), F.col("rows").alias("tidemark_rows"))
     names = docs.columns
-    first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*names))
-    rest = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").withColumn("tidemark_row", F.row_number().over(first))
-    return rest.where("tidemark_row = 1").select(names).unionAll(docs.where("doc_id is null").select(names))
+    same = F.col("doc_id").eqNullSafe(F.col("tidemark_id")) & (F.xxhash64("text") == F.col("tidemark_h"))
+    left = docs.join(marked, same, "left")
+    order = Window.partitionBy("tidemark_id", "tidemark_h").orderBy(F.xxhash64(*names))
+    again = left.where("tidemark_rows > 1").withColumn("tidemark_row", F.row_number().over(order)).where("tidemark_row = 1")
+    return left.where("tidemark_rows is null").select(names).unionAll(again.select(names))
