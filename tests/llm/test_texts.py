@@ -238,21 +238,75 @@ def test_differencing_is_balanced():
     assert sorted(packing.pack_group(np.array([1024, 1024, 5])).tolist()) == [0, 1, 2]
 
 
+def merged_by_hand(files, target, fanout):
+    """The tier plan by plain loops; files: (name, bytes)."""
+
+    def tier(size):
+        return max(0, math.ceil(math.log(target / 2 / max(size, 1)) / math.log(fanout)))
+
+    into = {name: name for name, _ in files}
+    size = dict(files)
+    for level in range(sharding.LEVELS):
+        units = collections.Counter()
+        for name, unit in into.items():
+            units[unit] += size[name]
+        runs, sums = collections.defaultdict(list), collections.Counter()
+        for unit in sorted(units):
+            t = tier(units[unit])
+            runs[t, sums[t] // target].append(unit)
+            sums[t] += units[unit]
+        step = {}
+        for (t, run), members in runs.items():
+            if t and len(members) > 1 and (len(members) >= fanout or sum(units[m] for m in members) >= target / 2):
+                step |= {m: f"l{level}-{t}-0-{run}" for m in members}
+        if not step:
+            break
+        into = {name: step.get(unit, unit) for name, unit in into.items()}
+    return {name: None if unit == name else unit for name, unit in into.items()}
+
+
 def test_shards(spark, tmp_path):
     rng = random.Random(3)
-    rows = [(i, "".join(rng.choices("abcdefgh ", k=500)), "en", f"s{i % 7}" if i % 11 else None, 500) for i in range(3000)]
-    df = spark.createDataFrame(rows, DOCS).withColumn("file", F.lit("clash"))
-    shards = sharding.Shards(spark, str(tmp_path / "a"), target=300_000)
-    shards.append(df.where("doc_id < 1500").repartition(3), "source")
-    assert shards.compact() == 1
-    shards.append(df.where("doc_id >= 1500").repartition(3), "source")
-    assert shards.compact() == 2 and shards.versions() == [1, 2]
-    for version, n in ((1, 1500), (2, 3000)):
-        got = shards.rows(["doc_id", "text"], version).collect()
-        assert sorted((r.doc_id, r.text) for r in got) == [(r[0], r[1]) for r in rows[:n]]
+    rows = [(i, "".join(rng.choices("abcdefgh ", k=500)), "en", f"s {i % 7}%" if i % 11 else None, 500) for i in range(3000)]
+    df = spark.createDataFrame(rows, DOCS).withColumn("file", F.lit("clash")).withColumn("tier", F.lit("clash"))
+    shards = sharding.Shards(spark, str(tmp_path / "a"), target=150_000)
+    assert shards.compact() == 0 and shards.append(df.where("doc_id < 1500").repartition(3), "source") == 1
+    plan = {r.file: r.into for r in shards.plan().collect()}
+    want = merged_by_hand([(r.file, r.bytes) for r in shards.manifest().collect()], 150_000, shards.fanout)
+    groups = lambda into: sorted(sorted(f for f in into if into[f] == g) for g in {*into.values()} - {None})
+    assert groups(plan) == groups(want) and len(groups(plan)) >= 1
+    assert shards.compact() == 2
+    first = {r.file: r.tier for r in shards.manifest().collect()}
+    assert shards.append(df.where("doc_id >= 1500").repartition(3), "source") == 3
+    assert shards.compact() == 4 and shards.versions() == [1, 2, 3, 4]
+    for version, n in ((1, 1500), (2, 1500), (3, 3000), (4, 3000)):
+        got = shards.rows(["doc_id", "text", "file", "tier"], version).collect()
+        assert sorted((r.doc_id, r.text, r.file, r.tier) for r in got) == [(r[0], r[1], "clash", "clash") for r in rows[:n]]
     live = shards.manifest().collect()
-    assert sum(r["rows"] for r in live) == 3000 and len(live) < shards._files("small").count()
-    assert max(r.bytes for r in live) <= 2 * 300_000
+    assert sum(r["rows"] for r in live) == 3000 and len(live) < 3 * 8 and max(r.bytes for r in live) <= 2 * 150_000
+    # files that have reached the target stay where they are
+    assert {f for f, t in first.items() if t == 0} <= {r.file for r in live} and 0 in first.values()
+    with pytest.raises(sharding.Conflict):
+        shards._commit(4, shards.manifest(), df.schema)
+    assert sum(r["rows"] for r in sharding.Shards(spark, shards.root).manifest().collect()) == 3000
     empty = sharding.Shards(spark, str(tmp_path / "b"))
-    empty.append(df.limit(0), "source")
+    assert empty.append(df.limit(0), "source") == 1
     assert empty.compact() == 1 and empty.rows(["doc_id"]).count() == 0
+
+
+def test_packing_keeps_ids(spark):
+    """Large ids beside null ones, repeated rows, clashing names, an empty table, and texts that the fast encoder must not change."""
+    rng = random.Random(8)
+    odd = "aZ09 \t\n\u00e9\u0301\u4e2d\U0001f600\u200d'’s,.<|>\u00a0\u0000"
+    texts = [None, "", "<|endoftext|> x", *("".join(rng.choices(odd, k=rng.randint(1, 80))) for _ in range(200))]
+    rows = [(2**53 + 1 + i, t, 1) for i, t in enumerate(texts)] + [(None, "a", 1)] * 3 + [(2**53 + 1, None, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, g long")
+    files = tokenizer_files()
+    got = packing.pack(df, *files).collect()
+    assert sorted(str(r.doc_id) for r in got if r.start == 0) == sorted(str(r[0]) for r in rows)
+    from tokenizers import Tokenizer
+
+    main = Tokenizer.from_file(files[0])
+    want = {2**53 + 1 + i: zlib.crc32(np.array([*main.encode(t or "", add_special_tokens=False).ids, 0], dtype="<u4").tobytes()) for i, t in enumerate(texts)}
+    assert {r.doc_id: r.ids_crc32 for r in got if r.doc_id is not None} == want
+    assert packing.pack(df.limit(0), *files).count() == 0

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import group_runs, group_starts, written
+from tidemark.llm.common import group_runs, group_starts, tidy, written
 from tidemark.llm.components import components
 
 TABLES = 24
@@ -83,6 +83,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98, tables: int = TABL
     rows = rows.withColumn("usable", F.col("label").isNotNull() & F.col("embedding").isNotNull())
     classes = rows.where("usable").groupBy("h1", "h2").agg(F.count("*").alias("copies"), F.min("vec_id").alias("vec_id"), F.first(F.struct("label", "embedding")).alias("v"))
 
+    @tidy
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h1, h2, group, units = [], [], [], []
@@ -117,6 +118,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98, tables: int = TABL
     keys = ["bucket", "i", "j"]
     dealt = dealt.join(units.select("node", "copies", "keys", "unit"), "node").repartition(*keys).sortWithinPartitions(*keys)
 
+    @tidy
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in group_runs(batches, keys):
             edges = group_starts(run, keys)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, mix, text_chunks
+from tidemark.llm.common import LOWER, mix, text_chunks, tidy
 
 POSITIONS = 1 << 22
 PROBES = 3
@@ -64,6 +64,7 @@ def _merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def ngram_counts(docs: DataFrame) -> DataFrame:
     """(lang, gram, n) over all of `docs` (lang, text)."""
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have: dict[str, list] = {}
         for batch in batches:
@@ -148,6 +149,7 @@ def identify(docs: DataFrame, model: Filter) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @tidy
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:

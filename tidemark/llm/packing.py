@@ -12,16 +12,16 @@ of windows rises and the group is packed again.
 from __future__ import annotations
 
 import heapq
+import json
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_chunks, written
+from tidemark.llm.common import bounded_batches, text_chunks, tidy, written
 
 WINDOW = 1024
 PIECE = 256
@@ -39,15 +39,9 @@ class Encoder:
     makes the ids; texts with special-token marks go to the main one.
     """
 
-    def __init__(self, tokenizer: str, ranks: str | None):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.main = Tokenizer.from_file(tokenizer)
-        self.special = [t.content for t in self.main.get_added_tokens_decoder().values()]
-        self.fast = None
+    def __init__(self, tokenizer: str, ranks: str | None, special: list[str]):
+        self.path, self.special = tokenizer, special
+        self.main = self.fast = None
         if ranks:
             import base64
 
@@ -59,17 +53,29 @@ class Encoder:
             self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
     def __call__(self, text: str) -> list[int]:
-        if self.fast is None or any(s in text for s in self.special):
-            return self.main.encode(text, add_special_tokens=False).ids
-        return self.fast.encode_ordinary(text)
+        if self.fast is not None and not any(s in text for s in self.special):
+            return self.fast.encode_ordinary(text)
+        if self.main is None:
+            import os
+
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+
+            self.main = Tokenizer.from_file(self.path)
+        return self.main.encode(text, add_special_tokens=False).ids
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(tokenizer: str, ranks: str | None) -> Encoder:
+def special_marks(tokenizer: str) -> list[str]:
+    with open(tokenizer, encoding="utf-8") as file:
+        return [t["content"] for t in json.load(file).get("added_tokens", [])]
+
+
+def encoder(tokenizer: str, ranks: str | None, special: list[str]) -> Encoder:
     if (tokenizer, ranks) not in _ENCODERS:
-        _ENCODERS[tokenizer, ranks] = Encoder(tokenizer, ranks)
+        _ENCODERS[tokenizer, ranks] = Encoder(tokenizer, ranks, special)
     return _ENCODERS[tokenizer, ranks]
 
 
@@ -87,9 +93,11 @@ def cut(tokens: int, window: int = WINDOW, piece: int = PIECE) -> list[tuple[int
 
 def pieces(docs: DataFrame, tokenizer: str, ranks: str | None, window: int = WINDOW, piece: int = PIECE, end_id: int = 0) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens) of each piece; a null text is empty."""
+    special = special_marks(tokenizer)
 
+    @tidy
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, ranks)
+        encode = encoder(tokenizer, ranks, special)
         for batch in batches:
             texts = batch.column(1).fill_null("")
             for first, last, _, _ in text_chunks(texts):
@@ -169,28 +177,31 @@ def packed(parts: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFr
     """`parts` with sequence_id and offset; sequences are gapless and hold `window` tokens at most."""
     parts = written(parts)
     groups = max(1, -(-parts.count() // group))
-    dealt = parts.withColumn("g", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)))
-
-    def fill(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["doc_id", "start", "ids_crc32"], kind="stable").reset_index(drop=True)
-        own = pack_group(rows["length"].to_numpy(), window)
+    # the place in the written table tells repeated rows apart, so that they spread over the groups
+    place = F.monotonically_increasing_id()
+    dealt = parts.withColumn("g", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", place), F.lit(groups)))
+
+    def fill(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([(c, "ascending") for c in ("doc_id", "start", "ids_crc32")])
+        length = rows.column("length").to_numpy()
+        own = pack_group(length, window)
         order = np.argsort(own, kind="stable")
-        length = rows["length"].to_numpy()[order]
-        before = np.cumsum(length) - length
+        before = np.cumsum(length[order]) - length[order]
         begin = np.append(True, own[order][1:] != own[order][:-1])
-        offset = np.zeros(len(rows), dtype=np.int64)
-        offset[order] = before - np.repeat(before[begin], np.diff(np.append(np.flatnonzero(begin), len(rows))))
-        rows["sequence_id"] = rows["g"] * (1 << SEQUENCE_BITS) + own
-        rows["offset"] = offset
-        return rows.drop(columns="g")
+        offset = np.zeros(len(length), dtype=np.int64)
+        offset[order] = before - np.repeat(before[begin], np.diff(np.append(np.flatnonzero(begin), len(length))))
+        sequence = rows.column("g").to_numpy() * (1 << SEQUENCE_BITS) + own
+        return rows.drop_columns("g").append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
-    return dealt.groupBy("g").applyInPandas(fill, _SCHEMA + ", sequence_id long, offset long")
+    return dealt.groupBy("g").applyInArrow(fill, _SCHEMA + ", sequence_id long, offset long")
 
 
 def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, window: int = WINDOW) -> DataFrame:
     """Pieces of all documents with their place in a sequence.
 
-    Null and empty texts are one end id.  Repeated rows are packed once each;
-    other columns are ignored; an empty table gives an empty result.
+    Null and empty texts are one end id.  Repeated rows are packed once each,
+    and ids pass unchanged, null ones too; other columns are ignored; an empty
+    table gives an empty result.
     """
+    bounded_batches(docs.sparkSession)
     return packed(pieces(docs, tokenizer, ranks, window), window)

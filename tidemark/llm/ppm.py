@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, fold, group_runs, group_starts, hashed_words, mix, text_chunks, written
+from tidemark.llm.common import LOWER, fold, group_runs, group_starts, hashed_words, mix, text_chunks, tidy, written
 
 ORDER = 4
 #: A byte that ends each text and bytes that stand before it; neither occurs in UTF-8.
@@ -58,6 +58,7 @@ def _counted(keys: np.ndarray, n: np.ndarray, t: np.ndarray) -> tuple[np.ndarray
 def counts(docs: DataFrame) -> DataFrame:
     """(kind, key, n, t): occurrences of words (0) and windows (1) in all of `docs` and in its training rows."""
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have: tuple[list, list] = ([], [])
 
@@ -107,6 +108,7 @@ def code_lengths(grams: DataFrame) -> DataFrame:
             escape = np.where(total > 0, np.log10(distinct / (2 * total)), 0.0)
         return own, escape
 
+    @tidy
     def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = shared.value
         zero = one.sum(axis=0)
@@ -209,6 +211,7 @@ def score(docs: DataFrame) -> DataFrame:
 
     shared = spark.sparkContext.broadcast((frequent(words, sums["n"], "t"), frequent(lengths, bytes_n, "lp")))
 
+    @tidy
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known_words, known_grams = shared.value
         names = ["uid", "key", "kind", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"]

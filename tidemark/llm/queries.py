@@ -47,12 +47,17 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_tiered_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per document: the live file that holds it after its source's arrival and a compaction."""
+    """One row per document: the live file that holds it after two arrivals, each split by source and compacted."""
+    docs = table(spark, sf_dir, "documents")
     shards = sharding.Shards(spark, scratch_dir(spark))
-    shards.append(table(spark, sf_dir, "documents"), "source")
-    version = shards.compact()
+    late = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 0, F.lit(True))
+    for arrival in (docs.where(~late), docs.where(late)):
+        shards.append(arrival, "source")
+        version = shards.compact()
     found = shards.rows(["doc_id"], version)
-    return found.select("doc_id", F.sha1("file").alias("file"), "kind", "tier", "file_rows", "file_bytes", F.lit(version).alias("version"))
+    shard = F.col("tidemark_shard")
+    file = {"kind": shard["kind"], "tier": shard["tier"], "file_rows": shard["rows"], "file_bytes": shard["bytes"]}
+    return found.select("doc_id", F.sha1(shard["file"]).alias("file"), *(c.alias(n) for n, c in file.items()), F.lit(version).alias("version"))
 
 
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

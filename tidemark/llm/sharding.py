@@ -1,30 +1,44 @@
 """Size-tiered shards with a versioned manifest.
 
 Arrivals are appended as small immutable files, straight from the tasks that
-hold them.  Compaction looks at file sizes alone: files of one size tier are
-lined up and cut into runs of about the target size, level by level, until no
-tier holds a run worth merging; then every file that was merged is rewritten
-once, into its final file.  A manifest version is a table of the live files.
-It is written aside and committed by one rename, so readers see the old or the
-new version, and two writers cannot commit the same one.
+hold them.  Compaction looks at the sizes of the live files alone, whether
+they were appended or merged before: files of one size tier are lined up and
+cut into runs of about the target size, level by level, until no tier holds a
+run worth merging.  Files of a run are then rewritten once, into the run's
+final file; all others stay where they are.  A manifest version is a table of
+the live files.  It is committed by creating one small file, which fails if it
+exists, so readers see the old or the new version and two writers cannot
+commit the same one.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
+from tidemark.llm.common import written
+
 TARGET = 32 << 20
 #: A tier is worth merging if it has so many files, or enough bytes for a target file.
 FANOUT = 4
 #: File rows that one task orders within a tier.
 PLAN_ROWS = 100_000
 LEVELS = 8
+LIVE = "file string, bytes long, rows long, kind string, tier int, version int"
+
+
+class Conflict(RuntimeError):
+    """Another writer has committed the version."""
 
 
 class Shards:
-    """A folder of shards: `small/` as appended, `merged/` as rewritten, `manifest/` with its versions."""
+    """A folder of shards: `data/` with the files of each write, `manifest/` with the versions."""
 
     def __init__(self, spark: SparkSession, root: str, target: int = TARGET, fanout: int = FANOUT):
         self.spark, self.root, self.target, self.fanout = spark, root.rstrip("/"), target, fanout
@@ -33,100 +47,137 @@ class Shards:
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop
 
-    def versions(self) -> list[int]:
+    def _versions(self, whole: bool) -> list[int]:
         fs, path = self._fs(f"{self.root}/manifest")
         if not fs.exists(path):
             return []
-        names = [s.getPath().getName() for s in fs.listStatus(path)]
-        return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
-
-    def append(self, rows: DataFrame, arrival: str) -> None:
-        """Write `rows` as small files, apart for each value of the column `arrival`; nothing is shuffled.
+        found = [(s.getPath().getName(), s.getLen()) for s in fs.listStatus(path)]
+        # a writer that died between creating and filling its file leaves an empty one: never a version
+        return sorted(int(n[1:]) for n, size in found if n.startswith("v") and n[1:].isdigit() and (size or not whole))
 
-        A null arrival is one of its own.  An empty table leaves no file.
-        """
-        self.schema = rows.schema
-        rows.withColumn("tidemark_arrival", F.col(arrival)).write.mode("append").option("compression", "zstd").partitionBy("tidemark_arrival").parquet(f"{self.root}/small")
+    def versions(self) -> list[int]:
+        """Committed versions, in order."""
+        return self._versions(whole=True)
 
-    def _has_files(self, kind: str) -> bool:
-        fs, folder = self._fs(f"{self.root}/{kind}")
-        return fs.exists(folder) and any("=" in s.getPath().getName() for s in fs.listStatus(folder))
+    def _entry(self, version: int) -> dict:
+        return json.loads(self.spark.read.text(f"{self.root}/manifest/v{version}", wholetext=True).first()[0])
 
-    def _files(self, kind: str) -> DataFrame:
-        """(file, bytes, rows) of the files in `small` or in a version of `merged`."""
-        if not self._has_files(kind):
-            return self.spark.createDataFrame([], "file string, bytes long, rows long")
-        meta = self.spark.read.parquet(f"{self.root}/{kind}").select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
-        return meta.groupBy("file", "bytes").agg(F.count("*").alias("rows"))
+    def manifest(self, version: int | None = None) -> DataFrame:
+        """(file, bytes, rows, kind, tier, version) of the live files of a version, the last one if none is given."""
+        version = version or max(self.versions(), default=0)
+        if not version:
+            return self.spark.createDataFrame([], LIVE)
+        return self.spark.read.schema(LIVE).parquet(self._entry(version)["table"])
 
     def tier(self, size) -> F.Column:
         """0 for files of at least half the target; each further tier is smaller by the fanout."""
         ratio = F.lit(self.target / 2) / F.greatest(size.cast("double"), F.lit(1.0))
         return F.greatest(F.ceil(F.log(float(self.fanout), ratio)), F.lit(0)).cast("int")
 
-    def plan(self) -> DataFrame:
-        """(file, rows, bytes, into): the final file of each small file; null if it stays as it is."""
-        files = self._files("small").withColumn("into", F.col("file"))
-        files.persist()
-        lanes = -(-files.count() // PLAN_ROWS)
+    def _files(self, path: str, kind: str, version: int) -> DataFrame:
+        """The files of one write, as rows of a manifest."""
+        fs, folder = self._fs(path)
+        if not any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(folder)):
+            return self.spark.createDataFrame([], LIVE)
+        meta = self.spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+        found = meta.groupBy("file", "bytes").agg(F.count("*").alias("rows"))
+        return found.select("file", "bytes", "rows", F.lit(kind).alias("kind"), self.tier(F.col("bytes")).alias("tier"), F.lit(version).alias("version"))
+
+    def append(self, rows: DataFrame, arrival: str) -> int:
+        """Write `rows` as small files, apart for each value of the column `arrival`, and commit them; nothing is shuffled.
+
+        A null arrival is one of its own.  Repeated rows stay repeated.  An
+        empty table commits a version with no new file.  If another writer
+        commits first, the files go into the version after it.
+        """
+        path = f"{self.root}/data/{uuid.uuid4().hex}"
+        named = rows.withColumn("tidemark_arrival", F.sha1(F.col(arrival).cast("string")))
+        named.write.option("compression", "zstd").partitionBy("tidemark_arrival").parquet(path)
+        while True:
+            base = max(self.versions(), default=0)
+            version = max(self._versions(whole=False), default=0) + 1
+            try:
+                return self._commit(version, self.manifest(base).unionAll(self._files(path, "small", version)), rows.schema)
+            except Conflict:
+                continue
+
+    def plan(self, version: int | None = None) -> DataFrame:
+        """(file, rows, bytes, into) of the live files: the name of the merged file each one goes into; null if it stays."""
+        files = written(self.manifest(version).select("file", "rows", "bytes", F.col("file").alias("into")), self.spark)
+        lanes = max(1, -(-files.count() // PLAN_ROWS))
         for level in range(LEVELS):
             units = files.groupBy("into").agg(F.sum("bytes").alias("size"))
-            units = units.withColumn("t", self.tier(F.col("size"))).withColumn("lane", F.pmod(F.xxhash64("into"), F.lit(max(1, lanes))))
+            units = units.withColumn("t", self.tier(F.col("size"))).withColumn("lane", F.pmod(F.xxhash64("into"), F.lit(lanes)))
             lane = Window.partitionBy("t", "lane")
             before = F.sum("size").over(lane.orderBy("into").rowsBetween(Window.unboundedPreceding, -1))
             units = units.withColumn("run", F.floor(F.coalesce(before, F.lit(0)) / self.target))
             run = Window.partitionBy("t", "lane", "run")
             units = units.withColumn("members", F.count("*").over(run)).withColumn("all", F.sum("size").over(run))
-            units = units.withColumn("next", F.when((F.col("t") > 0) & (F.col("members") > 1) & ((F.col("members") >= self.fanout) | (F.col("all") >= self.target / 2)), F.concat_ws("-", F.lit(f"l{level}"), "t", "lane", "run")).otherwise(F.col("into")))
-            step = files.join(units.select("into", "next"), "into").select("file", "rows", "bytes", F.col("next").alias("into")).persist()
-            changed = step.join(files.select("file", F.col("into").alias("was")), "file").where("into != was").count()
-            files.unpersist()
-            files = step
-            if not changed:
+            merge = (F.col("t") > 0) & (F.col("members") > 1) & ((F.col("members") >= self.fanout) | (F.col("all") >= self.target / 2))
+            units = units.withColumn("next", F.when(merge, F.concat_ws("-", F.lit(f"l{level}"), "t", "lane", "run")).otherwise(F.col("into")))
+            step = files.join(units.select("into", "next"), "into").select("file", "rows", "bytes", F.col("next").alias("into"), (F.col("next") != F.col("into")).alias("moved"))
+            step = written(step, self.spark)
+            files = step.drop("moved")
+            if step.where("moved").isEmpty():
                 break
         return files.select("file", "rows", "bytes", F.when(F.col("into") != F.col("file"), F.sha1("into")).alias("into"))
 
     def compact(self) -> int:
-        """Rewrite what the plan merges and commit the next manifest version, which is returned."""
-        version = max(self.versions(), default=0) + 1
-        plan = self.plan()
-        if not self._has_files("small"):
-            return self._commit(version, plan.select("file", "bytes", "rows", F.lit("small").alias("kind")))
-        small = self.spark.read.parquet(f"{self.root}/small").withColumn("tidemark_file", F.col("_metadata.file_path"))
-        moves = plan.where("into is not null").select(F.col("file").alias("tidemark_file"), F.col("into").alias("tidemark_into"))
-        moved = small.join(moves, "tidemark_file").drop("tidemark_file", "tidemark_arrival")
-        moved.repartition("tidemark_into").write.option("compression", "zstd").partitionBy("tidemark_into").parquet(f"{self.root}/merged/v={version}")
-        kept = plan.where("into is null").select("file", "bytes", "rows", F.lit("small").alias("kind"))
-        merged = self._files(f"merged/v={version}").select("file", "bytes", "rows", F.lit("merged").alias("kind"))
-        return self._commit(version, kept.unionAll(merged))
-
-    def _commit(self, version: int, live: DataFrame) -> int:
-        """Write the manifest aside and rename it into place."""
-        live = live.withColumn("tier", self.tier(F.col("bytes"))).withColumn("version", F.lit(version))
-        aside = f"{self.root}/manifest/_v{version}"
+        """Rewrite what the plan merges, commit the next version and return it.
+
+        The last version is returned if nothing is worth merging, 0 if there
+        is none.  Files that stay keep their paths.  Raises `Conflict` if
+        another writer commits first; the files written for it are then in no
+        version.
+        """
+        base = max(self.versions(), default=0)
+        plan = self.plan(base)
+        moves = written(plan.where("into is not null").select(F.col("file").alias("tidemark_file"), F.col("into").alias("tidemark_into")), self.spark)
+        if moves.isEmpty():
+            return base
+        version = max(self._versions(whole=False), default=0) + 1
+        path = f"{self.root}/data/{uuid.uuid4().hex}"
+        merged = self._read(base, moves.select("tidemark_file")).withColumn("tidemark_file", F.col("_metadata.file_path"))
+        merged = merged.join(moves, "tidemark_file").drop("tidemark_file")
+        # one task writes one file, whose size is bounded by the target
+        merged.repartition("tidemark_into").write.option("compression", "zstd").partitionBy("tidemark_into").parquet(path)
+        live = self.manifest(base)
+        kept = live.join(moves, live["file"] == moves["tidemark_file"], "left_anti")
+        schema = StructType.fromJson(json.loads(self._entry(base)["schema"]))
+        return self._commit(version, kept.unionAll(self._files(path, "merged", version)), schema)
+
+    def _commit(self, version: int, live: DataFrame, schema: StructType) -> int:
+        """Write the table of live files aside, then create the version's file, which must not exist."""
+        aside = f"{self.root}/manifest/table-{uuid.uuid4().hex}"
         live.write.parquet(aside)
-        fs, source = self._fs(aside)
-        if not fs.rename(source, self._fs(f"{self.root}/manifest/v{version}")[1]):
-            raise RuntimeError(f"manifest version {version} was committed by another writer")
+        fs, path = self._fs(f"{self.root}/manifest/v{version}")
+        try:
+            out = fs.create(path, False)
+        except Py4JJavaError as error:
+            if "AlreadyExists" in str(error.java_exception.getClass().getName()) or fs.exists(path):
+                raise Conflict(f"manifest version {version} was committed by another writer") from error
+            raise
+        out.write(bytearray(json.dumps({"table": aside, "schema": schema.json()}).encode()))
+        out.close()
         return version
 
-    def manifest(self, version: int | None = None) -> DataFrame:
-        version = version or max(self.versions())
-        return self.spark.read.parquet(f"{self.root}/manifest/v{version}")
+    def _read(self, version: int, files: DataFrame) -> DataFrame:
+        """The rows of some of a version's files, which are named to the reader: dead files are not opened."""
+        schema = StructType.fromJson(json.loads(self._entry(version)["schema"]))
+        paths = [r[0] for r in files.toLocalIterator()]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def rows(self, columns: list[str], version: int | None = None) -> DataFrame:
-        """`columns` of the rows in a version's live files, with file, kind, tier, file_rows and file_bytes."""
+        """`columns` of the rows in a version's live files, and `tidemark_shard`: struct(file, kind, tier, rows, bytes).
+
+        Columns of any name may be asked for.  A version without files gives no rows.
+        """
         version = version or max(self.versions())
-        live = self.manifest(version).select("file", "kind", "tier", F.col("rows").alias("file_rows"), F.col("bytes").alias("file_bytes"))
-        parts = []
-        for kind, path in (("small", "small"), ("merged", f"merged/v={version}")):
-            if self._has_files(path):
-                data = self.spark.read.parquet(f"{self.root}/{path}").select(*columns, F.col("_metadata.file_path").alias("file"))
-                parts.append(data.join(live.where(F.col("kind") == kind), "file"))
-        if not parts:
-            none = self.spark.createDataFrame([], self.schema).select(*columns)
-            return none.crossJoin(live).where("false").select("file", *columns, "kind", "tier", "file_rows", "file_bytes")
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionAll(part)
-        return out
+        live = self.manifest(version)
+        shard = F.struct("file", "kind", "tier", "rows", "bytes").alias("tidemark_shard")
+        data = self._read(version, live.select("file"))
+        if live.isEmpty():
+            return data.select(*columns, F.lit(None).cast("struct<file:string,kind:string,tier:int,rows:bigint,bytes:bigint>").alias("tidemark_shard"))
+        data = data.select(*columns, F.col("_metadata.file_path").alias("tidemark_file"))
+        live = live.select(F.col("file").alias("tidemark_path"), shard)
+        return data.join(live, F.col("tidemark_file") == F.col("tidemark_path")).select(*columns, "tidemark_shard")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, mix, text_chunks
+from tidemark.llm.common import LOWER, mix, text_chunks, tidy
 
 BUCKETS = 1 << 18
 ORDERS = (3, 4, 5)
@@ -197,6 +197,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [shared.value.score(raw, starts) for _, _, raw, starts in text_chunks(batch.column(1))]
@@ -211,6 +212,7 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [shared.value.score(raw, starts) for _, _, raw, starts in text_chunks(batch.column(at))]
