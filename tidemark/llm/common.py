@@ -7,6 +7,7 @@ not on the number of rows in a partition.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
@@ -54,14 +55,37 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
-    """Write `df` to shared storage and read it back: cuts lineage, survives lost executors."""
+_STEPS: list[list[str]] = []
+
+
+def written(df: DataFrame, spark: SparkSession | None = None, keep: bool = False) -> DataFrame:
+    """Write `df` to shared storage and read it back: cuts lineage, survives lost executors.
+
+    Within `temporary`, the table goes at the end of the block, unless it is to be kept.
+    """
     spark = spark or df.sparkSession
     path = scratch_dir(spark)
     df.write.parquet(path)
+    open_blocks = _STEPS[:-1] if keep else _STEPS
+    if open_blocks:
+        open_blocks[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Tables that are written in the block are deleted at its end; what leaves it must be written to be kept."""
+    _STEPS.append([])
+    try:
+        yield
+    finally:
+        for path in _STEPS.pop():
+            hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+        # lets Spark drop the shuffle files and broadcasts of plans that are gone
+        spark._jvm.System.gc()
+
+
 #: Bytes of a batch on its way to a Python worker, about.
 BATCH_BYTES = 8 << 20
 

@@ -7,15 +7,17 @@ reaches `percent` / 100.  The join is exact (sets are compared as sorted
 1. A first pass counts shingles in a small sketch per task and marks the cells
    that are much fuller than chance: shingles of passages that many documents
    share.  This only orders shingles, it never drops one.
-2. Each document sends out the first ``n - ceil(t n) + 1`` shingles of that
-   order (rare ones first).  Similar documents must share one of them.
+2. Each document sends out the first ``n - ceil(t n) + l`` shingles of that
+   order (rare ones first).  Similar documents must share l of them, where l
+   grows with the size, so a document that shares fewer than the least of its
+   possible partners asks for meets nobody: chance matches end here.
 3. All documents under one shingle are first compared with one hub alone: the
-   document that shares the largest part of what it sends out, which is the
-   original if the others are its edited copies.  Components are taken, so
-   groups of near copies of any size collapse in one linear step.
-4. Shingles that still hold several components are put together by their hub,
-   so that documents which share many shingles meet once and not under each of
-   them.  The groups are cut into tiles by size band; within a tile pair, bit
+   document with the largest part of common shingles, which is the original if
+   the others are its edited copies.  Components are taken, so groups of near
+   copies of any size collapse in one linear step.
+4. Shingles are put together by their hub, so that documents which share many
+   shingles meet once and not under each of them.  Groups that still hold
+   several components are cut into tiles by size band; within a tile pair, bit
    counts of hashed bitmaps bound the overlap of documents of different
    components from above.  In the first of two rounds a document goes on with
    its first possible partner only, which keeps clusters of variants linear;
@@ -31,17 +33,18 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import bounded_batches, group_runs, group_starts, mix, shingle_sets, tidy, written
+from tidemark.llm.common import bounded_batches, group_runs, group_starts, mix, shingle_sets, temporary, tidy, written
 from tidemark.llm.components import components
 
 SKETCH_BITS = 22
 #: At most so many sketch cells are marked as common: a fixed bound of the broadcast.
-COMMON_CELLS = 1 << 16
-#: Ids of up to so many documents (16 bytes each) are broadcast to find their texts; more are joined by a shuffle.
+COMMON_CELLS = 1 << 18
+#: Rows of two or three numbers are broadcast up to this count to find their texts (a fourth of it: their bitmaps
+#: and the texts' places in pairs); more are joined by a shuffle.
 BROADCAST_ROWS = 1 << 20
 #: A hub's text is sent once for about so many partners.
 PARTNERS = 512
@@ -62,8 +65,15 @@ def fingerprint(values: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(values.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def prefix_length(n: int, percent: int) -> int:
-    return n - (percent * n + 99) // 100 + 1
+def prefix_length(n, percent: int):
+    """Shingles of which similar documents must share one; also of a column."""
+    return n - F.floor((n * percent + 99) / 100) + 1 if isinstance(n, Column) else n - (percent * n + 99) // 100 + 1
+
+
+def least_shared(n, percent: int):
+    """How many of the shingles sent similar documents must share, if n is the size of the smaller one."""
+    p = prefix_length(n, percent)
+    return F.floor(p / 8) + 1 if isinstance(n, Column) else p // 8 + 1
 
 
 def band(n: np.ndarray, percent: int) -> np.ndarray:
@@ -97,21 +107,22 @@ def _common_cells(docs: DataFrame, width: int) -> np.ndarray:
             for _, values in shingle_sets(batch.column(0), width):
                 np.add.at(cells, (values & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64), 1)
                 total += len(values)
-        least = max(8, 8 * total >> SKETCH_BITS)
+        mean = total / (1 << SKETCH_BITS)
+        least = int(mean + 4 * np.sqrt(mean) + 3)
         hit = np.flatnonzero(cells >= least)
         yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int64()), pa.array(cells[hit], pa.int64())], names=["cell", "n"])
 
     found = docs.select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    rows = found.orderBy(F.desc("n"), "cell").limit(COMMON_CELLS).collect()
-    return np.sort(np.array([r["cell"] for r in rows], dtype=np.int64))
+    rows = found.orderBy(F.desc("n"), "cell").limit(COMMON_CELLS).select(F.col("cell").cast("int")).toArrow()
+    return np.sort(rows.column(0).to_numpy())
 
 
 def signatures(docs: DataFrame, width: int, percent: int, common: np.ndarray) -> DataFrame:
-    """(doc_id, h, fp, n) per row; keys, hot (keys in common cells) and bitmap with the first row of each set in a task."""
+    """(doc_id, h, fp, n) per row; share (of common shingles, in 255ths), keys, hot (keys in common cells) and bitmap with the first row of each set in a task."""
     marked = docs.sparkSession.sparkContext.broadcast(common)
-    names = ["doc_id", "h", "fp", "n", "keys", "hot", "bits"]
+    names = ["doc_id", "h", "fp", "n", "share", "keys", "hot", "bits"]
     kind = pa.list_(pa.int64())
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), kind, kind, pa.binary()]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), kind, kind, pa.binary()]
 
     def batch_of(out: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*out, strict=True)) if out else [[]] * len(names)
@@ -129,27 +140,27 @@ def signatures(docs: DataFrame, width: int, percent: int, common: np.ndarray) ->
             for row, values in shingle_sets(batch.column(2), width):
                 n, own = len(values), (ids[row].as_py(), hashes[row].as_py())
                 if not n:
-                    out.append((*own, None, n, None, None, None))
+                    out.append((*own, None, n, None, None, None, None))
                     continue
                 fp = fingerprint(values)
                 if fp in seen:
-                    out.append((*own, fp, n, None, None, None))
+                    out.append((*own, fp, n, None, None, None, None))
                     continue
                 seen.add(fp)
                 flag = is_common[(values & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]
                 # rare ones first; the flag takes the place of the hash's top bit
                 order = (values & ~_LAST) | np.where(flag, _LAST, np.uint64(0))
-                p = prefix_length(n, percent)
+                p = min(n, prefix_length(n, percent) + least_shared(n, percent) - 1)
                 first = np.argpartition(order, p - 1)[:p]
                 bits = bitmap_bits(int(band(np.array([n]), percent)[0]), percent)
-                out.append((*own, fp, n, _key(values[first[~flag[first]]]), _key(values[first[flag[first]]]), bitmap(values, bits).tobytes()))
+                out.append((*own, fp, n, 255 * int(flag.sum()) // n, _key(values[first[~flag[first]]]), _key(values[first[flag[first]]]), bitmap(values, bits).tobytes()))
                 size += p
                 if len(out) >= 2000 or size >= 1 << 18:
                     yield batch_of(out)
                     out, size = [], 0
             yield batch_of(out)
 
-    schema = "doc_id long, h long, fp long, n long, keys array<long>, hot array<long>, bits binary"
+    schema = "doc_id long, h long, fp long, n long, share int, keys array<long>, hot array<long>, bits binary"
     return docs.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(make, schema)
 
 
@@ -163,7 +174,7 @@ def _dealt(pairs: DataFrame, payload: DataFrame) -> DataFrame:
     dealt = written(pairs.join(count, "u").select("u", "v", F.pmod(F.xxhash64("v"), F.col("c")).cast("int").alias("t")))
     work = dealt.select("u", "t").distinct().select("u", "t", F.col("u").alias("fp")).unionAll(dealt.select("u", "t", F.col("v").alias("fp")))
     rest = [c for c in payload.columns if c != "fp"]
-    work = work.join(payload, "fp").select("u", "t", (F.col("fp") != F.col("u")).alias("member"), "fp", *rest)
+    work = payload.join(F.broadcast(work) if dealt.count() <= BROADCAST_ROWS // 4 else work, "fp").select("u", "t", (F.col("fp") != F.col("u")).alias("member"), "fp", *rest)
     return work.repartition("u", "t").sortWithinPartitions("u", "t", "member")
 
 
@@ -276,12 +287,17 @@ def _cross_pairs(component: np.ndarray, n: np.ndarray, allowed: Callable, maps:
 def _tile_pairs(rows: DataFrame, maps: DataFrame, leaders: bool, percent: int) -> DataFrame:
     """(g, u, v, more) of different components in a group that sizes and bitmaps don't rule out.
 
-    rows: (g, fp, n, component), distinct; maps: one (fp, n, bits, central) of
+    rows: (g, fp, n, component), distinct; maps: one (fp, n, bits, share) of
     each.  With `leaders`, a document goes on with one partner of each bitmap
-    width in a tile at most, the most central one; `more` marks those that had others.
+    width in a tile at most, the one with the largest share of common shingles; `more` marks those that had others.
     """
     base = float(np.log(100 / percent))
     rows = rows.withColumn("band", F.floor(F.ln(F.col("n").cast("double")) / base + 1e-9).cast("int"))
+    bands = rows.groupBy("g", "band").agg(F.count("*").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    # a row stays if another component has rows in its own or an adjacent band of the group
+    near = bands.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    near = near.groupBy("g", "band").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo != hi").select("g", "band")
+    rows = written(rows.join(near, ["g", "band"], "left_semi"))
     count = rows.groupBy("g").agg(F.count("*").alias("c"))
     rows = rows.join(count, "g")
     one = F.lit(0)
@@ -293,7 +309,7 @@ def _tile_pairs(rows: DataFrame, maps: DataFrame, leaders: bool, percent: int) -
     large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     large = large.select("g", "b", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "fp", "component", "band")
     keys = ["g", "b", "i", "j"]
-    dealt = small.unionAll(large).join(maps.select("fp", "n", "bits", "central"), "fp").repartition(*keys).sortWithinPartitions(*keys, F.desc("central"), "fp")
+    dealt = small.unionAll(large).join(maps, "fp").repartition(*keys).sortWithinPartitions(*keys, F.desc("share"), "fp")
 
     @tidy
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,12 +346,20 @@ def _linked(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
     sig = written(signatures(docs, width, percent, _common_cells(docs, width)))
 
     own = sig.where("keys is not null")
+    member = F.struct("share", "fp", "n")
     group = Window.partitionBy("key")
-    rare = own.select(F.explode("keys").alias("key"), "fp", "n")
-    rare = rare.withColumn("lo", F.min("fp").over(group)).withColumn("hi", F.max("fp").over(group)).where("lo != hi")
+    rare = own.select(F.explode("keys").alias("key"), "fp", "n", "share")
+    rare = rare.withColumn("lo", F.min("fp").over(group)).withColumn("hub", F.max(member).over(group)).withColumn("hi", F.max("fp").over(group)).where("lo != hi")
     # keys in common cells may be in any share of all rows: these are joined to aggregates only
-    hot = own.select(F.explode("hot").alias("key"), "fp", "n").distinct()
-    multi = written(rare.select("key", "fp", "n").unionAll(hot))
+    hot = own.select(F.explode("hot").alias("key"), "fp", "n", "share")
+    hubs = hot.groupBy("key").agg(F.max(member).alias("hub"), F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo != hi").select("key", "hub")
+    under = rare.select("hub", "fp", "n").unionAll(hot.join(hubs, "key").select("hub", "fp", "n"))
+    # documents that meet under several shingles of one hub meet there once
+    under = under.groupBy(F.col("hub.fp").alias("g"), F.col("hub.n").alias("m"), "fp", "n").agg(F.count("*").alias("k"))
+    under = written(under)
+    smaller = F.floor((F.col("n") * percent + 99) / 100)
+    enough = written(under.groupBy("fp", "n").agg(F.sum("k").alias("k")).where(F.col("k") >= least_shared(smaller, percent)).select("fp"))
+    under = written(under.where("g != fp").join(enough, "fp").select("g", "m", "fp", "n"))
 
     # the row that stands for a set: the least id, null ids last
     owner = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("o")
@@ -348,28 +372,18 @@ def _linked(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
         found = docs.join(need, (F.xxhash64("text") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("id")))
         return written(found.groupBy("fp").agg(F.first("text").alias("text")))
 
-    sent = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
-    central = multi.groupBy("fp").agg((F.count("*") / F.max(sent)).alias("central"))
-    maps = own.groupBy("fp").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
-    maps = written(maps.join(central, "fp"))
-    members = multi.join(maps.select("fp", "central"), "fp").select("key", "fp", F.struct("central", "fp", "n").alias("c"))
-    hubs = members.groupBy("key").agg(F.max("c").alias("hub"))
-    # documents that meet under several shingles of one hub meet there once
-    under = members.join(hubs, "key").select("key", F.col("hub.fp").alias("g"), F.col("hub.n").alias("m"), "fp", F.col("c.n").alias("n"))
-    under = written(under)
+    have = under.select("fp").unionAll(under.select(F.col("g").alias("fp"))).distinct()
+    maps = own.select("fp", "n", "share", "bits").groupBy("fp").agg(*(F.first(c).alias(c) for c in ("n", "share", "bits")))
+    maps = written(maps.join(have, "fp", "left_semi"))
     near = 100 * F.least("m", "n") >= percent * F.greatest("m", "n")
-    pairs = under.where("g != fp").where(near).select(F.col("g").alias("u"), F.col("fp").alias("v")).distinct()
-    pairs = written(plausible(pairs, maps, percent))
-    known = pairs
-    links = written(verified(pairs, texts(pairs), width, percent))
+    pairs = under.where(near).join(enough.withColumnRenamed("fp", "g"), "g", "left_semi").select(F.col("g").alias("u"), F.col("fp").alias("v"))
+    known = written(plausible(pairs, maps, percent))
+    links = written(verified(known, texts(known), width, percent))
     comp = written(components(links))
 
     # a hub has met all that share its shingles; the others of its group meet each other, if still apart
-    under = under.where("g != fp").select("key", "g", "fp", "n")
     for leaders in (True, False):
-        rows = under.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-        mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
-        rows = written(rows.join(mixed, "key", "left_semi").select("g", "fp", "n", "component").distinct())
+        rows = under.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select("g", "fp", "n", F.coalesce("component", "fp").alias("component"))
         tiles = written(_tile_pairs(rows, maps, leaders, percent))
         done = known.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
         more = written(tiles.select("u", "v").distinct().join(done, ["u", "v"], "left_anti"))
@@ -395,7 +409,11 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     gives an empty result; other columns are ignored.  Very long texts are
     handled whole.
     """
-    sig, comp = _linked(docs, width, percent)
+    with temporary(docs.sparkSession):
+        return written(_labelled(*_linked(docs, width, percent)), keep=True)
+
+
+def _labelled(sig: DataFrame, comp: DataFrame) -> DataFrame:
     sets = sig.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
     sets = sets.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = sets.groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -413,14 +431,8 @@ def keep_one(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     to nothing and stay; rows with equal doc_id and text count as one.  Extra
     columns are kept and an empty table stays empty.
     """
-    sig, comp = _linked(docs, width, percent)
-    sets = sig.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
-    rows = written(sets.groupBy("doc_id", "h").agg(F.max("component").alias("component"), F.count("*").alias("rows")))
-    best = rows.where("component is not null").groupBy("component").agg(F.min(rank).alias("best"))
-    gone = rows.join(best, "component").where(~F.col("best").eqNullSafe(rank)).select("doc_id", "h", F.lit(0).alias("rows"))
-    # only rows that go or repeat are looked up; all others pass where they are
-    marked = written(rows.where("rows > 1").select("doc_id", "h", "rows").unionAll(gone).groupBy("doc_id", "h").agg(F.min("rows").alias("rows")))
+    with temporary(docs.sparkSession):
+        marked = written(_marked(*_linked(docs, width, percent)), keep=True)
     marked = marked.select(F.col("doc_id").alias("tidemark_id"), F.col("h").alias("tidemark_h"), F.col("rows").alias("tidemark_rows"))
     names = docs.columns
     same = F.col("doc_id").eqNullSafe(F.col("tidemark_id")) & (F.xxhash64("text") == F.col("tidemark_h"))
@@ -428,3 +440,13 @@ def keep_one(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     order = Window.partitionBy("tidemark_id", "tidemark_h").orderBy(F.xxhash64(*names))
     again = left.where("tidemark_rows > 1").withColumn("tidemark_row", F.row_number().over(order)).where("tidemark_row = 1")
     return left.where("tidemark_rows is null").select(names).unionAll(again.select(names))
+
+
+def _marked(sig: DataFrame, comp: DataFrame) -> DataFrame:
+    """(doc_id, h, rows) of the texts that go (rows 0) and of those that repeat: all others pass where they are."""
+    sets = sig.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    rows = written(sets.groupBy("doc_id", "h").agg(F.max("component").alias("component"), F.count("*").alias("rows")))
+    best = rows.where("component is not null").groupBy("component").agg(F.min(rank).alias("best"))
+    gone = rows.join(best, "component").where(~F.col("best").eqNullSafe(rank)).select("doc_id", "h", F.lit(0).alias("rows"))
+    return rows.where("rows > 1").select("doc_id", "h", "rows").unionAll(gone).groupBy("doc_id", "h").agg(F.min("rows").alias("rows"))

@@ -11,6 +11,7 @@ text's and its strongest passages' log-odds.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -106,7 +107,6 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, texts: l
     # frequent n-grams weigh less, and those without a vector nothing
     weight = np.log((len(bags) + 1) / (found + 0.5)).clip(0.02).astype(np.float32)
     weight[found < LEAST_TEXTS] = 0.0
-    bags = [(b[found[b] >= LEAST_TEXTS], t[found[b] >= LEAST_TEXTS]) for b, t in bags]
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32) * 0.1
     soft = rng.standard_normal((DIM, 2)).astype(np.float32) * 0.1
@@ -118,6 +118,8 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, texts: l
         rate = 0.25 * (1 - epoch / epochs)
         for i in rng.permutation(len(bags)):
             bag, times = bags[i]
+            fine = found[bag] >= LEAST_TEXTS
+            bag, times = bag[fine], times[fine]
             if not len(bag):
                 continue
             part = weight[bag] * times
@@ -178,12 +180,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = None
     # the chosen ids are bounded by `sample`
     rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").select("toxic", "text").toArrow()
     rows = rows.sort_by([("toxic", "ascending"), ("text", "ascending")])
-    texts, toxic = rows.column("text").to_pylist(), rows.column("toxic").to_numpy()
-    bags, raws = [], []
-    for text in texts:
-        raw = np.frombuffer((text + " ").encode("utf-8", "surrogatepass"), dtype=np.uint8)
-        bags.append(_bags(raw))
+    toxic = rows.column("toxic").to_numpy()
+    # the bags lie in two flat arrays, which are given back whole
+    buckets, times, ends, raws = array("i"), array("f"), [0], []
+    for text in rows.column("text"):
+        raw = np.frombuffer((text.as_py() + " ").encode("utf-8", "surrogatepass"), dtype=np.uint8)
+        bag, number = _bags(raw)
+        buckets.frombytes(bag.astype(np.int32).tobytes())
+        times.frombytes(number.tobytes())
+        ends.append(len(buckets))
         raws.append((raw, np.array([0, len(raw)])))
+    del rows
+    buckets, times = np.frombuffer(buckets, dtype=np.int32), np.frombuffer(times, dtype=np.float32)
+    bags = [(buckets[a:z], times[a:z]) for a, z in zip(ends[:-1], ends[1:], strict=True)]
     total = sum(counts.values())
     prior = counts.get(1, 0) / total if total else 0.0
     return train(bags, toxic, raws, prior)
