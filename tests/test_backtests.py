@@ -1,6 +1,7 @@
 """Book operators against plain loops."""
 
 import datetime as dt
+import math
 import random
 
 import pytest
@@ -80,3 +81,44 @@ def test_permuted_input_gives_the_same_weights(spark, rows):
     a = B.top_k_equal_weight(df, "score", 3).orderBy("date", "symbol").collect()
     b = B.top_k_equal_weight(df.orderBy(F.rand(3)).repartition(7), "score", 3).orderBy("date", "symbol").collect()
     assert a == b
+
+
+def test_exposure_summary_and_contribution(spark):
+    """Two days by hand: S2 can't be traded on the second one."""
+    a, b = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    rows = [("r", a, "S1", 0.5, 0.1, True, True, True), ("r", a, "S2", -0.5, 0.2, True, True, True), ("r", b, "S1", 0.2, 0.1, True, True, True), ("r", b, "S2", -0.4, 0.3, False, True, True)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    one, two = B.portfolio_exposure(df).orderBy("date").collect()
+    assert (one.turnover, one.active, one.gross, one.short) == (0.0, 2, 1.0, 0.5) and one.market_return == pytest.approx(0.15)
+    assert two.turnover == pytest.approx(0.8) and two.gross == pytest.approx(0.2) and two.hhi == pytest.approx(1) and two.market_return == pytest.approx(0.1) and two.untradable_abs_weight == pytest.approx(0.4)
+    s = B.portfolio_summary(df).first()
+    assert s.mean_abs_net == pytest.approx(0.1) and s.mean_scaled_hhi == pytest.approx((0.5 * 2 + 0.2 * 1) / 2) and s.untradable_abs_weight_sum == pytest.approx(0.4) and s.mean_turnover_proxy == pytest.approx(0.4)
+    c = {r.symbol: r for r in B.symbol_contribution(df).collect()}
+    assert c["S2"].active_days == 1 and c["S2"].total_contribution == pytest.approx(-0.1) and c["S2"].mean_weight == pytest.approx(-0.45)
+
+
+def test_policy_reward(spark):
+    a, b = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    rows = [("r", a, "S1", -1.0, 0.1, True, True, True), ("r", a, "S2", 0.0, 0.2, True, True, True), ("r", a, "S3", 5.0, 0.4, False, True, True), ("r", b, "S1", 1.0, 0.1, True, True, True), ("r", b, "S2", -3.0, 0.2, True, True, True), ("r", b, "S3", 0.0, 0.4, True, True, True)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = B.policy_reward(df, 0.1).orderBy("date").collect()
+    assert [r.gross_return for r in got] == pytest.approx([0.15, 0.1]) and [r.turnover for r in got] == pytest.approx([1.0, 1.0]) and got[0].reward == pytest.approx(0.05)
+    both = B.policy_reward(df, long_only=False).orderBy("date").collect()
+    assert [r.gross_return for r in both] == pytest.approx([-0.1, 0.25 * 0.1 - 0.75 * 0.2])
+
+
+def test_stability_and_risk_of_short_series(spark):
+    """Three days in eight blocks at most, by hand."""
+    v, m = [0.01, -0.02, 0.03], [0.0, 0.01, -0.01]
+    df = spark.createDataFrame([("r", dt.date(2024, 1, 1 + i), x, y, 0.1) for i, (x, y) in enumerate(zip(v, m, strict=True))], "run_id string, date date, strategy_return double, benchmark_return double, turnover double")
+    mean = sum(v) / 3
+    std = (sum((x - mean) ** 2 for x in v) / 3 + 1e-8) ** 0.5
+    assert B.block_stability(df, "strategy_return").first().block_stability == pytest.approx(-mean + std + 0.02)
+    # two blocks of two days: the last value fills the second
+    two = [-0.005, 0.03]
+    mean = sum(two) / 2
+    assert B.block_stability(df, "strategy_return", 2).first().block_stability == pytest.approx(-mean + (sum((x - mean) ** 2 for x in two) / 2 + 1e-8) ** 0.5 + 0.005)
+    assert B.block_stability(df.limit(1), "strategy_return").first().block_stability == 0
+    risk = B.excess_risk(df).first()
+    e = [math.exp(0.01), math.exp(-0.02), math.exp(0.02)]
+    assert risk.relative_drawdown == pytest.approx(e[1] / e[0] - 1) and risk.penalty == pytest.approx(math.log1p(math.exp((1 - e[1] / e[0] - 0.2) * 20)) / 20)

@@ -33,8 +33,17 @@ def test_decimals_and_groups(spark):
 
 def test_times_and_weekdays(spark):
     got = values(spark, [("2024-01-08 10:00:00",), ("nonsense",)], "s string", X.bar_time(F.col("s")), X.previous_weekday(F.to_date(X.bar_time(F.col("s")))))
-    assert got[0] == (dt.datetime(2024, 1, 8, 10), dt.date(2024, 1, 5))
+    assert got[0] == (dt.datetime(2024, 1, 8, 10), dt.date(2024, 1, 8))
     assert got[1] == (None, None)
+    days = values(spark, [(dt.date(2024, 1, 5 + i),) for i in range(4)], "d date", X.previous_weekday(F.col("d")))
+    assert [d for d, in days] == [dt.date(2024, 1, 5)] * 3 + [dt.date(2024, 1, 8)]
+
+
+def test_feature_groups(spark):
+    names = ["close_logret_1d", "RET_5", "trading_volume_z", "signed_body_ratio", "upper_shadow", "intraday_range", "age"]
+    got = values(spark, [(n,) for n in names], "n string", X.feature_group(F.col("n")), X.feature_label(F.col("n")))
+    assert [g for g, _ in got] == ["Return", "Return", "Volume", "Candlestick", "Shadow", "Position", "Other"]
+    assert got[0][1] == "Return / close_logret_1d"
 
 
 def test_expm1_bounds(spark):

@@ -44,6 +44,34 @@ def test_roles_and_dominant_shock(spark):
     assert got == {("a", "b"): "x", ("b", "c"): "y"}
 
 
+def test_graph_rounds_raise_instead_of_ending_early(spark):
+    path = edges(spark, [(f"n{i:02d}", f"n{i + 1:02d}", 1) for i in range(19)])
+    assert G.core_number(path).count() == 20
+    with pytest.raises(RuntimeError):
+        G.core_number(path, rounds=4)
+    ring = edges(spark, [(f"r{i}", f"r{(i + 1) % 8}", 1) for i in range(8)])
+    assert {r.component for r in G.strong_components(ring).collect()} == {"r0"}
+    with pytest.raises(RuntimeError):
+        G.strong_components(ring, rounds=3)
+
+
+def test_roles(spark):
+    rows = [("a", 4.0, 0.0, 0.4, 0.0, 0.0, 0.1), ("b", 3.0, 1.0, 0.3, 0.1, 9.0, 0.1), ("c", 2.0, 3.0, 0.2, 0.3, 0.0, 0.5), ("d", 1.0, 1.0, 0.1, 0.1, 0.0, 0.1), ("e", 0.0, 5.0, 0.0, 0.5, 0.0, 0.2)]
+    df = spark.createDataFrame(rows, "node string, out_degree double, in_degree double, hub_share double, authority_share double, betweenness double, pagerank double")
+    plain = {r.node: r.role for r in G.assign_roles(df.drop("betweenness", "pagerank")).collect()}
+    assert plain == {"a": "transmitter", "b": "transmitter", "c": "receiver", "d": "balanced", "e": "receiver"}
+    full = {r.node: r.role for r in G.assign_roles(df).collect()}
+    assert full == {"a": "transmitter", "b": "bridge", "c": "systemic_receiver", "d": "balanced", "e": "systemic_receiver"}
+
+
+def test_shocked_features():
+    names = ["close_logret_1d", "overnight_gap_oc", "max_logret_1d", "signed_vol", "upper_shadow", "clv"]
+    assert A.shocked_features(names, "momentum") == ["close_logret_1d", "max_logret_1d"]
+    assert A.shocked_features(names, "gap") == ["overnight_gap_oc", "max_logret_1d"]
+    assert A.shocked_features(names, "zero") == names and A.shocked_features(names, "clv") == ["clv"]
+    assert A.shocked_features(names, "volatility") == ["max_logret_1d", "upper_shadow", "clv"] and A.shocked_features(names, "liquidity") == []
+
+
 def test_no_improve(spark):
     losses = [1.0, 1.1, None, 0.9, 0.95, 0.96]
     df = spark.createDataFrame([("r", i, x) for i, x in enumerate(losses)], "run string, epoch int, val_mean double")

@@ -23,7 +23,7 @@ def norm(v):
     return round(v, 5) + 0.0 if isinstance(v, float) else v
 
 
-FAST = ["q_bars", "q_candle_features", "q_limit_masks", "q_price_rules", "q_score_weights", "q_daily_backtest", "q_momentum_by_year", "q_daily_ic", "q_audit_bars", "q_calendar_fill", "q_canonical_bars", "q_apply_repair_rules", "q_apply_source_repair", "q_aggregate_edges", "q_interval_bars", "q_candle_payload", "q_rate_payload", "q_fold_stability"]
+FAST = sorted(ORACLES)
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")

@@ -48,7 +48,7 @@ def test_tables_out(spark, tmp_path):
 def test_candles(spark):
     payload = '[["1704067200000","1","2","0.5","1.5","10","100","1000","1"],["1704067200000","1","2","0.5","1.6","10"],["1","2"]]'
     landed = spark.createDataFrame([("S", payload, 1)], "symbol string, payload string, ingest_seq long")
-    assert files.normalize_okx_candles(landed).count() == 1
+    assert [(r.Trading_Volume, r.okx_volume_contract, r.okx_confirm, str(r.date)) for r in files.normalize_okx_candles(landed).collect()] == [(1000.0, 10.0, 1, "2024-01-01")]
     assert files.normalize_bybit_candles(landed).first().Trading_Volume == 10
 
 
@@ -63,10 +63,34 @@ def test_audit_finds_injected_faults(spark):
     d = dt.date(2024, 1, 1)
     rows = [("ok", d, 1.0, 2.0, 0.5, 1.5, 1.0), ("bad", d, 1.0, 0.5, 2.0, 1.5, 1.0), ("dup", d, 1.0, 2.0, 0.5, 1.5, 1.0), ("dup", d, 1.0, 2.0, 0.5, 1.5, 1.0), ("null", d, 1.0, 2.0, 0.5, None, 1.0), ("neg", d, 1.0, 2.0, 0.5, 1.5, -1.0)]
     got = {r.symbol: (r.issues, r.status) for r in C.audit(spark.createDataFrame(rows, "symbol string, date date, open double, max double, min double, close double, Trading_Volume double")).collect()}
-    assert got == {"ok": ("", "ok"), "bad": ("bad_ohlc", "failed"), "dup": ("duplicate_dates", "failed"), "null": ("null_ohlc", "warn"), "neg": ("negative_volume", "warn")}
+    assert got == {"ok": ("", "ok"), "bad": ("bad_ohlc", "warn"), "dup": ("duplicate_dates", "warn"), "null": ("nan_ohlc", "warn"), "neg": ("negative_volume", "warn")}
+    texts = [("a", "2024-01-01"), ("a", "nonsense"), ("b", "nonsense"), ("c", "2024-01-01"), ("c", "2024-01-02"), ("c", "2024-01-03"), ("c", "2024-02-01"), ("c", "2024-02-01")]
+    got = {r.symbol: r for r in C.audit(spark.createDataFrame([(s, d, 1.0) for s, d in texts], "symbol string, date string, close double"), F.to_date(F.lit("2024-02-01"))).collect()}
+    assert (got["a"].issues, got["a"].status, got["a"].invalid_dates) == ("invalid_dates|missing_columns|stale", "warn", 1)
+    assert (got["b"].issues, got["b"].status) == ("missing_columns|no_valid_dates", "failed")
+    assert (got["c"].issues, got["c"].duplicate_dates, got["c"].max_gap_seconds, got["c"].gap_count) == ("duplicate_dates|large_gaps|missing_columns", 2, 29 * 86400.0, 1)
+
+
+def test_intervals(spark):
+    day, minute = dt.datetime(2024, 1, 1), dt.timedelta(minutes=15)
+    rows = [("two", day), ("two", day), *(("fine", day + minute * i) for i in range(20)), *(("daily", day + dt.timedelta(days=i)) for i in range(9)), ("same", day), ("same", day), ("same", day)]
+    got = {r.symbol: r.passes for r in C.interval_check(spark.createDataFrame(rows, "symbol string, date timestamp"), 900).collect()}
+    assert got == {"two": True, "fine": True, "daily": False, "same": True}
+
+
+def test_review_queue(spark):
+    targets = spark.createDataFrame([("A", 1), ("A", 2), ("B", 3), ("C", 4)], "symbol string, k int")
+    got = {(r.symbol, r.k): (r.repair_method, r.repair_reason) for r in C.review_queue(targets, targets.where("symbol = 'B'"), spark.createDataFrame([("A", "odd")], "symbol string, reason string")).collect()}
+    assert got == {("A", 1): ("manual_review_no_change", "odd"), ("A", 2): ("manual_review_no_change", "odd"), ("C", 4): ("unclassified_no_change", C.UNCLASSIFIED)}
 
 
 def test_universe(spark):
+    x = spark.createDataFrame([("2330", "A", "listed"), ("2330a", "A", None), ("23301", "A", "listed"), ("00878", "A", "listed"), ("1101", "x權證", "listed"), ("X1", "gone", "tw_Delisted")], "code string, name string, market string")
+    assert sorted(r.code for r in U.supported_universe(x).collect()) == ["00878", "2330", "2330a", "X1"]
+    okx = spark.createDataFrame([("BTC-USDT-SWAP", "live", "USDT"), ("ETH-USD-SWAP", "live", "USD"), ("OLD", "suspend", "USD"), (None, "live", "USD")], "inst_id string, state string, quote_ccy string")
+    assert sorted(r.code for r in U.listed_instruments(okx).collect()) == ["BTCUSDTSWAP", "ETHUSDSWAP"]
+    bybit = spark.createDataFrame([("BTCUSDT", "Trading", "LinearPerpetual"), ("X", "Closed", "LinearPerpetual"), ("Y", "Trading", "LinearFutures")], "symbol string, status string, contract_type string")
+    assert [r.code for r in U.listed_instruments(bybit, "bybit").collect()] == ["BTCUSDT"]
     pairs = spark.createDataFrame([("EURUSD",), ("XXXUSD",)], "pair string")
     money = spark.createDataFrame([("EUR",), ("USD",)], "currency string")
     assert [r.pair for r in U.supported_pairs(pairs, money).collect()] == ["EURUSD"]

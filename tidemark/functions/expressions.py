@@ -107,9 +107,9 @@ def day_bounds_millis(day: Column) -> tuple[Column, Column]:
 
 
 def previous_weekday(day: Column) -> Column:
-    """The last weekday before `day`."""
+    """`day` itself, or the Friday before it if it falls on a weekend."""
     dow = F.dayofweek(day)
-    return F.date_sub(day, F.when(dow == 2, 3).when(dow == 1, 2).otherwise(1))
+    return F.date_sub(day, F.when(dow == 1, 2).when(dow == 7, 1).otherwise(0))
 
 
 def is_exchange_code(symbol: Column) -> Column:
@@ -117,23 +117,29 @@ def is_exchange_code(symbol: Column) -> Column:
 
 
 def is_usd_pair(symbol: Column) -> Column:
-    return symbol.endswith("USD")
+    return F.upper(symbol).endswith("USD")
 
 
-# What marks a feature's group, in the order of matching.
-FEATURE_GROUPS = (("volume", ("volume", "signed_vol")), ("shadow", ("shadow",)), ("body", ("body",)), ("location", ("clv",)), ("return", ("logret",)))
+# Groups of features and the marks in a feature's lower-case name, in the order of matching.
+FEATURE_GROUPS = (
+    ("Return", ("logret", "return", "ret_", "_ret")),
+    ("Volume", ("volume", "vol", "turnover", "amount")),
+    ("Candlestick", ("body", "clv", "kline", "candle")),
+    ("Shadow", ("shadow", "upper", "lower")),
+    ("Position", ("range", "rank", "zscore", "position", "price_level")),
+)
 
 
 def feature_group(feature: Column) -> Column:
-    out = None
+    out = F.when(F.lit(False), "")
     for group, marks in FEATURE_GROUPS:
-        hit = feature.rlike("|".join(marks))
-        out = F.when(hit, group) if out is None else out.when(hit, group)
-    return out.otherwise("other")
+        out = out.when(F.lower(feature).rlike("|".join(marks)), group)
+    return out.otherwise("Other")
 
 
 def feature_label(feature: Column) -> Column:
-    return F.initcap(F.replace(feature, F.lit("_"), F.lit(" ")))
+    """Group / feature."""
+    return F.concat(feature_group(feature), F.lit(" / "), feature)
 
 
 def lookback_label(lag: Column) -> Column:

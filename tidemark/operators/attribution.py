@@ -40,6 +40,12 @@ def top_groups_by_sum(table: DataFrame, by: str, value: str, n: int) -> DataFram
     return table.groupBy(by).agg(F.sum(value).alias("total")).orderBy(F.desc("total"), by).limit(n)
 
 
+def top_cells(table: DataFrame, row: str, column: str, value: str, n: int) -> DataFrame:
+    """The n cells of the largest absolute sum; ties by row and column."""
+    cells = table.groupBy(row, column).agg(F.sum(value).alias("total"))
+    return cells.orderBy(F.desc(F.abs("total")), row, column).limit(n)
+
+
 def feature_correlation(panel: DataFrame, names: list[str], targets: list[str]) -> DataFrame:
     """(feature, target, correlation), all pairs in one pass; 0 below three rows or without variance."""
     sums = []
@@ -152,20 +158,41 @@ def zero_feature_importance(model, rows: DataFrame, names: list[str]) -> DataFra
     return scored.groupBy("feature").agg(F.avg(F.abs(F.col("prediction") - F.col("base"))).alias("importance"))
 
 
-# The features that a named shock touches.
-SHOCKS = {"momentum": ("logret",), "gap": ("overnight_gap",), "volume": ("volume", "signed_vol"), "volatility": ("shadow", "range"), "liquidity": ("volume",)}
+# Marks of the features that a named shock touches; `zero` touches all.
+SHOCKS = {
+    "momentum": ("logret", "return", "ret"),
+    "gap": ("open", "gap", "max", "min"),
+    "volume": ("volume", "vol"),
+    "volatility": ("max", "min", "shadow", "range", "clv"),
+    "liquidity": ("volume", "turnover", "amount", "liquid"),
+}
+
+
+def shocked_features(names: list[str], shock: str) -> list[str]:
+    """Features whose lower-case name holds one of the shock's marks; an unknown shock is its own mark."""
+    shock = shock.strip().lower()
+    return list(names) if shock == "zero" else [n for n in names if any(m in n.lower() for m in SHOCKS.get(shock, (shock,)))]
 
 
 def shock_scores(model, rows: DataFrame, names: list[str], sources: list[str], shocks: list[str], scale: float = 1.0) -> DataFrame:
-    """Scores with the shocked features of one source symbol moved by `scale` standard deviations, for each source and shock."""
+    """Scores with the shocked features of one source symbol moved, for each source and shock.
+
+    A shock adds `scale` standard deviations, `liquidity` takes them away, and
+    `zero` sets the features to zero.
+    """
     spread = rows.agg(*(F.coalesce(F.stddev_pop(n), F.lit(0.0)).alias(f"sd_{n}") for n in names))
     x = rows.crossJoin(F.broadcast(spread))  # one row
     x = x.withColumn("source", F.explode(F.array(*map(F.lit, sources)))).withColumn("shock", F.explode(F.array(*map(F.lit, shocks))))
 
     def moved(n: str) -> Column:
-        touched = [s for s in shocks if any(m in n for m in SHOCKS[s])]
-        hit = F.col("shock").isin(touched) & (F.col("symbol") == F.col("source")) if touched else F.lit(False)
-        return F.when(hit, F.col(n) + scale * F.col(f"sd_{n}")).otherwise(F.col(n))
+        own = F.col("symbol") == F.col("source")
+        out = F.when(F.lit(False), F.lit(0.0))
+        for s in shocks:
+            if n in shocked_features(names, s):
+                kind = s.strip().lower()
+                value = F.lit(0.0) if kind == "zero" else F.col(n) + (-scale if kind == "liquidity" else scale) * F.col(f"sd_{n}")
+                out = out.when(own & (F.col("shock") == s), value)
+        return out.otherwise(F.col(n))
 
     x = x.withColumns({n: moved(n) for n in names})
     return model.transform(VectorAssembler(inputCols=names, outputCol="features").transform(x)).withColumnRenamed("prediction", "score")

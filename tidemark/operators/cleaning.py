@@ -74,35 +74,61 @@ def canonical_strict(bars: DataFrame) -> DataFrame:
     return keep_last(out.dropna(subset=["date", "open", "max", "min", "close"]), ["symbol", "date"])
 
 
-def audit(bars: DataFrame, as_of: Column | None = None, stale_days: int = 5, keys: list[str] | None = None) -> DataFrame:
-    """Facts, issues and status of each symbol; `bars` has raw dates as they landed."""
+def audit(bars: DataFrame, as_of: Column | None = None, stale_days: int = 5, keys: list[str] | None = None, intraday: bool = False, daily_gap_days: int = 10, gap_multiple: float = 4.0) -> DataFrame:
+    """Facts, issues (sorted) and status of each symbol; `bars` has raw dates as they landed.
+
+    A symbol without a date that can be read fails; any issue is a warning.
+    Duplicates are all rows of a day (a second, if intraday) with several.
+    """
     keys = keys or ["symbol"]
-    when = bar_time(F.col("date"))
-    null = F.col("open").isNull() | F.col("max").isNull() | F.col("min").isNull() | F.col("close").isNull()
-    bad = (F.col("max") < F.col("min")) | (F.col("max") < F.col("open")) | (F.col("max") < F.col("close")) | (F.col("min") > F.col("open")) | (F.col("min") > F.col("close"))
-    negative = F.least("open", "max", "min", "close") <= 0
-    volume = F.col("Trading_Volume") < 0 if "Trading_Volume" in bars.columns else F.lit(False)
-    out = bars.withColumn("_t", when).groupBy(*keys).agg(
-        F.count("*").alias("rows"),
-        F.to_date(F.min("_t")).alias("first_date"),
-        F.to_date(F.max("_t")).alias("last_date"),
-        F.count_if(F.col("_t").isNull()).alias("invalid_dates"),
-        F.count_if(null).alias("null_ohlc_rows"),
-        F.count_if(bad).alias("bad_ohlc_rows"),
-        F.count_if(negative).alias("nonpositive_price_rows"),
-        F.count_if(volume).alias("negative_volume_rows"),
-        (F.count("_t") - F.count_distinct("_t")).alias("repeated_dates"),
-    )
+    missing = [c for c in ("date", "open", "max", "min", "close") if c not in bars.columns]
+    when = bar_time(F.col("date")) if "date" in bars.columns else F.lit(None).cast("timestamp_ntz")
+    number = lambda c: F.nanvl(F.col(c).try_cast("double"), F.lit(None).cast("double"))
+    four = [number(c) for c in ("open", "max", "min", "close") if c in bars.columns]
+    never = F.lit(False)
+    null, low = never, never
+    for x in four:
+        null, low = null | x.isNull(), low | F.coalesce(x <= 0, never)
+    bad = never
+    if len(four) == 4:
+        o, h, l, c = four
+        bad = (h < l) | (h < o) | (h < c) | (l > o) | (l > c)
+    negative = number("Trading_Volume") < 0 if "Trading_Volume" in bars.columns else never
+    x = bars.withColumn("_t", when)
+    day = F.date_trunc("second", "_t") if intraday else F.to_date("_t")
+    days = x.groupBy(*keys, day.alias("_day")).agg(
+        F.count("*").alias("n"), F.min("_t").alias("lo"), F.max("_t").alias("hi"), F.count_if(null).alias("a"), F.count_if(bad).alias("b"), F.count_if(low).alias("c"), F.count_if(negative).alias("d"),
+    )
+    total = lambda c, test: F.coalesce(F.sum(F.when(test, F.col(c))), F.lit(0))
+    dated, every = F.col("_day").isNotNull(), F.lit(True)
+    out = days.groupBy(*keys).agg(
+        F.sum("n").alias("rows"), F.to_date(F.min("lo")).alias("first_date"), F.to_date(F.max("hi")).alias("last_date"), total("n", ~dated).alias("invalid_dates"), total("n", dated & (F.col("n") > 1)).alias("duplicate_dates"),
+        total("a", every).alias("nan_ohlc_rows"), total("b", every).alias("bad_ohlc_rows"), total("c", every).alias("nonpositive_price_rows"), total("d", every).alias("negative_volume_rows"),
+    )
+    out = out.join(_gaps(x.where("_t is not null"), keys, "_t", intraday, daily_gap_days, gap_multiple), keys, "left").withColumn("gap_count", F.coalesce("gap_count", F.lit(0)))
     lag = F.datediff(as_of, F.col("last_date")) if as_of is not None else F.datediff(F.max("last_date").over(Window.partitionBy()), F.col("last_date"))
-    out = out.withColumn("stale_days", lag)
+    out = out.withColumn("stale_days", lag).withColumn("missing_columns", F.lit(",".join(missing) or None).cast("string"))
+    known = F.col("last_date").isNotNull()
     issue = lambda c, name: F.when(c, F.lit(name))
-    issues = F.array_compact(F.array(
-        issue(F.col("rows") == 0, "empty"), issue(F.col("invalid_dates") > 0, "invalid_dates"), issue(F.col("repeated_dates") > 0, "duplicate_dates"), issue(F.col("null_ohlc_rows") > 0, "null_ohlc"),
-        issue(F.col("bad_ohlc_rows") > 0, "bad_ohlc"), issue(F.col("nonpositive_price_rows") > 0, "nonpositive_price"), issue(F.col("negative_volume_rows") > 0, "negative_volume"), issue(F.col("stale_days") > stale_days, "stale"),
-    ))
-    out = out.withColumn("_issues", issues)
-    failed = F.arrays_overlap("_issues", F.array(*map(F.lit, ("empty", "bad_ohlc", "nonpositive_price", "duplicate_dates"))))
-    return out.withColumn("issues", F.array_join("_issues", "|")).withColumn("status", F.when(failed, "failed").when(F.size("_issues") > 0, "warn").otherwise("ok")).drop("_issues")
+    found = [issue(F.lit(bool(missing)), "missing_columns"), issue(~known, "no_valid_dates" if "date" in bars.columns else "empty_or_missing_date")]
+    found += [issue(known & (F.col(c) > least), name) for c, least, name in (
+        ("stale_days", stale_days, "stale"), ("duplicate_dates", 0, "duplicate_dates"), ("gap_count", 0, "large_gaps"), ("nan_ohlc_rows", 0, "nan_ohlc"), ("bad_ohlc_rows", 0, "bad_ohlc"),
+        ("nonpositive_price_rows", 0, "nonpositive_price"), ("negative_volume_rows", 0, "negative_volume"), ("invalid_dates", 0, "invalid_dates"),
+    )]
+    out = out.withColumn("issues", F.array_join(F.array_sort(F.array_compact(F.array(*found))), "|"))
+    return out.withColumn("status", F.when(~known, "failed").when(F.col("issues") != "", "warn").otherwise("ok"))
+
+
+def _gaps(rows: DataFrame, keys: list[str], time: str, intraday: bool, daily_gap_days: int, multiple: float) -> DataFrame:
+    """(keys, max_gap_seconds, gap_count) of series of three rows or more."""
+    seconds = F.unix_timestamp(F.col(time).cast("timestamp"))
+    series = Window.partitionBy(*keys)
+    x = rows.withColumn("_d", (seconds - F.lag(seconds).over(series.orderBy(time))).cast("double")).withColumn("_n", F.count("*").over(series)).where((F.col("_d") > 0) & (F.col("_n") >= 3)).select(*keys, "_d")
+    facts = x.groupBy(*keys).agg(F.median("_d").alias("_m"), F.max("_d").alias("max_gap_seconds"))
+    short = (F.col("_m") < 12 * 3600) | F.lit(intraday)
+    facts = facts.withColumn("_limit", F.when(short, F.greatest(F.col("_m"), F.lit(1.0)) * max(1.0, multiple)).otherwise(F.lit(max(1, daily_gap_days) * 86400.0)))
+    wide = x.join(facts.select(*keys, "_limit"), keys).groupBy(*keys).agg(F.count_if(F.col("_d") > F.col("_limit")).alias("gap_count"))
+    return facts.join(wide, keys).select(*keys, "max_gap_seconds", "gap_count")
 
 
 def duplicate_dates(bars: DataFrame, intraday: bool = False) -> DataFrame:
@@ -129,12 +155,15 @@ def gap_summary(bars: DataFrame, intraday: bool = False) -> DataFrame:
 
 
 def interval_check(bars: DataFrame, expected_seconds: float) -> DataFrame:
-    """Whether each symbol's bars look like the expected interval."""
+    """Whether each symbol's bars look like the expected interval; series without two different times pass."""
     t = F.col("date").cast("timestamp")
     midnight = (F.hour(t) == 0) & (F.minute(t) == 0) & (F.second(t) == 0)
-    out = date_deltas(bars).groupBy("symbol").agg(F.median("delta").alias("median_delta"), F.avg((F.col("delta") >= 12 * 3600).cast("double")).alias("long_share"), F.avg(midnight.cast("double")).alias("midnight_share"))
+    delta = F.when(F.col("delta") > 0, F.col("delta"))
+    x = date_deltas(bars.where("date is not null"))
+    out = x.groupBy("symbol").agg(F.count("*").alias("bars"), F.median(delta).alias("median_delta"), F.avg((delta >= 12 * 3600).cast("double")).alias("long_share"), F.avg(midnight.cast("double")).alias("midnight_share"))
     daily = (F.col("midnight_share") > 0.95) & (F.col("median_delta") >= 12 * 3600)
-    return out.withColumn("passes", F.coalesce((F.col("long_share") <= 0.05) & ~daily & (F.col("median_delta") <= 4 * expected_seconds), F.lit(False)))
+    fits = (F.col("long_share") <= 0.05) & ~daily & (F.col("median_delta") <= 4 * expected_seconds)
+    return out.withColumn("passes", (F.col("bars") < 3) | F.coalesce(fits, F.lit(True)))
 
 
 def status_counts(audited: DataFrame) -> DataFrame:
@@ -145,6 +174,11 @@ def issue_counts(audited: DataFrame) -> DataFrame:
     return audited.where("issues != ''").select(F.explode(F.split("issues", r"\|")).alias("issue")).groupBy("issue").count()
 
 
+def method_counts(repaired: DataFrame, method: str = "repair") -> DataFrame:
+    """Rows by the method that repaired them."""
+    return repaired.where(F.col(method).isNotNull()).groupBy(F.col(method).alias("method")).count()
+
+
 def frame_checksum(panel: DataFrame, names: list[str]) -> DataFrame:
     return panel.agg(F.count("*").alias("rows"), F.sum(sum((F.coalesce(F.col(n), F.lit(0.0)) for n in names), F.lit(0.0))).alias("feature_sum"), F.sum("return_1d").alias("label_sum"), F.count_if("tradable").alias("tradable"))
 
@@ -197,10 +231,21 @@ def event_targets(moves: DataFrame) -> DataFrame:
     return moves.select("symbol", F.explode(F.array("raw_date", "raw_next_date")).alias("date")).where("date is not null").distinct()
 
 
+UNCLASSIFIED = "No curated repair rule yet; inspect before mutating source data."
+
+
 def review_queue(targets: DataFrame, curated: DataFrame, manual: DataFrame) -> DataFrame:
-    """Targets of the manual symbols that no curated rule covers."""
-    open_ = targets.join(curated.select("symbol", "date").distinct(), ["symbol", "date"], "left_anti")
-    return open_.join(manual.select("symbol").distinct(), "symbol").withColumn("reason", F.lit("manual_review"))
+    """Targets that nothing repairs by itself, with repair_method and repair_reason.
+
+    Those of manual symbols (symbol, reason) are for manual review, and those
+    of symbols that neither the curated nor the manual list knows are
+    unclassified.
+    """
+    m = manual.select("symbol", F.col("reason").alias("repair_reason")).dropDuplicates(["symbol"])
+    reviewed = targets.join(m, "symbol").withColumn("repair_method", F.lit("manual_review_no_change"))
+    known = curated.select("symbol").union(m.select("symbol")).distinct()
+    rest = targets.join(known, "symbol", "left_anti").withColumns({"repair_method": F.lit("unclassified_no_change"), "repair_reason": F.lit(UNCLASSIFIED)})
+    return reviewed.unionByName(rest)
 
 
 def neighbour_mean(value: str) -> Column:

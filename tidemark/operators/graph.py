@@ -2,24 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import functools
+import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.functions.scratch import cut
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Write an iteration to the shared checkpoint folder and read it back."""
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/graph-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+_cut = functools.partial(cut, name="graph")
 
 
 def edge_metrics(base: DataFrame, shocked: DataFrame) -> DataFrame:
@@ -100,16 +93,23 @@ def node_metrics(edges: DataFrame) -> DataFrame:
 
 
 def assign_roles(nodes: DataFrame) -> DataFrame:
-    """The first role that fits, by the upper quartiles of hub and authority shares."""
-    q = nodes.agg(F.percentile("hub_share", F.lit(0.75)).alias("h"), F.percentile("authority_share", F.lit(0.75)).alias("a"), F.percentile(F.abs("net_score"), F.lit(0.75)).alias("n"))
+    """The first role that fits, by upper quartiles of the nodes' figures.
+
+    nodes: (node, out_degree, in_degree, hub_share, authority_share); with
+    `betweenness` and `pagerank` there may also be bridges and systemic
+    receivers.  Missing figures are zero.
+    """
+    have = [c for c in ("out_degree", "in_degree", "pagerank", "hub_share", "authority_share", "betweenness") if c in nodes.columns]
+    value = lambda c: F.coalesce(F.col(c), F.lit(0.0)) if c in have else F.lit(0.0)
+    q = nodes.agg(*(F.percentile(value(c), F.lit(0.75)).alias(f"_q_{c}") for c in have))
     x = nodes.crossJoin(F.broadcast(q))  # one row
-    hub, authority = F.col("hub_share") >= F.col("h"), F.col("authority_share") >= F.col("a")
-    strong = F.abs("net_score") >= F.col("n")
+    high = lambda c: value(c) >= F.col(f"_q_{c}") if c in have else F.lit(False)
+    out, into = value("out_degree"), value("in_degree")
     role = (
-        F.when(hub & authority, "bridge").when(authority & strong & (F.col("net_score") < 0), "systemic_receiver").when(hub, "transmitter").when(authority, "receiver")
-        .when(F.col("net_score") > 0, "net_source").when(F.col("net_score") < 0, "net_sink").otherwise("balanced")
+        F.when(high("betweenness") & (value("betweenness") > 0), "bridge").when(high("pagerank") & (value("pagerank") > 0), "systemic_receiver").when(high("out_degree") & high("hub_share"), "transmitter").when(high("in_degree") & high("authority_share"), "receiver")
+        .when(out > into, "net_source").when(into > out, "net_sink").otherwise("balanced")
     )
-    return x.withColumn("role", role).drop("h", "a", "n")
+    return x.withColumn("role", role).drop(*(f"_q_{c}" for c in have))
 
 
 def community_flow(edges: DataFrame, communities: DataFrame) -> DataFrame:
@@ -139,11 +139,12 @@ def _iterate(state: DataFrame, step, delta: Column, tolerance: float, rounds: in
         moved = new.alias("n").join(state.alias("o"), "node").agg(F.max(delta)).first()[0]
         state = new
         if moved is None or moved <= tolerance:
-            break
+            return state
+    warnings.warn(f"not converged after {rounds} rounds: the last change was {moved}", stacklevel=3)
     return state
 
 
-def pagerank(edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-9, rounds: int = 100) -> DataFrame:
+def pagerank(edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-9, rounds: int = 200) -> DataFrame:
     """(node, rank) by weighted power iteration; a node without out-edges spreads its rank evenly."""
     nodes = _cut(edges.select(F.col("source").alias("node")).union(edges.select("target")).distinct())
     n = nodes.count()
@@ -209,11 +210,12 @@ def weak_components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     raise RuntimeError("weak_components: no fixed point")
 
 
-def strong_components(edges: DataFrame, rounds: int = 100) -> DataFrame:
+def strong_components(edges: DataFrame, rounds: int = 10_000) -> DataFrame:
     """(node, component): the least node of each strongly connected component.
 
     The least label spreads forward; the nodes that reach its owner backward
     within the same label form the owner's component and leave the graph.
+    Raises if a label is still on its way after `rounds` rounds.
     """
     left = _cut(edges.select("source", "target").where("source != target").distinct())
     nodes = _cut(edges.select(F.col("source").alias("node")).union(edges.select("target")).distinct())
@@ -230,6 +232,8 @@ def strong_components(edges: DataFrame, rounds: int = 100) -> DataFrame:
             back = new
             if not grown:
                 break
+        else:
+            raise RuntimeError(f"strong_components: no fixed point after {rounds} rounds")
         found = back.where("seen = 1").select("node", F.col("label").alias("component"))
         done = found if done is None else done.unionAll(found)
         nodes = _cut(nodes.join(found, "node", "left_anti"))
@@ -245,8 +249,8 @@ def _spread(state: DataFrame, links: DataFrame, source: str, target: str, rounds
         changed = new.alias("n").join(state.alias("o"), "node").where("n.label != o.label").count()
         state = new
         if not changed:
-            break
-    return state
+            return state
+    raise RuntimeError(f"labels are not spread after {rounds} rounds")
 
 
 def triangle_count(edges: DataFrame) -> DataFrame:
@@ -263,8 +267,8 @@ def triangle_count(edges: DataFrame) -> DataFrame:
     return nodes.join(each, "node", "left").select("node", F.coalesce("triangles", F.lit(0)).alias("triangles"))
 
 
-def core_number(edges: DataFrame, rounds: int = 1000) -> DataFrame:
-    """(node, core): peel nodes of degree up to k, for k from 0 on."""
+def core_number(edges: DataFrame, rounds: int = 100_000) -> DataFrame:
+    """(node, core): peel nodes of degree up to k, for k from 0 on; raises if nodes are left after `rounds` rounds."""
     both = edges.where("source != target").select("source", "target").union(edges.where("source != target").select("target", "source")).distinct()
     left, k, done = _cut(both), 0, None
     nodes = _cut(edges.select(F.col("source").alias("node")).union(edges.select("target")).distinct())
@@ -280,4 +284,7 @@ def core_number(edges: DataFrame, rounds: int = 1000) -> DataFrame:
         done = part if done is None else done.unionAll(part)
         nodes = _cut(nodes.join(low, "node", "left_anti"))
         left = _cut(left.join(low.withColumnRenamed("node", "source"), "source", "left_anti").join(low.withColumnRenamed("node", "target"), "target", "left_anti"))
+    else:
+        if not nodes.isEmpty():
+            raise RuntimeError(f"core_number: nodes are left after {rounds} rounds")
     return done if done is not None else nodes.withColumn("core", F.lit(0))

@@ -40,6 +40,12 @@ def cross_section_rank(panel: DataFrame, value: str, name: str, valid: Column |
     return panel.withColumn(name, F.when(ok, F.row_number().over(Window.partitionBy("date", ok).orderBy(F.col(value), F.col("symbol")))))
 
 
+def rank_position(panel: DataFrame, score: str, name: str, valid: Column) -> DataFrame:
+    """Place of each symbol in the day's descending order of scores, from 0; symbols that are not valid get the number of symbols."""
+    order = Window.partitionBy("date", valid).orderBy(F.desc_nulls_last(score), "symbol")
+    return panel.withColumn(name, F.when(valid, F.row_number().over(order) - 1).otherwise(F.count("*").over(day_window())))
+
+
 def universe_average(panel: DataFrame) -> DataFrame:
     return panel.groupBy("date").agg(F.coalesce(F.avg("return_1d"), F.lit(0.0)).alias("benchmark_return"))
 
@@ -115,12 +121,20 @@ def lagged_daily(weights: DataFrame, fee: float = 0.0) -> DataFrame:
     return day.withColumn("strategy_return", F.col("gross_return") - fee * F.col("turnover"))
 
 
-def policy_reward(weights: DataFrame, fee: float = 0.0) -> DataFrame:
-    """Reward of a long-only policy: normalised weights (equal ones on an empty day), return less fee times turnover."""
+def policy_reward(weights: DataFrame, fee: float = 0.0, long_only: bool = True) -> DataFrame:
+    """Reward of a policy over tradable symbols: return of normalised weights less fee times turnover.
+
+    Long only: shorts are cut, and a day without weight is spread evenly over
+    its tradable symbols.  Else weights are divided by their gross, and a day
+    without weight stays empty.
+    """
     day = Window.partitionBy("run_id", "date")
-    x = F.greatest(F.coalesce(F.col("weight"), F.lit(0.0)), F.lit(0.0))
-    out = weights.withColumn("_x", x).withColumn("_g", F.sum("_x").over(day)).withColumn("_n", F.count("*").over(day))
-    out = out.withColumn("_w", F.when(F.col("_g") > 0, F.col("_x") / F.nullif("_g", F.lit(0.0))).otherwise(1.0 / F.col("_n")))
+    ok = F.coalesce("tradable", F.lit(False))
+    x = F.when(ok, F.coalesce(finite(F.col("weight")), F.lit(0.0))).otherwise(0.0)
+    x = F.greatest(x, F.lit(0.0)) if long_only else x
+    out = weights.withColumn("_x", x).withColumn("_g", F.sum(F.abs("_x")).over(day)).withColumn("_n", F.count_if(ok).over(day))
+    empty = F.when(ok, 1.0 / F.nullif("_n", F.lit(0))).otherwise(0.0) if long_only else F.lit(0.0)
+    out = out.withColumn("_w", F.when(F.col("_g") > 1e-8, F.col("_x") / F.col("_g")).otherwise(empty))
     out = out.withColumn("_d", F.abs(F.col("_w") - F.lag("_w", 1, 0.0).over(book_window())))
     agg = out.groupBy("run_id", "date").agg(F.sum(F.col("_w") * F.coalesce("return_1d", F.lit(0.0))).alias("gross_return"), F.sum("_d").alias("turnover"))
     return agg.withColumn("reward", F.col("gross_return") - fee * F.col("turnover"))
@@ -299,34 +313,42 @@ def series_tstat(series: DataFrame, value: str) -> DataFrame:
     return series.agg((F.avg(x) / F.sqrt(F.var_pop(x) + 1e-8) * F.sqrt(F.count(x).cast("double"))).alias("tstat"))
 
 
-def block_stability(daily: DataFrame, value: str, blocks: int = 8) -> DataFrame:
-    """-mean + std - mean of the worst quarter of equal blocks' means, per run; the last value pads the last block."""
-    rows = daily.withColumn("_i", F.row_number().over(run_window()) - 1)
-    run = Window.partitionBy("run_id")
-    rows = rows.withColumn("_n", F.count("*").over(run)).withColumn("_size", F.ceil(F.col("_n") / blocks)).withColumn("_last", F.max_by(value, "_i").over(run))
-    block = rows.groupBy("run_id", F.floor(F.col("_i") / F.col("_size")).alias("block")).agg(F.sum(value).alias("s"), F.count("*").alias("c"), F.first("_size").alias("size"), F.first("_last").alias("last"))
-    means = block.withColumn("m", (F.col("s") + (F.col("size") - F.col("c")) * F.col("last")) / F.col("size"))
-    means = means.withColumn("r", F.row_number().over(Window.partitionBy("run_id").orderBy("m", "block"))).withColumn("k", F.count("*").over(run))
-    worst = F.avg(F.when(F.col("r") <= F.greatest(F.floor(F.col("k") / 4), F.lit(1)), F.col("m")))
-    return means.groupBy("run_id").agg((-F.avg("m") + F.stddev_pop("m") - worst).alias("block_stability"))
+def block_stability(daily: DataFrame, value: str, blocks: int = 8, worst: float = 0.25) -> DataFrame:
+    """-mean + std - mean of the worst blocks, over equal blocks' means, per run; 0 below two days.
+
+    The last value pads the series to full blocks, also to blocks of padding alone.
+    """
+    run = daily.groupBy("run_id").agg(F.count("*").alias("n"), F.max_by(value, "date").alias("last"))
+    run = run.withColumn("b", F.greatest(F.least(F.lit(max(1, blocks)), "n"), F.lit(2))).withColumn("size", F.ceil(F.col("n") / F.col("b")))
+    rows = daily.select("run_id", F.col(value).alias("v"), (F.row_number().over(run_window()) - 1).alias("i")).join(run, "run_id")
+    sums = rows.groupBy("run_id", F.floor(F.col("i") / F.col("size")).alias("block")).agg(F.sum("v").alias("s"), F.count("*").alias("c"))
+    grid = run.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("b").cast("long") - 1)).alias("block"))
+    m = (F.coalesce("s", F.lit(0.0)) + (F.col("size") - F.coalesce("c", F.lit(0))) * F.col("last")) / F.col("size")
+    means = grid.join(sums, ["run_id", "block"], "left").withColumn("m", m)
+    means = means.withColumn("r", F.row_number().over(Window.partitionBy("run_id").orderBy("m", "block")))
+    low = F.avg(F.when(F.col("r") <= F.greatest(F.bround(F.col("b") * min(max(worst, 0.0), 1.0), 0), F.lit(1)), F.col("m")))
+    loss = -F.avg("m") + F.sqrt(F.var_pop("m") + 1e-8) - low
+    return means.groupBy("run_id").agg(F.when(F.first("n") >= 2, loss).otherwise(0.0).alias("block_stability"))
 
 
 def regime_stability(daily: DataFrame, threshold: float = 0.002) -> DataFrame:
     """-mean + std + softplus(-worst) over the mean returns in falling, flat and rising markets; 0 below two regimes."""
     regime = F.when(F.col("benchmark_return") <= -threshold, "down").when(F.col("benchmark_return") >= threshold, "up").otherwise("flat")
     means = daily.groupBy("run_id", regime.alias("regime")).agg(F.avg("strategy_return").alias("m"))
-    value = -F.avg("m") + F.stddev_pop("m") + softplus(-F.min("m"))
+    value = -F.avg("m") + F.sqrt(F.var_pop("m") + 1e-8) + softplus(-F.min("m"))
     return means.groupBy("run_id").agg(F.when(F.count("*") >= 2, value).otherwise(0.0).alias("regime_stability"))
 
 
-def excess_risk(daily: DataFrame, alpha: float = 0.95) -> DataFrame:
-    """Mean excess, value at risk, expected shortfall and drawdown of relative equity, per run."""
+def excess_risk(daily: DataFrame, alpha: float = 0.95, drawdown_target: float = 0.2) -> DataFrame:
+    """Mean excess, value at risk, expected shortfall, drawdown of relative equity from its own peak, and its penalty, per run."""
     x = daily.withColumn("excess", F.col("strategy_return") - F.col("benchmark_return"))
     var = x.groupBy("run_id").agg(F.percentile(-F.col("excess"), F.lit(alpha)).alias("var"))
-    x = with_drawdown(x, "excess", "dd", capital_is_peak=True).join(var, "run_id")
+    so_far = run_window().rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumn("_e", F.exp(F.greatest(F.least(F.sum("excess").over(so_far), F.lit(60.0)), F.lit(-60.0))))
+    x = x.withColumn("dd", F.col("_e") / F.greatest(F.max("_e").over(so_far), F.lit(1e-12)) - 1).join(var, "run_id")
     out = x.groupBy("run_id").agg(F.avg("excess").alias("mean_excess"), F.first("var").alias("value_at_risk"), F.avg(F.greatest(-F.col("excess") - F.col("var"), F.lit(0.0))).alias("tail"), F.min("dd").alias("relative_drawdown"))
     out = out.withColumn("cvar", F.col("value_at_risk") + F.col("tail") / (1 - alpha)).drop("tail")
-    return out.withColumn("penalty", softplus(F.col("cvar")) + softplus(-F.col("relative_drawdown")))
+    return out.withColumn("penalty", softplus((-F.col("relative_drawdown") - drawdown_target) * 20) / 20)
 
 
 def risk_ratio(daily: DataFrame) -> DataFrame:
@@ -342,66 +364,104 @@ def masked_mse(panel: DataFrame, prediction: str, mask: Column) -> DataFrame:
     return panel.agg((F.coalesce(F.sum(F.when(mask, e)), F.lit(0.0)) / F.greatest(F.count(F.when(mask, e)), F.lit(1))).alias("mse"))
 
 
-def objective_scorecard(daily: DataFrame, cost_weight: float = 0.1, cvar_budget: float = 0.02, drawdown_budget: float = 0.2, turnover_budget: float = 0.5) -> DataFrame:
+def objective_scorecard(
+    daily: DataFrame, cost_weight: float = 0.1, excess_target: float = 0.0, cvar_budget: float = 0.03, drawdown_budget: float = 0.2, turnover_budget: float = 0.3, turnover_weight: float = 0.0, drawdown_weight: float = 0.0
+) -> DataFrame:
     """Composite objectives of finished runs, lower is better."""
-    turnover = daily.groupBy("run_id").agg(F.avg("turnover").alias("mean_turnover"))
-    x = risk_ratio(daily).join(excess_risk(daily), "run_id").join(turnover, "run_id").join(regime_stability(daily), "run_id").join(block_stability(daily, "strategy_return"), "run_id")
+    short = F.greatest(excess_target - (F.col("strategy_return") - F.col("benchmark_return")), F.lit(0.0))
+    means = daily.groupBy("run_id").agg(F.avg("turnover").alias("mean_turnover"), F.avg(short).alias("underperformance"))
+    x = risk_ratio(daily).join(excess_risk(daily), "run_id").join(means, "run_id").join(regime_stability(daily), "run_id").join(block_stability(daily, "strategy_return"), "run_id")
     over = lambda v, budget: F.greatest(v - budget, F.lit(0.0))
+    risk = -F.col("mean_excess") + F.col("cvar") + drawdown_weight * F.col("penalty")
+    budgets = over(F.col("cvar"), cvar_budget) + over(-F.col("relative_drawdown"), drawdown_budget) + turnover_weight * over(F.col("mean_turnover"), turnover_budget)
     return x.select(
         "run_id",
         (-F.col("sharpe_ratio") + cost_weight * F.col("mean_turnover")).alias("sharpe_turnover"),
-        (-F.col("mean_excess") * YEAR_DAYS + F.col("cvar") - F.col("relative_drawdown")).alias("excess_cvar_drawdown"),
-        (-F.col("mean_excess") * YEAR_DAYS + over(F.col("cvar"), cvar_budget) + over(-F.col("relative_drawdown"), drawdown_budget) + over(F.col("mean_turnover"), turnover_budget)).alias("outperformance"),
+        risk.alias("excess_cvar_drawdown"),
+        (risk + F.col("underperformance") + budgets).alias("outperformance"),
         (F.col("regime_stability") + F.col("block_stability")).alias("generalization"),
     )
 
 
+def portfolio_autoencoder_objective(weights: DataFrame, cost: float = 0.001425, turnover_weight: float = 0.1, concentration_weight: float = 0.01) -> DataFrame:
+    """(run_id, objective): minus the yearly Sharpe ratio after costs, plus turnover and concentration; weights are dense."""
+    w = F.when(F.coalesce("tradable", F.lit(False)), F.coalesce(finite(F.col("weight")), F.lit(0.0))).otherwise(0.0)
+    x = weights.withColumn("_w", w).withColumn("_p", F.lag("_w", 1, 0.0).over(book_window()))
+    # yesterday's weight of a symbol that can't be traded today counts as none
+    x = x.withColumn("_p", F.when(F.coalesce("tradable", F.lit(False)), F.col("_p")).otherwise(0.0))
+    day = x.groupBy("run_id", "date").agg(F.sum(F.col("_w") * F.coalesce(finite(F.col("return_1d")), F.lit(0.0))).alias("r"), F.sum(F.abs(F.col("_w") - F.col("_p"))).alias("t"), F.sum(F.col("_w") * F.col("_w")).alias("c"))
+    net = F.col("r") - cost * F.col("t")
+    sharpe = F.avg(net) / F.sqrt(F.var_pop(net) + 1e-8) * math.sqrt(YEAR_DAYS)
+    return day.groupBy("run_id").agg((-sharpe + turnover_weight * F.avg("t") + concentration_weight * F.avg("c")).alias("objective"))
+
+
 def portfolio_exposure(weights: DataFrame) -> DataFrame:
-    """Per run and day: gross, net, long, short, largest weight, concentration and turnover."""
-    w = F.coalesce(F.col("weight"), F.lit(0.0))
-    out = weights.withColumn("_w", w).withColumn("_d", F.abs(w - F.lag(w, 1, 0.0).over(book_window())))
+    """Per run and day, over tradable symbols: gross, net, long, short, largest weight, concentration, turnover and returns.
+
+    The first day has no turnover.  `active` counts tradable symbols, and
+    `untradable_abs_weight` is what lies on the others.
+    """
+    ok = F.coalesce("tradable", F.lit(False))
+    raw = F.coalesce(F.col("weight"), F.lit(0.0))
+    out = weights.withColumns({"_o": raw, "_w": F.when(ok, raw).otherwise(0.0), "_r": F.when(ok, F.coalesce("return_1d", F.lit(0.0))).otherwise(0.0)})
+    out = out.withColumn("_d", F.abs(F.col("_w") - F.lag("_w").over(book_window())))
+    gross = F.sum(F.abs("_w"))
     return out.groupBy("run_id", "date").agg(
-        F.sum(F.abs("_w")).alias("gross"),
+        gross.alias("gross"),
         F.sum("_w").alias("net"),
         F.sum(F.greatest("_w", F.lit(0.0))).alias("long"),
-        F.sum(F.least("_w", F.lit(0.0))).alias("short"),
+        F.sum(F.greatest(-F.col("_w"), F.lit(0.0))).alias("short"),
         F.max(F.abs("_w")).alias("max_abs_weight"),
-        F.coalesce(F.sum(F.col("_w") * F.col("_w")) / F.nullif(F.pow(F.sum(F.abs("_w")), 2), F.lit(0.0)), F.lit(0.0)).alias("hhi"),
-        F.sum("_d").alias("turnover"),
-        F.sum(F.col("_w") * F.coalesce("return_1d", F.lit(0.0))).alias("strategy_return"),
-        F.coalesce(F.avg("return_1d"), F.lit(0.0)).alias("market_return"),
-        F.count_if(F.col("_w") != 0).alias("active"),
-        F.coalesce(F.sum(F.when(~F.col("tradable"), F.abs("_w"))), F.lit(0.0)).alias("untradable_abs_weight"),
+        (F.sum(F.col("_w") * F.col("_w")) / F.pow(F.greatest(gross, F.lit(1e-12)), 2)).alias("hhi"),
+        F.coalesce(F.sum("_d"), F.lit(0.0)).alias("turnover"),
+        F.sum(F.col("_w") * F.col("_r")).alias("strategy_return"),
+        (F.sum("_r") / F.greatest(F.count_if(ok), F.lit(1))).alias("market_return"),
+        F.count_if(ok).alias("active"),
+        F.coalesce(F.sum(F.when(~ok, F.abs("_o"))), F.lit(0.0)).alias("untradable_abs_weight"),
     )
 
 
-def portfolio_summary(exposure: DataFrame) -> DataFrame:
-    names = ["gross", "net", "long", "short", "max_abs_weight", "hhi", "turnover", "untradable_abs_weight"]
-    return exposure.groupBy("run_id").agg(*(F.avg(n).alias(f"mean_{n}") for n in names), F.avg(F.col("hhi") * F.col("active")).alias("mean_scaled_hhi"))
+def portfolio_summary(weights: DataFrame) -> DataFrame:
+    """One row per run of a dense book; weights count whether they can be traded or not."""
+    ok = F.coalesce("tradable", F.lit(False))
+    w = F.coalesce(F.col("weight"), F.lit(0.0))
+    x = weights.withColumn("_w", w).withColumn("_d", F.abs(w - F.lag(w).over(book_window())))
+    day = x.groupBy("run_id", "date").agg(
+        F.sum(F.abs("_w")).alias("gross"), F.sum("_w").alias("net"), F.sum(F.greatest("_w", F.lit(0.0))).alias("long"), F.sum(F.greatest(-F.col("_w"), F.lit(0.0))).alias("short"), (F.sum(F.col("_w") * F.col("_w")) * F.greatest(F.count_if(ok), F.lit(1))).alias("hhi"),
+        F.max(F.abs("_w")).alias("top"), F.sum(F.col("_w") * F.coalesce("return_1d", F.lit(0.0))).alias("r"), F.sum("_d").alias("t"), F.coalesce(F.sum(F.when(~ok, F.abs("_w"))), F.lit(0.0)).alias("u"), F.count("*").alias("n"),
+    )
+    return day.groupBy("run_id").agg(
+        F.count("*").alias("rows"), F.max("n").alias("symbols"), F.avg("gross").alias("mean_gross"), F.avg(F.abs("net")).alias("mean_abs_net"), F.avg("long").alias("mean_long_gross"), F.avg("short").alias("mean_short_gross"), F.avg("hhi").alias("mean_scaled_hhi"),
+        F.avg("top").alias("max_abs_weight_mean"), F.max("top").alias("max_abs_weight_max"), F.avg("r").alias("mean_daily_log_return"), F.coalesce(F.avg("t"), F.lit(0.0)).alias("mean_turnover_proxy"), F.sum("u").alias("untradable_abs_weight_sum"),
+    )
 
 
 def symbol_contribution(weights: DataFrame) -> DataFrame:
-    p = F.col("weight") * F.coalesce("return_1d", F.lit(0.0))
-    out = weights.groupBy("run_id", "symbol").agg(F.avg("weight").alias("mean_weight"), F.avg(F.abs("weight")).alias("mean_abs_weight"), F.sum(p).alias("total_contribution"), F.count_if(F.col("weight") != 0).alias("active_days"))
-    return out.withColumn("contribution_per_active_day", F.coalesce(F.col("total_contribution") / F.nullif("active_days", F.lit(0)), F.lit(0.0)))
+    """Mean weights of each symbol, its contribution on tradable days, and the mean of these."""
+    ok = F.coalesce("tradable", F.lit(False))
+    p = F.when(ok, F.col("weight") * F.coalesce("return_1d", F.lit(0.0))).otherwise(0.0)
+    out = weights.groupBy("run_id", "symbol").agg(F.avg("weight").alias("mean_weight"), F.avg(F.abs("weight")).alias("mean_abs_weight"), F.sum(p).alias("total_contribution"), F.count_if(ok).alias("active_days"))
+    return out.withColumn("contribution_per_active_day", F.col("total_contribution") / F.greatest("active_days", F.lit(1)))
 
 
 def regime_analysis(daily: DataFrame, flat: float = 0.001) -> DataFrame:
-    """Rows, means and hit rate by market direction and by tercile of the market's absolute move."""
-    edges = daily.agg(F.percentile(F.abs("benchmark_return"), F.array(F.lit(1 / 3), F.lit(2 / 3))).alias("e"))
-    x = daily.crossJoin(F.broadcast(edges))  # one row
+    """Rows, means and hit rate of each run by market direction and by tercile of the market's absolute move."""
+    edges = daily.groupBy("run_id").agg(F.percentile(F.abs("benchmark_return"), F.array(F.lit(1 / 3), F.lit(2 / 3))).alias("e"))
+    x = daily.join(edges, "run_id")
     move = F.abs("benchmark_return")
     direction = F.when(F.col("benchmark_return") > flat, "up").when(F.col("benchmark_return") < -flat, "down").otherwise("flat")
     tercile = F.when(F.col("e")[0] == F.col("e")[1], "all").when(move < F.col("e")[0], "calm").when(move < F.col("e")[1], "normal").otherwise("wild")
     stats = [F.count("*").alias("days"), F.avg("strategy_return").alias("mean_strategy"), F.avg("benchmark_return").alias("mean_benchmark"), F.avg((F.col("strategy_return") > 0).cast("double")).alias("hit_rate")]
-    parts = [x.groupBy(F.lit(kind).alias("kind"), value.alias("regime")).agg(*stats) for kind, value in (("direction", direction), ("volatility", tercile))]
+    parts = [x.groupBy("run_id", F.lit(kind).alias("kind"), value.alias("regime")).agg(*stats) for kind, value in (("direction", direction), ("volatility", tercile))]
     return parts[0].unionByName(parts[1])
 
 
 def case_days(exposure: DataFrame) -> DataFrame:
-    """The best, worst, busiest and most levered days, each day once."""
-    picks = exposure.agg(F.max_by("date", F.struct("strategy_return", "date")).alias("best"), F.min_by("date", F.struct("strategy_return", "date")).alias("worst"), F.max_by("date", F.struct("turnover", "date")).alias("turnover"), F.max_by("date", F.struct("gross", "date")).alias("gross"))
-    return picks.select(F.explode(F.array_distinct(F.array("best", "worst", "turnover", "gross"))).alias("date"))
+    """(run_id, date): the best, worst, busiest and most levered days of each run, each day once; the last one if days tie."""
+    by = lambda c: F.struct(F.round(c, 9).alias("v"), "date")
+    low = F.struct(F.round("strategy_return", 9).alias("v"), "date")
+    picks = exposure.groupBy("run_id").agg(F.max_by("date", by("strategy_return")).alias("best"), F.min_by("date", low).alias("worst"), F.max_by("date", by("turnover")).alias("turnover"), F.max_by("date", by("gross")).alias("gross"))
+    return picks.select("run_id", F.explode(F.array_distinct(F.array("best", "worst", "turnover", "gross"))).alias("date"))
 
 
 def daily_decisions(weights: DataFrame, k: int) -> DataFrame:
@@ -413,8 +473,8 @@ def daily_decisions(weights: DataFrame, k: int) -> DataFrame:
 
 
 def case_studies(weights: DataFrame, exposure: DataFrame, k: int = 5) -> DataFrame:
-    """The largest decisions on the case days (four days at most)."""
-    return daily_decisions(weights, k).join(F.broadcast(case_days(exposure)), "date")
+    """The largest decisions on each run's case days (four days at most)."""
+    return daily_decisions(weights, k).join(case_days(exposure), ["run_id", "date"])
 
 
 def masked_totals(daily: DataFrame, mask: Column, gain: float = 1.0, cost: float = 0.1) -> DataFrame:
@@ -457,5 +517,5 @@ def first_test_year(assigned: DataFrame) -> DataFrame:
 
 
 def stitch_first_years(assigned: DataFrame) -> DataFrame:
-    """Each fold's first test year, joined to one series of dates."""
-    return first_test_year(assigned).withColumn("run_id", F.lit("stitched"))
+    """Each fold's first test year, joined to one series of dates for each run."""
+    return first_test_year(assigned)

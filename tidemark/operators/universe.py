@@ -8,8 +8,20 @@ from pyspark.sql import functions as F
 from tidemark.operators.cleaning import keep_first
 
 
-def supported_universe(symbols: DataFrame, code: str = r"^[0-9A-Z]{2,10}$", excluded_name: str = r"(?i)warrant|preferred|unit") -> DataFrame:
-    return symbols.where(F.col("code").rlike(code) & ~F.coalesce(F.col("name").rlike(excluded_name), F.lit(False)))
+# Codes of listed shares and funds, and marks of derivative names.
+LISTED_CODE = r"^(?:[0-9]{4}[A-Z]?|00[0-9A-Z]{3,4})$"
+DERIVATIVE_NAME = "(權證|牛證|熊證|元展|展延)"
+
+
+def supported_universe(symbols: DataFrame, code: str = LISTED_CODE, excluded_name: str = DERIVATIVE_NAME) -> DataFrame:
+    """Delisted symbols, whatever their code, and active ones with a listed code whose name is no derivative's.
+
+    symbols: (code, name, market); a missing market is an active one.
+    """
+    market = F.col("market") if "market" in symbols.columns else F.lit(None).cast("string")
+    delisted = F.coalesce(F.lower(market).contains("delisted"), F.lit(False))
+    active = F.upper(F.trim("code")).rlike(code) & ~F.coalesce(F.trim("name").rlike(excluded_name), F.lit(False))
+    return symbols.where(delisted | F.coalesce(active, F.lit(False)))
 
 
 def candidate_tickers(symbols: DataFrame, fx: bool = False) -> DataFrame:
@@ -78,9 +90,17 @@ def update_symbol_list(current: DataFrame, add: DataFrame, clear: DataFrame) ->
     return current.select("code").union(add.select("code")).distinct().join(clear.select("code").distinct(), "code", "left_anti")
 
 
-def listed_instruments(rows: DataFrame, state: str = "live", kind: str = "SWAP", quote: str = "USDT") -> DataFrame:
-    """Landed instrument records: live perpetuals in one quote currency."""
-    return rows.where((F.lower("state") == state) & (F.upper("inst_type") == kind) & (F.upper("quote_ccy") == quote))
+def listed_instruments(rows: DataFrame, venue: str = "okx") -> DataFrame:
+    """Landed instrument records of perpetuals that trade, with their `code`.
+
+    okx: (inst_id, state, ...), live ones; bybit: (symbol, status,
+    contract_type, ...), perpetual contracts in trading.
+    """
+    if venue == "okx":
+        return rows.where((F.col("state") == "live") & (F.col("inst_id") != "")).withColumn("code", F.replace("inst_id", F.lit("-"), F.lit("")))
+    if venue == "bybit":
+        return rows.where((F.col("status") == "Trading") & F.col("contract_type").contains("Perpetual") & (F.col("symbol") != "")).withColumn("code", F.col("symbol"))
+    raise ValueError(f"unknown venue {venue}: okx or bybit")
 
 
 def symbol_benchmark(panel: DataFrame, aliases: list[str]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidemark.functions import expressions as X
+from tidemark.functions.scratch import cut
 from tidemark.operators import attribution as A
 from tidemark.operators import cleaning as C
 from tidemark.operators import features as P
@@ -51,22 +52,28 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.features(bars(spark, sf_dir))
 
 
+def momentum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label, mask and score of the panel, written once for all that is derived from them."""
+    return cut(panel(spark, sf_dir).select("date", "symbol", "return_1d", "tradable", F.col("close_logret_1d").alias("score")))
+
+
+def book_of(x: DataFrame) -> DataFrame:
+    """Dense weights of three momentum books, with the panel's label and mask, from one ranking."""
+    ok = x.where(F.col("tradable") & X.finite(F.col("score")).isNotNull())
+    ranked = ok.withColumn("r", F.row_number().over(B.day_window().orderBy(F.desc("score"), F.desc("symbol")))).withColumn("n", F.count("*").over(B.day_window()))
+    runs = F.array(*(F.struct(F.lit(f"top{k}").alias("run_id"), F.lit(k).alias("k")) for k in (3, 5, 10)))
+    dense = B.align_panel(x).join(ranked.select("date", "symbol", "r", "n"), ["date", "symbol"], "left").withColumn("run", F.explode(runs))
+    weight = F.when(F.col("r") <= F.col("run.k"), F.lit(1.0) / F.least("n", "run.k")).otherwise(0.0)
+    return dense.select("run.run_id", "date", "symbol", "return_1d", F.coalesce("tradable", F.lit(False)).alias("tradable"), "score", weight.alias("weight"))
+
+
 def book(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dense weights of three momentum books, with the panel's label and mask."""
-    x = P.features(bars(spark, sf_dir))
-    picks = None
-    for k in (3, 5, 10):
-        part = B.top_k_equal_weight(x, "close_logret_1d", k).withColumn("run_id", F.lit(f"top{k}"))
-        picks = part if picks is None else picks.unionByName(part)
-    dense = B.align_panel(x.select("date", "symbol", "return_1d", "tradable", F.col("close_logret_1d").alias("score")))
-    dense = dense.withColumn("run_id", F.explode(F.array(F.lit("top3"), F.lit("top5"), F.lit("top10"))))
-    out = dense.join(picks, ["run_id", "date", "symbol"], "left")
-    return out.withColumns({"weight": F.coalesce("weight", F.lit(0.0)), "tradable": F.coalesce("tradable", F.lit(False))})
+    return book_of(momentum(spark, sf_dir))
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bench = B.universe_average(P.features(bars(spark, sf_dir)))
-    return B.portfolio_daily(book(spark, sf_dir), 0.001, 0.003).join(bench, "date")
+    x = momentum(spark, sf_dir)
+    return B.portfolio_daily(book_of(x), 0.001, 0.003).join(B.universe_average(x), "date")
 
 
 FIGURES = "cumulative_return annualized_return cagr sharpe sharpe_baseline sortino sortino_baseline max_drawdown mean_turnover hit_rate cumulative_benchmark calmar excess"
@@ -174,7 +181,14 @@ def q_score_weights(spark, d):
 
 @query(S.with_(*S.PANEL, S.BOOK) + "--result SELECT run_id, date, symbol, weight, tradable FROM book", "weight")
 def q_top_k_books(spark, d):
-    return book(spark, d).select("run_id", "date", "symbol", "weight", "tradable")
+    x = momentum(spark, d)
+    picks = None
+    for k in (3, 5, 10):
+        part = B.top_k_equal_weight(x, "score", k).withColumn("run_id", F.lit(f"top{k}"))
+        picks = part if picks is None else picks.unionByName(part)
+    dense = B.align_panel(x).withColumn("run_id", F.explode(F.array(*map(F.lit, ("top3", "top5", "top10")))))
+    out = dense.join(picks, ["run_id", "date", "symbol"], "left")
+    return out.withColumns({"weight": F.coalesce("weight", F.lit(0.0)), "tradable": F.coalesce("tradable", F.lit(False))}).select("run_id", "date", "symbol", "weight", "tradable")
 
 
 # ---- profit and loss, performance -------------------------------------------
@@ -260,29 +274,31 @@ def q_risk_ratio(spark, d):
 _SOFT = lambda x: f"(greatest({x}, 0) + ln(1 + exp(-abs({x}))))"
 
 
-@query(
-    S.with_(*S.FULL) + f""", m AS (SELECT run_id, CASE WHEN benchmark_return <= -0.002 THEN 'down' WHEN benchmark_return >= 0.002 THEN 'up' ELSE 'flat' END AS g, avg(strategy_return) AS m FROM daily GROUP BY ALL)
-    --result SELECT run_id, CASE WHEN count(*) >= 2 THEN -avg(m) + stddev_pop(m) + {_SOFT("(-min(m))")} ELSE 0 END AS regime_stability FROM m GROUP BY run_id""",
-    "regime_stability",
-)
+_REGIMES = f""", regime_means AS (SELECT run_id, CASE WHEN benchmark_return <= -0.002 THEN 'down' WHEN benchmark_return >= 0.002 THEN 'up' ELSE 'flat' END AS g, avg(strategy_return) AS m FROM daily GROUP BY ALL),
+  regimes AS (SELECT run_id, CASE WHEN count(*) >= 2 THEN -avg(m) + sqrt(var_pop(m) + 1e-8) + {_SOFT("(-min(m))")} ELSE 0 END AS regime_stability FROM regime_means GROUP BY run_id)"""
+
+
+@query(S.with_(*S.FULL) + _REGIMES + "--result SELECT * FROM regimes", "regime_stability")
 def q_regime_stability(spark, d):
     return B.regime_stability(daily(spark, d))
 
 
-@query(
-    S.with_(*S.FULL) + """, i AS (SELECT run_id, strategy_return AS r, row_number() OVER (PARTITION BY run_id ORDER BY date) - 1 AS i, ceil(count(*) OVER (PARTITION BY run_id) / 8.0) AS size, last_value(strategy_return) OVER (PARTITION BY run_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last FROM daily),
-    b AS (SELECT run_id, floor(i / size) AS block, (sum(r) + (any_value(size) - count(*)) * any_value(last)) / any_value(size) AS m FROM i GROUP BY ALL),
-    o AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY m, block) AS r, count(*) OVER (PARTITION BY run_id) AS k FROM b)
-    --result SELECT run_id, -avg(m) + stddev_pop(m) - avg(m) FILTER (r <= greatest(floor(k / 4), 1)) AS block_stability FROM o GROUP BY run_id""",
-    "block_stability",
-)
+_BLOCKS = """, sized AS (SELECT *, ceil(n::DOUBLE / b)::BIGINT AS size FROM (SELECT run_id, count(*) AS n, greatest(2, least(8, count(*))) AS b, arg_max(strategy_return, date) AS last FROM daily GROUP BY run_id)),
+  numbered AS (SELECT run_id, strategy_return AS r, row_number() OVER (PARTITION BY run_id ORDER BY date) - 1 AS i FROM daily), grid AS (SELECT run_id, n, b, size, last, unnest(range(b)) AS block FROM sized),
+  block_sums AS (SELECT run_id, i // size AS block, sum(r) AS s, count(*) AS c FROM numbered JOIN sized USING (run_id) GROUP BY ALL),
+  block_means AS (SELECT g.run_id, g.block, g.n, g.b, (coalesce(s.s, 0) + (g.size - coalesce(s.c, 0)) * g.last) / g.size AS m FROM grid g LEFT JOIN block_sums s USING (run_id, block)),
+  block_order AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY m, block) AS r FROM block_means),
+  blocks AS (SELECT run_id, CASE WHEN any_value(n) >= 2 THEN -avg(m) + sqrt(var_pop(m) + 1e-8) - avg(m) FILTER (r <= greatest(1, round_even(b * 0.25, 0))) ELSE 0 END AS block_stability FROM block_order GROUP BY run_id)"""
+
+
+@query(S.with_(*S.FULL) + _BLOCKS + "--result SELECT * FROM blocks", "block_stability")
 def q_block_stability(spark, d):
     return B.block_stability(daily(spark, d), "strategy_return")
 
 
-_EXCESS = f""", x AS (SELECT *, strategy_return - benchmark_return AS excess, sum(strategy_return - benchmark_return) OVER (PARTITION BY run_id ORDER BY date) AS c FROM daily),
-  q AS (SELECT run_id, quantile_cont(-excess, 0.95) AS v FROM x GROUP BY run_id), y AS (SELECT *, exp(c - greatest(max(c) OVER (PARTITION BY run_id ORDER BY date), 0)) - 1 AS dd FROM x),
-  risk AS (SELECT *, {_SOFT("cvar")} + {_SOFT("(-relative_drawdown)")} AS penalty FROM (SELECT run_id, avg(excess) AS mean_excess, any_value(v) AS value_at_risk, min(dd) AS relative_drawdown, any_value(v) + avg(greatest(-excess - v, 0)) / (1 - 0.95) AS cvar FROM y JOIN q USING (run_id) GROUP BY run_id))"""
+_EXCESS = f""", x AS (SELECT *, strategy_return - benchmark_return AS excess, exp(greatest(least(sum(strategy_return - benchmark_return) OVER (PARTITION BY run_id ORDER BY date), 60), -60)) AS equity FROM daily),
+  q AS (SELECT run_id, quantile_cont(-excess, 0.95) AS v FROM x GROUP BY run_id), y AS (SELECT *, equity / greatest(max(equity) OVER (PARTITION BY run_id ORDER BY date), 1e-12) - 1 AS dd FROM x),
+  risk AS (SELECT *, {_SOFT("((-relative_drawdown - 0.2) * 20)")} / 20 AS penalty FROM (SELECT run_id, avg(excess) AS mean_excess, any_value(v) AS value_at_risk, min(dd) AS relative_drawdown, any_value(v) + avg(greatest(-excess - v, 0)) / (1 - 0.95) AS cvar FROM y JOIN q USING (run_id) GROUP BY run_id))"""
 
 
 @query(S.with_(*S.FULL) + _EXCESS + "--result SELECT run_id, mean_excess, value_at_risk, relative_drawdown, cvar, penalty FROM risk", "mean_excess value_at_risk relative_drawdown cvar penalty")
@@ -290,11 +306,31 @@ def q_excess_risk(spark, d):
     return B.excess_risk(daily(spark, d))
 
 
-@query()
+@query(
+    S.with_(*S.FULL) + _REGIMES + _BLOCKS + _EXCESS + """, runs_ AS (SELECT run_id, avg(strategy_return) / sqrt(var_pop(strategy_return) + 1e-8) * sqrt(252) AS sharpe, avg(turnover) AS t, avg(greatest(benchmark_return - strategy_return, 0)) AS under FROM daily GROUP BY run_id)
+    --result SELECT run_id, -sharpe + 0.1 * t AS sharpe_turnover, -mean_excess + cvar AS excess_cvar_drawdown, -mean_excess + cvar + under + greatest(cvar - 0.03, 0) + greatest(-relative_drawdown - 0.2, 0) AS outperformance, regime_stability + block_stability AS generalization
+    FROM runs_ JOIN risk USING (run_id) JOIN regimes USING (run_id) JOIN blocks USING (run_id)""",
+    "sharpe_turnover excess_cvar_drawdown outperformance generalization",
+)
 def q_objective_scorecard(spark, d):
     return B.objective_scorecard(daily(spark, d))
 
 
+@query(
+    S.with_(*S.PANEL, S.BOOK) + """, w AS (SELECT *, CASE WHEN tradable THEN weight ELSE 0 END AS w FROM book), p AS (SELECT *, CASE WHEN tradable THEN lag(w, 1, 0.0) OVER (PARTITION BY run_id, symbol ORDER BY date) ELSE 0 END AS p FROM w),
+    n AS (SELECT run_id, sum(w * coalesce(return_1d, 0)) AS r, sum(abs(w - p)) AS t, sum(w * w) AS c FROM p GROUP BY run_id, date)
+    --result SELECT run_id, -avg(r - 0.001425 * t) / sqrt(var_pop(r - 0.001425 * t) + 1e-8) * sqrt(252) + 0.1 * avg(t) + 0.01 * avg(c) AS objective FROM n GROUP BY run_id""",
+    "objective",
+)
+def q_autoencoder_objective(spark, d):
+    return B.portfolio_autoencoder_objective(book(spark, d))
+
+
+@query(S.with_(*S.PANEL) + "--result SELECT date, symbol, CASE WHEN tradable THEN row_number() OVER (PARTITION BY date, tradable ORDER BY shadow_imbalance DESC NULLS LAST, symbol) - 1 ELSE count(*) OVER (PARTITION BY date) END AS position FROM feats")
+def q_rank_position(spark, d):
+    return B.rank_position(panel(spark, d), "shadow_imbalance", "position", F.col("tradable")).select("date", "symbol", "position")
+
+
 @query(S.with_(*S.PANEL) + "--result SELECT sum(pow(close_logret_1d - return_1d, 2)) FILTER (tradable) / greatest(count(pow(close_logret_1d - return_1d, 2)) FILTER (tradable), 1) AS mse FROM feats", "mse")
 def q_masked_mse(spark, d):
     return B.masked_mse(panel(spark, d), "close_logret_1d", F.col("tradable"))
@@ -351,8 +387,8 @@ def q_lagged_backtest(spark, d):
 
 
 @query(
-    S.with_(*S.PANEL, S.BOOK) + """, g AS (SELECT *, sum(greatest(weight, 0)) OVER w AS g, count(*) OVER w AS n FROM book WINDOW w AS (PARTITION BY run_id, date)), e AS (SELECT *, CASE WHEN g > 0 THEN greatest(weight, 0) / g ELSE 1.0::DOUBLE / n END AS e FROM g),
-    m AS (SELECT *, abs(e - lag(e, 1, 0.0) OVER (PARTITION BY run_id, symbol ORDER BY date)) AS d FROM e)
+    S.with_(*S.PANEL, S.BOOK) + """, g AS (SELECT *, CASE WHEN tradable THEN greatest(weight, 0) ELSE 0 END AS x, count(*) FILTER (tradable) OVER (PARTITION BY run_id, date) AS n FROM book), s AS (SELECT *, sum(x) OVER (PARTITION BY run_id, date) AS g FROM g),
+    e AS (SELECT *, CASE WHEN g > 1e-8 THEN x / g WHEN tradable THEN 1.0::DOUBLE / n ELSE 0 END AS e FROM s), m AS (SELECT *, abs(e - lag(e, 1, 0.0) OVER (PARTITION BY run_id, symbol ORDER BY date)) AS d FROM e)
     --result SELECT run_id, date, sum(e * coalesce(return_1d, 0)) AS gross_return, sum(d) AS turnover, sum(e * coalesce(return_1d, 0)) - 0.001 * sum(d) AS reward FROM m GROUP BY run_id, date""",
     "gross_return turnover reward",
 )
@@ -360,10 +396,10 @@ def q_policy_reward(spark, d):
     return B.policy_reward(book(spark, d), 0.001)
 
 
-_EXPOSURE = """, mv AS (SELECT *, abs(weight - lag(weight, 1, 0.0) OVER (PARTITION BY run_id, symbol ORDER BY date)) AS d FROM book), expo AS (
-  SELECT run_id, date, sum(abs(weight)) AS gross, sum(weight) AS net, sum(greatest(weight, 0)) AS long, sum(least(weight, 0)) AS short, max(abs(weight)) AS max_abs_weight,
-    coalesce(sum(weight * weight) / nullif(pow(sum(abs(weight)), 2), 0), 0.0) AS hhi, sum(d) AS turnover, sum(weight * coalesce(return_1d, 0)) AS strategy_return, coalesce(avg(return_1d), 0.0) AS market_return,
-    count(*) FILTER (weight != 0) AS active, coalesce(sum(abs(weight)) FILTER (NOT tradable), 0.0) AS untradable_abs_weight FROM mv GROUP BY run_id, date)"""
+_EXPOSURE = """, masked_ AS (SELECT *, CASE WHEN tradable THEN weight ELSE 0 END AS w, CASE WHEN tradable THEN coalesce(return_1d, 0) ELSE 0 END AS r FROM book),
+  mv AS (SELECT *, abs(w - lag(w) OVER (PARTITION BY run_id, symbol ORDER BY date)) AS d FROM masked_), expo AS (
+  SELECT run_id, date, sum(abs(w)) AS gross, sum(w) AS net, sum(greatest(w, 0)) AS long, sum(greatest(-w, 0)) AS short, max(abs(w)) AS max_abs_weight, sum(w * w) / pow(greatest(sum(abs(w)), 1e-12), 2) AS hhi, coalesce(sum(d), 0.0) AS turnover,
+    sum(w * r) AS strategy_return, sum(r) / greatest(count(*) FILTER (tradable), 1) AS market_return, count(*) FILTER (tradable) AS active, coalesce(sum(abs(weight)) FILTER (NOT tradable), 0.0) AS untradable_abs_weight FROM mv GROUP BY run_id, date)"""
 _EXPO = "gross net long short max_abs_weight hhi turnover strategy_return market_return untradable_abs_weight"
 
 
@@ -372,12 +408,19 @@ def q_portfolio_exposure(spark, d):
     return B.portfolio_exposure(book(spark, d))
 
 
-_MEANS = ("gross", "net", "long", "short", "max_abs_weight", "hhi", "turnover", "untradable_abs_weight")
+_SUMMARY = "mean_gross mean_abs_net mean_long_gross mean_short_gross mean_scaled_hhi max_abs_weight_mean max_abs_weight_max mean_daily_log_return mean_turnover_proxy untradable_abs_weight_sum"
 
 
-@query(S.with_(*S.PANEL, S.BOOK) + _EXPOSURE + f"--result SELECT run_id, {', '.join(f'avg({c}) AS mean_{c}' for c in _MEANS)}, avg(hhi * active) AS mean_scaled_hhi FROM expo GROUP BY run_id", " ".join(f"mean_{c}" for c in _MEANS) + " mean_scaled_hhi")
+@query(
+    S.with_(*S.PANEL, S.BOOK) + """, mv AS (SELECT *, abs(weight - lag(weight) OVER (PARTITION BY run_id, symbol ORDER BY date)) AS d FROM book),
+    day AS (SELECT run_id, count(*) AS n, sum(abs(weight)) AS gross, sum(weight) AS net, sum(greatest(weight, 0)) AS long, sum(greatest(-weight, 0)) AS short, sum(weight * weight) * greatest(count(*) FILTER (tradable), 1) AS hhi, max(abs(weight)) AS top,
+      sum(weight * coalesce(return_1d, 0)) AS r, sum(d) AS t, coalesce(sum(abs(weight)) FILTER (NOT tradable), 0.0) AS u FROM mv GROUP BY run_id, date)
+    --result SELECT run_id, count(*) AS rows, max(n) AS symbols, avg(gross) AS mean_gross, avg(abs(net)) AS mean_abs_net, avg(long) AS mean_long_gross, avg(short) AS mean_short_gross, avg(hhi) AS mean_scaled_hhi, avg(top) AS max_abs_weight_mean, max(top) AS max_abs_weight_max,
+      avg(r) AS mean_daily_log_return, coalesce(avg(t), 0.0) AS mean_turnover_proxy, sum(u) AS untradable_abs_weight_sum FROM day GROUP BY run_id""",
+    _SUMMARY,
+)
 def q_portfolio_summary(spark, d):
-    return B.portfolio_summary(B.portfolio_exposure(book(spark, d)))
+    return B.portfolio_summary(book(spark, d))
 
 
 @query(S.with_(*S.PANEL, S.BOOK) + "--result SELECT run_id, date, coalesce(sum(weight * weight) / nullif(pow(sum(abs(weight)), 2), 0), 0.0) AS hhi, max(abs(weight)) AS max_abs_weight FROM book GROUP BY ALL", "hhi max_abs_weight")
@@ -386,8 +429,8 @@ def q_concentration(spark, d):
 
 
 @query(
-    S.with_(*S.PANEL, S.BOOK) + """--result SELECT *, coalesce(total_contribution / nullif(active_days, 0), 0.0) AS contribution_per_active_day FROM (
-    SELECT run_id, symbol, avg(weight) AS mean_weight, avg(abs(weight)) AS mean_abs_weight, sum(weight * coalesce(return_1d, 0)) AS total_contribution, count(*) FILTER (weight != 0) AS active_days FROM book GROUP BY ALL)""",
+    S.with_(*S.PANEL, S.BOOK) + """--result SELECT *, total_contribution / greatest(active_days, 1) AS contribution_per_active_day FROM (
+    SELECT run_id, symbol, avg(weight) AS mean_weight, avg(abs(weight)) AS mean_abs_weight, sum(CASE WHEN tradable THEN weight * coalesce(return_1d, 0) ELSE 0 END) AS total_contribution, count(*) FILTER (tradable) AS active_days FROM book GROUP BY ALL)""",
     "mean_weight mean_abs_weight total_contribution contribution_per_active_day",
 )
 def q_symbol_contribution(spark, d):
@@ -398,13 +441,13 @@ _REGIME = "count(*) AS days, avg(strategy_return) AS mean_strategy, avg(benchmar
 
 
 @query(
-    S.with_(*S.FULL) + f""", one AS (SELECT * FROM daily WHERE run_id = 'top5'), e AS (SELECT quantile_cont(abs(benchmark_return), 1.0/3) AS a, quantile_cont(abs(benchmark_return), 2.0/3) AS b FROM one)
-    --result SELECT 'direction' AS kind, CASE WHEN benchmark_return > 0.001 THEN 'up' WHEN benchmark_return < -0.001 THEN 'down' ELSE 'flat' END AS regime, {_REGIME} FROM one GROUP BY ALL
-    UNION ALL SELECT 'volatility', CASE WHEN a = b THEN 'all' WHEN abs(benchmark_return) < a THEN 'calm' WHEN abs(benchmark_return) < b THEN 'normal' ELSE 'wild' END, {_REGIME} FROM one, e GROUP BY ALL""",
+    S.with_(*S.FULL) + f""", e AS (SELECT run_id, quantile_cont(abs(benchmark_return), 1.0/3) AS a, quantile_cont(abs(benchmark_return), 2.0/3) AS b FROM daily GROUP BY run_id)
+    --result SELECT run_id, 'direction' AS kind, CASE WHEN benchmark_return > 0.001 THEN 'up' WHEN benchmark_return < -0.001 THEN 'down' ELSE 'flat' END AS regime, {_REGIME} FROM daily GROUP BY ALL
+    UNION ALL SELECT run_id, 'volatility', CASE WHEN a = b THEN 'all' WHEN abs(benchmark_return) < a THEN 'calm' WHEN abs(benchmark_return) < b THEN 'normal' ELSE 'wild' END, {_REGIME} FROM daily JOIN e USING (run_id) GROUP BY ALL""",
     "mean_strategy mean_benchmark hit_rate",
 )
 def q_regime_analysis(spark, d):
-    return B.regime_analysis(daily(spark, d).where("run_id = 'top5'"))
+    return B.regime_analysis(daily(spark, d))
 
 
 @query(
@@ -416,10 +459,15 @@ def q_daily_decisions(spark, d):
     return B.daily_decisions(book(spark, d), 3).select("run_id", "date", "symbol", "weight", "rank", "side")
 
 
-@query()
+@query(
+    S.with_(*S.PANEL, S.BOOK) + _EXPOSURE + """, best AS (SELECT run_id, unnest(list_distinct([arg_max(date, (round(strategy_return, 9), date)), arg_min(date, (round(strategy_return, 9), date)), arg_max(date, (round(turnover, 9), date)), arg_max(date, (round(gross, 9), date))])) AS date FROM expo GROUP BY run_id),
+    ranked_ AS (SELECT *, row_number() OVER (PARTITION BY run_id, date ORDER BY abs(weight) DESC, symbol) AS rank FROM book)
+    --result SELECT run_id, date, symbol, weight, rank, CASE WHEN weight > 0 THEN 'long' WHEN weight < 0 THEN 'short' ELSE 'flat' END AS side FROM ranked_ JOIN best USING (run_id, date) WHERE rank <= 5""",
+    "weight",
+)
 def q_case_studies(spark, d):
-    one = book(spark, d).where("run_id = 'top5'")
-    return B.case_studies(one, B.portfolio_exposure(one)).select("date", "symbol", "weight", "rank", "side")
+    x = book(spark, d)
+    return B.case_studies(x, B.portfolio_exposure(x)).select("run_id", "date", "symbol", "weight", "rank", "side")
 
 
 @query(S.with_(*S.FULL) + f", y AS ({S.metrics('run_id, year', '1e-8')}), t AS ({S.metrics('run_id')}), r AS (SELECT run_id, year::VARCHAR AS label, cumulative_return, sharpe, max_drawdown, mean_turnover FROM y UNION ALL SELECT run_id, 'total', cumulative_return, sharpe, max_drawdown, mean_turnover FROM t)--result SELECT run_id, label, printf('%-6s %10.4f %10.4f %10.4f %10.4f', label, cumulative_return, sharpe, max_drawdown, mean_turnover) AS line FROM r")
@@ -439,30 +487,30 @@ def q_expanding_folds(spark, d):
 
 
 @query(
-    S.with_(*S.FULL) + _FOLDS + """, a AS (SELECT d.*, f.fold_id, CASE WHEN year(date) < val_year THEN 'train' WHEN year(date) = val_year THEN 'val' ELSE 'test' END AS split FROM daily d, folds f WHERE run_id = 'top5')
-    --result SELECT fold_id, split, count(*) AS days, sum(strategy_return) AS log_return, avg(turnover) AS mean_turnover FROM a GROUP BY ALL""",
+    S.with_(*S.FULL) + _FOLDS + """, a AS (SELECT d.*, f.fold_id, CASE WHEN year(date) < val_year THEN 'train' WHEN year(date) = val_year THEN 'val' ELSE 'test' END AS split FROM daily d, folds f)
+    --result SELECT run_id, fold_id, split, count(*) AS days, sum(strategy_return) AS log_return, avg(turnover) AS mean_turnover FROM a GROUP BY ALL""",
     "log_return mean_turnover",
 )
 def q_assign_folds(spark, d):
-    a = B.assign_folds(daily(spark, d).where("run_id = 'top5'"), B.expanding_year_folds(bars(spark, d)))
-    return a.groupBy("fold_id", "split").agg(F.count("*").alias("days"), F.sum("strategy_return").alias("log_return"), F.avg("turnover").alias("mean_turnover"))
+    a = B.assign_folds(daily(spark, d), B.expanding_year_folds(bars(spark, d)))
+    return a.groupBy("run_id", "fold_id", "split").agg(F.count("*").alias("days"), F.sum("strategy_return").alias("log_return"), F.avg("turnover").alias("mean_turnover"))
 
 
 @query(
-    S.with_(*S.FULL) + _FOLDS + """, a AS (SELECT d.*, f.fold_id, min(year(date)) FILTER (year(date) > val_year) OVER (PARTITION BY f.fold_id) AS y1 FROM daily d, folds f WHERE run_id = 'top5')
-    --result SELECT fold_id, year(date)::INT AS year, sum(strategy_return) AS log_return, sum(benchmark_return) AS log_baseline, avg(turnover) AS mean_turnover FROM a WHERE year(date) = y1 GROUP BY ALL""",
+    S.with_(*S.FULL) + _FOLDS + """, a AS (SELECT d.*, f.fold_id, min(year(date)) FILTER (year(date) > val_year) OVER (PARTITION BY f.fold_id) AS y1 FROM daily d, folds f)
+    --result SELECT run_id, fold_id, year(date)::INT AS year, sum(strategy_return) AS log_return, sum(benchmark_return) AS log_baseline, avg(turnover) AS mean_turnover FROM a WHERE year(date) = y1 GROUP BY ALL""",
     "log_return log_baseline mean_turnover",
 )
 def q_fold_first_year(spark, d):
-    first = B.first_test_year(B.assign_folds(daily(spark, d).where("run_id = 'top5'"), B.expanding_year_folds(bars(spark, d))))
-    return first.groupBy("fold_id", F.year("date").alias("year")).agg(F.sum("strategy_return").alias("log_return"), F.sum("benchmark_return").alias("log_baseline"), F.avg("turnover").alias("mean_turnover"))
+    first = B.first_test_year(B.assign_folds(daily(spark, d), B.expanding_year_folds(bars(spark, d))))
+    return first.groupBy("run_id", "fold_id", F.year("date").alias("year")).agg(F.sum("strategy_return").alias("log_return"), F.sum("benchmark_return").alias("log_baseline"), F.avg("turnover").alias("mean_turnover"))
 
 
-@query(S.with_(*S.FULL) + _FOLDS + """, a AS (SELECT d.*, f.fold_id, min(year(date)) FILTER (year(date) > val_year) OVER (PARTITION BY f.fold_id) AS y1 FROM daily d, folds f WHERE run_id = 'top5')
-    --result SELECT date, fold_id, exp(greatest(least(sum(strategy_return) OVER (ORDER BY date), 60), -60)) AS equity FROM a WHERE year(date) = y1""", 'equity')
+@query(S.with_(*S.FULL) + _FOLDS + """, a AS (SELECT d.*, f.fold_id, min(year(date)) FILTER (year(date) > val_year) OVER (PARTITION BY f.fold_id) AS y1 FROM daily d, folds f)
+    --result SELECT run_id, date, fold_id, exp(greatest(least(sum(strategy_return) OVER (PARTITION BY run_id ORDER BY date), 60), -60)) AS equity FROM a WHERE year(date) = y1""", 'equity')
 def q_stitched_equity(spark, d):
-    x = B.stitch_first_years(B.assign_folds(daily(spark, d).where("run_id = 'top5'"), B.expanding_year_folds(bars(spark, d))))
-    return B.equity_curve(x, "strategy_return").select("date", "fold_id", "equity")
+    x = B.stitch_first_years(B.assign_folds(daily(spark, d), B.expanding_year_folds(bars(spark, d))))
+    return B.equity_curve(x, "strategy_return").select("run_id", "date", "fold_id", "equity")
 
 
 # ---- cleaning, audit, repair ------------------------------------------------
@@ -479,13 +527,20 @@ _ORDERS = """WITH ob AS (SELECT 'C' || (o_custkey % 50) AS symbol, CAST(o_orderd
   CASE WHEN o_orderkey % 89 != 0 THEN p END AS close, p AS adjclose, CASE WHEN o_orderkey % 83 = 0 THEN -1.0 ELSE 1.0 END::DOUBLE AS "Trading_Volume", o_orderkey AS ingest_seq FROM (SELECT *, o_totalprice::DOUBLE AS p FROM orders))"""
 
 
+_GAPS = """, dup AS (SELECT symbol, coalesce(sum(c) FILTER (c > 1), 0)::BIGINT AS duplicate_dates FROM (SELECT symbol, date, count(*) AS c FROM ob GROUP BY ALL) GROUP BY symbol),
+    p AS (SELECT * FROM (SELECT symbol, date_diff('second', lag(date) OVER (PARTITION BY symbol ORDER BY date), date)::DOUBLE AS delta, count(*) OVER (PARTITION BY symbol) AS n FROM ob) WHERE delta > 0 AND n >= 3),
+    f AS (SELECT symbol, max(delta) AS max_gap_seconds, median(delta) AS m FROM p GROUP BY symbol), gc AS (SELECT symbol, any_value(max_gap_seconds) AS max_gap_seconds, count(*) FILTER (delta > CASE WHEN m < 43200 THEN greatest(m, 1) * 4 ELSE 864000 END) AS gap_count FROM f JOIN p USING (symbol) GROUP BY symbol)"""
+
+
 @query(
-    _ORDERS + """, a AS (SELECT symbol, count(*) AS rows, min(date) AS first_date, max(date) AS last_date, 0::BIGINT AS invalid_dates, count(*) FILTER (open IS NULL OR "max" IS NULL OR "min" IS NULL OR close IS NULL) AS null_ohlc_rows,
-      count(*) FILTER ("max" < "min" OR "max" < open OR "max" < close OR "min" > open OR "min" > close) AS bad_ohlc_rows, count(*) FILTER (least(open, "max", "min", close) <= 0) AS nonpositive_price_rows,
-      count(*) FILTER ("Trading_Volume" < 0) AS negative_volume_rows, count(*) - count(DISTINCT date) AS repeated_dates FROM ob GROUP BY symbol), s AS (SELECT *, datediff('day', last_date, max(last_date) OVER ())::INT AS stale_days FROM a)
-    --result SELECT *, array_to_string(list_filter([CASE WHEN invalid_dates > 0 THEN 'invalid_dates' END, CASE WHEN repeated_dates > 0 THEN 'duplicate_dates' END, CASE WHEN null_ohlc_rows > 0 THEN 'null_ohlc' END, CASE WHEN bad_ohlc_rows > 0 THEN 'bad_ohlc' END,
-      CASE WHEN nonpositive_price_rows > 0 THEN 'nonpositive_price' END, CASE WHEN negative_volume_rows > 0 THEN 'negative_volume' END, CASE WHEN stale_days > 5 THEN 'stale' END], lambda x: x IS NOT NULL), '|') AS issues,
-      CASE WHEN bad_ohlc_rows > 0 OR nonpositive_price_rows > 0 OR repeated_dates > 0 THEN 'failed' WHEN null_ohlc_rows > 0 OR negative_volume_rows > 0 OR stale_days > 5 THEN 'warn' ELSE 'ok' END AS status FROM s"""
+    _ORDERS + _GAPS + """, a AS (SELECT symbol, count(*) AS rows, min(date) AS first_date, max(date) AS last_date, 0::BIGINT AS invalid_dates, count(*) FILTER (open IS NULL OR "max" IS NULL OR "min" IS NULL OR close IS NULL) AS nan_ohlc_rows,
+      count(*) FILTER ("max" < "min" OR "max" < open OR "max" < close OR "min" > open OR "min" > close) AS bad_ohlc_rows, count(*) FILTER (open <= 0 OR "max" <= 0 OR "min" <= 0 OR close <= 0) AS nonpositive_price_rows,
+      count(*) FILTER ("Trading_Volume" < 0) AS negative_volume_rows FROM ob GROUP BY symbol),
+    s AS (SELECT a.*, duplicate_dates, max_gap_seconds, coalesce(gap_count, 0) AS gap_count, datediff('day', last_date, max(last_date) OVER ())::INT AS stale_days, NULL::VARCHAR AS missing_columns FROM a JOIN dup USING (symbol) LEFT JOIN gc USING (symbol)),
+    t AS (SELECT *, array_to_string(list_sort(list_filter([CASE WHEN duplicate_dates > 0 THEN 'duplicate_dates' END, CASE WHEN nan_ohlc_rows > 0 THEN 'nan_ohlc' END, CASE WHEN bad_ohlc_rows > 0 THEN 'bad_ohlc' END, CASE WHEN gap_count > 0 THEN 'large_gaps' END,
+      CASE WHEN nonpositive_price_rows > 0 THEN 'nonpositive_price' END, CASE WHEN negative_volume_rows > 0 THEN 'negative_volume' END, CASE WHEN stale_days > 5 THEN 'stale' END], lambda x: x IS NOT NULL)), '|') AS issues FROM s)
+    --result SELECT *, CASE WHEN issues != '' THEN 'warn' ELSE 'ok' END AS status FROM t""",
+    "max_gap_seconds",
 )
 def q_audit_bars(spark, d):
     return C.audit(order_bars(spark, d))
@@ -513,8 +568,9 @@ def q_gap_summary(spark, d):
 
 
 @query(
-    _ORDERS + """, g AS (SELECT symbol, date, date_diff('second', lag(date) OVER (PARTITION BY symbol ORDER BY date), date) AS delta FROM ob)
-    --result SELECT *, coalesce(long_share <= 0.05 AND NOT (midnight_share > 0.95 AND median_delta >= 43200) AND median_delta <= 4 * 900, false) AS passes FROM (SELECT symbol, median(delta) AS median_delta, avg((delta >= 43200)::INT) AS long_share, 1.0::DOUBLE AS midnight_share FROM g GROUP BY symbol)""",
+    _ORDERS + """, g AS (SELECT symbol, date_diff('second', lag(date) OVER (PARTITION BY symbol ORDER BY date), date) AS delta FROM ob)
+    --result SELECT *, bars < 3 OR coalesce(long_share <= 0.05 AND NOT (midnight_share > 0.95 AND median_delta >= 43200) AND median_delta <= 4 * 900, true) AS passes
+    FROM (SELECT symbol, count(*) AS bars, median(delta) FILTER (delta > 0) AS median_delta, avg((delta >= 43200)::INT) FILTER (delta > 0) AS long_share, 1.0::DOUBLE AS midnight_share FROM g GROUP BY symbol)""",
     "median_delta long_share midnight_share",
 )
 def q_interval_check(spark, d):
@@ -632,9 +688,12 @@ def q_candidate_tickers(spark, d):
     return U.candidate_tickers(supplier_symbols(spark, d)).select("code", "ticker")
 
 
-@query(_SUPP + "--result SELECT code FROM s WHERE regexp_matches(code, '^[A-Z]+[0-9]*[02468]$') AND NOT regexp_matches(name, '(?i)1')")
+@query("WITH s AS (SELECT lpad((s_suppkey * 7 % 100000)::VARCHAR, 4, '0') || CASE WHEN s_suppkey % 5 = 0 THEN 'U' ELSE '' END AS code, s_name || CASE WHEN s_suppkey % 9 = 0 THEN '權證' ELSE '' END AS name, CASE WHEN s_suppkey % 4 = 0 THEN 'tw_delisted' ELSE 'listed' END AS market FROM supplier)--result SELECT code, name FROM s WHERE market = 'tw_delisted' OR regexp_full_match(code, '(?:[0-9]{4}[A-Z]?|00[0-9A-Z]{3,4})') AND NOT contains(name, '權證')")
 def q_supported_universe(spark, d):
-    return U.supported_universe(supplier_symbols(spark, d), r"^[A-Z]+[0-9]*[02468]$", "(?i)1").select("code")
+    k = F.col("s_suppkey")
+    code = F.concat(F.lpad((k * 7 % 100000).cast("string"), 4, "0"), F.when(k % 5 == 0, "U").otherwise(""))
+    x = table(spark, d, "supplier").select(code.alias("code"), F.concat("s_name", F.when(k % 9 == 0, "權證").otherwise("")).alias("name"), F.when(k % 4 == 0, "tw_delisted").otherwise("listed").alias("market"))
+    return U.supported_universe(x).select("code", "name")
 
 
 _TICK = ", t AS (SELECT code, 'T' || n AS ticker FROM s UNION ALL SELECT code, 'T' || (n + 1) FROM s), bl AS (SELECT 'T' || c_custkey AS ticker FROM customer WHERE c_custkey % 3 != 0)"
@@ -735,8 +794,8 @@ def q_node_metrics(spark, d):
 
 
 @query(
-    _EDGES + _NODES + """, q AS (SELECT quantile_cont(hub_share, 0.75) AS h, quantile_cont(authority_share, 0.75) AS a, quantile_cont(abs(net_score), 0.75) AS n FROM nodes)
-    --result SELECT node, CASE WHEN hub_share >= h AND authority_share >= a THEN 'bridge' WHEN authority_share >= a AND abs(net_score) >= n AND net_score < 0 THEN 'systemic_receiver' WHEN hub_share >= h THEN 'transmitter' WHEN authority_share >= a THEN 'receiver' WHEN net_score > 0 THEN 'net_source' WHEN net_score < 0 THEN 'net_sink' ELSE 'balanced' END AS role FROM nodes, q"""
+    _EDGES + _NODES + """, q AS (SELECT quantile_cont(out_degree, 0.75) AS o, quantile_cont(in_degree, 0.75) AS i, quantile_cont(hub_share, 0.75) AS h, quantile_cont(authority_share, 0.75) AS a FROM nodes)
+    --result SELECT node, CASE WHEN out_degree >= o AND hub_share >= h THEN 'transmitter' WHEN in_degree >= i AND authority_share >= a THEN 'receiver' WHEN out_degree > in_degree THEN 'net_source' WHEN in_degree > out_degree THEN 'net_sink' ELSE 'balanced' END AS role FROM nodes, q"""
 )
 def q_assign_roles(spark, d):
     return G.assign_roles(G.node_metrics(flat_edges(spark, d))).select("node", "role")
@@ -996,3 +1055,40 @@ def q_tick_coverage(spark, d):
 @query()
 def q_source_fingerprint(spark, d):
     return files.source_fingerprint(spark, f"{d}/lineitem.parquet")
+
+
+@query(
+    """WITH f AS (SELECT DISTINCT unnest(['close_logret_1d', 'Volume_' || p_size, 'body_ratio', 'upper_shadow', 'range_' || p_size, 'p' || p_size]) AS feature FROM part)
+    --result SELECT feature, CASE WHEN lower(feature) LIKE '%logret%' THEN 'Return' WHEN lower(feature) LIKE '%vol%' THEN 'Volume' WHEN lower(feature) LIKE '%body%' THEN 'Candlestick' WHEN lower(feature) LIKE '%shadow%' THEN 'Shadow' WHEN lower(feature) LIKE '%range%' THEN 'Position' ELSE 'Other' END || ' / ' || feature AS label FROM f"""
+)
+def q_feature_labels(spark, d):
+    n = F.col("p_size").cast("string")
+    names = F.array(F.lit("close_logret_1d"), F.concat(F.lit("Volume_"), n), F.lit("body_ratio"), F.lit("upper_shadow"), F.concat(F.lit("range_"), n), F.concat(F.lit("p"), n))
+    return table(spark, d, "part").select(F.explode(names).alias("feature")).distinct().select("feature", X.feature_label(F.col("feature")).alias("label"))
+
+
+@query("--result SELECT DISTINCT o_orderdate::DATE AS day, (o_orderdate::DATE - CASE isodow(o_orderdate) WHEN 6 THEN 1 WHEN 7 THEN 2 ELSE 0 END)::DATE AS weekday FROM orders")
+def q_previous_weekday(spark, d):
+    x = table(spark, d, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
+    return x.select("day", X.previous_weekday(F.col("day")).alias("weekday"))
+
+
+@query(
+    """WITH t AS (SELECT 'S' || (o_custkey % 7) AS symbol, o_orderkey AS k FROM orders), m AS (SELECT symbol FROM t GROUP BY symbol HAVING symbol IN ('S1', 'S2'))
+    --result SELECT symbol, k, 'manual_review_no_change' AS repair_method, 'look at ' || symbol AS repair_reason FROM t JOIN m USING (symbol) UNION ALL SELECT symbol, k, 'unclassified_no_change', 'No curated repair rule yet; inspect before mutating source data.' FROM t WHERE symbol NOT IN ('S1', 'S2', 'S3')"""
+)
+def q_review_queue(spark, d):
+    t = table(spark, d, "orders").select(F.concat(F.lit("S"), F.col("o_custkey") % 7).alias("symbol"), F.col("o_orderkey").alias("k"))
+    symbols = t.select("symbol").distinct()
+    manual = symbols.where("symbol in ('S1', 'S2')").withColumn("reason", F.concat(F.lit("look at "), "symbol"))
+    return C.review_queue(t, symbols.where("symbol = 'S3'"), manual)
+
+
+@query(S.with_(S.BARS_SQL) + """, w AS (SELECT symbol, date, CAST(substr(symbol, 2) AS INT) % 2 = 1 AS odd FROM bars), r AS (SELECT CASE WHEN odd AND date BETWEEN DATE '1998-02-01' AND DATE '1998-02-28' THEN 'scale' WHEN NOT odd AND date IN (DATE '1997-03-03', DATE '1997-03-10') THEN 'neighbour' END AS method FROM w)--result SELECT method, count(*) AS count FROM r WHERE method IS NOT NULL GROUP BY method""")
+def q_method_counts(spark, d):
+    return C.method_counts(C.apply_repair_rules(bars(spark, d), repair_rules(spark, d)))
+
+
+@query(_EDGES + "--result SELECT source, target, sum(weight) AS total FROM edges GROUP BY ALL ORDER BY 3 DESC, 1, 2 LIMIT 12", "total")
+def q_top_cells(spark, d):
+    return A.top_cells(edges(spark, d), "source", "target", "weight", 12)

@@ -78,9 +78,20 @@ def _bars(rows: DataFrame, volume) -> DataFrame:
 
 
 def normalize_okx_candles(landed: DataFrame, payload: str = "payload") -> DataFrame:
-    """Contract candles: volume in the quote currency if it is given, else in contracts."""
-    field = lambda i: F.try_element_at("c", F.lit(i + 1)).try_cast("double")
-    return _bars(parse_candle_payload(landed, payload, 6), F.coalesce(field(7), field(5)))
+    """Daily contract candles of nine fields; volume in the quote currency if it is given, else in contracts.
+
+    The last candle of a day stays, by its time and then by ingest order.
+    """
+    rows = parse_candle_payload(landed, payload, 9)
+    text = lambda i: F.nullif(F.element_at("c", i + 1), F.lit(""))
+    number = lambda i: F.coalesce(text(i).try_cast("double"), F.lit(0.0))
+    ms = F.element_at("c", 1).try_cast("long")
+    out = rows.select(
+        "symbol", F.to_date(F.timestamp_millis(ms).cast("timestamp_ntz")).alias("date"), _number(1).alias("open"), _number(2).alias("max"), _number(3).alias("min"), _number(4).alias("close"), _number(4).alias("adjclose"),
+        F.coalesce(text(7), text(5)).try_cast("double").alias("Trading_Volume"), number(5).alias("okx_volume_contract"), number(6).alias("okx_volume_base"), number(7).alias("okx_volume_quote"), F.coalesce(text(8).try_cast("int"), F.lit(0)).alias("okx_confirm"),
+        "ingest_seq", F.struct(ms.alias("ms"), "ingest_seq").alias("_order"),
+    )
+    return keep_last(out.where("date is not null and close is not null"), ["symbol", "date"], "_order").drop("_order")
 
 
 def normalize_bybit_candles(landed: DataFrame, payload: str = "payload") -> DataFrame:
