@@ -145,3 +145,45 @@ def test_graph_queries_take_all_order_lines(spark):
 def test_shocks_take_all_symbols(spark):
     want = {r.symbol for r in panel(spark, SF).where("year(date) >= 2000").select("symbol").distinct().collect()}
     assert len(want) > 2 and {r.source for r in QUERIES["q_shock_edges"](spark, SF).select("source").distinct().collect()} == want
+
+
+def test_fold_report_against_loops(spark):
+    """Two folds: ridge by its normal equations, the best k, fees and rank correlations, by plain loops."""
+    import datetime as dt
+    import math
+
+    import numpy as np
+
+    from tidemark.operators import folds as W
+
+    rng = np.random.default_rng(3)
+    rows = []
+    for year in (2020, 2021, 2022, 2023):
+        for i in range(6):
+            for s in range(4):
+                x = rng.standard_normal(2)
+                rows.append((dt.date(year, 3, 1 + i), f"S{s}", bool(rng.random() < 0.9), float(0.01 * x[0] + 0.01 * rng.standard_normal()), float(x[0]), float(x[1])))
+    df = spark.createDataFrame(rows, "date date, symbol string, tradable boolean, return_1d double, a double, b double")
+    folds = spark.createDataFrame([(0, 2021), (1, 2022)], "fold_id int, val_year int")
+    got = {(r.fold_id, r.split): r for r in W.fold_report(W.fold_scores(df, folds, ["a", "b"]), 2, 0.001, 0.003).collect()}
+    assert set(got) == {(0, "val"), (0, "test"), (1, "val"), (1, "test")}
+    for (fold, split), r in got.items():
+        year = 2021 + fold
+        train = [x for x in rows if x[2] and x[0].year < year]
+        m, y = np.array([x[4:] for x in train]), np.array([x[3] for x in train])
+        coef = np.linalg.solve((m - m.mean(0)).T @ (m - m.mean(0)) + np.eye(2), (m - m.mean(0)).T @ (y - y.mean()))
+        days, held, returns, ics = {}, {}, [], []
+        for x in rows:
+            if x[2] and ((x[0].year == year) if split == "val" else (x[0].year > year)):
+                days.setdefault(x[0], []).append((float(np.array(x[4:]) @ coef), x[1], x[3]))
+        for day in sorted(days):
+            best = sorted(days[day], reverse=True)[:2]
+            now = {s: 1 / len(best) for _, s, _ in best}
+            moves = {s: now.get(s, 0) - held.get(s, 0) for s in {*now, *held}}
+            returns.append(sum(now[s] * v for _, s, v in best) - 0.001 * sum(v for v in moves.values() if v > 0) + 0.003 * sum(v for v in moves.values() if v < 0))
+            held = now
+            by = lambda key: {s: i for i, (_, s) in enumerate(sorted((z[key], z[1]) for z in days[day]))}  # noqa: B023, E731
+            one, two = by(0), by(2)
+            n = len(one)
+            ics.append(np.corrcoef([one[s] for s in one], [two[s] for s in one])[0, 1] if n >= 2 else 0.0)
+        assert r.days == len(days) and r.cumulative_return == pytest.approx(math.expm1(sum(returns)), abs=1e-9) and r.ic_mean == pytest.approx(np.mean(ics), abs=1e-9)

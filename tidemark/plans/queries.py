@@ -14,6 +14,7 @@ from tidemark.functions.scratch import cut
 from tidemark.operators import attribution as A
 from tidemark.operators import cleaning as C
 from tidemark.operators import features as P
+from tidemark.operators import folds as W
 from tidemark.operators import graph as G
 from tidemark.operators import portfolio as B
 from tidemark.operators import universe as U
@@ -497,13 +498,64 @@ def q_assign_folds(spark, d):
 
 
 @query(
-    S.with_(*S.FULL) + _FOLDS + """, a AS (SELECT d.*, f.fold_id, min(year(date)) FILTER (year(date) > val_year) OVER (PARTITION BY f.fold_id) AS y1 FROM daily d, folds f)
-    --result SELECT run_id, fold_id, year(date)::INT AS year, sum(strategy_return) AS log_return, sum(benchmark_return) AS log_baseline, avg(turnover) AS mean_turnover FROM a WHERE year(date) = y1 GROUP BY ALL""",
-    "log_return log_baseline mean_turnover",
+    S.with_(*S.FULL) + _FOLDS + f""", a AS (SELECT d.*, f.fold_id, min(year(date)) FILTER (year(date) > val_year) OVER (PARTITION BY f.fold_id) AS y1 FROM daily d, folds f), firsts AS (SELECT * FROM a WHERE year(date) = y1),
+    conc AS (SELECT run_id, date, coalesce(sum(weight * weight) / nullif(pow(sum(abs(weight)), 2), 0), 0.0) AS hhi, max(abs(weight)) AS top FROM book GROUP BY ALL), m AS ({S.metrics("run_id, fold_id, year", "1e-8", "firsts")}),
+    l AS (SELECT run_id, fold_id, year(date)::INT AS year, sum(strategy_return) AS log_return, sum(benchmark_return) AS log_baseline, avg(hhi) AS mean_hhi, avg(top) AS mean_max_weight FROM firsts JOIN conc USING (run_id, date) GROUP BY ALL)
+    --result SELECT * FROM m JOIN l USING (run_id, fold_id, year)""",
+    FIGURES + " log_return log_baseline mean_hhi mean_max_weight",
 )
 def q_fold_first_year(spark, d):
-    first = B.first_test_year(B.assign_folds(daily(spark, d), B.expanding_year_folds(bars(spark, d))))
-    return first.groupBy("run_id", "fold_id", F.year("date").alias("year")).agg(F.sum("strategy_return").alias("log_return"), F.sum("benchmark_return").alias("log_baseline"), F.avg("turnover").alias("mean_turnover"))
+    x = momentum(spark, d)
+    b = book_of(x)
+    days = B.portfolio_daily(b, 0.001, 0.003).join(B.universe_average(x), "date")
+    return W.first_year_report(B.assign_folds(days, B.expanding_year_folds(x)), B.concentration(b))
+
+
+_SPLITS = _FOLDS + """, split_rows AS (SELECT f.fold_id, CASE WHEN year(date) < val_year THEN 'train' WHEN year(date) = val_year THEN 'val' ELSE 'test' END AS split, date, symbol, tradable, return_1d, close_logret_1d FROM feats, folds f)"""
+
+
+@query(S.with_(*S.PANEL) + _SPLITS + ", w AS (SELECT *, row_number() OVER (PARTITION BY fold_id, split ORDER BY date) AS i FROM (SELECT fold_id, split, date, bool_or(tradable AND return_1d IS NOT NULL) AS ok FROM split_rows GROUP BY ALL))--result SELECT fold_id, split, date FROM w WHERE i >= 20 AND ok")
+def q_window_dates(spark, d):
+    x = panel(spark, d)
+    return W.window_dates(B.assign_folds(x, B.expanding_year_folds(x)), 20)
+
+
+@query(
+    S.with_(*S.PANEL) + _SPLITS + """, t AS (SELECT fold_id, date, symbol, close_logret_1d * (fold_id + 1) AS score, min(date) OVER (PARTITION BY fold_id) AS first_date, dense_rank() OVER (PARTITION BY fold_id ORDER BY date) AS i FROM split_rows WHERE split = 'test'),
+    own AS (SELECT * FROM t WHERE i >= 20), lim AS (SELECT fold_id, min(date) AS lo, any_value(first_date) AS split FROM own GROUP BY fold_id)
+    --result SELECT fold_id, date, symbol, score, false AS warmup FROM own UNION ALL SELECT (o.fold_id + 1)::INT, date, symbol, score, true FROM own o JOIN lim ON lim.fold_id = o.fold_id + 1 WHERE date < lo AND date >= split""",
+    "score",
+)
+def q_warmup_union(spark, d):
+    x = panel(spark, d)
+    a = B.assign_folds(x, B.expanding_year_folds(x)).where("split = 'test'")
+    first = a.groupBy("fold_id").agg(F.min("date").alias("first_date"))
+    place = F.dense_rank().over(Window.partitionBy("fold_id").orderBy("date"))
+    own = a.withColumn("_i", place).where("_i >= 20").join(first, "fold_id").select("fold_id", "date", "first_date", "symbol", (F.col("close_logret_1d") * (F.col("fold_id") + 1)).alias("score"))
+    return W.warmup_union(own).select("fold_id", "date", "symbol", "score", "warmup")
+
+
+@query(
+    S.with_(S.BARS_SQL) + """, days AS (SELECT DISTINCT date, quarter(date)::INT AS fold_id FROM bars), n AS (SELECT *, sum(new) OVER (ORDER BY date) AS segment FROM (SELECT *, coalesce((fold_id != lag(fold_id) OVER (ORDER BY date))::BIGINT, 0) AS new FROM days))
+    --result SELECT segment::BIGINT AS segment, fold_id, min(date) AS "first", max(date) AS "last", count(*) AS rows FROM n GROUP BY ALL"""
+)
+def q_segments(spark, d):
+    return W.segments(bars(spark, d).select("date").distinct().withColumn("fold_id", F.quarter("date")), "fold_id")
+
+
+@query(
+    S.with_(*S.PANEL, S.BOOK) + """, m AS (SELECT *, year(date)::BIGINT AS segment, abs(weight - lag(weight, 1, 0.0) OVER (PARTITION BY run_id, year(date), symbol ORDER BY date)) AS d FROM book)
+    --result SELECT run_id, segment, date, sum(weight * coalesce(return_1d, 0)) AS gross_return, sum(d) AS turnover FROM m GROUP BY ALL""",
+    "gross_return turnover",
+)
+def q_segment_turnover(spark, d):
+    return W.segment_turnover(book(spark, d).withColumn("segment", F.year("date").cast("long")))
+
+
+@query()
+def q_fold_report(spark, d):
+    x = cut(panel(spark, d))
+    return W.fold_report(W.fold_scores(x, B.expanding_year_folds(x), MODEL), 5, 0.001, 0.003)
 
 
 @query(S.with_(*S.FULL) + _FOLDS + """, a AS (SELECT d.*, f.fold_id, min(year(date)) FILTER (year(date) > val_year) OVER (PARTITION BY f.fold_id) AS y1 FROM daily d, folds f)

@@ -81,7 +81,7 @@ daily AS MATERIALIZED (
 )"""
 
 
-def metrics(by: str, epsilon: str = "0") -> str:
+def metrics(by: str, epsilon: str = "0", source: str = "daily") -> str:
     """SELECT of the performance figures of `daily`, grouped by `by`."""
 
     def over(mean: str, spread: str) -> str:
@@ -94,7 +94,7 @@ SELECT *, CASE WHEN max_drawdown < 0 THEN annualized_return / abs(max_drawdown)
     {over("avg(r)", "stddev_pop(r)")} AS sharpe, {over("avg(b)", "stddev_pop(b)")} AS sharpe_baseline, {over("avg(r)", low("r"))} AS sortino, {over("avg(b)", low("b"))} AS sortino_baseline,
     min(exp(c - peak) - 1) AS max_drawdown, avg(turnover) AS mean_turnover, avg((r > 0)::INT) AS hit_rate, exp(sum(b)) - 1 AS cumulative_benchmark
   FROM (SELECT *, max(c) OVER (PARTITION BY {by} ORDER BY date) AS peak FROM (
-    SELECT *, sum(strategy_return) OVER (PARTITION BY {by} ORDER BY date) AS c, strategy_return AS r, benchmark_return AS b FROM (SELECT *, year(date)::INT AS year FROM daily)))
+    SELECT *, sum(strategy_return) OVER (PARTITION BY {by} ORDER BY date) AS c, strategy_return AS r, benchmark_return AS b FROM (SELECT *, year(date)::INT AS year FROM {source})))
   GROUP BY {by})"""
 
 
