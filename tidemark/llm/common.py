@@ -47,9 +47,11 @@ def fold(column) -> F.Column:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder below the shared `spark.checkpoint.dir`; a local one only if that is unset."""
+    """A new folder below the shared `spark.checkpoint.dir`; a local one only where it is unset in local mode."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: intermediate tables need a folder that all nodes share")
         root = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/tidemark-{uuid.uuid4().hex}"

@@ -84,6 +84,11 @@ def _found(docs: DataFrame, benchmark: DataFrame, threshold: float, width: int,
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """`docs` without the rows that contain a benchmark item; rows with a null id stay."""
+    """`docs` without the rows that contain a benchmark item; rows with a null id stay.
+
+    Rows are told apart by id and text, so an id that stands for two texts
+    loses only the one that leaks; repeated rows go or stay together.  Extra
+    columns are kept, and an empty table stays empty.
+    """
     found = written(_found(docs, benchmark, threshold, WIDTH, MISS).select("doc_id", "tidemark_key").distinct())
     return docs.withColumn("tidemark_key", F.xxhash64("text")).join(found, ["doc_id", "tidemark_key"], "left_anti").select(docs.columns)

@@ -433,7 +433,9 @@ def keep_one(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """
     with temporary(docs.sparkSession):
         marked = written(_marked(*_linked(docs, width, percent)), keep=True)
+    few = marked.count() <= BROADCAST_ROWS
     marked = marked.select(F.col("doc_id").alias("tidemark_id"), F.col("h").alias("tidemark_h"), F.col("rows").alias("tidemark_rows"))
+    marked = F.broadcast(marked) if few else marked
     names = docs.columns
     same = F.col("doc_id").eqNullSafe(F.col("tidemark_id")) & (F.xxhash64("text") == F.col("tidemark_h"))
     left = docs.join(marked, same, "left")
