@@ -60,6 +60,29 @@ def test_redaction(spark):
     assert got[8].text == "é\U0001F600 [SECRET] x"
 
 
+def test_battery_on_planted_keys(spark):
+    """Share of random keys found, and of paths, names, dates and rules reported, one token a text."""
+    rng = random.Random(4)
+    letters, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    both = letters + letters.upper()
+    keys = {"base64": (both + digits + "+/", 32), "url": (both + digits + "-_", 22), "base32": (letters.upper() + "234567", 32), "base36": (letters + digits, 24), "HEX": (digits + "ABCDEF", 20), "decimal": (digits, 30), "letters": (both, 32)}
+    rows = [(kind, "x " + "".join(rng.choices(chars, k=n)) + " y") for kind, (chars, n) in keys.items() for _ in range(150)]
+    names = "the of configuration manager internal service request response handler factory abstract builder document element parser stream buffer index table partition column value string number collection".split()
+    joined = {"path": "/".join, "snake": "_".join, "camel": lambda w: "".join(x.title() for x in w), "upper": lambda w: "_".join(w).upper()}
+    rows += [(kind, "x " + join(rng.choices(names, k=5)) + " y") for kind, join in joined.items() for _ in range(150)]
+    rows += [("plain", "x " + "-" * (20 + i) + " 2024-01-%02d-10-00-00-000 y" % i) for i in range(1, 30)]
+    found = (F.size(F.filter("found", lambda s: s["rank"] == 3)) > 0).cast("double")
+    got = {r.kind: r.share for r in secret_scan.scan(spark.createDataFrame(rows, "kind string, text string")).groupBy("kind").agg(F.avg(found).alias("share")).collect()}
+    assert all(got[k] >= (0.8 if k == "letters" else 0.93) for k in keys), got
+    assert all(got[k] <= 0.05 for k in [*joined, "plain"]), got
+
+
+def test_many_matches_in_one_text(spark):
+    piece = "é deadbeefdeadbeef "
+    got = secret_scan.scan(spark.createDataFrame([(piece * 100_000,)], "text string")).select("n_hex", F.element_at("found", 257).alias("a"), F.element_at("found", -1).alias("z")).first()
+    assert got.n_hex == 100_000 and (got.a.start, got.a.end) == (256 * 19 + 2, 256 * 19 + 18) and (got.z.start, got.z.end) == (99_999 * 19 + 2, 99_999 * 19 + 18)
+
+
 LICENSES = [
     None, "", "mit", "Released under the MIT License.", "under the mit license under the MIT-license", "Apache License, Version 2.0 and CC BY-NC 4.0 and cc/by/nc", "licensed under the GNU General Public License, version 3",
     "SPDX-License-Identifier: MPL-2.0", "all rights reserved. Copyright (c) 2020", "wir gehen mit", "x " * 40000 + "under the mit license",
@@ -81,7 +104,21 @@ def test_licenses(spark):
         assert r.base_labels == ",".join(sorted(labels)) and labels <= set(r.labels.split(",")) | set() if labels else True
         assert 0 <= r.score <= 1
     assert got[6].labels == "gpl-3" and got[7].labels == "mpl-2" and got[9].labels == "" and "apache" not in got[5].labels.split(",")
-    assert len(license_scan.rules()) > 300
+    assert len(license_scan.rules()) > 400
+
+
+def test_every_written_phrase_is_found_alone(spark):
+    """A text made from each phrase's own rule gives a detection with its label, through its own keyword."""
+    def spelt(regex):
+        one = regex.replace("f[a-z]*", "fun").replace("licen[cs]e", "license").replace("[0-9]{2}", "20").replace("[0-9]{4}", "1999").replace("[0-9]", "2")
+        one = re.sub(r"\(\?:([^()|]*)(?:\|[^()]*)?\)\??", r"\1", one)
+        return re.sub(r"([\w ])\?", r"\1", one)
+
+    texts = [spelt(p[4]) for p in license_scan.PHRASES]
+    for text, (_, keyword, _, _, regex) in zip(texts, license_scan.PHRASES, strict=True):
+        assert re.fullmatch(regex, text) and any(k in text for k in keyword.split("|")), (text, regex)
+    got = {r.doc_id: {d.label for d in r.detections} for r in license_scan.scan(frame(spark, texts)).collect()}
+    assert all(p[0] in got[i] for i, p in enumerate(license_scan.PHRASES)), [texts[i] for i, p in enumerate(license_scan.PHRASES) if p[0] not in got[i]]
 
 
 # one text per form and per phrase, each without a licensing word beside its own

@@ -5,8 +5,8 @@ tested by the rules whose own keyword it holds, and every match of a rule holds
 one of its keywords, so the gates lose nothing; every rule is a regular
 expression over the words and has a label, a priority and a confidence.  A detection that lies inside another's interval
 is suppressed unless its priority is better.  Rules are built from the names
-of licences and the forms in which licences are referred to, and a few are
-written out for the texts of licences.  All of it is column expressions on
+of licences and the forms in which licences are referred to, and more are
+written out for the texts and notices of licences.  All of it is column expressions on
 the row's own text.
 """
 
@@ -92,22 +92,116 @@ FORMS = (
     (5, 0.6, r"(?:the |a |an )(?:{name}) licen[cs]e[ds]?"),
 )
 
-# label, keyword, priority, confidence, regex: phrases from the texts of licences
+# label, keyword, priority, confidence, regex: phrases from the texts and notices of licences
 PHRASES = (
     ("mit", "permission is", 2, 0.95, r"permission is hereby granted free of charge to any person obtaining a copy of this software"),
+    ("mit", "deal in the software", 3, 0.85, r"to deal in the software without restriction including without limitation the rights"),
+    ("mit", "substantial portions", 3, 0.85, r"shall be included in all copies or substantial portions of the software"),
+    ("mit", "authors or copyright", 4, 0.7, r"in no event shall the authors or copyright holders be liable for any claim"),
+    ("mit", "noninfringement", 5, 0.6, r"fitness for a particular purpose and noninfringement"),
+    ("x11", "promote the sale", 2, 0.85, r"to promote the sale use or other dealings in this software without prior written authorization"),
     ("isc", "permission to use", 2, 0.95, r"permission to use copy modify and or distribute this software for any purpose with or without fee"),
+    ("isc", "the author disclaims", 3, 0.8, r"the author disclaims all warranties with regard to this software"),
+    ("hpnd", "supporting documentation", 3, 0.8, r"that copyright notice and this permission notice appear in supporting documentation"),
     ("bsd", "redistributions", 2, 0.9, r"redistributions of source code must retain the above copyright notice"),
+    ("bsd", "binary form must", 2, 0.9, r"redistributions in binary form must reproduce the above copyright notice"),
+    ("bsd", "source and binary", 3, 0.85, r"redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd", "copyright holders and", 4, 0.75, r"this software is provided by the copyright holders and contributors as is"),
     ("bsd-3", "endorse", 1, 0.95, r"be used to endorse or promote products derived from this software"),
+    ("bsd-3", "nor the names", 2, 0.9, r"neither the name of the copyright holder nor the names of its contributors may be used"),
+    ("bsd-4", "advertising materials", 1, 0.95, r"all advertising materials mentioning features or use of this software must display"),
+    ("bsd", "bsd style", 3, 0.8, r"governed by a bsd style licen[cs]e"),
     ("apache-2", "compliance", 1, 0.95, r"you may not use this file except in compliance with the license"),
+    ("apache-2", "apache org", 2, 0.95, r"www apache org licenses license 2 0"),
+    ("apache-2", "as is basis", 3, 0.85, r"distributed on an as is basis without warranties or conditions of any kind"),
+    ("apache-2", "contributor license", 3, 0.8, r"(?:licensed to the apache software foundation asf )?under one or more contributor license agreements"),
+    ("apache-2", "notice text file", 3, 0.85, r"if the work includes a notice text file as part of its distribution"),
+    ("apache-2", "derivative works a copy", 3, 0.85, r"you must give any other recipients of the work or derivative works a copy of this license"),
+    ("apache-1.1", "apache software foundation", 3, 0.8, r"this product includes software developed by the apache software foundation"),
     ("gpl", "free software", 2, 0.9, r"this program is free software you can redistribute it and or modify"),
     ("gpl", "without even", 3, 0.7, r"without even the implied warranty of merchantability"),
+    ("gpl", "should have received", 2, 0.85, r"you should have received a copy of the gnu general public license"),
+    ("gpl", "copyleft", 3, 0.75, r"is a free copyleft license for software and other kinds of works"),
+    ("gpl", "share and change", 3, 0.85, r"your freedom to share and change (?:it|free software|all versions)"),
+    ("gpl-2", "or at your option", 2, 0.9, r"either version 2 of the license or at your option any later version"),
+    ("gpl-3", "or at your option", 2, 0.9, r"either version 3 of the license or at your option any later version"),
+    ("gpl-2", "version 2 only", 2, 0.9, r"gnu general public license version 2 only"),
+    ("gpl-2", "franklin", 3, 0.8, r"free software foundation inc 51 franklin street fifth floor boston"),
+    ("gpl-2", "temple place", 3, 0.8, r"free software foundation inc 59 temple place"),
+    ("gpl-3", "convey", 3, 0.85, r"you may convey verbatim copies of the program s source code as you receive it"),
+    ("gpl-3", "anti circumvention", 3, 0.85, r"protecting users legal rights from anti circumvention law"),
+    ("gpl-classpath", "classpath", 1, 0.9, r"(?:gpl )?with (?:the )?classpath exception"),
+    ("gpl-classpath", "linking this library", 1, 0.9, r"linking this library statically or dynamically with other modules is making a combined work"),
+    ("lgpl", "this library is free", 2, 0.9, r"this library is free software you can redistribute it and or modify"),
+    ("lgpl", "gnu lesser", 2, 0.9, r"received a copy of the gnu lesser general public license"),
+    ("lgpl-2.1", "or at your option", 2, 0.9, r"either version 2 1 of the license or at your option any later version"),
+    ("lgpl", "work that uses the library", 2, 0.85, r"such a work in isolation is called a work that uses the library"),
+    ("agpl", "affero", 2, 0.9, r"received a copy of the gnu affero general public license"),
+    ("agpl-3", "remotely through", 2, 0.9, r"all users interacting with it remotely through a computer network"),
+    ("gfdl", "invariant sections", 2, 0.9, r"with no invariant sections no front cover texts and no back cover texts"),
+    ("gfdl", "distribute and or modify this document", 2, 0.9, r"permission is granted to copy distribute and or modify this document"),
+    ("mpl-2", "source code form", 1, 0.95, r"this source code form is subject to the terms of the mozilla public license"),
+    ("mpl-2", "mozilla org", 2, 0.9, r"(?:one at )?mozilla org mpl 2 0"),
+    ("mpl-1.1", "contents of this file", 2, 0.9, r"the contents of this file are subject to the mozilla public license version 1 1"),
+    ("mpl-1.1", "alternatively", 3, 0.7, r"alternatively the contents of this file may be used under the terms of"),
+    ("epl-1", "eclipse org", 2, 0.9, r"www eclipse org legal epl v10"),
+    ("epl-2", "eclipse org", 2, 0.9, r"www eclipse org legal epl (?:v20|2 0)"),
+    ("epl", "accompanying materials", 3, 0.75, r"this program and the accompanying materials are made available under the terms"),
+    ("cddl-1", "cddl", 2, 0.85, r"(?:subject to the terms of|licensed under) the cddl"),
+    ("cddl-1", "common development", 2, 0.9, r"the contents of this file are subject to the terms of the common development and distribution license"),
+    ("eupl", "eupl", 2, 0.85, r"licensed under the eupl(?: version)? 1 2"),
+    ("ms-pl", "microsoft public", 2, 0.9, r"microsoft public licen[cs]e(?: ms pl)?"),
+    ("ms-rl", "microsoft reciprocal", 2, 0.9, r"microsoft reciprocal licen[cs]e(?: ms rl)?"),
     ("unlicense", "unencumbered", 1, 0.95, r"this is free and unencumbered software released into the public domain"),
+    ("unlicense", "anyone is free", 2, 0.9, r"anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("unlicense", "unlicense org", 2, 0.9, r"(?:refer to )?unlicense org"),
     ("wtfpl", "what the", 2, 0.9, r"do what the f[a-z]* you want to public licen[cs]e"),
+    ("wtfpl", "you just do", 2, 0.9, r"you just do what the f[a-z]* you want to"),
     ("zlib", "misrepresented", 2, 0.9, r"the origin of this software must not be misrepresented"),
+    ("zlib", "altered source", 2, 0.9, r"altered source versions must be plainly marked as such"),
+    ("zlib", "express or implied", 4, 0.6, r"this software is provided as is without any express or implied warranty"),
     ("boost-1", "machine executable", 2, 0.9, r"machine executable object code generated by a source language processor"),
+    ("boost-1", "boost org", 2, 0.9, r"www boost org license 1 0"),
+    ("artistic-2", "distributor fee", 3, 0.8, r"you may distribute your modified version as source either gratis or for a distributor fee"),
+    ("artistic-1", "artistic control", 2, 0.85, r"maintains some semblance of artistic control over the development of the package"),
+    ("perl", "terms as perl", 2, 0.85, r"under the same terms as perl(?: 5)? itself"),
+    ("ruby", "ruby", 3, 0.8, r"(?:under the )?same terms as ruby"),
+    ("php", "php", 2, 0.85, r"version 3 01 of the php licen[cs]e"),
+    ("openssl", "openssl", 2, 0.9, r"this product includes software developed by the openssl project"),
+    ("ofl-1.1", "reserved font", 2, 0.9, r"with reserved font name"),
+    ("ofl-1.1", "font software", 2, 0.9, r"this font software is licensed under the sil open font license"),
+    ("odbl", "open database", 2, 0.9, r"made available under the open database license"),
+    ("odc-by", "open data commons", 2, 0.85, r"open data commons attribution licen[cs]e"),
+    ("pddl", "open data commons", 2, 0.85, r"open data commons public domain dedication and licen[cs]e"),
+    ("psf", "psf", 2, 0.85, r"psf licen[cs]e agreement for python"),
     ("cc0", "rights reserved", 2, 0.8, r"no rights reserved"),
-    ("all-rights-reserved", "rights reserved", 4, 0.7, r"all rights reserved"),
+    ("cc0", "waived", 1, 0.9, r"has waived all copyright and related or neighboring rights"),
+    ("cc0", "publicdomain zero", 1, 0.95, r"creativecommons org publicdomain zero 1 0"),
+    ("cc-by", "creativecommons org", 2, 0.95, r"creativecommons org licenses by [0-9] [0-9]"),
+    ("cc-by-sa", "creativecommons org", 2, 0.95, r"creativecommons org licenses by sa [0-9] [0-9]"),
+    ("cc-by-nc", "creativecommons org", 2, 0.95, r"creativecommons org licenses by nc [0-9] [0-9]"),
+    ("cc-by-nd", "creativecommons org", 2, 0.95, r"creativecommons org licenses by nd [0-9] [0-9]"),
+    ("cc-by-nc-sa", "creativecommons org", 2, 0.95, r"creativecommons org licenses by nc sa [0-9] [0-9]"),
+    ("cc-by-nc-nd", "creativecommons org", 2, 0.95, r"creativecommons org licenses by nc nd [0-9] [0-9]"),
+    ("cc", "some rights", 4, 0.6, r"some rights reserved"),
+    ("public-domain", "dedicated to the public", 2, 0.9, r"(?:is )?(?:hereby )?dedicated to the public domain"),
+    ("public-domain", "placed", 2, 0.85, r"placed (?:it )?in(?:to)? the public domain"),
+    ("busl", "business source", 2, 0.9, r"business source licen[cs]e(?: 1 1)?"),
+    ("sspl", "server side public", 2, 0.9, r"server side public licen[cs]e"),
+    ("elastic-2", "elastic", 2, 0.85, r"elastic licen[cs]e (?:version |v )?2(?: 0)?"),
+    ("commons-clause", "commons clause", 2, 0.85, r"commons clause licen[cs]e condition"),
+    ("json", "good not evil", 1, 0.95, r"the software shall be used for good not evil"),
+    ("beerware", "buy me a beer", 1, 0.95, r"you can buy me a beer in return"),
+    ("non-commercial", "commercial", 3, 0.7, r"for (?:academic and )?non ?commercial use only"),
+    ("non-commercial", "research purposes", 3, 0.7, r"for research purposes only"),
+    ("evaluation", "evaluation purposes", 3, 0.7, r"for evaluation purposes only"),
     ("proprietary", "proprietary", 4, 0.7, r"proprietary and confidential"),
+    ("proprietary", "trade secret", 4, 0.7, r"(?:contains|contain|are) (?:confidential and )?(?:valuable )?trade secrets? of"),
+    ("proprietary", "unauthorized copying", 3, 0.8, r"unauthorized copying of this file via any medium is strictly prohibited"),
+    ("proprietary", "end user", 4, 0.7, r"end user licen[cs]e agreement"),
+    ("proprietary", "reverse engineer", 4, 0.7, r"you may not reverse engineer decompile or disassemble"),
+    ("all-rights-reserved", "rights reserved", 4, 0.7, r"all rights reserved"),
+    ("all-rights-reserved", "may be reproduced", 4, 0.7, r"no part of this (?:publication|book|work) may be reproduced"),
     ("copyright", "copyright", 6, 0.3, r"copyright (?:c )?(?:19|20)[0-9]{2}"),
 )
 

@@ -2,12 +2,12 @@
 
 All of it is column expressions on the row's own text; nothing is shuffled.
 
-A candidate is a long run of base-64 or URL-safe characters with at least one
-digit and one letter.  Its encoding is inferred from the characters it uses.
-Under the hypothesis that it is random in that encoding, three statistics are
-computed: chi-squared over the classes of the alphabet, runs above and below
-the middle, and serial correlation of neighbours.  Fisher's method combines
-them.  Within a document, a step-up procedure dismisses candidates as text
+A candidate is a long run of base-64 or URL-safe characters.  Its encoding is
+inferred from the characters it uses.  Under the hypothesis that it is random
+in that encoding, four statistics are computed: chi-squared over the characters
+of the alphabet and over its classes (digits, halves of the letters, marks),
+runs above and below the middle, and serial correlation of neighbours.
+Fisher's method combines them.  Within a document, a step-up procedure dismisses candidates as text
 while it controls the share of dismissed secrets; a candidate's weight grows
 with its length, because long ones give the tests more power.  What is not
 dismissed and carries enough bits is reported as `random`.
@@ -31,7 +31,7 @@ KINDS = ("assign", "access", "hex", "random")
 
 #: Opaque tokens.
 TOKEN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
-LEAST_BITS = 90.0
+LEAST_BITS = 80.0
 #: Rate of false discoveries: of random tokens among those dismissed as text.
 RATE = 0.01
 
@@ -77,15 +77,21 @@ def _count_of(token: Column, characters: str) -> Column:
 def _battery(token: Column) -> Column:
     """struct(p, bits): how well the token agrees with randomness in its encoding, and its size."""
 
-    def classes_of(body: Column) -> Column:
-        """Chi-squared statistic, degrees of freedom and bits in the first encoding that fits."""
+    def uniformity(body: Column) -> Column:
+        """Chi-squared over characters and over classes, degrees of freedom of both, and bits in the first encoding that fits."""
         n = F.length(body).cast("double")
+        seen = F.array_distinct(F.split(body, "(?!$)"))
+        squares = F.aggregate(seen, F.lit(0.0), lambda a, c: a + F.pow(n - F.length(F.replace(body, c, F.lit(""))), 2))
         out = None
         for _, shape, size, classes in reversed(ENCODINGS):
             chi = sum(F.pow(_count_of(body, c) - n * (share / size), 2) / (n * (share / size)) for c, share in classes)
-            this = F.struct(chi.alias("chi"), F.lit(float(len(classes) - 1)).alias("df"), (n * math.log2(size)).alias("bits"))
+            this = F.struct(F.lit(float(size)).alias("size"), chi.alias("chi"), F.lit(float(len(classes) - 1)).alias("df"), (n * math.log2(size)).alias("bits"))
             out = this if out is None else F.when(body.rlike(shape), this).otherwise(out)
-        return out
+
+        def with_characters(c: Column) -> Column:
+            return F.struct((squares * c["size"] / n - n).alias("each"), (c["size"] - 1).alias("each_df"), c["chi"].alias("chi"), c["df"].alias("df"), c["bits"].alias("bits"))
+
+        return let(out, with_characters)
 
     def centred(codes: Column) -> Column:
         return let(F.aggregate(codes, F.lit(0.0), lambda a, x: a + x) / F.size(codes), lambda mean: F.transform(codes, lambda x: x - mean))
@@ -115,18 +121,19 @@ def _battery(token: Column) -> Column:
         order = let(let(centred(codes), sums), order_tests)
 
         def joined(c: Column) -> Column:
-            half = order - F.ln(F.greatest(_chi_squared_tail(c["chi"], c["df"]), F.lit(1e-300)))
-            return let(half, lambda h: F.struct((F.exp(-h) * (1 + h + h * h / 2)).alias("p"), c["bits"].alias("bits")))
+            tails = (F.ln(F.greatest(_chi_squared_tail(c[chi], c[df]), F.lit(1e-300))) for chi, df in (("each", "each_df"), ("chi", "df")))
+            half = order - sum(tails)
+            # tail of chi-squared with eight degrees of freedom at 2 h
+            return let(half, lambda h: F.struct((F.exp(-h) * (1 + h + h * h / 2 + h * h * h / 6)).alias("p"), c["bits"].alias("bits")))
 
-        return let(classes_of(body), joined)
+        return let(uniformity(body), joined)
 
     return let(F.rtrim(F.translate(token, "=", " ")), combined)
 
 
 def _random_spans(text: Column) -> Column:
     """Opaque tokens that the step-up procedure doesn't dismiss."""
-    tokens = F.filter(match_spans(text, TOKEN), lambda s: s["hit"].rlike("[0-9]") & s["hit"].rlike("[A-Za-z]"))
-    tested = F.transform(tokens, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), _battery(s["hit"]).alias("b")))
+    tested = F.transform(match_spans(text, TOKEN), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), _battery(s["hit"]).alias("b")))
 
     def weighted(tested: Column) -> Column:
         m = F.greatest(F.size(tested), F.lit(1))
@@ -181,7 +188,11 @@ def rendered(spans: Column) -> Column:
 
 
 def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """`docs` with every secret in `text` replaced by `mark`, and n_chars set anew; rows without one stay as they are."""
+    """`docs` with every secret in `text` replaced by `mark`, and n_chars set anew; rows without one stay as they are.
+
+    A null or empty text stays as it is, overlapping spans give one mark, repeated
+    rows are each rewritten, an empty table stays empty, and other columns pass.
+    """
     names = docs.columns
     out = docs.withColumn("tidemark_spans", spans_of(F.coalesce(F.col("text"), F.lit(""))))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))

@@ -13,11 +13,16 @@ def let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+#: Matches of a text are placed in blocks of this many, so that arrays never grow by more than one block or list of blocks.
+BLOCK = 256
+
+
 def match_spans(text: Column, pattern: Column | str) -> Column:
     """The leftmost non-overlapping matches of `pattern`: start, end (code points, exclusive) and text.
 
     Splitting gives what lies between the matches, so running sums of lengths
-    give the places.  The pattern must not match the empty string.
+    give the places: within blocks of matches first, then over the blocks.
+    The pattern must not match the empty string.
     """
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
     pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("hit"))
@@ -32,4 +37,15 @@ def match_spans(text: Column, pattern: Column | str) -> Column:
 
         return let(F.struct(start.alias("start"), (start + F.coalesce(F.length(hit), F.lit(0))).alias("end"), hit.alias("hit")), placed)
 
-    return F.aggregate(pairs, none, add, lambda s: s["out"])
+    def in_blocks(pairs: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.size(pairs), F.lit(BLOCK))
+        blocks = F.transform(firsts, lambda first: F.aggregate(F.slice(pairs, first, F.lit(BLOCK)), none, add))
+        nothing = F.struct(F.lit(0).alias("at"), F.from_json(F.lit("[]"), f"array<{SPAN}>").alias("out"))
+
+        def follow(state: Column, block: Column) -> Column:
+            moved = F.transform(block["out"], lambda s: F.struct((s["start"] + state["at"]).alias("start"), (s["end"] + state["at"]).alias("end"), s["hit"].alias("hit")))
+            return F.struct((state["at"] + block["at"]).alias("at"), F.concat(state["out"], F.array(moved)).alias("out"))
+
+        return F.aggregate(blocks, nothing, follow, lambda s: F.flatten(s["out"]))
+
+    return let(pairs, lambda pairs: F.when(F.size(pairs) <= BLOCK, F.aggregate(pairs, none, add, lambda s: s["out"])).otherwise(in_blocks(pairs)))
