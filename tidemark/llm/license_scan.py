@@ -12,6 +12,8 @@ the row's own text.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -212,6 +214,19 @@ def rules() -> list[tuple[str, str, int, float, str]]:
     return sorted([*out, *PHRASES], key=lambda r: r[2])
 
 
+#: Keywords are looked for only in texts that hold their rules' stem.
+STEMS = ("software", "licen", "copy", "rights", "public", "version", "terms", "purpose", "source")
+
+
+def _stem(keyword: str) -> str:
+    """The first stem that every match of the keyword's rules holds, as it stands in them outside groups; empty if none."""
+    regexes = [regex for _, keywords, _, _, regex in rules() if keyword in keywords.split("|")]
+    plain = regexes
+    while any("(?:" in r for r in plain):
+        plain = [re.sub(r"\(\?:[^()]*\)\??", "|", r) for r in plain]
+    return next((stem for stem in STEMS if all(stem in r for r in plain)), "")
+
+
 def _whole(pattern: str) -> str:
     return rf"(?<![^ ])(?:{pattern})(?![^ ])"
 
@@ -239,8 +254,13 @@ def scan(docs: DataFrame) -> DataFrame:
     for label, keywords, rank, sure, regex in rules():
         for keyword in keywords.split("|"):
             groups.setdefault(keyword, []).append(F.struct(F.lit(label).alias("label"), F.lit(rank).alias("rank"), F.lit(sure).alias("sure"), F.lit(_whole(regex)).alias("regex")))
-    table = F.array(*(F.struct(F.lit(keyword).alias("keyword"), F.array(*group).alias("rules")) for keyword, group in groups.items()))
-    open_rules = F.flatten(F.transform(F.filter(table, lambda g: F.contains(w, g["keyword"])), lambda g: g["rules"]))
+    keyed = {keyword: F.struct(F.lit(keyword).alias("keyword"), F.array(*group).alias("rules")) for keyword, group in groups.items()}
+    stems: dict[str, list[Column]] = {}
+    for keyword, group in keyed.items():
+        stems.setdefault(_stem(keyword), []).append(group)
+    table = F.array(*(F.struct(F.lit(stem).alias("stem"), F.array(*own).alias("groups")) for stem, own in stems.items()))
+    near = F.flatten(F.transform(F.filter(table, lambda t: F.contains(w, t["stem"])), lambda t: t["groups"]))
+    open_rules = F.flatten(F.transform(F.filter(near, lambda g: F.contains(w, g["keyword"])), lambda g: g["rules"]))
     hits = F.flatten(F.transform(open_rules, lambda r: found(match_spans(w, r["regex"]), r["label"], r["rank"], r["sure"])))
     out = out.withColumn("tidemark_hits", hits)
 
