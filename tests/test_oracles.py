@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from tidemark.plans.queries import ORACLES, QUERIES
+from tidemark.plans.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

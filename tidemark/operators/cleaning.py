@@ -346,8 +346,25 @@ def incremental_merge(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFr
     return merged, now.select("symbol", added.alias("added"), F.when(added > 0, "updated").otherwise("up_to_date").alias("status"))
 
 
-def coverage(audited: DataFrame, as_of: Column) -> DataFrame:
-    out = audited.agg(F.min("first_date").alias("oldest"), F.max("last_date").alias("newest"), F.count("*").alias("tracked"))
+REPAIRED = ("repaired", "schema_repaired", "new_symbol_repaired")
+
+
+def coverage(audited: DataFrame, as_of: Column, repaired: DataFrame | None = None) -> DataFrame:
+    """One row: oldest first date, newest last date, its lag behind `as_of` and the number of symbols with a last date.
+
+    repaired: (symbol, status, last_date), one row per symbol; a repaired
+    symbol's last date takes the place of the audited one, and symbols without
+    a first date or of status `broken` are then left out.  Without any first
+    or last date all figures are null and `tracked` is 0.
+    """
+    last = F.col("last_date")
+    if repaired is not None:
+        fixed = repaired.where(F.col("status").isin(*REPAIRED)).select("symbol", F.col("last_date").alias("_fixed"))
+        audited = audited.where("first_date is not null and not (status <=> 'broken')").join(fixed, "symbol", "left")
+        last = F.coalesce("_fixed", "last_date")
+    out = audited.agg(F.min("first_date").alias("oldest"), F.max(last).alias("newest"), F.count(last).alias("tracked"))
+    known = F.col("oldest").isNotNull() & F.col("newest").isNotNull()
+    out = out.select(*(F.when(known, F.col(c)).alias(c) for c in ("oldest", "newest")), F.when(known, F.col("tracked")).otherwise(F.lit(0)).alias("tracked"))
     return out.withColumn("lag_days", F.datediff(as_of, F.col("newest")))
 
 

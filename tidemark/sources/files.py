@@ -17,9 +17,12 @@ BARS = T.StructType(
 
 
 def scan_symbol_files(spark: SparkSession, root: str, suffix: str = "_features.parquet") -> DataFrame:
-    """All `<symbol>_features.parquet` files of a folder; the symbol comes from the file name."""
+    """All `<symbol>_features.parquet` files of a folder, or folders of that name (also `column=<symbol>_features.parquet`).
+
+    The symbol comes from the name of the file or of its folder.
+    """
     rows = spark.read.option("mergeSchema", "true").parquet(f"{root.rstrip('/')}/*{suffix}")
-    return rows.withColumn("symbol", F.regexp_extract(F.col("_metadata.file_name"), "^(.*)" + suffix.replace(".", r"\.") + "$", 1))
+    return rows.withColumn("symbol", F.regexp_extract(F.col("_metadata.file_path"), "([^/=]*)" + suffix.replace(".", r"\.") + "(?:/[^/]*)?$", 1))
 
 
 def source_fingerprint(spark: SparkSession, root: str, options: str = "") -> DataFrame:

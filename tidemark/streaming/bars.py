@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.scratch import scratch_path
 from tidemark.operators.cleaning import keep_last, union_bars
 
 
@@ -51,7 +52,7 @@ def merge_stream(bars: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
                 raise
             old = batch.limit(0)
         merged = keep_last(union_bars(old, batch), ["symbol", "date"])
-        aside = f"{path}_next"
+        aside = scratch_path(spark, "merge")
         merged.write.mode("overwrite").partitionBy("month").parquet(aside)
         spark.read.parquet(aside).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
 
