@@ -61,6 +61,17 @@ def test_constrained_replay(spark, rows, long_only):
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
 
 
+def test_replay_goes_on_from_end_weights(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA)
+    head, tail = df.where("date < '2024-01-09'"), df.where("date >= '2024-01-09'")
+    first = B.constrained_replay(head, 0.65, True, 1e9)
+    second = B.constrained_replay(tail, 0.65, True, 1e9, start=B.end_weights(first))
+    got = {(r.run_id, r.date, r.symbol): r.weight for r in first.unionByName(second).collect()}
+    want = loop(rows, 0.65, True)
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
+    assert {r.symbol for r in B.end_weights(first).where("run_id = 'a'").collect()} == {f"S{s}" for s in range(9)}
+
+
 def test_replay_equals_side_masks_when_no_cap_binds(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA)
     a = {(r.run_id, r.date, r.symbol): r.weight for r in B.side_masks(df).collect()}

@@ -24,6 +24,16 @@ def test_symbol_files_and_snapshot(spark, tmp_path):
     assert files.panel_snapshot(spark, glob, saved, "other", build)[1] is False
 
 
+def test_coverage_after_repairs(spark):
+    day = lambda n: dt.date(2024, 1, n)
+    audited = spark.createDataFrame([("a", "ok", day(1), day(9)), ("b", "broken", day(1), day(20)), ("c", "ok", day(2), day(8)), ("d", "failed", None, None)], "symbol string, status string, first_date date, last_date date")
+    fixed = spark.createDataFrame([("c", "repaired", day(12)), ("a", "still_stale", day(30))], "symbol string, status string, last_date date")
+    as_of = F.lit(day(15))
+    assert C.coverage(audited, as_of).first() == (day(1), day(20), 3, -5)
+    assert C.coverage(audited, as_of, fixed).first() == (day(1), day(12), 2, 3)
+    assert C.coverage(audited.where("symbol = 'd'"), as_of, fixed).first() == (None, None, 0, None)
+
+
 def test_listing_manifest_and_lists(spark, tmp_path):
     (tmp_path / "l.txt").write_text("Symbol|Security Name|Test Issue\nAAA|A|N\nZZZ|Z|Y\nAAA|A|N\nFile Creation Time: 1||\n")
     assert [r.ticker for r in files.read_listing_directory(spark, str(tmp_path / "l.txt")).collect()] == ["AAA"]

@@ -150,9 +150,12 @@ def constraint_check(weights: DataFrame, turnover_cap: float | None, gross_cap:
     return day.groupBy("run_id").agg(F.min(F.when(broken, F.col("date"))).alias("first_violation"))
 
 
-def constrained_replay(weights: DataFrame, turnover_cap: float, long_only: bool = False, gross_cap: float = 1.0) -> DataFrame:
+def constrained_replay(weights: DataFrame, turnover_cap: float, long_only: bool = False, gross_cap: float = 1.0, start: DataFrame | None = None) -> DataFrame:
     """Realised (run_id, date, symbol, weight) where caps bind, day after day, for each run on its own.
 
+    start: (run_id, symbol, weight) held before the first day, as `end_weights`
+    gives them; nothing is held without it.
+
     Sells come first; buys are scaled to the cash left (long only), the day's
     trades to the turnover cap, and buys once more to the gross cap.  Rows of
     a run are read in date order and one day's book is held at a time.
@@ -163,6 +166,11 @@ def constrained_replay(weights: DataFrame, turnover_cap: float, long_only: bool
         held: dict[tuple, float] = {}
         rest = None
         for batch in batches:
+            before = batch["date"].isna()
+            held.update(((r, s), w) for r, s, w in batch.loc[before, ["run_id", "symbol", "weight"]].fillna({"weight": 0.0}).itertuples(index=False))
+            batch = batch[~before]
+            if batch.empty:
+                continue
             now = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
             last = now[["run_id", "date"]].iloc[-1]
             cut = (now["run_id"] == last["run_id"]) & (now["date"] == last["date"])
@@ -195,8 +203,17 @@ def constrained_replay(weights: DataFrame, turnover_cap: float, long_only: bool
             held.update(((run, s), w) for s, w in zip(day["symbol"], new, strict=True))
             yield day[["run_id", "date", "symbol"]].assign(weight=new)
 
-    ordered = weights.select(F.col("run_id").cast("string"), "date", "symbol", "weight", "can_buy", "can_sell").repartition("run_id").sortWithinPartitions("run_id", "date", "symbol")
-    return ordered.mapInPandas(replay, schema)
+    rows = weights.where("date is not null").select(F.col("run_id").cast("string"), "date", "symbol", "weight", "can_buy", "can_sell")
+    if start is not None:
+        none = F.lit(None)
+        rows = rows.unionByName(start.select(F.col("run_id").cast("string"), none.cast("date").alias("date"), "symbol", "weight", none.cast("boolean").alias("can_buy"), none.cast("boolean").alias("can_sell")))
+    # what is held before the first day has no date and comes first
+    return rows.repartition("run_id").sortWithinPartitions("run_id", F.asc_nulls_first("date"), "symbol").mapInPandas(replay, schema)
+
+
+def end_weights(realised: DataFrame) -> DataFrame:
+    """(run_id, symbol, weight) held after each symbol's last day."""
+    return realised.groupBy("run_id", "symbol").agg(F.max_by("weight", "date").alias("weight"))
 
 
 def with_drawdown(daily: DataFrame, value: str, name: str = "drawdown", capital_is_peak: bool = False) -> DataFrame:
