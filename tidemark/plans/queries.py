@@ -923,13 +923,12 @@ def q_weak_components(spark, d):
 
 
 @query(
-    _EDGES + """, e AS (SELECT DISTINCT least(source, target) AS a, greatest(source, target) AS b FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY weight DESC, target) AS r FROM flat) WHERE source != target AND r <= 6),
-    t AS (SELECT x.a, x.b, y.b AS c FROM e x JOIN e y ON x.b = y.a JOIN e z ON z.a = x.a AND z.b = y.b), n AS (SELECT a AS node FROM t UNION ALL SELECT b FROM t UNION ALL SELECT c FROM t), v AS (SELECT source AS node FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY weight DESC, target) AS r FROM flat) WHERE r <= 6 UNION SELECT target FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY weight DESC, target) AS r FROM flat) WHERE r <= 6)
+    _EDGES + """, e AS (SELECT DISTINCT least(source, target) AS a, greatest(source, target) AS b FROM flat WHERE source != target),
+    t AS (SELECT x.a, x.b, y.b AS c FROM e x JOIN e y ON x.b = y.a JOIN e z ON z.a = x.a AND z.b = y.b), n AS (SELECT a AS node FROM t UNION ALL SELECT b FROM t UNION ALL SELECT c FROM t), v AS (SELECT source AS node FROM flat UNION SELECT target FROM flat)
     --result SELECT v.node, count(n.node) AS triangles FROM v LEFT JOIN n USING (node) GROUP BY v.node"""
 )
 def q_triangle_count(spark, d):
-    e = flat_edges(spark, d).withColumn("r", F.row_number().over(Window.partitionBy("source").orderBy(F.desc("weight"), "target"))).where("r <= 6")
-    return G.triangle_count(e)
+    return G.triangle_count(flat_edges(spark, d))
 
 
 @query()
