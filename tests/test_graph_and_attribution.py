@@ -32,6 +32,25 @@ def test_triangles_and_cores(spark):
     assert {r.node: r.core for r in G.core_number(edges(spark, TRIANGLE)).collect()} == {"a": 2, "b": 2, "c": 2, "d": 1, "e": 1, "f": 1}
 
 
+def test_core_number_by_peeling(spark):
+    import random
+
+    rng = random.Random(5)
+    pairs = {(a, b) for a, b in ((int(40 * rng.random() ** 2), rng.randrange(40)) for _ in range(220)) if a != b} | {(99, 99)}
+    near = {n: {b for a, b in pairs | {(b, a) for a, b in pairs} if a == n and b != n} for p in pairs for n in p}
+    want, k = {}, 0
+    while near:
+        low = [n for n in near if len(near[n]) <= k]
+        k += not low
+        for n in low:
+            want[n] = k
+            for m in near.pop(n):
+                near[m].discard(n)
+    got = G.core_number(edges(spark, [(str(a), str(b), 1) for a, b in sorted(pairs)])).collect()
+    assert {int(r.node): r.core for r in got} == want and max(want.values()) > 3
+    assert G.core_number(edges(spark, TRIANGLE).limit(0)).count() == 0
+
+
 def test_pagerank_sums_to_one(spark):
     got = {r.node: r["rank"] for r in G.pagerank(edges(spark, [("a", "b", 1), ("b", "a", 1), ("c", "a", 1)])).collect()}
     assert sum(got.values()) == pytest.approx(1) and got["a"] > got["b"] > got["c"]

@@ -268,23 +268,25 @@ def triangle_count(edges: DataFrame) -> DataFrame:
 
 
 def core_number(edges: DataFrame, rounds: int = 100_000) -> DataFrame:
-    """(node, core): peel nodes of degree up to k, for k from 0 on; raises if nodes are left after `rounds` rounds."""
-    both = edges.where("source != target").select("source", "target").union(edges.where("source != target").select("target", "source")).distinct()
-    left, k, done = _cut(both), 0, None
-    nodes = _cut(edges.select(F.col("source").alias("node")).union(edges.select("target")).distinct())
+    """(node, core): from degrees on, each node takes the h-index of its neighbours' values until none falls.
+
+    The fixed point is the core number.  Values only fall, so equal sums of two
+    rounds show it; raises if it isn't reached after `rounds` rounds.  A node's
+    neighbours are counted by value before they meet in one group, so a hub's
+    group holds distinct values, not neighbours.
+    """
+    both = _cut(edges.where("source != target").select("source", "target").union(edges.where("source != target").select("target", "source")).distinct())
+    value = _cut(both.groupBy(F.col("source").alias("node")).agg(F.count("*").cast("int").alias("core")))
+    total = value.agg(F.sum("core")).first()[0]
+    falling = Window.partitionBy("source").orderBy(F.desc("core"))
     for _ in range(rounds):
-        if nodes.isEmpty():
+        seen = both.join(value.withColumnRenamed("node", "target"), "target").groupBy("source", "core").count()
+        height = F.least("core", F.sum("count").over(falling)).cast("int")
+        value = _cut(seen.select(F.col("source").alias("node"), height.alias("h")).groupBy("node").agg(F.max("h").alias("core")))
+        before, total = total, value.agg(F.sum("core")).first()[0]
+        if total == before:
             break
-        degree = nodes.join(left.groupBy(F.col("source").alias("node")).count(), "node", "left").select("node", F.coalesce("count", F.lit(0)).alias("d"))
-        low = _cut(degree.where(F.col("d") <= k).select("node"))
-        if low.isEmpty():
-            k = max(k + 1, degree.agg(F.min("d")).first()[0])
-            continue
-        part = low.withColumn("core", F.lit(k))
-        done = part if done is None else done.unionAll(part)
-        nodes = _cut(nodes.join(low, "node", "left_anti"))
-        left = _cut(left.join(low.withColumnRenamed("node", "source"), "source", "left_anti").join(low.withColumnRenamed("node", "target"), "target", "left_anti"))
     else:
-        if not nodes.isEmpty():
-            raise RuntimeError(f"core_number: nodes are left after {rounds} rounds")
-    return done if done is not None else nodes.withColumn("core", F.lit(0))
+        raise RuntimeError(f"core_number: values still fall after {rounds} rounds")
+    nodes = edges.select(F.col("source").alias("node")).union(edges.select("target")).distinct()
+    return nodes.join(value, "node", "left").select("node", F.coalesce("core", F.lit(0)).alias("core"))
