@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, embedding_dedup, language_id, license_scan, ngram_join, packing, ppm, secret_scan, sharding, toxicity
+from tidemark.llm import decontamination, embedding_dedup, exact_dedup, fill_in_middle, language_id, license_scan, ngram_join, packing, ppm, ranked_search, secret_scan, sharding, toxicity
 from tidemark.llm.common import fold, scratch_dir, table
 
 
@@ -75,6 +75,19 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"), render=False)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -88,6 +101,9 @@ QUERIES = {
         op8_benchmark_decontamination,
         op9_language_id,
         op10_ngram_jaccard_join,
+        op11_ranked_search,
+        op12_exact_dedup,
+        op13_fill_in_middle,
     )
 }
 
@@ -139,4 +155,41 @@ links AS MATERIALIZED (
 ), nodes AS (SELECT DISTINCT doc_id AS id FROM documents),{_COMPONENTS}, component AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, c.c AS component_id
 FROM documents d JOIN component c ON c.a = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id""",
+    "op11_ranked_search": r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents
+), sizes AS (SELECT doc_id, len(t)::BIGINT AS n FROM words WHERE len(t) > 0),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM sizes),
+items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), tf AS MATERIALIZED (
+  SELECT doc_id, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(t) AS term FROM words) WHERE term IN (SELECT term FROM items) GROUP BY ALL
+), weights AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, total GROUP BY term, docs),
+scores AS (
+  SELECT i.item_id, f.doc_id, sum(w * ((1000000000 * f.tf) // (1000 * f.tf + 20 * (100 - 50 + (50 * n * docs) // terms))))::BIGINT AS score
+  FROM items i JOIN tf f ON f.term = i.term JOIN weights v ON v.term = f.term JOIN sizes s ON s.doc_id = f.doc_id, total
+  GROUP BY i.item_id, f.doc_id
+), ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50""",
+    "op12_exact_dedup": r"""
+WITH digests AS (
+  SELECT doc_id, length(coalesce(text, '')) AS points, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS sha FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY sha) AS group_size, row_number() OVER best = 1 AS kept, sha AS text_sha256
+FROM digests WINDOW best AS (PARTITION BY sha ORDER BY points DESC, doc_id NULLS LAST)""",
+    "op13_fill_in_middle": r"""
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), numbers AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS units, ('0x' || h[1:8])::UBIGINT AS h1, ('0x' || h[9:16])::UBIGINT AS h2, ('0x' || h[17:24])::UBIGINT AS h3, ('0x' || h[25:32])::UBIGINT AS h4 FROM hashed
+), forms AS (
+  SELECT *, len(units)::BIGINT AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1))::BIGINT AS a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1))::BIGINT AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers
+), parts AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a+1:b], '') AS middle, array_to_string(units[b+1:], '') AS suffix FROM forms
+)
+SELECT doc_id, n, form, CASE WHEN form != 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form != 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts""",
 }
