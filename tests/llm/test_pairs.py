@@ -188,6 +188,24 @@ def test_embeddings(spark):
     assert got[711].component_id == 0 and got[711].n_links >= 1
 
 
+def test_null_parts_join_no_class(spark):
+    """Vectors with a null or non-finite part don't take equal ones without it along, whichever comes first."""
+    nan, inf = float("nan"), float("inf")
+    vs = [[1.0, 2.0, None], [1.0, 2.0], [None, 1.0, 2.0], [1.0, 2.0], [1.0, nan, 2.0], [inf, 1.0], [1.0, 2.0, 0.0], [0.0, 0.0], [], None, [2.0, 4.0]]
+    rows = [(i, v, 1) for i, v in enumerate(vs)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in E.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").coalesce(1)).collect()}
+    assert got == {i: (2, 1) if i in (1, 3, 10) else (0, i) for i in range(len(vs))}
+
+
+def test_shape_follows_the_number_of_vectors():
+    """Strangers met a table stay bounded, and pairs at the threshold are found with the same chance, at any size."""
+    near, far = E._meeting(0.2), E._meeting(2**0.5)
+    for n in (1, 10**4, 10**7, 10**10):
+        projections, tables = E.shape(n, 0.98)
+        assert n * far**projections <= E.STRANGERS
+        assert (1 - near**projections) ** tables <= E.MISS
+
+
 def test_embeddings_tiles_and_empty(spark, monkeypatch):
     monkeypatch.setattr(E, "TILE", 16)
     rng = np.random.default_rng(9)
@@ -211,18 +229,20 @@ def test_decontamination(spark):
         docs.append((20 + i, f"{noise(10)} {' '.join(w)} {noise(10)}"))
         docs.append((40 + i, noise(400)))
     docs += [(60, None), (61, ""), (62, "v1 v2"), (None, items[3][1])]
-    grams = lambda t: (lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)})(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t)))
+    found = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))
+    grams = lambda w, k: {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
     want = set()
     for d, t in docs:
         for i, s in items:
-            g = grams(s)
-            if g and d is not None and 10 * len(g & grams(t)) >= 8 * len(g):
-                want.add((d, i, len(g), len(g & grams(t))))
+            k = min(5, len(found(s)))
+            g = grams(found(s), k) if k else set()
+            if g and d is not None and 10 * len(g & grams(found(t), k)) >= 8 * len(g):
+                want.add((d, i, len(g), len(g & grams(found(t), k))))
     df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     got = D.contaminated(df.repartition(3), bench).collect()
     assert {(r.doc_id, r.item_id, r.n_item, r.n_contained) for r in got if r.doc_id is not None} == want and len(want) >= 8
     left = {r.doc_id for r in D.decontaminated(df, bench).collect()}
-    assert left == {d for d, _ in docs} - {w[0] for w in want}
+    assert left == {d for d, _ in docs} - {w[0] for w in want} - {None}
     assert D.contaminated(df.limit(0), bench).count() == 0 and D.contaminated(df, bench.limit(0)).count() == 0
 
 
@@ -233,4 +253,16 @@ def test_decontamination_by_row(spark):
     bench = spark.createDataFrame([(7, item)], "item_id long, text string")
     assert sorted((r.doc_id or 0, r.item_id, r.n_contained) for r in D.contaminated(df, bench).collect()) == [(0, 7, 5), (1, 7, 5)]
     left = D.decontaminated(df, bench)
-    assert left.columns == df.columns and {(r.doc_id, r.text) for r in left.where("doc_id is not null").collect()} == {(1, clean), (2, clean)}
+    assert left.columns == df.columns and {(r.doc_id, r.text) for r in left.collect()} == {(1, clean), (2, clean), (None, clean)}
+
+
+def test_short_items(spark):
+    """Items of one to four words are found where their words stand in order; by default they drop nothing."""
+    items = [(1, "Zulu"), (2, "red fox"), (3, "the red, fox"), (4, "one two three four"), (5, "ab cd ef gh ij"), (6, " ,. "), (6, "RED fox")]
+    docs = [(1, "a zulu!"), (2, "zulus"), (3, "fox red"), (4, "The RED\nfox ran"), (5, "one two three"), (6, "zero one two three four five"), (7, "red"), (8, ""), (9, None), (10, "ab cd ef gh ij"), (None, "red-fox")]
+    df = spark.createDataFrame([(*r, 1, "x") for r in docs], "doc_id long, text string, size long, item string")
+    bench = spark.createDataFrame([(*r, 2) for r in items], "item_id long, text string, shingle int")
+    got = sorted(((r.doc_id, r.item_id, r.n_item, r.n_contained, r.containment) for r in D.contaminated(df, bench).collect()), key=str)
+    assert got == sorted([(1, 1, 1, 1, 1.0), (4, 2, 1, 1, 1.0), (4, 6, 1, 1, 1.0), (4, 3, 1, 1, 1.0), (6, 4, 1, 1, 1.0), (10, 5, 1, 1, 1.0), (None, 2, 1, 1, 1.0), (None, 6, 1, 1, 1.0)], key=str)
+    assert D.decontaminated(df, bench).count() == len(docs) - 1 and D.decontaminated(df, bench).columns == df.columns
+    assert sorted((r.doc_id or 0) for r in D.decontaminated(df, bench, least_words=1).collect()) == [2, 3, 5, 7, 8, 9]

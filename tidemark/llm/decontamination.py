@@ -8,7 +8,9 @@ document with a probability equal to the containment.  Items are partitioned
 by size; a partition's number of hash functions brings the chance to miss an
 item at the threshold below `miss`, or takes all shingles of small items.
 Documents probe with all their shingles, a document too small for the item is
-skipped, and every candidate is verified by exact containment.
+skipped, and every candidate is verified by exact containment.  An item of
+fewer than five words is a size of its own: its whole sequence is its one
+shingle, and documents also probe with runs of that many words.
 """
 
 from __future__ import annotations
@@ -28,15 +30,20 @@ MISS = 1e-9
 BROADCAST_ROWS = 1 << 20
 
 
-def shingles(text: Column, width: int = WIDTH) -> Column:
+def word_list(text: Column) -> Column:
+    """The words of a text: runs of letters, digits and non-ASCII characters, lower-cased; a text without any has one empty word."""
+    return F.split(F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), BREAKS, " ")), " ")
+
+
+def runs(words: Column, width: int) -> Column:
     """64-bit hashes of all runs of `width` words, in order; none if there are fewer words."""
-    words = F.split(F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), BREAKS, " ")), " ")
+    places = F.when((F.size(words) >= width) & (words[0] != ""), F.sequence(F.lit(1), F.greatest(F.size(words) - width + 1, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.xxhash64(F.slice(words, i, width)))
 
-    def runs(words: Column) -> Column:
-        places = F.when(F.size(words) >= width, F.sequence(F.lit(1), F.greatest(F.size(words) - width + 1, F.lit(1)))).otherwise(F.array().cast("array<int>"))
-        return F.transform(places, lambda i: F.xxhash64(F.slice(words, i, width)))
 
-    return F.transform(F.array(words), runs)[0]
+def shingles(text: Column, widths: list[int]) -> Column:
+    """The hashes of the runs of each of `widths` words, with the words found once."""
+    return F.transform(F.array(word_list(text)), lambda words: F.concat(*(runs(words, w) for w in widths)))[0]
 
 
 def sampled(items: DataFrame, threshold: float, miss: float) -> DataFrame:
@@ -54,41 +61,55 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     """(doc_id, item_id, n_item, n_contained, containment) of each document row and item it contains.
 
     Words are runs of letters, digits and non-ASCII characters, lower-cased.
-    Null texts contain nothing; items of fewer than `width` words, and null
-    ones, are contained nowhere.  An item_id that stands for several texts is
-    searched for each of them.  A repeated document row gives repeated rows,
-    and a row without id is searched like any other.  Other columns are ignored.
+    An item of fewer than `width` words is contained where its words stand in
+    order, and counts as one shingle.  Null texts contain nothing; null items
+    and those without words are contained nowhere.  An item_id that stands for
+    several texts is searched for each of them.  A repeated document row gives
+    repeated rows, and a row without id is searched like any other.  Other
+    columns are ignored.
     """
     return _found(docs, benchmark, threshold, width, miss).drop("tidemark_key")
 
 
-def _found(docs: DataFrame, benchmark: DataFrame, threshold: float, width: int, miss: float) -> DataFrame:
+def _found(docs: DataFrame, benchmark: DataFrame, threshold: float, width: int, miss: float, least_words: int = 1) -> DataFrame:
     """`contaminated` with `tidemark_key`, the hash of the row's text: ids may be null or stand for several texts."""
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("tidemark_key"))
-    items = benchmark.select("item_id", F.array_distinct(shingles(F.col("text"), width)).alias("set"))
-    items = items.where(F.size("set") > 0).select(F.struct("item_id", F.xxhash64("set").alias("text")).alias("item"), "set", F.size("set").alias("size")).dropDuplicates(["item"])
+    words = F.col("words")
+    own = F.when(F.size(words) >= width, F.array_distinct(runs(words, width))).otherwise(F.array(F.xxhash64(words)))
+    items = benchmark.select("item_id", word_list(F.col("text")).alias("words")).where((words[0] != "") & (F.size(words) >= least_words))
+    items = items.select("item_id", F.least(F.size(words), F.lit(width)).alias("width"), own.alias("set"))
+    items = items.select(F.struct("item_id", F.xxhash64("set").alias("text")).alias("item"), "width", "set", F.size("set").alias("size")).dropDuplicates(["item"])
     items = written(items)
+    # at most `width` values
+    widths = sorted(r[0] for r in items.select("width").distinct().collect()) or [width]
     sample = sampled(items, threshold, miss)
     rows = sample.count()
-    probes = docs.select("tidemark_key", shingles(F.col("text"), width).alias("s"))
+    probes = docs.select("tidemark_key", shingles(F.col("text"), widths).alias("s"))
     probes = probes.select("tidemark_key", F.size("s").alias("n"), F.explode("s").alias("shingle"))
     met = probes.join(F.broadcast(sample) if rows <= BROADCAST_ROWS else sample, "shingle")
     met = met.where(F.col("n") >= F.ceil(F.col("size") * threshold - 1e-9))
     candidates = written(met.groupBy("tidemark_key", "item").agg(F.count("*").alias("hits")))
     # written tables have known sizes, so the planner broadcasts the candidates only if they are small
     sides = candidates.select("tidemark_key", "item").join(items, "item")
-    own = docs.join(written(sides), "tidemark_key")
-    exact = own.select("doc_id", "tidemark_key", F.col("item.item_id").alias("item_id"), F.col("size").cast("long").alias("n_item"), F.size(F.array_intersect(shingles(F.col("text"), width), "set")).cast("long").alias("n_contained"))
+    pairs = docs.join(written(sides), "tidemark_key")
+    # runs of different widths have different hashes, so one intersection serves all widths
+    inside = F.size(F.array_intersect(shingles(F.col("text"), widths), "set")).cast("long")
+    exact = pairs.select("doc_id", "tidemark_key", F.col("item.item_id").alias("item_id"), F.col("size").cast("long").alias("n_item"), inside.alias("n_contained"))
     exact = exact.withColumn("containment", F.col("n_contained") / F.col("n_item").cast("double"))
     return exact.where(F.col("n_contained") >= F.ceil(F.col("n_item") * threshold - 1e-9))
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """`docs` without the rows that contain a benchmark item; rows with a null id stay.
+def decontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, least_words: int = WIDTH) -> DataFrame:
+    """`docs` without the rows that contain a benchmark item of at least `least_words` words.
 
-    Rows are told apart by id and text, so an id that stands for two texts
-    loses only the one that leaks; repeated rows go or stay together.  Extra
-    columns are kept, and an empty table stays empty.
+    Shorter items are words that clean texts use as well; `contaminated` finds
+    them, and a smaller `least_words` drops their documents too.  Rows are
+    told apart by id and text, and a row without id goes like any other: an id
+    that stands for two texts loses only the one that leaks, and repeated rows
+    go or stay together.  Extra columns are kept, and an empty table stays
+    empty.
     """
-    found = written(_found(docs, benchmark, threshold, WIDTH, MISS).select("doc_id", "tidemark_key").distinct())
-    return docs.withColumn("tidemark_key", F.xxhash64("text")).join(found, ["doc_id", "tidemark_key"], "left_anti").select(docs.columns)
+    found = written(_found(docs, benchmark, threshold, WIDTH, MISS, least_words).select(F.col("doc_id").alias("tidemark_id"), F.col("tidemark_key").alias("tidemark_found")).distinct())
+    rows = docs.withColumn("tidemark_key", F.xxhash64("text"))
+    same = (rows["tidemark_key"] == found["tidemark_found"]) & rows["doc_id"].eqNullSafe(found["tidemark_id"])
+    return rows.join(found, same, "left_anti").select(docs.columns)

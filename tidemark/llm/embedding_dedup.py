@@ -11,6 +11,7 @@ which it meets, so nothing has to be collected to remove repeats.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +22,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import group_runs, group_starts, tidy, written
 from tidemark.llm.components import components
 
-TABLES = 24
 PROJECTIONS = 5
+#: Unrelated vectors that one may meet in a table, and the chance to miss a pair at the threshold.
+STRANGERS = 64
+MISS = 1.2e-5
 WIDTH = 0.9
 TILE = 512
 SEED = 7
@@ -71,16 +74,42 @@ def _local_links(p: np.ndarray, q: np.ndarray, n: int) -> np.ndarray:
         root = new
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = 0.98, tables: int = TABLES, projections: int = PROJECTIONS) -> DataFrame:
+def _meeting(distance: float) -> float:
+    """Chance that two points at this distance share a cell of one projection."""
+    r = WIDTH / distance
+    return math.erf(r / math.sqrt(2)) - math.sqrt(2 / math.pi) / r * (1 - math.exp(-r * r / 2))
+
+
+def shape(rows: int, cosine: float) -> tuple[int, int]:
+    """(projections, tables) for so many vectors.
+
+    More vectors need more projections, so that a vector meets at most
+    STRANGERS unrelated ones a table however many there are; more projections
+    need more tables, so that a pair at the threshold is missed with a chance
+    of MISS at most.
+    """
+    near, far = _meeting(math.sqrt(2 - 2 * cosine)), _meeting(math.sqrt(2))
+    projections = max(PROJECTIONS, math.ceil(math.log(max(1.0, rows / STRANGERS)) / -math.log(far)))
+    return projections, math.ceil(math.log(MISS) / math.log1p(-(near**projections)))
+
+
+def near_duplicates(vectors: DataFrame, cosine: float = 0.98, tables: int | None = None, projections: int | None = None) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of each row of vectors (vec_id, embedding, label).
 
+    Tables and projections follow from the number of rows unless both are given.
+
     Null, empty, zero and non-finite vectors, vectors with null parts, and rows
     with a null label link with nothing; vectors of different length never
     link.  Repeated rows are vectors of their own with the same vec_id.
     Other columns are ignored.
     """
     rows = vectors.select("vec_id", "embedding", "label", F.xxhash64("label", "embedding").alias("h1"), F.xxhash64("embedding", F.lit(1), "label").alias("h2"))
-    rows = rows.withColumn("usable", F.col("label").isNotNull() & F.col("embedding").isNotNull())
+    # a hash skips null parts, so vectors that have any must not enter a class
+    real = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    usable = F.col("label").isNotNull() & F.forall("embedding", real) & F.exists("embedding", lambda x: x != 0)
+    rows = rows.withColumn("usable", F.coalesce(usable, F.lit(False)))
+    if projections is None or tables is None:
+        projections, tables = shape(vectors.count(), cosine)
     classes = rows.where("usable").groupBy("h1", "h2").agg(F.count("*").alias("copies"), F.min("vec_id").alias("vec_id"), F.first(F.struct("label", "embedding")).alias("v"))
 
     @tidy

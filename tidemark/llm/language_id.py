@@ -1,10 +1,15 @@
 """Language identification by n-gram filters whose entries are language bitmasks.
 
-One Bloom filter holds the n-grams of all languages: every position is a
-bitmask with one bit per language, so a single probe (the and of a few
-positions) returns all languages that contain an n-gram.  A document's hits
-are counted per language, corrected for the filter's rate of false positives
-in that language, and the largest corrected count decides.
+One Bloom filter holds all n-grams of all languages: every position is a
+bitmask with two bits per language, so a single probe (the and of a few
+positions) returns all languages that contain an n-gram, and those in which it
+is common.  A document's hits are counted per bit and corrected for the
+filter's rate of false positives there.  The decision weighs a common n-gram
+fully and a rare one by `RARE`, so a few foreign or misspelt words in a
+language's texts don't count like its own; the filter itself leaves none out.
+
+The filter is put together in the tasks, a stretch of positions at a time; the
+driver only joins the stretches, whose total size is bounded.
 """
 
 from __future__ import annotations
@@ -16,14 +21,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, mix, text_chunks, tidy
+from tidemark.llm.common import LOWER, mix, text_chunks, tidy, written
 
-POSITIONS = 1 << 22
+#: Positions of the filter: so many for each distinct n-gram, between these bounds (both powers of two).
+GRAM_POSITIONS, POSITIONS, MOST_POSITIONS = 8, 1 << 20, 1 << 25
+#: Positions that one group of the build holds.
+STRETCH = 1 << 16
 PROBES = 3
 ORDERS = (3, 4)
-#: An n-gram belongs to a language if at least this share of the language's n-grams equals it,
-#: which also bounds what the driver gathers: 1 / SHARE n-grams per language and order.
+#: An n-gram is common in a language if at least this share of the language's n-grams of its order equals it.
 SHARE = 1e-5
+#: What a language's rare n-gram counts in the decision; a common one counts 1.
+RARE = 0.25
 
 #: ASCII bytes other than letters separate words; all other bytes are parts of words.
 _CLEAN = LOWER.copy()
@@ -86,58 +95,90 @@ def ngram_counts(docs: DataFrame) -> DataFrame:
     return docs.select("lang", "text").mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def places(grams: np.ndarray, positions: int, probes: int) -> Iterator[np.ndarray]:
+    """The filter's positions of each n-gram, one array per probe; `positions` is a power of two."""
+    h = mix(grams.astype(np.int64).view(np.uint64))
+    step = mix(h) | np.uint64(1)
+    for i in range(probes):
+        yield ((h + np.uint64(i) * step) & np.uint64(positions - 1)).astype(np.int64)
+
+
 class Filter:
-    """The bit-sliced filter: `masks` has a row of 64-bit masks for each position."""
-
-    def __init__(self, languages: list[str], index: np.ndarray, grams: np.ndarray, positions: int = POSITIONS, probes: int = PROBES):
-        self.languages, self.probes = languages, probes
-        self.words = max(1, -(-len(languages) // 64))
-        small = len(languages) <= 8
-        self.masks = np.zeros((positions, self.words), dtype=np.uint8 if small else np.uint64)
-        kind = self.masks.dtype.type
-        for at in self._places(grams):
-            np.bitwise_or.at(self.masks, (at, index // 64), kind(1) << (index % 64).astype(self.masks.dtype))
-        fill = np.array([float(((self.masks[:, i // 64] >> kind(i % 64)) & kind(1)).mean()) for i in range(len(languages))])
-        #: chance that an n-gram that a language lacks hits it all the same
-        self.false = fill**probes
+    """The bit-sliced filter: a row of bytes for each position, bit i for language i and bit L + i for its common n-grams."""
 
-    def _places(self, grams: np.ndarray) -> Iterator[np.ndarray]:
-        h = mix(grams.astype(np.int64).view(np.uint64))
-        step = mix(h) | np.uint64(1)
-        for i in range(self.probes):
-            yield ((h + np.uint64(i) * step) & np.uint64(len(self.masks) - 1)).astype(np.int64)
+    def __init__(self, languages: list[str], masks: np.ndarray, probes: int = PROBES):
+        self.languages, self.masks, self.probes = languages, masks, probes
+        fill = np.array([float(((masks[:, k // 8] >> np.uint8(k % 8)) & np.uint8(1)).mean()) for k in range(2 * len(languages))])
+        #: chance that an n-gram that a language lacks hits its bit all the same
+        self.false = fill**probes
 
-    def languages_of(self, grams: np.ndarray) -> np.ndarray:
-        """Masks of the languages that contain each n-gram."""
+    def bits(self, grams: np.ndarray) -> np.ndarray:
+        """(n-grams, bytes): the bits of each n-gram; those of `languages_of` and of the common ones."""
         out = None
-        for at in self._places(grams):
+        for at in places(grams, len(self.masks), self.probes):
             out = self.masks[at] if out is None else out & self.masks[at]
         return out
 
+    def languages_of(self, grams: np.ndarray) -> np.ndarray:
+        """(n-grams, languages): whether each language contains each n-gram; never false for one that it was built from."""
+        return np.unpackbits(self.bits(grams), axis=1, bitorder="little")[:, : len(self.languages)].astype(bool)
+
     def decide(self, grams: np.ndarray, doc: np.ndarray, documents: int) -> tuple[np.ndarray, np.ndarray]:
         """(language index, score) of each document."""
-        masks = self.languages_of(grams)
+        bits, n = self.bits(grams), len(self.languages)
         total = np.bincount(doc, minlength=documents)
-        hits = np.zeros((documents, len(self.languages)))
-        kind = masks.dtype.type
-        for i in range(len(self.languages)):
-            bit = (masks[:, i // 64] >> kind(i % 64)) & kind(1)
-            hits[:, i] = np.bincount(doc, weights=bit, minlength=documents)
+        hits = np.zeros((documents, 2 * n))
+        for k in range(2 * n):
+            bit = (bits[:, k // 8] >> np.uint8(k % 8)) & np.uint8(1)
+            hits[:, k] = np.bincount(doc, weights=bit, minlength=documents)
         hits = np.maximum(0, (hits - total[:, None] * self.false) / np.maximum(1e-9, 1 - self.false))
-        best = hits.argmax(axis=1)
-        top, among = hits[np.arange(documents), best], hits.sum(axis=1)
+        value = RARE * np.maximum(0, hits[:, :n] - hits[:, n:]) + hits[:, n:]
+        best = value.argmax(axis=1)
+        top, among = value[np.arange(documents), best], value.sum(axis=1)
         return best, np.divide(top, among, out=np.zeros(documents), where=among > 0)
 
 
 def fit(train: DataFrame, share: float = SHARE) -> Filter:
-    """The filter of the n-grams of `train` (lang, text); rows with a null lang or text teach nothing."""
-    counts = ngram_counts(train.where("lang is not null and text is not null"))
+    """The filter of all n-grams of `train` (lang, text); rows with a null lang or text teach nothing.
+
+    Languages are a short list, as a label's values are; n-grams are counted
+    and set by Spark, and the driver gets the filter alone, of
+    MOST_POSITIONS positions at most.
+    """
+    counts = written(ngram_counts(train.where("lang is not null and text is not null")))
     counts = counts.withColumn("order", F.when(F.col("gram") < (1 << 32), 3).otherwise(4))
     sums = counts.groupBy("lang", "order").agg(F.sum("n").alias("total"))
-    kept = counts.join(F.broadcast(sums), ["lang", "order"]).where(F.col("n") >= F.lit(share) * F.col("total")).select("lang", "gram").toPandas()
-    languages = sorted(kept["lang"].unique().tolist())
-    index = kept["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy(dtype=np.int64)
-    return Filter(languages, index, kept["gram"].to_numpy(dtype=np.int64))
+    languages = sorted(r[0] for r in sums.select("lang").distinct().collect())
+    if not languages:
+        return Filter([], np.zeros((1, 1), dtype=np.uint8))
+    distinct = counts.agg(F.approx_count_distinct("gram")).first()[0]
+    positions = min(MOST_POSITIONS, max(POSITIONS, 1 << (GRAM_POSITIONS * distinct - 1).bit_length()))
+    width = -(-2 * len(languages) // 8)
+    index = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")).cast("int") - 1
+    marks = counts.join(F.broadcast(sums), ["lang", "order"]).select("gram", index.alias("language"), (F.col("n") >= F.lit(share) * F.col("total")).alias("common"))
+
+    @tidy
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams, language = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            common = batch.column(2).to_numpy(zero_copy_only=False)
+            for at in places(grams, positions, PROBES):
+                yield pa.RecordBatch.from_arrays([pa.array((at // STRETCH).astype(np.int32)), pa.array((at % STRETCH).astype(np.int32)), pa.array(language), pa.array(common)], names=["stretch", "at", "language", "common"])
+
+    def put(table: pa.Table) -> pa.Table:
+        at, language = table.column("at").to_numpy(), table.column("language").to_numpy()
+        common = table.column("common").combine_chunks().to_numpy(zero_copy_only=False)
+        masks = np.zeros((STRETCH, width), dtype=np.uint8)
+        for k, rows in ((language, slice(None)), (language + len(languages), common)):
+            np.bitwise_or.at(masks, (at[rows], k[rows] // 8), np.uint8(1) << (k[rows] % 8).astype(np.uint8))
+        return pa.table({"stretch": table.column("stretch").slice(0, 1), "masks": pa.array([masks.tobytes()], pa.binary())})
+
+    # repeated bits go before a stretch's rows meet, so a group has at most a row for each of its positions and bits
+    each = marks.mapInArrow(spread, "stretch int, at int, language int, common boolean").groupBy("stretch", "at", "language").agg(F.max("common").alias("common"))
+    masks = np.zeros((positions, width), dtype=np.uint8)
+    for r in each.groupBy("stretch").applyInArrow(put, "stretch int, masks binary").toLocalIterator():
+        masks[r[0] * STRETCH : (r[0] + 1) * STRETCH] = np.frombuffer(r[1], dtype=np.uint8).reshape(STRETCH, width)
+    return Filter(languages, masks)
 
 
 def identify(docs: DataFrame, model: Filter) -> DataFrame:

@@ -133,11 +133,13 @@ WITH words AS (
   SELECT 0 AS kind, doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
   UNION ALL
   SELECT 1, item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
-), shingles AS (
-  SELECT DISTINCT kind, id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s FROM words WHERE len(w) >= 5
+), widths AS (SELECT DISTINCT least(len(w), 5) AS k FROM words WHERE kind = 1 AND len(w) > 0),
+shingles AS (
+  SELECT DISTINCT kind, id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i+k-1], ' '))) AS s
+  FROM words JOIN widths ON len(w) >= k AND (kind = 0 OR k = least(len(w), 5))
 ), items AS (SELECT id, count(*) AS n FROM shingles WHERE kind = 1 GROUP BY id),
 both_have AS (
-  SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n FROM shingles d JOIN shingles b ON d.s = b.s AND d.kind = 0 AND b.kind = 1 GROUP BY ALL
+  SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n FROM shingles d JOIN shingles b ON d.s = b.s AND d.k = b.k AND d.kind = 0 AND b.kind = 1 GROUP BY ALL
 )
 SELECT doc_id, item_id, i.n AS n_item, h.n AS n_contained, h.n / i.n::DOUBLE AS containment
 FROM both_have h JOIN items i ON i.id = h.item_id WHERE h.n * 10 >= i.n * 8""",

@@ -6,9 +6,10 @@ they were appended or merged before: files of one size tier are lined up and
 cut into runs of about the target size, level by level, until no tier holds a
 run worth merging.  Files of a run are then rewritten once, into the run's
 final file; all others stay where they are.  A manifest version is a table of
-the live files.  It is committed by creating one small file, which fails if it
-exists, so readers see the old or the new version and two writers cannot
-commit the same one.
+the live files.  It is committed by renaming one small file, written whole
+before, to the version's name, which fails if that exists: readers see the old
+or the new version, and of two writers of one version the second starts anew
+from the first one's.
 """
 
 from __future__ import annotations
@@ -47,17 +48,13 @@ class Shards:
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop
 
-    def _versions(self, whole: bool) -> list[int]:
+    def versions(self) -> list[int]:
+        """Committed versions, in order."""
         fs, path = self._fs(f"{self.root}/manifest")
         if not fs.exists(path):
             return []
-        found = [(s.getPath().getName(), s.getLen()) for s in fs.listStatus(path)]
-        # a writer that died between creating and filling its file leaves an empty one: never a version
-        return sorted(int(n[1:]) for n, size in found if n.startswith("v") and n[1:].isdigit() and (size or not whole))
-
-    def versions(self) -> list[int]:
-        """Committed versions, in order."""
-        return self._versions(whole=True)
+        names = [s.getPath().getName() for s in fs.listStatus(path)]
+        return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
 
     def _entry(self, version: int) -> dict:
         return json.loads(self.spark.read.text(f"{self.root}/manifest/v{version}", wholetext=True).first()[0])
@@ -94,8 +91,9 @@ class Shards:
         named = rows.withColumn("tidemark_arrival", F.sha1(F.col(arrival).cast("string")))
         named.write.option("compression", "zstd").partitionBy("tidemark_arrival").parquet(path)
         while True:
+            # the next number and what it builds on come from one listing, so a version is never based on an older one
             base = max(self.versions(), default=0)
-            version = max(self._versions(whole=False), default=0) + 1
+            version = base + 1
             try:
                 return self._commit(version, self.manifest(base).unionAll(self._files(path, "small", version)), rows.schema)
             except Conflict:
@@ -135,7 +133,7 @@ class Shards:
         moves = written(plan.where("into is not null").select(F.col("file").alias("tidemark_file"), F.col("into").alias("tidemark_into")), self.spark)
         if moves.isEmpty():
             return base
-        version = max(self._versions(whole=False), default=0) + 1
+        version = base + 1
         path = f"{self.root}/data/{uuid.uuid4().hex}"
         merged = self._read(base, moves.select("tidemark_file")).withColumn("tidemark_file", F.col("_metadata.file_path"))
         merged = merged.join(moves, "tidemark_file").drop("tidemark_file")
@@ -147,19 +145,34 @@ class Shards:
         return self._commit(version, kept.unionAll(self._files(path, "merged", version)), schema)
 
     def _commit(self, version: int, live: DataFrame, schema: StructType) -> int:
-        """Write the table of live files aside, then create the version's file, which must not exist."""
-        aside = f"{self.root}/manifest/table-{uuid.uuid4().hex}"
-        live.write.parquet(aside)
+        """Write the table of live files and the version's entry aside, then publish the entry under the version's name."""
+        aside = uuid.uuid4().hex
+        live.write.parquet(f"{self.root}/manifest/table-{aside}")
+        fs, entry = self._fs(f"{self.root}/manifest/pending-{aside}")
+        out = fs.create(entry, False)
+        out.write(bytearray(json.dumps({"table": f"{self.root}/manifest/table-{aside}", "schema": schema.json()}).encode()))
+        out.close()
+        self._publish(entry, version)
+        return version
+
+    def _publish(self, entry, version: int) -> None:
+        """Rename a whole entry to its version, which must not exist: readers never see a part of it, and one writer wins.
+
+        The rename without overwriting is the one that Spark's streaming logs
+        rely on; it is a single step on HDFS.
+        """
+        jvm = self.spark._jvm
         fs, path = self._fs(f"{self.root}/manifest/v{version}")
+        rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        options = self.spark.sparkContext._gateway.new_array(rename, 1)
+        options[0] = rename.NONE
         try:
-            out = fs.create(path, False)
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), self.spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(entry), fs.makeQualified(path), options)
         except Py4JJavaError as error:
-            if "AlreadyExists" in str(error.java_exception.getClass().getName()) or fs.exists(path):
+            if fs.exists(path):
+                fs.delete(entry, False)
                 raise Conflict(f"manifest version {version} was committed by another writer") from error
             raise
-        out.write(bytearray(json.dumps({"table": aside, "schema": schema.json()}).encode()))
-        out.close()
-        return version
 
     def _read(self, version: int, files: DataFrame) -> DataFrame:
         """The rows of some of a version's files, which are named to the reader: dead files are not opened."""
