@@ -92,9 +92,23 @@ def test_shocked_features():
 
 
 def test_no_improve(spark):
-    losses = [1.0, 1.1, None, 0.9, 0.95, 0.96]
-    df = spark.createDataFrame([("r", i, x) for i, x in enumerate(losses)], "run string, epoch int, val_mean double")
-    assert A.no_improve_epochs(df).first().no_improve == 2
+    runs = {
+        "plain": ([(1.0, None), (1.1, None), (None, None), (0.9, None), (0.95, None), (0.96, None)], 2),
+        "nulls": ([(0.5, None), (None, None), (float("nan"), None), (0.6, None)], 1),
+        "counter": ([(0.5, None), (0.6, 7), (0.7, None), (0.4, -1), (0.45, None)], 1),
+        "goes on": ([(0.5, None), (None, 3), (0.7, None), (None, None), (0.8, None)], 5),
+        "best of a counted one": ([(0.5, None), (0.3, 4), (0.4, None)], 5),
+        "none": ([(None, None)], 0),
+    }
+    rows = [(run, i + 1, *x) for run, (xs, _) in runs.items() for i, x in enumerate(xs)] + [("plain", 0, 0.1, None)]
+    df = spark.createDataFrame(rows, "run string, epoch int, val_mean double, counter int")
+    assert {r.run: r.no_improve for r in A.no_improve_epochs(df, counter="counter").collect()} == {run: n for run, (_, n) in runs.items()}
+
+
+def test_sample_dates(spark):
+    df = spark.range(10).selectExpr("date_add(date'2024-01-01', int(id)) as date", "id")
+    even = lambda n: sorted(r.id for r in A.sample_dates(df, "even", n).collect())
+    assert [even(n) for n in (1, 2, 3, 4, 9, 10, 20)] == [[0], [0, 9], [0, 4, 9], [0, 3, 6, 9], [0, 1, 2, 3, 4, 5, 6, 7, 9], list(range(10)), list(range(10))]
 
 
 def test_stability_flags(spark):

@@ -1,6 +1,7 @@
 """Files in and out, snapshots, payloads and streams."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,8 +66,14 @@ def test_candles(spark):
 def test_epoch_curves(spark, tmp_path):
     spark.createDataFrame([(0, 1.0), (1, float("nan"))], "epoch int, val_mean double").coalesce(1).toPandas().to_parquet(tmp_path / "one.parquet")
     (tmp_path / "two.jsonl").write_text('{"epoch": 0, "val_mean": 2.0}\n{"epoch": 1, "val_mean": 1.5}\n')
+    for run, loss in (("a/fold_1", 5.0), ("b/fold_1", 6.0)):
+        (tmp_path / run).mkdir(parents=True)
+        (tmp_path / run / "epoch_curve.csv").write_text(f"epoch,val_mean\n3,{loss + 10}\n")
+        time.sleep(0.05)
+        (tmp_path / run / "epoch_curve.jsonl").write_text('{"epoch": 3, "val_mean": %s}\n' % loss)
     got = files.read_epoch_curves(spark, str(tmp_path)).collect()
-    assert {(r.run, r.epoch): r.val_mean for r in got} == {("one", 0): 1.0, ("one", 1): None, ("two", 0): 2.0, ("two", 1): 1.5}
+    want = {("one", 0): 1.0, ("one", 1): None, ("two", 0): 2.0, ("two", 1): 1.5, ("a/fold_1", 3): 5.0, ("b/fold_1", 3): 6.0}
+    assert {(r.run, r.epoch): r.val_mean for r in got} == want and len(got) == len(want)
 
 
 def test_audit_finds_injected_faults(spark):
@@ -104,8 +111,13 @@ def test_universe(spark):
     pairs = spark.createDataFrame([("EURUSD",), ("XXXUSD",)], "pair string")
     money = spark.createDataFrame([("EUR",), ("USD",)], "currency string")
     assert [r.pair for r in U.supported_pairs(pairs, money).collect()] == ["EURUSD"]
-    t = spark.createDataFrame([("BTC-USD",), ("BTC/USDT",), ("EURGBP",)], "ticker string")
-    assert [(r.code, r.ticker) for r in U.crypto_universe(t).collect()] == [("BTCUSD", "BTC-USD")]
+    coins = spark.createDataFrame([("btc", "Bitcoin", 1), ("btc", "other", 0), ("BTC", "x", 2), (" eth ", "", 3), ("x", "y", 4), ("toolongname", "y", 5), (None, "y", 6)], "symbol string, name string, ingest_seq long")
+    assert sorted((r.code, r.name, r.ticker) for r in U.crypto_universe(coins).collect()) == [("BTCUSD", "other", "BTC-USD"), ("ETHUSD", "ETH", "ETH-USD")]
+    fx = spark.createDataFrame([("A", "EURUSD=X"), ("B", "eurgbp=x, spot"), ("C", "EURUSD=X,USDEUR=X"), ("D", "EURUSD")], "code string, tickers string")
+    got = {}
+    for r in U.candidate_tickers(fx, fx=True).collect():
+        got.setdefault(r.code, []).append(r.ticker)
+    assert got == {"A": ["EURUSD=X", "USDEUR=X"], "B": ["eurgbp=x", "spot", "GBPEUR=X"], "C": ["EURUSD=X", "USDEUR=X"], "D": ["EURUSD"]}
 
 
 def test_stream_merge_equals_batch(spark, tmp_path):
@@ -133,8 +145,9 @@ def test_stream_bars_equal_batch(spark, tmp_path):
 
 
 def test_carried_state_over_batches(spark, tmp_path):
-    rows = [("r", dt.date(2024, 1, 1 + i), s, float((i + k) % 3) / 4, 0.01) for i in range(6) for k, s in enumerate("AB")]
-    df = spark.createDataFrame(rows, "run_id string, date date, symbol string, weight double, return_1d double")
+    # the second segment begins within the second batch
+    rows = [("r", i // 3, dt.date(2024, 1, 1 + i), s, float((i + k) % 3) / 4, 0.01) for i in range(6) for k, s in enumerate("AB")]
+    df = spark.createDataFrame(rows, "run_id string, segment int, date date, symbol string, weight double, return_1d double")
     for k in range(3):
         df.where((F.dayofmonth("date") - 1) / 2 >= k).where((F.dayofmonth("date") - 1) / 2 < k + 1).coalesce(1).write.mode("append").parquet(str(tmp_path / "w"))
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option("latestFirst", "false").parquet(str(tmp_path / "w"))
@@ -142,7 +155,7 @@ def test_carried_state_over_batches(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     got = {r.date: r.turnover for r in spark.table("turnover").collect()}
-    from tidemark.operators.portfolio import portfolio_daily
+    from tidemark.operators.folds import segment_turnover
 
-    want = {r.date: r.turnover for r in portfolio_daily(df).collect()}
+    want = {r.date: r.turnover for r in segment_turnover(df).collect()}
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)

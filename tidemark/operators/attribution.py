@@ -83,15 +83,17 @@ def stability_flags(metrics: DataFrame) -> DataFrame:
 
 
 def sample_dates(panel: DataFrame, how: str, n: int) -> DataFrame:
-    """Rows of n dates: the first, the last, or evenly spread ones."""
+    """Rows of n dates: the first, the last, or evenly spread ones, from the first to the last; all dates if there are no more."""
     dates = panel.select("date").distinct()
     if how in ("first", "last"):
         chosen = dates.orderBy(F.asc("date") if how == "first" else F.desc("date")).limit(n)
     else:
         # one row per date
         ranked = dates.withColumn("i", F.row_number().over(Window.orderBy("date")) - 1).withColumn("c", F.count("*").over(Window.partitionBy()))
-        step = F.floor(F.col("i") * n / F.col("c"))
-        chosen = ranked.withColumn("s", step).withColumn("p", F.floor((F.col("i") - 1) * n / F.col("c"))).where((F.col("i") == 0) | (F.col("s") != F.col("p"))).select("date")
+        # the k-th of n places is k (c - 1) / (n - 1), rounded down; date i is one if a k between i and i + 1 exists
+        k = F.ceil(F.col("i") * (n - 1) / F.greatest(F.col("c") - 1, F.lit(1)))
+        place = F.floor(k * (F.col("c") - 1) / F.lit(max(n - 1, 1)))
+        chosen = ranked.where((F.col("c") <= n) | (F.col("i") == 0) | (F.lit(n > 1) & (k <= n - 1) & (place == F.col("i")))).select("date")
     return panel.join(chosen, "date", "left_semi")
 
 
@@ -103,13 +105,22 @@ def sample_epochs(curves: DataFrame, k: int) -> DataFrame:
 
 
 def no_improve_epochs(curves: DataFrame, loss: str = "val_mean", counter: str | None = None) -> DataFrame:
-    """(run, no_improve): epochs since the running best fell; a counter column overrides. A null loss is no improvement."""
+    """(run, no_improve): epochs since the running best loss fell, as a resumed run counts them.
+
+    An epoch with a counter sets the count to it, and the ones after go on
+    from there.  Epochs without counter and finite loss are skipped, and so
+    are epochs below 1.  A run without any other epoch has 0.
+    """
     order = Window.partitionBy("run").orderBy("epoch")
-    best = F.min(loss).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    better = F.coalesce(F.col(loss) < best, F.col(loss).isNotNull() & best.isNull(), F.lit(False))
-    x = curves.withColumn("_b", better.cast("int")).withColumn("_i", F.row_number().over(order))
-    out = x.groupBy("run").agg(F.max("_i").alias("n"), F.max(F.when(F.col("_b") == 1, F.col("_i"))).alias("best"), (F.max_by(counter, "epoch") if counter else F.lit(None)).alias("given"))
-    return out.select("run", F.coalesce(F.col("given").cast("long"), F.col("n") - F.coalesce("best", F.lit(0))).alias("no_improve"))
+    given = F.col(counter).cast("long") if counter else F.lit(None).cast("long")
+    value = F.col(loss).cast("double")
+    value = F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+    x = curves.select("run", "epoch", value.alias("v"), F.when(given >= 0, given).alias("g"))
+    used = x.where((F.col("epoch") > 0) & (F.col("v").isNotNull() | F.col("g").isNotNull()))
+    best = F.min("v").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    used = used.withColumns({"i": F.row_number().over(order), "set": F.coalesce("g", F.when(F.col("v") < F.coalesce(best, F.lit(float("inf"))), 0))})
+    out = used.groupBy("run").agg(F.max("i").alias("n"), F.max(F.when(F.col("set").isNotNull(), F.col("i"))).alias("at"), F.max_by("set", F.when(F.col("set").isNotNull(), F.col("i"))).alias("set"))
+    return curves.select("run").distinct().join(out, "run", "left").select("run", F.coalesce(F.col("set") + F.col("n") - F.col("at"), F.lit(0)).cast("long").alias("no_improve"))
 
 
 def select_symbols(weights: DataFrame, n: int) -> DataFrame:
@@ -174,11 +185,12 @@ def shocked_features(names: list[str], shock: str) -> list[str]:
     return list(names) if shock == "zero" else [n for n in names if any(m in n.lower() for m in SHOCKS.get(shock, (shock,)))]
 
 
-def shock_scores(model, rows: DataFrame, names: list[str], sources: list[str], shocks: list[str], scale: float = 1.0) -> DataFrame:
-    """Scores with the shocked features of one source symbol moved, for each source and shock.
+def shocked_rows(rows: DataFrame, names: list[str], sources: list[str], shocks: list[str], scale: float = 1.0) -> DataFrame:
+    """(shock, source, ...): `rows` of all symbols for each shock of each source, with the source's own features moved.
 
     A shock adds `scale` standard deviations, `liquidity` takes them away, and
-    `zero` sets the features to zero.
+    `zero` sets the features to zero.  All symbols are kept, since a score may
+    depend on the whole day; sources and shocks are short lists.
     """
     spread = rows.agg(*(F.coalesce(F.stddev_pop(n), F.lit(0.0)).alias(f"sd_{n}") for n in names))
     x = rows.crossJoin(F.broadcast(spread))  # one row
@@ -194,8 +206,26 @@ def shock_scores(model, rows: DataFrame, names: list[str], sources: list[str], s
                 out = out.when(own & (F.col("shock") == s), value)
         return out.otherwise(F.col(n))
 
-    x = x.withColumns({n: moved(n) for n in names})
-    return model.transform(VectorAssembler(inputCols=names, outputCol="features").transform(x)).withColumnRenamed("prediction", "score")
+    return x.withColumns({n: moved(n) for n in names}).drop(*(f"sd_{n}" for n in names))
+
+
+def with_day_means(rows: DataFrame, names: list[str], by: tuple[str, ...] = ()) -> DataFrame:
+    """`rows` with `mean_<name>`, the day's mean of each feature: how one symbol's features reach all scores of a day."""
+    day = Window.partitionBy(*by, "date")
+    return rows.withColumns({f"mean_{n}": F.avg(n).over(day) for n in names})
+
+
+def day_zscore(value: str, *by: str) -> Column:
+    """Standard score within a day; zero where the day has no spread."""
+    day = Window.partitionBy(*by, "date")
+    return F.coalesce((F.col(value) - F.avg(value).over(day)) / F.nullif(F.stddev_pop(value).over(day), F.lit(0.0)), F.lit(0.0))
+
+
+def shock_scores(model, rows: DataFrame, names: list[str], sources: list[str], shocks: list[str], scale: float = 1.0) -> DataFrame:
+    """Scores of a model on `names` and their day means, with the shocked features of one source moved, for each source and shock."""
+    moved = with_day_means(shocked_rows(rows, names, sources, shocks, scale), names, ("shock", "source"))
+    inputs = [*names, *(f"mean_{n}" for n in names)]
+    return model.transform(VectorAssembler(inputCols=inputs, outputCol="features").transform(moved)).withColumnRenamed("prediction", "score")
 
 
 def pca_2d(rows: DataFrame, vector: str) -> DataFrame:

@@ -68,10 +68,16 @@ def canonical(bars: DataFrame, drop_empty_volume: bool = False) -> DataFrame:
 
 
 def canonical_strict(bars: DataFrame) -> DataFrame:
-    """adjclose falls back to close; a row with any price missing goes; missing volume is 0."""
-    out = bars.withColumns({c: finite(F.col(c).try_cast("double")) for c in ("open", "max", "min", "close", "adjclose")})
-    out = out.withColumn("adjclose", F.coalesce("adjclose", "close")).withColumn("Trading_Volume", F.coalesce(F.col("Trading_Volume").try_cast("double"), F.lit(0.0)).cast("long"))
-    return keep_last(out.dropna(subset=["date", "open", "max", "min", "close"]), ["symbol", "date"])
+    """Bars with every price present: a row with any missing one goes; missing volume is 0.
+
+    adjclose is close where the table has no such column; within the column a
+    missing value drops its row.
+    """
+    prices = ["open", "max", "min", "close", "adjclose"]
+    out = bars if "adjclose" in bars.columns else bars.withColumn("adjclose", F.col("close"))
+    volume = F.col("Trading_Volume").try_cast("double") if "Trading_Volume" in bars.columns else F.lit(None).cast("double")
+    out = out.withColumns({c: finite(F.col(c).try_cast("double")) for c in prices} | {"Trading_Volume": F.coalesce(finite(volume), F.lit(0.0)).cast("long")})
+    return keep_last(out.dropna(subset=["date", *prices]), ["symbol", "date"])
 
 
 def audit(bars: DataFrame, as_of: Column | None = None, stale_days: int = 5, keys: list[str] | None = None, intraday: bool = False, daily_gap_days: int = 10, gap_multiple: float = 4.0) -> DataFrame:
@@ -301,35 +307,61 @@ def repair_ledger(before: DataFrame, after: DataFrame) -> DataFrame:
     return rows.where(~F.coalesce(F.abs(F.col("old") - F.col("new")) <= 1e-8, F.col("old").eqNullSafe(F.col("new"))))
 
 
-def repair_plan(symbols: DataFrame, facts: DataFrame, target, stale_days: int = 0, overlap_days: int = 5, default_start: str = "2000-01-01") -> DataFrame:
-    """What each symbol needs, and from which day.
+def repair_plan(symbols: DataFrame, facts: DataFrame, target, required: tuple[str, ...] = CORE, stale_days: int = 0, overlap_days: int = 5, default_start: str = "2000-01-01", daily: bool = False, requested=None, retry: bool = False) -> DataFrame:
+    """(symbol, plan, start_date, merge, message, first_date, last_date): what each symbol needs, and from which day.
 
-    symbols: (symbol, delisted, not_found, lagging, known); facts: an audit
-    with first and last dates.  The first rule that fits decides.
+    symbols: (symbol, delisted, unavailable, new), where `unavailable` says
+    that all its tickers are on the blacklist; facts: see
+    `sources.files.file_facts`.  The first rule that fits decides:
+    no file; a file with an error; missing columns; delisted or unavailable
+    symbols; in a `daily` update a lag of more than `stale_days`, if that is
+    above 0; a last date that has reached the target; in a `daily` update a
+    file already checked up to the `requested` day (the target, if none is
+    given); stale.  With `retry`, unavailable symbols are tried again.
+    Whole fetches begin at `default_start`; stale ones `overlap_days` before
+    the last date, but not before `default_start`, and are merged.
     """
-    x = symbols.join(facts.select("symbol", "rows", "last_date", "invalid_dates", "bad_ohlc_rows", "status"), "symbol", "left")
+    x = symbols.join(facts.select("symbol", "columns", F.col("first_date").cast("date").alias("first_date"), F.col("last_date").cast("date").alias("last_date"), "error", F.col("checked_through").cast("date").alias("checked_through")), "symbol", "left")
     flag = lambda c: F.coalesce(F.col(c), F.lit(False))
+    gone, skip = flag("delisted"), flag("unavailable") & F.lit(not retry)
+    no_file = F.col("columns").isNull()
+    error = F.coalesce(F.col("error"), F.when(F.col("last_date").isNull(), "no_valid_date"))
+    absent = F.array_sort(F.array_except(F.array(*map(F.lit, required)), "columns"))
     lag = F.datediff(target, F.col("last_date"))
-    status = (
-        F.when(flag("not_found"), "not_found_skip")
-        .when(flag("delisted"), "delisted_skip")
-        .when(F.col("rows").isNull() & ~flag("known"), "new_symbol")
-        .when(F.col("rows").isNull(), "missing")
-        .when(F.col("rows") == 0, "empty")
-        .when(F.col("last_date").isNull(), "broken")
-        .when(F.col("invalid_dates") > 0, "schema_mismatch")
-        .when(flag("lagging") & (lag > stale_days), "lagging_skip")
-        .when(lag > stale_days, "stale")
-        .otherwise("current")
-    )
-    out = x.select("symbol", status.alias("plan"), "last_date")
-    whole = F.col("plan").isin("new_symbol", "missing", "empty", "broken", "schema_mismatch")
-    return out.withColumn("start_date", F.when(whole, F.to_date(F.lit(default_start))).when(F.col("plan") == "stale", F.date_sub("last_date", overlap_days)))
+    checked = F.col("checked_through") >= (target if requested is None else requested)
+    unusable = error.isin("empty", "no_valid_date")
+    late = (lag > stale_days) if daily and stale_days > 0 else F.lit(False)
+    plan = (
+        F.when(no_file & gone, "delisted_no_history").when(no_file & skip, "not_found_skip").when(no_file & flag("new"), "new_symbol").when(no_file, "missing")
+        .when(error.isNotNull() & gone, F.when(unusable, "delisted_removed").otherwise("delisted_skip")).when(error.isNotNull(), "broken")
+        .when(gone, "delisted_skip").when(skip, "not_found_skip").when(F.size(absent) > 0, "schema_mismatch")
+        .when(late, "lagging_skip").when(lag <= 0, "current").when(checked & F.lit(daily), "current").otherwise("stale")
+    )
+    message = (
+        F.when(F.col("plan") == "broken", error).when(F.col("plan") == "schema_mismatch", F.concat(F.lit("missing_required_columns="), F.array_join(absent, ",")))
+        .when(F.col("plan") == "lagging_skip", F.concat(F.lit("lag_days="), lag)).when((F.col("plan") == "current") & (lag > 0), F.concat(F.lit("checked_through="), F.col("checked_through")))
+    )
+    start = F.to_date(F.lit(default_start))
+    first = F.when(F.col("plan").isin("new_symbol", "missing", "broken", "schema_mismatch"), start).when(F.col("plan") == "stale", F.greatest(start, F.date_sub("last_date", max(1, overlap_days))))
+    out = x.withColumn("plan", plan)
+    return out.select("symbol", "plan", first.alias("start_date"), (F.col("plan") == "stale").alias("merge"), message.alias("message"), "first_date", "last_date")
+
+
+# Texts of a failed fetch that say that a symbol is not to be had.
+UNAVAILABLE = ("possibly delisted; no timezone found", "possibly delisted", "no price data found", "no data found, symbol may be delisted", "quote not found", "unavailable or delisted")
 
 
 def final_status(plan: Column, fetched: Column, message: Column) -> Column:
-    gone = F.coalesce(F.lower(message).contains("not found"), F.lit(False))
-    return F.when(gone, "not_found").when((fetched == "ok") & (plan == "schema_mismatch"), "schema_repaired").when((fetched == "ok") & (plan == "new_symbol"), "new_symbol_repaired").when(fetched == "ok", "repaired").otherwise("still_stale")
+    """What a repair came to; fetched: `updated`, `empty`, `failed` or another state, which stays.
+
+    Only a failed fetch can be `not_found`, by its message.
+    """
+    said = F.coalesce(F.lower(message), F.lit(""))
+    unavailable = F.lit(False)
+    for text in UNAVAILABLE:
+        unavailable = unavailable | F.contains(said, F.lit(text))
+    repaired = F.when(plan == "new_symbol", "new_symbol_repaired").when(plan == "schema_mismatch", "schema_repaired").otherwise("repaired")
+    return F.when(fetched == "updated", repaired).when((fetched == "failed") & unavailable, "not_found").when(fetched == "empty", "still_stale").otherwise(fetched)
 
 
 def high_water_mark(bars: DataFrame, default_start: str, step_days: int = 1) -> DataFrame:

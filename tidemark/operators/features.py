@@ -73,6 +73,19 @@ def features(bars: DataFrame) -> DataFrame:
     )
 
 
+def with_events(panel: DataFrame, events: DataFrame) -> DataFrame:
+    """`panel` with Dividends and `Stock Splits` of its days: the day's dividends added up, its split ratios multiplied.
+
+    events: (symbol, date, kind, value) with kind `dividend` or `split`; a day
+    without events has nulls, events on days without a bar have no effect, and
+    ratios that are not above zero are left out.
+    """
+    value = finite(F.col("value"))
+    split = F.when((F.col("kind") == "split") & (value > 0), F.ln(value))
+    day = events.groupBy("symbol", "date").agg(F.sum(F.when(F.col("kind") == "dividend", value)).alias("Dividends"), F.exp(F.sum(split)).alias("Stock Splits"))
+    return panel.drop("Dividends", "Stock Splits").join(day, ["symbol", "date"], "left")
+
+
 def limit_masks(panel: DataFrame, up: float = 1.10, down: float = 0.90) -> DataFrame:
     """`panel` with reference, can_buy and can_sell: no buying at limit-up, no selling at limit-down."""
     dividend = F.col("Dividends") if "Dividends" in panel.columns else None

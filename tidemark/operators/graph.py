@@ -9,34 +9,47 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.functions.expressions import finite
 from tidemark.functions.scratch import cut
 
 
 _cut = functools.partial(cut, name="graph")
 
 
-def edge_metrics(base: DataFrame, shocked: DataFrame) -> DataFrame:
-    """Effects of shocks per (shock, source, target).
+def edge_metrics(base: DataFrame, shocked: DataFrame, long_only: bool = False) -> DataFrame:
+    """Effects of shocks per (shock, source, target): means over the days on which both have a score.
 
-    base: (date, target, score, weight, return_1d); shocked: the same with
-    shock and source.  Ranks are by descending score within a day.
+    base: (date, target, score, return_1d); shocked: (shock, source, date,
+    target, score), all targets of each day.  A day's weights are tanh of the
+    scores over the sum of their sizes.  A weight's change has two parts:
+    `reallocation`, what it would be if the source's score alone had changed,
+    so that only the day's total moves the others, and `residual`, the rest,
+    which other scores must have passed on.  Ranks are by descending score.
     """
-    rank = lambda *by: F.row_number().over(Window.partitionBy(*by, "date").orderBy(F.desc("score"), "target"))
-    b = base.withColumn("rank_b", rank()).select("date", "target", F.col("score").alias("score_b"), F.col("weight").alias("weight_b"), "rank_b", "return_1d")
-    s = shocked.withColumn("rank_s", rank("shock", "source")).select("shock", "source", "date", "target", "score", "weight", "rank_s")
-    x = s.join(b, ["date", "target"]).withColumns({"ds": F.col("score") - F.col("score_b"), "dw": F.col("weight") - F.col("weight_b")})
-    total = F.sum(F.abs("dw")).over(Window.partitionBy("shock", "source", "date"))
-    x = x.withColumn("reallocation", F.when(F.col("source") != F.col("target"), F.abs("dw")).otherwise(0.0)).withColumn("residual", F.when(total > 0, F.abs("dw") / F.nullif(total, F.lit(0.0))).otherwise(0.0))
+    weigh = lambda c: F.greatest(F.tanh(c), F.lit(0.0)) if long_only else F.tanh(c)
+    gross = lambda c: F.greatest(c, F.lit(1e-12))
+    day = Window.partitionBy("date")
+    b = base.select("date", "target", F.col("score").alias("score_b"), "return_1d", weigh("score").alias("x_b"), F.row_number().over(day.orderBy(F.desc("score"), "target")).alias("rank_b"))
+    b = b.withColumn("total_b", F.sum(F.abs("x_b")).over(day))
+    # one partitioning serves the ranks, the totals and the source's own part
+    case = Window.partitionBy("shock", "source", "date")
+    own = F.col("source") == F.col("target")
+    x = shocked.select("shock", "source", "date", "target", "score", weigh("score").alias("x")).join(b, ["date", "target"])
+    x = x.withColumns({"rank": F.row_number().over(case.orderBy(F.desc("score"), "target")), "total": F.sum(F.abs("x")).over(case)})
+    x = x.withColumn("alone", F.col("total_b") + F.coalesce(F.sum(F.when(own, F.abs("x") - F.abs("x_b"))).over(case), F.lit(0.0)))
+    x = x.withColumns({"weight_b": F.col("x_b") / gross(F.col("total_b")), "weight": F.col("x") / gross(F.col("total")), "weight_a": F.when(own, F.col("x")).otherwise(F.col("x_b")) / gross(F.col("alone"))})
+    ds, dw = F.col("score") - F.col("score_b"), F.col("weight") - F.col("weight_b")
     return x.groupBy("shock", "source", "target").agg(
-        F.avg(F.abs("ds")).alias("mean_abs_score_change"),
-        F.avg("ds").alias("mean_score_change"),
-        F.avg(F.abs("dw")).alias("mean_abs_weight_change"),
-        F.avg("dw").alias("mean_weight_change"),
-        F.avg(F.abs(F.col("rank_s") - F.col("rank_b")).cast("double")).alias("mean_rank_change"),
-        F.avg((F.signum("weight") != F.signum("weight_b")).cast("double")).alias("flip_probability"),
-        F.avg(F.col("dw") * F.coalesce("return_1d", F.lit(0.0))).alias("mean_return_effect"),
-        F.avg("reallocation").alias("reallocation"),
-        F.avg("residual").alias("residual"),
+        F.avg(F.abs(ds)).alias("mean_abs_score_change"),
+        F.avg(ds).alias("mean_score_change"),
+        F.avg(F.abs(dw)).alias("mean_abs_weight_change"),
+        F.avg(dw).alias("mean_weight_change"),
+        F.avg(F.abs(F.col("rank") - F.col("rank_b")).cast("double")).alias("mean_rank_change"),
+        F.avg((F.col("weight") * F.col("weight_b") < 0).cast("double")).alias("flip_probability"),
+        F.avg(dw * F.coalesce("return_1d", F.lit(0.0))).alias("mean_return_effect"),
+        F.avg(F.abs(F.col("weight_a") - F.col("weight_b"))).alias("reallocation"),
+        F.avg(F.abs(F.col("weight") - F.col("weight_a"))).alias("residual"),
+        F.count("*").alias("days"),
     )
 
 
@@ -49,11 +62,39 @@ def validated_transmission(edges: DataFrame, attention: str | None = None) -> Da
     return x.withColumn("validated_transmission", value).drop("_r", "_a")
 
 
-def compose_flow(into: DataFrame, out_of: DataFrame) -> DataFrame:
-    """Mean over batches of source -> market times market -> target, summed over market tokens: a matrix product in long form."""
-    x = into.select("batch", "source", "token", F.col("weight").alias("a")).join(out_of.select("batch", "token", "target", F.col("weight").alias("b")), ["batch", "token"])
-    each = x.groupBy("batch", "source", "target").agg(F.sum(F.col("a") * F.col("b")).alias("flow"))
-    return each.groupBy("source", "target").agg(F.avg("flow").alias("flow"))
+def compose_flow(into: DataFrame | None, out_of: DataFrame | None, direct: DataFrame | None = None) -> DataFrame:
+    """(source, target, flow): the mean of all flows that captured attention gives.
+
+    into: (capture, batch, source, token, weight) from sources to market
+    tokens; out_of: (capture, batch, token, target, weight) on to targets;
+    direct: (capture, batch, source, target, weight).  A capture is averaged
+    over its batches first.  Every direct capture is a flow, and so is every
+    pairing of a capture into the market with one out of it, summed over the
+    tokens that both have.  What a flow lacks counts as zero; missing weights
+    are zero too.
+    """
+
+    def averaged(x: DataFrame, *keys: str) -> DataFrame:
+        batches = x.groupBy("capture").agg(F.count_distinct("batch").alias("_b"))
+        sums = x.groupBy("capture", *keys).agg(F.sum(F.coalesce(finite(F.col("weight")), F.lit(0.0))).alias("weight"))
+        return sums.join(batches, "capture").withColumn("weight", F.col("weight") / F.col("_b")).drop("_b")
+
+    parts, counts = [], []
+    if direct is not None:
+        parts.append(averaged(direct, "source", "target").select("source", "target", "weight"))
+        counts.append(direct.agg(F.count_distinct("capture").alias("n")))
+    if into is not None and out_of is not None:
+        # all pairings at once: the sum over pairs is the product of the sums over captures
+        a = averaged(into, "source", "token").groupBy("source", "token").agg(F.sum("weight").alias("a"))
+        b = averaged(out_of, "token", "target").groupBy("token", "target").agg(F.sum("weight").alias("b"))
+        parts.append(a.join(b, "token").groupBy("source", "target").agg(F.sum(F.col("a") * F.col("b")).alias("weight")))
+        pairs = into.agg(F.count_distinct("capture").alias("n")).crossJoin(out_of.agg(F.count_distinct("capture").alias("m")))  # one row
+        counts.append(pairs.select((F.col("n") * F.col("m")).alias("n")))
+    if not parts:
+        raise ValueError("no flow: neither direct captures nor captures into and out of the market")
+    sums, flows = functools.reduce(DataFrame.unionByName, parts), functools.reduce(DataFrame.unionByName, counts).agg(F.sum("n").alias("n"))
+    out = sums.groupBy("source", "target").agg(F.sum("weight").alias("flow"))
+    return out.crossJoin(F.broadcast(flows)).select("source", "target", (F.col("flow") / F.col("n")).alias("flow"))  # one row
 
 
 def aggregate_edges(edges: DataFrame) -> DataFrame:
@@ -70,13 +111,11 @@ def top_edges(edges: DataFrame, n: int) -> DataFrame:
     return edges.select("source", "target", "weight").orderBy(F.desc("weight"), "source", "target").limit(n)
 
 
-def backbone_edges(edges: DataFrame, n: int, share: float = 1 / 3, each: int = 2) -> DataFrame:
-    """The global top third and the best of each source and target, self edges removed, each edge once."""
-    x = edges.where("source != target")
-    limit = x.agg(F.percentile("weight", F.lit(1 - share)).alias("limit"))
-    top = x.crossJoin(F.broadcast(limit)).where("weight >= limit").select("source", "target", "weight")
-    best = lambda side: x.withColumn("r", F.row_number().over(Window.partitionBy(side).orderBy(F.desc("weight"), "source", "target"))).where(F.col("r") <= each).select("source", "target", "weight")
-    every = top.unionByName(best("source")).unionByName(best("target")).groupBy("source", "target").agg(F.max("weight").alias("weight"))
+def backbone_edges(edges: DataFrame, n: int, each: int = 2) -> DataFrame:
+    """At most n edges: the n / 3 heaviest (one at least) and the best of each source and target, self edges removed, each edge once."""
+    x = edges.where("source != target").select("source", "target", "weight")
+    best = lambda side: x.withColumn("r", F.row_number().over(Window.partitionBy(side).orderBy(F.desc("weight"), "source", "target"))).where(F.col("r") <= each).drop("r")
+    every = top_edges(x, max(1, n // 3)).unionByName(best("source")).unionByName(best("target")).groupBy("source", "target").agg(F.max("weight").alias("weight"))
     return top_edges(every, n)
 
 
@@ -119,15 +158,20 @@ def community_flow(edges: DataFrame, communities: DataFrame) -> DataFrame:
     return edges.join(s, "source", "left").join(t, "target", "left").groupBy("source_community", "target_community").agg(F.sum("weight").alias("weight"), F.count("*").alias("edges"))
 
 
-def community_summary(edges: DataFrame, communities: DataFrame, ranks: DataFrame, top: int = 8) -> DataFrame:
-    """Members, rank sum, internal, outgoing and incoming weight, and the best members of each community."""
+def community_summary(edges: DataFrame, communities: DataFrame, figures: DataFrame, top: int = 8) -> DataFrame:
+    """Members, internal, outgoing and incoming weight, best members, and the sums of the nodes' figures, of each community.
+
+    figures: (node, rank, ...); every column but the node is added up as
+    `total_<column>`, and members are named by descending rank.
+    """
     flow = community_flow(edges, communities)
     inner = F.col("source_community") == F.col("target_community")
     out = flow.groupBy(F.col("source_community").alias("community")).agg(F.coalesce(F.sum(F.when(inner, F.col("weight"))), F.lit(0.0)).alias("internal"), F.coalesce(F.sum(F.when(~inner, F.col("weight"))), F.lit(0.0)).alias("outgoing"))
     into = flow.where(~inner).groupBy(F.col("target_community").alias("community")).agg(F.sum("weight").alias("incoming"))
-    x = communities.join(ranks, "node", "left").withColumn("r", F.row_number().over(Window.partitionBy("community").orderBy(F.desc_nulls_last("rank"), "node")))
+    x = communities.join(figures, "node", "left").withColumn("r", F.row_number().over(Window.partitionBy("community").orderBy(F.desc_nulls_last("rank"), "node")))
     best = F.transform(F.array_sort(F.collect_list(F.when(F.col("r") <= top, F.struct("r", "node")))), lambda s: s["node"])
-    members = x.groupBy("community").agg(F.count("*").alias("members"), F.sum("rank").alias("rank_sum"), F.array_join(best, ",").alias("top_members"))
+    sums = [F.coalesce(F.sum(c), F.lit(0.0)).alias(f"total_{c}") for c in figures.columns if c != "node"]
+    members = x.groupBy("community").agg(F.count("*").alias("members"), *sums, F.array_join(best, ",").alias("top_members"))
     return members.join(out, "community", "left").join(into, "community", "left").fillna(0.0, ["internal", "outgoing", "incoming"])
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
+from tidemark.functions.scratch import cut
 from tidemark.functions.expressions import clean, finite, safe_expm1, softplus
 
 def day_window() -> WindowSpec:
@@ -83,18 +84,46 @@ def carry(weights: DataFrame) -> DataFrame:
     return weights.withColumn("weight", F.coalesce(held, F.lit(0.0)))
 
 
-def side_masks(weights: DataFrame) -> DataFrame:
-    """Realised weights if increases need can_buy and decreases can_sell: a fold along each symbol's days."""
-    day = F.struct("date", "weight", "can_buy", "can_sell")
-    series = weights.groupBy("run_id", "symbol").agg(F.array_sort(F.collect_list(day)).alias("days"))
-    start = F.struct(F.lit(0.0).alias("at"), F.array().cast("array<struct<date:date,weight:double>>").alias("out"))
+#: Days that one block of a fold holds.
+BLOCK_DAYS = 64
+
+
+def side_masks(weights: DataFrame, block: int = BLOCK_DAYS) -> DataFrame:
+    """Realised weights if increases need can_buy and decreases can_sell: a fold along each symbol's days.
+
+    A day moves what is held to its target, only up, only down, or not at all:
+    it bounds the state from below or above or both.  Bounds of following days
+    make up bounds again, so each block of days is one pair of bounds; the
+    state at a block's start comes from the pairs of the blocks before it, and
+    the days within a block are folded apart.  No array grows by the day over
+    more than a block.
+    """
+    low, high = F.lit(float("-inf")), F.lit(float("inf"))
+    place = F.row_number().over(Window.partitionBy("run_id", "symbol").orderBy("date")) - 1
+    day = F.struct("date", F.coalesce(F.col("weight"), F.lit(0.0)).alias("target"), F.coalesce("can_buy", F.lit(False)).alias("up"), F.coalesce("can_sell", F.lit(False)).alias("down"))
+    blocks = weights.select("run_id", "symbol", F.floor(place / block).alias("_b"), day.alias("_day")).groupBy("run_id", "symbol", "_b").agg(F.array_sort(F.collect_list("_day")).alias("days"))
+
+    def bounded(at: Column, d: Column) -> Column:
+        return F.when((d["target"] > at) & d["up"] | (d["target"] < at) & d["down"], d["target"]).otherwise(at)
+
+    # what a block makes of the least and the greatest possible state
+    ends = F.struct(*(F.aggregate("days", start, bounded).alias(n) for n, start in (("low", low), ("high", high))))
+    series = blocks.groupBy("run_id", "symbol").agg(F.array_sort(F.collect_list(F.struct("_b", ends.alias("ends"), "days"))).alias("blocks"))
+    none = F.struct(F.lit(0.0).alias("at"), F.array().cast("array<double>").alias("out"))
+
+    def enter(state: Column, b: Column) -> Column:
+        now = F.greatest(F.least(state["at"], b["ends"]["high"]), b["ends"]["low"])
+        return F.struct(now.alias("at"), F.concat(state["out"], F.array(state["at"])).alias("out"))
+
+    starts = F.aggregate("blocks", none, enter, lambda s: s["out"])
+    opened = series.select("run_id", "symbol", F.explode(F.arrays_zip(starts.alias("at"), F.col("blocks").alias("block"))).alias("e")).select("run_id", "symbol", F.col("e.at").alias("at"), F.col("e.block.days").alias("days"))
+    within = F.struct(F.col("at").alias("at"), F.array().cast("array<struct<date:date,weight:double>>").alias("out"))
 
     def step(state: Column, d: Column) -> Column:
-        target = F.coalesce(d["weight"], F.lit(0.0))
-        now = F.when((target > state["at"]) & d["can_buy"] | (target < state["at"]) & d["can_sell"], target).otherwise(state["at"])
+        now = bounded(state["at"], d)
         return F.struct(now.alias("at"), F.concat(state["out"], F.array(F.struct(d["date"].alias("date"), now.alias("weight")))).alias("out"))
 
-    realised = series.select("run_id", "symbol", F.explode(F.aggregate("days", start, step, lambda s: s["out"])).alias("d"))
+    realised = opened.select("run_id", "symbol", F.explode(F.aggregate("days", within, step, lambda s: s["out"])).alias("d"))
     return weights.drop("weight").join(realised.select("run_id", "symbol", "d.date", "d.weight"), ["run_id", "symbol", "date"])
 
 
@@ -400,6 +429,80 @@ def objective_scorecard(
     )
 
 
+#: Weights of the terms of the factor objective; each term is lower for a better factor.
+FACTOR_TERMS = {
+    "slope_tstat": 1.0, "ic_tstat": 0.5, "factor_tstat": 0.25, "block_stability": 0.2, "regime_stability": 0.2, "consistency": 0.05,
+    "net_exposure": 0.05, "gross_exposure": 0.02, "concentration": 0.02, "turnover": 0.02, "score_l2": 0.001,
+}
+
+
+def factor_objective(book: DataFrame, augmented: str | None = None, temperature: float = 1.0, leverage: float = 1.0, buy_fee: float = 0.0, sell_fee: float = 0.0, blocks: int = 4, terms: dict[str, float] | None = None) -> DataFrame:
+    """Each run's scores as a factor: (run_id, one column per term, objective), lower is better.
+
+    book: dense (run_id, date, symbol, score, weight, return_1d, tradable).
+    The scores of a day's tradable symbols are standardised; the terms are
+    minus the t-statistics of the daily slope of returns on scores, of their
+    correlation, and of the return of the book that holds the scores' tanh at
+    gross one; that book's stability over blocks of days and over regimes;
+    and the means of squared net weight, squared distance of gross weight from
+    `leverage`, concentration, turnover from the second day on, and squared
+    scores.  With a second column of scores, `augmented`, what their daily
+    correlation with the first lacks to one is a term too.  Missing values are
+    zero; days below two tradable symbols have slope and correlation zero.
+    """
+    terms = {**FACTOR_TERMS, **(terms or {})}
+    day = Window.partitionBy("run_id", "date")
+    ok = F.coalesce("tradable", F.lit(False))
+    zero = F.lit(0.0)
+    mine = lambda c: F.when(F.col("_ok"), c)
+    n = F.greatest(F.count_if(F.col("_ok")).over(day), F.lit(1))
+
+    def standard(x: DataFrame, value: str, name: str) -> DataFrame:
+        x = x.withColumn("_c", F.greatest(F.least(F.coalesce(F.nanvl(F.col(value), F.lit(None).cast("double")), zero), F.lit(20.0)), F.lit(-20.0)))
+        x = x.withColumn("_m", F.coalesce(F.sum(mine(F.col("_c"))).over(day), zero) / n)
+        x = x.withColumn("_s", F.coalesce(F.sum(mine(F.pow(F.col("_c") - F.col("_m"), 2))).over(day), zero) / F.greatest(n, F.lit(2)))
+        return x.withColumn(name, F.coalesce(mine((F.col("_c") - F.col("_m")) / F.sqrt(F.col("_s") + 1e-6)), zero)).drop("_c", "_m", "_s")
+
+    x = book.withColumns({"_ok": ok, "_r": F.coalesce(finite(F.col("return_1d")), zero), "_w": F.coalesce(finite(F.col("weight")), zero)})
+    x = standard(standard(x, "score", "_z"), "_z", "_zz")
+    x = standard(x, augmented, "_a") if augmented else x
+    x = x.withColumn("_t", F.coalesce(mine(F.tanh(F.col("_z") / max(temperature, 0.05))), zero))
+    x = x.withColumn("_f", F.col("_t") / F.greatest(F.sum(F.abs("_t")).over(day), F.lit(1e-12)))
+    x = x.withColumns({"_df": F.col("_f") - F.lag("_f", 1, 0.0).over(book_window()), "_dw": F.abs(F.col("_w") - F.lag("_w").over(book_window()))})
+    total = lambda c: F.coalesce(F.sum(mine(c)), zero)
+    count = F.count_if(F.col("_ok"))
+    some = F.greatest(count, F.lit(1))
+
+    def covariance(a: str, b: str) -> Column:
+        return total(F.col(a) * F.col(b)) - total(F.col(a)) * total(F.col(b)) / some
+
+    def correlation(a: str, b: str) -> Column:
+        return F.when(count >= 2, covariance(a, b) / F.sqrt(F.greatest(covariance(a, a) * covariance(b, b), F.lit(1e-8)))).otherwise(0.0)
+
+    daily = x.groupBy("run_id", "date").agg(
+        F.when(count >= 2, covariance("_zz", "_r") / F.greatest(total(F.col("_zz") * F.col("_zz")), F.lit(1e-6))).otherwise(0.0).alias("slope"),
+        correlation("_z", "_r").alias("ic"),
+        (F.sum(F.col("_f") * F.col("_r")) - buy_fee * F.sum(F.greatest("_df", zero)) - sell_fee * F.sum(F.greatest(-F.col("_df"), zero))).alias("strategy_return"),
+        (total(F.col("_r")) / some).alias("benchmark_return"),
+        (1 - correlation("_z", "_a") if augmented else zero).alias("apart"),
+        F.pow(F.sum("_w"), 2).alias("net"),
+        F.pow(F.sum(F.abs("_w")) - leverage, 2).alias("gross"),
+        (total(F.col("_w") * F.col("_w")) * some).alias("concentrated"),
+        F.sum("_dw").alias("turned"),
+        (total(F.col("_z") * F.col("_z")) / some).alias("l2"),
+    )
+    # one row per run and day, read by the three parts below
+    daily = cut(daily)
+    tstat = lambda c: -F.avg(c) / F.sqrt(F.var_pop(c) + 1e-8) * F.sqrt(F.count(c).cast("double"))
+    means = {"consistency": "apart", "net_exposure": "net", "gross_exposure": "gross", "concentration": "concentrated", "turnover": "turned", "score_l2": "l2"}
+    run = daily.groupBy("run_id").agg(
+        *(tstat(c).alias(name) for name, c in (("slope_tstat", "slope"), ("ic_tstat", "ic"), ("factor_tstat", "strategy_return"))), *(F.coalesce(F.avg(c), zero).alias(name) for name, c in means.items())
+    )
+    run = run.join(block_stability(daily, "strategy_return", blocks), "run_id").join(regime_stability(daily), "run_id")
+    objective = sum((terms[name] * F.col(name) for name in FACTOR_TERMS), zero)
+    return run.select("run_id", *FACTOR_TERMS, objective.alias("objective"))
+
+
 def portfolio_autoencoder_objective(weights: DataFrame, cost: float = 0.001425, turnover_weight: float = 0.1, concentration_weight: float = 0.01) -> DataFrame:
     """(run_id, objective): minus the yearly Sharpe ratio after costs, plus turnover and concentration; weights are dense."""
     w = F.when(F.coalesce("tradable", F.lit(False)), F.coalesce(finite(F.col("weight")), F.lit(0.0))).otherwise(0.0)
@@ -461,24 +564,31 @@ def symbol_contribution(weights: DataFrame) -> DataFrame:
     return out.withColumn("contribution_per_active_day", F.col("total_contribution") / F.greatest("active_days", F.lit(1)))
 
 
-def regime_analysis(daily: DataFrame, flat: float = 0.001) -> DataFrame:
-    """Rows, means and hit rate of each run by market direction and by tercile of the market's absolute move."""
-    edges = daily.groupBy("run_id").agg(F.percentile(F.abs("benchmark_return"), F.array(F.lit(1 / 3), F.lit(2 / 3))).alias("e"))
-    x = daily.join(edges, "run_id")
-    move = F.abs("benchmark_return")
-    direction = F.when(F.col("benchmark_return") > flat, "up").when(F.col("benchmark_return") < -flat, "down").otherwise("flat")
-    tercile = F.when(F.col("e")[0] == F.col("e")[1], "all").when(move < F.col("e")[0], "calm").when(move < F.col("e")[1], "normal").otherwise("wild")
-    stats = [F.count("*").alias("days"), F.avg("strategy_return").alias("mean_strategy"), F.avg("benchmark_return").alias("mean_benchmark"), F.avg((F.col("strategy_return") > 0).cast("double")).alias("hit_rate")]
-    parts = [x.groupBy("run_id", F.lit(kind).alias("kind"), value.alias("regime")).agg(*stats) for kind, value in (("direction", direction), ("volatility", tercile))]
+def regime_analysis(exposure: DataFrame, flat: float = 0.001) -> DataFrame:
+    """Rows, mean returns, turnover, gross and net weight, and hit rate of each run, by market direction and by tercile of the market's absolute move.
+
+    exposure: (run_id, date, strategy_return, market_return, turnover, gross,
+    net).  A run of fewer than three days, or whose market always moves alike,
+    has one volatility regime.
+    """
+    move = F.abs("market_return")
+    edges = exposure.groupBy("run_id").agg(F.percentile(move, F.array(F.lit(1 / 3), F.lit(2 / 3))).alias("e"), F.count(move).alias("c"), F.min(move).alias("lo"), F.max(move).alias("hi"))
+    x = exposure.join(edges, "run_id")
+    direction = F.when(F.col("market_return") > flat, "market_up").when(F.col("market_return") < -flat, "market_down").otherwise("market_flat")
+    one = (F.col("c") < 3) | (F.col("hi") <= F.col("lo")) | move.isNull()
+    tercile = F.when(one, "single_vol_bucket").when(move < F.col("e")[0], "low_abs_market_move").when(move < F.col("e")[1], "mid_abs_market_move").otherwise("high_abs_market_move")
+    stats = [F.count("*").alias("rows")] + [F.avg(c).alias(f"mean_{c}") for c in ("strategy_return", "market_return", "turnover", "gross", "net")] + [F.avg((F.col("strategy_return") > 0).cast("double")).alias("hit_rate")]
+    parts = [x.groupBy("run_id", F.lit(kind).alias("dimension"), value.alias("regime")).agg(*stats) for kind, value in (("market_direction", direction), ("volatility_bucket", tercile))]
     return parts[0].unionByName(parts[1])
 
 
 def case_days(exposure: DataFrame) -> DataFrame:
-    """(run_id, date): the best, worst, busiest and most levered days of each run, each day once; the last one if days tie."""
-    by = lambda c: F.struct(F.round(c, 9).alias("v"), "date")
-    low = F.struct(F.round("strategy_return", 9).alias("v"), "date")
-    picks = exposure.groupBy("run_id").agg(F.max_by("date", by("strategy_return")).alias("best"), F.min_by("date", low).alias("worst"), F.max_by("date", by("turnover")).alias("turnover"), F.max_by("date", by("gross")).alias("gross"))
-    return picks.select("run_id", F.explode(F.array_distinct(F.array("best", "worst", "turnover", "gross"))).alias("date"))
+    """(run_id, case_type, date): the best, worst, busiest and most levered day of each run, the first one if days tie; a day may be several of them."""
+    first = lambda c: F.struct(c.alias("v"), "date")
+    figure = lambda c: F.round(c, 9)
+    picks = {"best_strategy_day": -figure("strategy_return"), "worst_strategy_day": figure("strategy_return"), "highest_turnover_day": -figure("turnover"), "highest_gross_exposure_day": -figure("gross")}
+    chosen = exposure.groupBy("run_id").agg(*(F.min_by("date", first(v)).alias(name) for name, v in picks.items()))
+    return chosen.select("run_id", F.explode(F.array(*(F.struct(F.lit(name).alias("case_type"), F.col(name).alias("date")) for name in picks))).alias("c")).select("run_id", "c.*")
 
 
 def daily_decisions(weights: DataFrame, k: int) -> DataFrame:
@@ -490,8 +600,11 @@ def daily_decisions(weights: DataFrame, k: int) -> DataFrame:
 
 
 def case_studies(weights: DataFrame, exposure: DataFrame, k: int = 5) -> DataFrame:
-    """The largest decisions on each run's case days (four days at most)."""
-    return daily_decisions(weights, k).join(case_days(exposure), ["run_id", "date"])
+    """The largest decisions on each run's case days, under each type of the day, with the day's own figures (case_...)."""
+    figures = exposure.select("run_id", "date", *(F.col(c).alias(f"case_{c}") for c in ("strategy_return", "market_return", "turnover", "gross", "net")))
+    # four days per run
+    days = case_days(exposure).join(figures, ["run_id", "date"])
+    return daily_decisions(weights, k).join(days, ["run_id", "date"])
 
 
 def masked_totals(daily: DataFrame, mask: Column, gain: float = 1.0, cost: float = 0.1) -> DataFrame:

@@ -24,20 +24,35 @@ def supported_universe(symbols: DataFrame, code: str = LISTED_CODE, excluded_nam
     return symbols.where(delisted | F.coalesce(active, F.lit(False)))
 
 
+# An FX ticker, a coin's symbol, and the endings of archived codes.
+FX_TICKER = r"^[A-Z]{6}=X$"
+COIN_SYMBOL = "^[a-z]{2,8}$"
+ARCHIVE_CODE = "_(?:DL|TW|TWO)$"
+
+
 def candidate_tickers(symbols: DataFrame, fx: bool = False) -> DataFrame:
-    """One row per ticker of the comma-separated list; FX pairs also turned around."""
-    out = symbols.withColumn("ticker", F.explode(F.transform(F.split("tickers", ","), lambda t: F.trim(t)))).where("ticker != ''")
+    """`symbols` once for each ticker of its comma-separated list, in order, with `ticker`; a list without any ticker is a ticker itself.
+
+    With `fx`, the inverse of each ticker like EURUSD=X (in any case) follows
+    the list, unless it is in it.
+    """
+    listed = F.filter(F.transform(F.split(F.trim("tickers"), ","), lambda t: F.trim(t)), lambda t: t != "")
+    listed = F.when(F.size(listed) > 0, listed).otherwise(F.array(F.trim("tickers")))
+    out = symbols.withColumn("_t", listed)
     if fx:
-        turned = F.concat(F.substring("ticker", 4, 3), F.substring("ticker", 1, 3))
-        out = out.withColumn("ticker", F.explode(F.array_distinct(F.array("ticker", F.when(F.length("ticker") == 6, turned).otherwise(F.col("ticker"))))))
-    return out
+        pairs = F.filter(F.transform("_t", lambda t: F.upper(t)), lambda t: t.rlike(FX_TICKER))
+        turned = F.transform(pairs, lambda t: F.concat(F.substring(t, 4, 3), F.substring(t, 1, 3), F.lit("=X")))
+        out = out.withColumn("_t", F.concat("_t", F.array_except(turned, "_t")))
+    return out.withColumn("ticker", F.explode("_t")).drop("_t")
 
 
-def crypto_universe(tickers: DataFrame) -> DataFrame:
-    """(code, ticker): coins quoted in dollars, the first ticker of each code."""
-    coin = F.regexp_extract("ticker", r"^([A-Za-z0-9]+)[-/]?(?:USDT?|usdt?)$", 1)
-    out = tickers.withColumn("coin", coin).where("coin != ''").select(F.concat(F.upper("coin"), F.lit("USD")).alias("code"), "ticker")
-    return keep_first(out, ["code"], "ticker")
+def crypto_universe(coins: DataFrame) -> DataFrame:
+    """(code, name, ticker) of coins (symbol, name, ingest_seq): lower-case symbols of 2 to 8 letters, the first of each, quoted in dollars."""
+    symbol = F.trim("symbol")
+    upper = F.upper(symbol)
+    name = F.coalesce(F.nullif(F.trim("name"), F.lit("")), upper)
+    out = coins.where(symbol.rlike(COIN_SYMBOL)).select(F.concat(upper, F.lit("USD")).alias("code"), name.alias("name"), F.concat(upper, F.lit("-USD")).alias("ticker"), "ingest_seq")
+    return keep_first(out, ["code"]).drop("ingest_seq")
 
 
 def new_symbols(wanted: DataFrame, known: DataFrame) -> DataFrame:
@@ -54,14 +69,23 @@ def all_blacklisted(candidates: DataFrame, blacklist: DataFrame) -> DataFrame:
     return marked.groupBy("code").agg(F.bool_and(F.coalesce("b", F.lit(False))).alias("gone")).where("gone").select("code")
 
 
-def apply_listing_state(symbols: DataFrame, active: DataFrame, delisted: DataFrame) -> DataFrame:
-    """`symbols` with the market set by the state of any of its tickers; archived codes never revive."""
-    t = candidate_tickers(symbols.select("code", "tickers"))
-    t = t.join(active.select("ticker", F.lit(1).alias("a")).distinct(), "ticker", "left").join(delisted.select("ticker", F.lit(1).alias("d")).distinct(), "ticker", "left")
-    flags = t.groupBy("code").agg(F.max("a").alias("a"), F.max("d").alias("d"))
+def apply_listing_state(symbols: DataFrame, active: DataFrame, delisted: DataFrame, market: str = "active", gone: str = "delisted") -> DataFrame:
+    """`symbols` with the market that the day's lists give them.
+
+    symbols: (code, tickers, market); active and delisted: (ticker).  A
+    delisted symbol becomes `market` if one of its tickers is active and its
+    code is no archive's; another one becomes `gone` if a ticker is delisted
+    and none is active; all others, also those whose market is active
+    already, keep what they have.  Keys meet in upper case.
+    """
+    t = candidate_tickers(symbols.select("code", "tickers")).select("code", F.upper("ticker").alias("ticker"))
+    known = lambda x, n: x.select(F.upper(F.trim("ticker")).alias("ticker"), F.lit(True).alias(n)).distinct()
+    flags = t.join(known(active, "_a"), "ticker", "left").join(known(delisted, "_d"), "ticker", "left").groupBy("code").agg(F.max("_a").alias("_a"), F.max("_d").alias("_d"))
     out = symbols.join(flags, "code", "left")
-    market = F.when(F.col("market") == "archive", F.col("market")).when(F.col("a").isNotNull(), "active").when(F.col("d").isNotNull(), "delisted").otherwise(F.col("market"))
-    return out.withColumn("market", market).drop("a", "d")
+    was = F.coalesce(F.lower("market").contains("delisted"), F.lit(False))
+    on, off = F.coalesce("_a", F.lit(False)), F.coalesce("_d", F.lit(False))
+    revived = was & on & ~F.upper(F.trim("code")).rlike(ARCHIVE_CODE)
+    return out.withColumn("market", F.when(revived, market).when(~was & off & ~on, gone).otherwise(F.col("market"))).drop("_a", "_d")
 
 
 def supported_pairs(pairs: DataFrame, currencies: DataFrame) -> DataFrame:

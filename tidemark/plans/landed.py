@@ -126,12 +126,17 @@ def q_vendor_columns(spark, d):
 
 
 @query(
-    _ORDERS + """--result SELECT symbol, date, open, "max", "min", close, adjclose, "Trading_Volume"::BIGINT AS "Trading_Volume", ingest_seq
-    FROM ob WHERE close IS NOT NULL QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY ingest_seq DESC) = 1""",
-    RAW.replace('"Trading_Volume"', "").replace("Trading_Volume", ""),
+    _ORDERS + """, t AS (SELECT symbol, date, open, "max", "min", close, CASE WHEN ingest_seq % 6 = 0 THEN NULL ELSE adjclose END AS adjclose, "Trading_Volume", ingest_seq FROM ob),
+    kept AS (SELECT *, 'column' AS adjusted FROM t WHERE adjclose IS NOT NULL UNION ALL SELECT * REPLACE (close AS adjclose), 'none' FROM t)
+    --result SELECT adjusted, symbol, date, open, "max", "min", close, adjclose, "Trading_Volume"::BIGINT AS "Trading_Volume"
+    FROM kept WHERE close IS NOT NULL QUALIFY row_number() OVER (PARTITION BY adjusted, symbol, date ORDER BY ingest_seq DESC) = 1""",
+    'open "max" "min" close adjclose',
 )
 def q_canonical_strict(spark, d):
-    return C.canonical_strict(order_bars(spark, d))
+    """With a column of adjusted closes that has gaps, and without the column."""
+    x = order_bars(spark, d).withColumn("adjclose", F.when(F.col("ingest_seq") % 6 != 0, F.col("adjclose")))
+    parts = [C.canonical_strict(rows).withColumn("adjusted", F.lit(name)).select("adjusted", "symbol", "date", "open", "max", "min", "close", "adjclose", "Trading_Volume") for name, rows in (("column", x), ("none", x.drop("adjclose")))]
+    return parts[0].unionByName(parts[1])
 
 
 @query("--result SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 OR p_partkey % 2 = 0 THEN 2 ELSE 8 END::INT AS decimals FROM part")
@@ -142,13 +147,29 @@ def q_price_decimals(spark, d):
 
 
 @query(
-    """WITH t AS (SELECT 'c' || (c_custkey % 400) AS coin, ['-', '/', ''][(c_custkey % 3 + 1)::INT] AS sep, ['USD', 'USDT', 'usd', 'EUR'][(c_custkey % 4 + 1)::INT] AS quote FROM customer)
-    --result SELECT upper(coin) || 'USD' AS code, min(coin || sep || quote) AS ticker FROM t WHERE quote != 'EUR' GROUP BY coin"""
+    """WITH t AS (SELECT translate((c_custkey % 4000)::VARCHAR, '0123456789', 'abcdefghXj') AS symbol, CASE WHEN c_custkey % 3 = 0 THEN ' ' ELSE 'Coin ' || c_custkey END AS name, c_custkey AS k FROM customer)
+    --result SELECT upper(symbol) || 'USD' AS code, coalesce(nullif(trim(name), ''), upper(symbol)) AS name, upper(symbol) || '-USD' AS ticker FROM t WHERE regexp_full_match(symbol, '[a-z]{2,8}') QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY k) = 1"""
 )
 def q_crypto_universe(spark, d):
+    """Coins whose symbols repeat, are too short, or hold a capital."""
     k = F.col("c_custkey")
-    pick = lambda *values: F.element_at(F.array(*map(F.lit, values)), (k % len(values) + 1).cast("int"))
-    return U.crypto_universe(table(spark, d, "customer").select(F.concat(F.lit("c"), k % 400, pick("-", "/", ""), pick("USD", "USDT", "usd", "EUR")).alias("ticker")))
+    coins = table(spark, d, "customer").select(F.translate((k % 4000).cast("string"), "0123456789", "abcdefghXj").alias("symbol"), F.when(k % 3 == 0, " ").otherwise(F.concat(F.lit("Coin "), k)).alias("name"), k.alias("ingest_seq"))
+    return U.crypto_universe(coins)
+
+
+@query(
+    """WITH t AS (SELECT c_custkey AS code, chr((65 + c_custkey % 3)::INT) || 'BCDE' || chr((65 + c_custkey % 5)::INT) AS p, c_custkey % 4 AS m FROM customer),
+    l AS (SELECT code, CASE m WHEN 0 THEN [p || '=X'] WHEN 1 THEN [lower(p) || '=x', 'spot'] WHEN 2 THEN [p || '=X', substr(p, 4, 3) || substr(p, 1, 3) || '=X'] ELSE [p] END AS ts, p, m FROM t)
+    --result SELECT code, unnest(ts || CASE WHEN m < 2 THEN [substr(p, 4, 3) || substr(p, 1, 3) || '=X'] ELSE [] END) AS ticker FROM l"""
+)
+def q_fx_tickers(spark, d):
+    """FX tickers and their inverses; lists that hold the inverse already, and pairs without the ending, get none."""
+    k = F.col("c_custkey")
+    letter = lambda n: F.char(65 + k % n)
+    x = table(spark, d, "customer").select(k.alias("code"), F.concat(letter(3), F.lit("BCDE"), letter(5)).alias("p"), (k % 4).alias("m"))
+    turned = F.concat(F.substring("p", 4, 3), F.substring("p", 1, 3), F.lit("=X"))
+    tickers = F.when(F.col("m") == 0, F.concat("p", F.lit("=X"))).when(F.col("m") == 1, F.concat(F.lower("p"), F.lit("=x, spot"))).when(F.col("m") == 2, F.concat("p", F.lit("=X, "), turned)).otherwise(F.col("p"))
+    return U.candidate_tickers(x.select("code", tickers.alias("tickers")), fx=True).select("code", "ticker")
 
 
 @query(
@@ -193,13 +214,15 @@ def q_int64_clip(spark, d):
 
 @query(
     """WITH o AS (SELECT o_orderkey % 3 AS p, o_orderkey % 5 AS f, o_orderkey % 7 AS m FROM orders)
-    --result SELECT status, count(*) AS n FROM (SELECT CASE WHEN m = 0 THEN 'not_found' WHEN f = 0 THEN 'still_stale' WHEN p = 0 THEN 'schema_repaired' WHEN p = 1 THEN 'new_symbol_repaired' ELSE 'repaired' END AS status FROM o) GROUP BY status"""
+    --result SELECT status, count(*) AS n FROM (SELECT CASE WHEN f < 2 THEN CASE p WHEN 1 THEN 'new_symbol_repaired' WHEN 0 THEN 'schema_repaired' ELSE 'repaired' END WHEN f = 2 AND m IN (0, 1, 2) THEN 'not_found' WHEN f = 2 THEN 'failed' WHEN f = 3 THEN 'still_stale' ELSE 'up_to_date' END AS status FROM o) GROUP BY status"""
 )
 def q_final_status(spark, d):
+    """Fetches of every outcome, whose messages may say that a symbol is gone; only a failed one heeds them."""
     k = F.col("o_orderkey")
     plan = F.when(k % 3 == 0, "schema_mismatch").when(k % 3 == 1, "new_symbol").otherwise("stale")
-    status = C.final_status(plan, F.when(k % 5 == 0, "error").otherwise("ok"), F.when(k % 7 == 0, "Symbol Not Found"))
-    return table(spark, d, "orders").groupBy(status.alias("status")).agg(F.count("*").alias("n"))
+    fetched = F.when(k % 5 < 2, "updated").when(k % 5 == 2, "failed").when(k % 5 == 3, "empty").otherwise("up_to_date")
+    said = F.when(k % 7 == 0, "$X: Possibly Delisted; No timezone found").when(k % 7 == 1, "Quote not found for symbol: X").when(k % 7 == 2, "No price data found (1d)").when(k % 7 == 3, "timed out").when(k % 7 == 4, "symbol not found")
+    return table(spark, d, "orders").groupBy(C.final_status(plan, fetched, said).alias("status")).agg(F.count("*").alias("n"))
 
 
 @query(
@@ -237,9 +260,9 @@ def q_tracked_symbols(spark, d):
     return U.tracked_symbols(s.where("n % 3 = 0"), manifest, s.where("n % 5 = 0"))
 
 
-@query(S.with_(*S.PANEL, S.BOOK) + "--result SELECT symbol, avg(abs(weight)) + 0.05 * avg(abs(score)) AS value FROM book WHERE run_id = 'top5' GROUP BY symbol HAVING bool_or(tradable) ORDER BY value DESC, symbol LIMIT 8", "value")
+@query(S.with_(*S.PANEL, S.BOOK) + "--result SELECT symbol, avg(abs(weight)) + 0.05 * avg(abs(score)) AS value FROM book GROUP BY symbol HAVING bool_or(tradable) ORDER BY value DESC, symbol LIMIT 8", "value")
 def q_select_symbols(spark, d):
-    return A.select_symbols(book(spark, d).where("run_id = 'top5'"), 8)
+    return A.select_symbols(book(spark, d), 8)
 
 
 # ---- runs, epochs, dates -------------------------------------------------------
@@ -254,11 +277,31 @@ def curves(spark, d):
 
 
 @query(
-    S.with_(S.BARS_SQL) + _CURVES + """, b AS (SELECT *, row_number() OVER w AS i, min(val_mean) OVER (PARTITION BY run ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM curves WINDOW w AS (PARTITION BY run ORDER BY epoch))
-    --result SELECT run, max(i) - coalesce(max(i) FILTER (best IS NULL OR val_mean < best), 0) AS no_improve FROM b GROUP BY run"""
+    S.with_(S.BARS_SQL).replace("WITH", "WITH RECURSIVE", 1) + _CURVES + """, noted AS (SELECT run, epoch, CASE WHEN epoch % 4 = 1 THEN NULL WHEN epoch % 9 = 3 THEN 'nan'::DOUBLE ELSE val_mean END AS v, CASE WHEN epoch % 31 = 7 THEN epoch % 6 WHEN epoch % 31 = 9 THEN -1 END AS g FROM curves),
+    used AS MATERIALIZED (SELECT run, CASE WHEN isfinite(v) THEN v END AS v, CASE WHEN g >= 0 THEN g END AS g, row_number() OVER (PARTITION BY run ORDER BY epoch) AS i FROM noted WHERE g >= 0 OR v IS NOT NULL AND isfinite(v)),
+    walk(run, i, best, n) AS (
+      SELECT DISTINCT run, 0::BIGINT, 'inf'::DOUBLE, 0::BIGINT FROM noted
+      UNION ALL SELECT u.run, u.i, least(best, coalesce(v, best)), CASE WHEN g IS NOT NULL THEN g WHEN v < best THEN 0 ELSE n + 1 END FROM walk w JOIN used u ON u.run = w.run AND u.i = w.i + 1)
+    --result SELECT run, arg_max(n, i) AS no_improve FROM walk GROUP BY run"""
 )
 def q_no_improve_epochs(spark, d):
-    return A.no_improve_epochs(curves(spark, d))
+    """Curves with missing losses and with epochs that carry a counter of their own."""
+    e = F.col("epoch")
+    x = curves(spark, d).withColumns({"val_mean": F.when(e % 4 == 1, None).when(e % 9 == 3, float("nan")).otherwise(F.col("val_mean")), "no_improve": F.when(e % 31 == 7, e % 6).when(e % 31 == 9, -1)})
+    return A.no_improve_epochs(x, counter="no_improve")
+
+
+@query(
+    S.with_(S.BARS_SQL) + _CURVES + """--result SELECT run, epoch, CASE WHEN substr(run, 2)::INT % 2 = 0 THEN val_mean * 2 WHEN epoch % 5 = 0 THEN NULL ELSE val_mean END AS val_mean FROM curves""",
+    "val_mean",
+)
+def q_epoch_curves(spark, d):
+    """A folder of curve files per run; half of the runs have a newer file of another kind, which wins."""
+    root = scratch_path(spark, "curves")
+    x = curves(spark, d)
+    x.withColumn("val_mean", F.when(F.col("epoch") % 5 == 0, float("nan")).otherwise(F.col("val_mean"))).write.partitionBy("run").parquet(root)
+    x.where("substr(run, 2) % 2 = 0").withColumn("val_mean", F.col("val_mean") * 2).repartition("run").write.mode("append").partitionBy("run").json(root)
+    return files.read_epoch_curves(spark, root).select(F.regexp_extract("run", "^run=(.*)$", 1).alias("run"), F.col("epoch").cast("int").alias("epoch"), "val_mean")
 
 
 @query(S.with_(S.BARS_SQL) + _CURVES + "--result SELECT * FROM curves QUALIFY epoch % 5 = 0 OR epoch = max(epoch) OVER (PARTITION BY run)", "val_mean")
@@ -270,7 +313,7 @@ _GRID = ", e AS (SELECT date, row_number() OVER (ORDER BY date) - 1 AS i, count(
 
 
 @query(
-    S.with_(S.BARS_SQL) + _GRID + """, n AS (SELECT 'even' AS how, date FROM e WHERE i = 0 OR floor(i * 40 / c::DOUBLE) != floor((i - 1) * 40 / c::DOUBLE) UNION ALL SELECT 'first', date FROM e WHERE i < 40 UNION ALL SELECT 'last', date FROM e WHERE i >= c - 40)
+    S.with_(S.BARS_SQL) + _GRID + """, n AS (SELECT 'even' AS how, date FROM e WHERE i IN (SELECT floor(k * (c - 1) / 39.0)::BIGINT FROM range(40) t(k), (SELECT any_value(c) AS c FROM e)) UNION ALL SELECT 'first', date FROM e WHERE i < 40 UNION ALL SELECT 'last', date FROM e WHERE i >= c - 40)
     --result SELECT how, symbol, date, close FROM bars JOIN n USING (date)""",
     "close",
 )
@@ -284,17 +327,20 @@ def q_sample_dates(spark, d):
 
 
 @query(
-    _EDGES + """, n AS (SELECT 'N' || n_nationkey AS node, n_regionkey AS token FROM nation), i AS (SELECT shock, source, token, sum(weight) AS a FROM edges JOIN n ON node = target GROUP BY ALL),
-    o AS (SELECT shock, token, target, sum(weight) AS b FROM edges JOIN n ON node = source GROUP BY ALL), f AS (SELECT shock, source, target, sum(a * b) AS flow FROM i JOIN o USING (shock, token) GROUP BY ALL)
-    --result SELECT source, target, avg(flow) AS flow FROM f GROUP BY ALL""",
+    _EDGES + """, n AS (SELECT 'N' || n_nationkey AS node, n_regionkey AS token FROM nation), batches AS (SELECT DISTINCT shock, substr(shock, 1, 1) < 'G' AS early FROM edges),
+    sizes AS (SELECT early, count(*) AS b FROM batches GROUP BY early),
+    i AS (SELECT early, source, token, sum(weight) / any_value(b) AS a FROM edges JOIN n ON node = target JOIN batches USING (shock) JOIN sizes USING (early) GROUP BY ALL),
+    o AS (SELECT token, target, sum(weight) / (SELECT count(*) FROM batches) AS b FROM edges JOIN n ON node = source WHERE token != 0 GROUP BY ALL),
+    f AS (SELECT source, target, sum(a * b) AS flow FROM i JOIN o USING (token) GROUP BY ALL UNION ALL SELECT source, target, sum(weight) / (SELECT count(*) FROM batches) FROM edges GROUP BY ALL)
+    --result SELECT source, target, sum(flow) / ((SELECT count(*) FROM sizes) + 1) AS flow FROM f GROUP BY ALL""",
     "flow",
 )
 def q_compose_flow(spark, d):
-    """Trade between nations by way of regions, a batch per market segment."""
+    """Trade between nations by way of regions and direct: two captures into regions, one out of them that lacks a region, and a direct one, each with a batch per market segment."""
     e, c = edges(spark, d).withColumnRenamed("shock", "batch"), communities(spark, d).withColumnRenamed("community", "token")
-    into = e.join(c.withColumnRenamed("node", "target"), "target").groupBy("batch", "source", "token").agg(F.sum("weight").alias("weight"))
-    out = e.join(c.withColumnRenamed("node", "source"), "source").groupBy("batch", "token", "target").agg(F.sum("weight").alias("weight"))
-    return G.compose_flow(into, out)
+    into = e.join(c.withColumnRenamed("node", "target"), "target").groupBy("batch", "source", "token").agg(F.sum("weight").alias("weight")).withColumn("capture", F.substring("batch", 1, 1) < "G")
+    out = e.join(c.withColumnRenamed("node", "source"), "source").where("token != 0").groupBy("batch", "token", "target").agg(F.sum("weight").alias("weight")).withColumn("capture", F.lit("out"))
+    return G.compose_flow(into, out, e.withColumn("capture", F.lit("direct")))
 
 
 @query(

@@ -359,7 +359,19 @@ def masked_book(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("can_buy", "can_sell")})
 
 
-@query()
+@query(
+    S.with_(*S.PANEL, S.MASKS, S.BOOK).replace("WITH", "WITH RECURSIVE", 1) + """, sided AS (
+      SELECT b.run_id, b.date, b.symbol, b.weight, coalesce(m.can_buy, false) AS up, coalesce(m.can_sell, false) AS down FROM book b LEFT JOIN masks m USING (date, symbol)
+    ), days AS MATERIALIZED (
+      SELECT row_number() OVER (ORDER BY date) AS i, date, list(weight ORDER BY run_id, symbol) AS target, list(up ORDER BY run_id, symbol) AS up, list(down ORDER BY run_id, symbol) AS down FROM sided GROUP BY date
+    ), walk(i, held) AS (
+      SELECT 0::BIGINT, list_transform(target, lambda x: 0.0::DOUBLE) FROM days WHERE i = 1
+      UNION ALL
+      SELECT d.i, list_transform(list_zip(held, target, up, down), lambda z: CASE WHEN z[2] > z[1] AND z[3] OR z[2] < z[1] AND z[4] THEN z[2] ELSE z[1] END) FROM walk w JOIN days d ON d.i = w.i + 1
+    ), names AS (SELECT run_id, symbol, row_number() OVER (ORDER BY run_id, symbol) AS k FROM (SELECT DISTINCT run_id, symbol FROM sided))
+    --result SELECT run_id, date, symbol, held[k] AS weight FROM walk JOIN days USING (i), names""",
+    "weight",
+)
 def q_side_mask_backtest(spark, d):
     return B.side_masks(masked_book(spark, d)).select("run_id", "date", "symbol", "weight")
 
@@ -438,17 +450,17 @@ def q_symbol_contribution(spark, d):
     return B.symbol_contribution(book(spark, d))
 
 
-_REGIME = "count(*) AS days, avg(strategy_return) AS mean_strategy, avg(benchmark_return) AS mean_benchmark, avg((strategy_return > 0)::INT) AS hit_rate"
+_REGIME = "count(*) AS rows, avg(strategy_return) AS mean_strategy_return, avg(market_return) AS mean_market_return, avg(turnover) AS mean_turnover, avg(gross) AS mean_gross, avg(net) AS mean_net, avg((strategy_return > 0)::INT) AS hit_rate"
 
 
 @query(
-    S.with_(*S.FULL) + f""", e AS (SELECT run_id, quantile_cont(abs(benchmark_return), 1.0/3) AS a, quantile_cont(abs(benchmark_return), 2.0/3) AS b FROM daily GROUP BY run_id)
-    --result SELECT run_id, 'direction' AS kind, CASE WHEN benchmark_return > 0.001 THEN 'up' WHEN benchmark_return < -0.001 THEN 'down' ELSE 'flat' END AS regime, {_REGIME} FROM daily GROUP BY ALL
-    UNION ALL SELECT run_id, 'volatility', CASE WHEN a = b THEN 'all' WHEN abs(benchmark_return) < a THEN 'calm' WHEN abs(benchmark_return) < b THEN 'normal' ELSE 'wild' END, {_REGIME} FROM daily JOIN e USING (run_id) GROUP BY ALL""",
-    "mean_strategy mean_benchmark hit_rate",
+    S.with_(*S.PANEL, S.BOOK) + _EXPOSURE + f""", e AS (SELECT run_id, quantile_cont(abs(market_return), 1.0/3) AS a, quantile_cont(abs(market_return), 2.0/3) AS b, count(*) AS c, min(abs(market_return)) AS lo, max(abs(market_return)) AS hi FROM expo GROUP BY run_id)
+    --result SELECT run_id, 'market_direction' AS dimension, CASE WHEN market_return > 0.001 THEN 'market_up' WHEN market_return < -0.001 THEN 'market_down' ELSE 'market_flat' END AS regime, {_REGIME} FROM expo GROUP BY ALL
+    UNION ALL SELECT run_id, 'volatility_bucket', CASE WHEN c < 3 OR hi <= lo THEN 'single_vol_bucket' WHEN abs(market_return) < a THEN 'low_abs_market_move' WHEN abs(market_return) < b THEN 'mid_abs_market_move' ELSE 'high_abs_market_move' END, {_REGIME} FROM expo JOIN e USING (run_id) GROUP BY ALL""",
+    "mean_strategy_return mean_market_return mean_turnover mean_gross mean_net hit_rate",
 )
 def q_regime_analysis(spark, d):
-    return B.regime_analysis(daily(spark, d))
+    return B.regime_analysis(B.portfolio_exposure(book(spark, d)))
 
 
 @query(
@@ -460,15 +472,21 @@ def q_daily_decisions(spark, d):
     return B.daily_decisions(book(spark, d), 3).select("run_id", "date", "symbol", "weight", "rank", "side")
 
 
+_CASE = "strategy_return market_return turnover gross net".split()
+
+
 @query(
-    S.with_(*S.PANEL, S.BOOK) + _EXPOSURE + """, best AS (SELECT run_id, unnest(list_distinct([arg_max(date, (round(strategy_return, 9), date)), arg_min(date, (round(strategy_return, 9), date)), arg_max(date, (round(turnover, 9), date)), arg_max(date, (round(gross, 9), date))])) AS date FROM expo GROUP BY run_id),
+    S.with_(*S.PANEL, S.BOOK) + _EXPOSURE + f""", best AS (
+      SELECT run_id, unnest([{{'case_type': 'best_strategy_day', 'date': arg_min(date, (-round(strategy_return, 9), date))}}, {{'case_type': 'worst_strategy_day', 'date': arg_min(date, (round(strategy_return, 9), date))}},
+        {{'case_type': 'highest_turnover_day', 'date': arg_min(date, (-round(turnover, 9), date))}}, {{'case_type': 'highest_gross_exposure_day', 'date': arg_min(date, (-round(gross, 9), date))}}], recursive := true) FROM expo GROUP BY run_id),
     ranked_ AS (SELECT *, row_number() OVER (PARTITION BY run_id, date ORDER BY abs(weight) DESC, symbol) AS rank FROM book)
-    --result SELECT run_id, date, symbol, weight, rank, CASE WHEN weight > 0 THEN 'long' WHEN weight < 0 THEN 'short' ELSE 'flat' END AS side FROM ranked_ JOIN best USING (run_id, date) WHERE rank <= 5""",
-    "weight",
+    --result SELECT run_id, case_type, date, symbol, weight, rank, CASE WHEN weight > 0 THEN 'long' WHEN weight < 0 THEN 'short' ELSE 'flat' END AS side, {', '.join(f'e.{c} AS case_{c}' for c in _CASE)}
+    FROM ranked_ JOIN best USING (run_id, date) JOIN expo e USING (run_id, date) WHERE rank <= 5""",
+    "weight " + " ".join(f"case_{c}" for c in _CASE),
 )
 def q_case_studies(spark, d):
     x = book(spark, d)
-    return B.case_studies(x, B.portfolio_exposure(x)).select("run_id", "date", "symbol", "weight", "rank", "side")
+    return B.case_studies(x, cut(B.portfolio_exposure(x))).select("run_id", "case_type", "date", "symbol", "weight", "rank", "side", *(f"case_{c}" for c in _CASE))
 
 
 @query(S.with_(*S.FULL) + f", y AS ({S.metrics('run_id, year', '1e-8')}), t AS ({S.metrics('run_id')}), r AS (SELECT run_id, year::VARCHAR AS label, cumulative_return, sharpe, max_drawdown, mean_turnover FROM y UNION ALL SELECT run_id, 'total', cumulative_return, sharpe, max_drawdown, mean_turnover FROM t)--result SELECT run_id, label, printf('%-6s %10.4f %10.4f %10.4f %10.4f', label, cumulative_return, sharpe, max_drawdown, mean_turnover) AS line FROM r")
@@ -718,13 +736,6 @@ def q_diff_frames(spark, d):
     return C.diff_frames(x.where("dayofmonth(date) != 1"), y, ["symbol", "date"], ["close"])
 
 
-@query()
-def q_repair_plan(spark, d):
-    x = order_bars(spark, d)
-    symbols = x.select("symbol").distinct().unionAll(table(spark, d, "nation").select(F.concat(F.lit("X"), F.col("n_nationkey")))).withColumns({"delisted": F.col("symbol").endswith("7"), "not_found": F.col("symbol").endswith("13"), "lagging": F.lit(False), "known": F.col("symbol").startswith("X1")})
-    return C.repair_plan(symbols, C.audit(x), F.to_date(F.lit("1998-08-02")), 3)
-
-
 # ---- universe ----------------------------------------------------------------
 
 _SUPP = "WITH s AS (SELECT upper(replace(s_name, '#', '')) AS code, s_name AS name, 'T' || s_suppkey || ', T' || (s_suppkey + 1) || ',' AS tickers, s_nationkey AS k, s_suppkey AS n FROM supplier)"
@@ -765,12 +776,18 @@ def q_all_blacklisted(spark, d):
     return U.all_blacklisted(U.candidate_tickers(supplier_symbols(spark, d)).select("code", "ticker"), black(spark, d))
 
 
-@query(_SUPP + _TICK + "--result SELECT s.code, CASE WHEN k = 3 THEN 'archive' WHEN bool_or(t.ticker NOT IN (SELECT ticker FROM bl)) THEN 'active' ELSE 'delisted' END AS market FROM s JOIN t USING (code) GROUP BY s.code, k")
+@query(
+    _SUPP + """, x AS (SELECT code || CASE WHEN n % 7 = 0 THEN '_TW' ELSE '' END AS code, lower(tickers) AS tickers, CASE WHEN k % 3 = 0 THEN 'us_delisted' WHEN k % 3 = 1 THEN 'us' END AS market, n FROM s),
+    t AS (SELECT code, upper(trim(t)) AS ticker FROM (SELECT code, unnest(string_split(tickers, ',')) AS t FROM x) WHERE trim(t) != ''),
+    f AS (SELECT code, bool_or(substr(ticker, 2)::BIGINT % 4 = 0) AS a, bool_or(substr(ticker, 2)::BIGINT % 4 < 2) AS d FROM t GROUP BY code)
+    --result SELECT code, CASE WHEN market = 'us_delisted' AND a AND NOT code LIKE '%\\_TW' ESCAPE '\\' THEN 'us' WHEN market IS DISTINCT FROM 'us_delisted' AND d AND NOT a THEN 'us_delisted' ELSE market END AS market FROM x JOIN f USING (code)"""
+)
 def q_apply_listing_state(spark, d):
-    x = supplier_symbols(spark, d).withColumn("market", F.when(F.col("k") == 3, "archive").otherwise("unknown"))
-    every = U.candidate_tickers(x).select("ticker").distinct()
-    gone = black(spark, d)
-    return U.apply_listing_state(x, every.join(gone, "ticker", "left_anti"), gone).select("code", "market")
+    """Tickers of lists in upper case, of symbols in lower case; delisted, listed and unknown symbols, some of an archive."""
+    k = F.col("k") % 3
+    x = supplier_symbols(spark, d).select(F.concat("code", F.when(F.col("n") % 7 == 0, "_TW").otherwise("")).alias("code"), F.lower("tickers").alias("tickers"), F.when(k == 0, "us_delisted").when(k == 1, "us").alias("market"))
+    every = U.candidate_tickers(x).select(F.upper("ticker").alias("ticker"), (F.substring("ticker", 2, 20).cast("long") % 4).alias("r")).distinct()
+    return U.apply_listing_state(x, every.where("r = 0"), every.where("r < 2"), "us", "us_delisted").select("code", "market")
 
 
 @query(_SUPP + "--result SELECT code FROM s WHERE n NOT IN (SELECT n FROM s WHERE k < 5)")
@@ -827,7 +844,7 @@ def q_top_edges(spark, d):
 
 
 @query(
-    _EDGES + """, x AS (SELECT * FROM flat WHERE source != target), q AS (SELECT quantile_cont(weight, 2.0/3) AS l FROM x), u AS (SELECT source, target, weight FROM x, q WHERE weight >= l
+    _EDGES + """, x AS (SELECT * FROM flat WHERE source != target), u AS ((SELECT source, target, weight FROM x ORDER BY weight DESC, source, target LIMIT 33)
       UNION SELECT source, target, weight FROM x QUALIFY row_number() OVER (PARTITION BY source ORDER BY weight DESC, source, target) <= 2 UNION SELECT source, target, weight FROM x QUALIFY row_number() OVER (PARTITION BY target ORDER BY weight DESC, source, target) <= 2)
     --result SELECT * FROM u ORDER BY weight DESC, source, target LIMIT 100""",
     "weight",
@@ -863,24 +880,53 @@ def q_community_flow(spark, d):
 
 
 @query(_EDGES + _NODES + """, c AS (SELECT 'N' || n_nationkey AS node, n_regionkey AS community FROM nation), f AS (SELECT a.community AS s, b.community AS t, sum(weight) AS w FROM flat JOIN c a ON a.node = source JOIN c b ON b.node = target GROUP BY ALL)
-    --result SELECT c.community, count(*) AS members, sum(hub_share) AS rank_sum, string_agg(c.node, ',' ORDER BY hub_share DESC NULLS LAST, c.node) AS top_members, coalesce((SELECT sum(w) FROM f WHERE s = c.community AND t = c.community), 0) AS internal,
-      coalesce((SELECT sum(w) FROM f WHERE s = c.community AND t != c.community), 0) AS outgoing, coalesce((SELECT sum(w) FROM f WHERE t = c.community AND s != c.community), 0) AS incoming FROM c LEFT JOIN nodes USING (node) GROUP BY c.community""", 'rank_sum internal outgoing incoming')
+    --result SELECT c.community, count(*) AS members, coalesce(sum(hub_share), 0) AS total_rank, coalesce(sum(hub_share), 0) AS total_hub_share, coalesce(sum(authority_share), 0) AS total_authority_share, coalesce(sum(out_degree), 0) AS total_out_degree, coalesce(sum(in_degree), 0) AS total_in_degree, string_agg(c.node, ',' ORDER BY hub_share DESC NULLS LAST, c.node) AS top_members, coalesce((SELECT sum(w) FROM f WHERE s = c.community AND t = c.community), 0) AS internal,
+      coalesce((SELECT sum(w) FROM f WHERE s = c.community AND t != c.community), 0) AS outgoing, coalesce((SELECT sum(w) FROM f WHERE t = c.community AND s != c.community), 0) AS incoming FROM c LEFT JOIN nodes USING (node) GROUP BY c.community""", 'total_rank total_hub_share total_authority_share total_out_degree total_in_degree internal outgoing incoming')
 def q_community_summary(spark, d):
     e = flat_edges(spark, d)
-    return G.community_summary(e, communities(spark, d), G.node_metrics(e).select("node", F.col("hub_share").alias("rank")))
+    return G.community_summary(e, communities(spark, d), G.node_metrics(e).select("node", F.col("hub_share").alias("rank"), "hub_share", "authority_share", "out_degree", "in_degree"))
 
 
-@query()
+_DENSE = _EDGES.replace("WITH", "WITH RECURSIVE", 1) + """, v AS MATERIALIZED (SELECT node, row_number() OVER (ORDER BY node) AS i, count(*) OVER () AS n FROM (SELECT source AS node FROM flat UNION SELECT target FROM flat)),
+  cells AS (SELECT a.i AS s, b.i AS t, coalesce(f.weight, 0.0)::DOUBLE AS w FROM v a CROSS JOIN v b LEFT JOIN flat f ON f.source = a.node AND f.target = b.node),
+  shares AS (SELECT s, t, w, CASE WHEN sum(w) OVER (PARTITION BY s) > 0 THEN w / sum(w) OVER (PARTITION BY s) ELSE 0 END AS p, sum(w) OVER (PARTITION BY s) AS total FROM cells),
+  whole AS MATERIALIZED (
+    SELECT (SELECT list(r ORDER BY t) FROM (SELECT t, list(p ORDER BY s) AS r FROM shares GROUP BY t)) AS share_in, (SELECT list(r ORDER BY t) FROM (SELECT t, list(w ORDER BY s) AS r FROM cells GROUP BY t)) AS weight_in,
+      (SELECT list(r ORDER BY s) FROM (SELECT s, list(w ORDER BY t) AS r FROM cells GROUP BY s)) AS weight_out, (SELECT list(CASE WHEN total > 0 THEN 0.0 ELSE 1.0 END::DOUBLE ORDER BY s) FROM (SELECT DISTINCT s, total FROM shares)) AS loose, (SELECT max(n) FROM v) AS n)"""
+
+
+@query(
+    _DENSE + """, walk(k, x) AS (
+      SELECT 0, list_transform(range(n), lambda j: 1.0::DOUBLE / n) FROM whole
+      UNION ALL SELECT k + 1, list_transform(share_in, lambda r: 0.15::DOUBLE / n + 0.85::DOUBLE * (list_inner_product(r, x) + list_inner_product(loose, x) / n)) FROM walk, whole WHERE k < 200)
+    --result SELECT node, x[i] AS rank FROM walk, v WHERE k = 200""",
+    "rank",
+)
 def q_pagerank(spark, d):
     return G.pagerank(flat_edges(spark, d))
 
 
-@query()
+@query(
+    _DENSE + """, walk(k, h, a) AS (
+      SELECT 0, list_transform(range(n), lambda j: 1.0::DOUBLE), list_transform(range(n), lambda j: 0.0::DOUBLE) FROM whole
+      UNION ALL
+      SELECT k + 1, list_transform(y, lambda e: e / list_sum(y)), b FROM (
+        SELECT k, b, list_transform(weight_out, lambda r: list_inner_product(r, b)) AS y FROM (
+          SELECT k, weight_out, list_transform(z, lambda e: e / list_sum(z)) AS b FROM (SELECT k, weight_out, list_transform(weight_in, lambda r: list_inner_product(r, h)) AS z FROM walk, whole WHERE k < 150))))
+    --result SELECT node, h[i] AS hub, a[i] AS authority FROM walk, v WHERE k = 150""",
+    "hub authority",
+)
 def q_hits(spark, d):
     return G.hits(flat_edges(spark, d))
 
 
-@query()
+@query(
+    _DENSE + """, walk(k, x) AS (
+      SELECT 0, list_transform(range(n), lambda j: 1.0::DOUBLE) FROM whole
+      UNION ALL SELECT k + 1, list_transform(y, lambda e: e / sqrt(list_inner_product(y, y))) FROM (SELECT k, list_transform(list_zip(x, weight_in), lambda z: z[1] + list_inner_product(z[2], x)) AS y FROM walk, whole WHERE k < 200))
+    --result SELECT node, x[i] AS centrality FROM walk, v WHERE k = 200""",
+    "centrality",
+)
 def q_eigenvector(spark, d):
     return G.eigenvector(flat_edges(spark, d))
 
@@ -917,7 +963,15 @@ def part_edges(spark: SparkSession, d: str) -> DataFrame:
     return linked(x.select("customer", "supplier"), x.select("customer", "part"), x.select("supplier", "part"))
 
 
-@query()
+_TRADE = """WITH RECURSIVE trade AS (SELECT o_custkey * 3 AS c, l_suppkey * 3 + 1 AS s, l_returnflag = 'R' AS back FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+  both_ways AS MATERIALIZED (SELECT c AS a, s AS b FROM trade UNION SELECT s, c FROM trade)"""
+
+
+@query(
+    _TRADE + """, loops AS MATERIALIZED (FROM both_ways UNION SELECT a, a FROM both_ways),
+    walk(node, component, k) AS (SELECT DISTINCT a, a, 0 FROM loops UNION ALL SELECT l.b, min(w.component), w.k + 1 FROM walk w JOIN loops l ON l.a = w.node WHERE w.k < 20 GROUP BY l.b, w.k)
+    --result SELECT node, component FROM walk WHERE k = 20"""
+)
 def q_weak_components(spark, d):
     return G.weak_components(trade_edges(spark, d))
 
@@ -936,12 +990,24 @@ def q_trade_triangles(spark, d):
     return G.triangle_count(part_edges(spark, d))
 
 
-@query()
+@query(
+    _TRADE + """, walk(node, core, k) AS (
+      SELECT a, count(*)::BIGINT, 0 FROM both_ways GROUP BY a
+      UNION ALL
+      SELECT node, max(least(core, reach))::BIGINT, k + 1 FROM (
+        SELECT node, core, k, sum(n) OVER (PARTITION BY node ORDER BY core DESC) AS reach FROM (SELECT b.a AS node, w.core, w.k, count(*) AS n FROM walk w JOIN both_ways b ON b.b = w.node WHERE w.k < 80 GROUP BY ALL))
+      GROUP BY node, k)
+    --result SELECT node, core::INT AS core FROM walk WHERE k = 80"""
+)
 def q_core_number(spark, d):
     return G.core_number(trade_edges(spark, d))
 
 
-@query()
+@query(
+    _TRADE + """, ways AS MATERIALIZED (SELECT s AS a, c AS b FROM trade UNION SELECT c, s FROM trade WHERE back),
+    reach(a, b) AS (SELECT a, a FROM ways UNION SELECT b, b FROM ways UNION SELECT r.a, w.b FROM reach r JOIN ways w ON w.a = r.b)
+    --result SELECT x.a AS node, min(x.b) AS component FROM reach x JOIN reach y ON y.a = x.b AND y.b = x.a GROUP BY x.a"""
+)
 def q_strong_components(spark, d):
     return G.strong_components(shipment_edges(spark, d))
 
@@ -1043,23 +1109,6 @@ def q_zero_importance(spark, d):
     return A.zero_feature_importance(model, x.where("tradable"), MODEL)
 
 
-@query()
-def q_surrogate_ridge(spark, d):
-    return A.surrogate_ridge(panel(spark, d).fillna(0.0, MODEL).where("return_1d is not null"), MODEL, "return_1d")
-
-
-@query()
-def q_shock_edges(spark, d):
-    x = panel(spark, d).where("year(date) >= 2000").fillna(0.0, MODEL)
-    symbols = sorted(r.symbol for r in x.select("symbol").distinct().collect())
-    model = A.ridge(A.training_matrix(panel(spark, d).where("year(date) < 2000"), MODEL))
-    cols = lambda y: y.select("date", F.col("symbol").alias("target"), "score", F.tanh("score").alias("weight"), "return_1d")
-    base = cols(A.score_panel(model, A.training_matrix(x, MODEL)))
-    moved = A.shock_scores(model, x.where("tradable and return_1d is not null"), MODEL, symbols, ["momentum", "volatility"])
-    shocked = moved.select("shock", "source", "date", F.col("symbol").alias("target"), "score", F.tanh("score").alias("weight"))
-    return G.validated_transmission(G.edge_metrics(base, shocked))
-
-
 # ---- landed payloads, ticks, streams -----------------------------------------
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.plans import landed  # noqa: F401  (registers its queries)
+from tidemark.plans import effects, landed, rules  # noqa: F401  (register their queries)
 from tidemark.plans.queries import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -148,14 +154,29 @@ def write_report(table: DataFrame, path: str, columns: list[str], order: list[st
     table.select(*columns).orderBy(*order).write.mode("overwrite").option("header", "true").csv(path)
 
 
-FORMATS = ("parquet", "jsonl", "csv")
+#: Kinds of curve files in order of preference, with the names they go by.
+FORMATS = {"parquet": "*.parquet", "jsonl": "*.json*", "csv": "*.csv"}
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path as file metadata name it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop).toString().rstrip("/")
 
 
 def read_epoch_curves(spark: SparkSession, root: str) -> DataFrame:
-    """(run, epoch, ...) of all curve files: one file per run, the newest, Parquet before JSON before CSV on ties."""
+    """(run, epoch, ...) of all curve files: one file per run, the newest, Parquet before JSON before CSV on ties.
+
+    A run is a folder with files named epoch_curve, or as Spark names its
+    parts; a file of another name is a run of its own.  Runs are named by
+    their path below `root`, without the ending.  A missing number is null; an
+    epoch is required.
+    """
     parts = []
-    for rank, fmt in enumerate(FORMATS):
-        reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{fmt}")
+    base = len(_qualified(spark, root)) + 2
+    path = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")
+    for rank, (fmt, names) in enumerate(FORMATS.items()):
+        reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", names)
         try:
             rows = reader.parquet(root) if fmt == "parquet" else reader.json(root) if fmt == "jsonl" else reader.option("header", "true").option("inferSchema", "true").csv(root)
         except Exception as error:
@@ -166,7 +187,10 @@ def read_epoch_curves(spark: SparkSession, root: str) -> DataFrame:
             continue
         numbers = [c for c, t in rows.dtypes if t in ("double", "float")]
         rows = rows.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in numbers})
-        parts.append(rows.select("*", F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.[a-z]+$", 1).alias("run"), F.col("_metadata.file_modification_time").alias("_time"), F.lit(rank).alias("_rank")))
+        run = F.regexp_replace(F.substring(path, base, 1 << 20), r"(^|/)(epoch_curve|part-[^/]*)\.[^/]*$|\.[a-z]+$", "")
+        # a part of a folder that is itself named epoch_curve.<ending>
+        run = F.regexp_replace(run, r"(^|/)epoch_curve\.[a-z]+$", "")
+        parts.append(rows.select("*", run.alias("run"), F.col("_metadata.file_modification_time").alias("_time"), F.lit(rank).alias("_rank")))
     if not parts:
         raise ValueError("no curve file with a column epoch")
     out = parts[0]
@@ -176,6 +200,62 @@ def read_epoch_curves(spark: SparkSession, root: str) -> DataFrame:
     return out.withColumn("_best", F.dense_rank().over(best)).where("_best = 1").drop("_time", "_rank", "_best")
 
 
+FACTS = "symbol string, columns array<string>, first_date date, last_date date, error string, checked_through string"
+
+
+def file_facts(spark: SparkSession, root: str, suffix: str = "_features.parquet", checked_key: str = "checked_through") -> DataFrame:
+    """(symbol, columns, first_date, last_date, error, checked_through) of every symbol's files, from what is on disk.
+
+    error is null for a file with dates; else `empty` (no column date),
+    `no_valid_date`, or `schema_error: ...` or `read_error: ...` with the
+    reason why it can't be read.  checked_through is the footer's entry of
+    `checked_key`, or that of the column date.  Files are opened in the tasks,
+    one at a time, and only their footer and their dates are decoded.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    symbol = F.regexp_extract("path", "([^/=]*)" + suffix.replace(".", r"\.") + "(?:/[^/]*)?$", 1)
+    files = files.select(symbol.alias("symbol"), "content").where("symbol != ''")
+
+    def facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(name.as_py(), *_facts(content.as_buffer(), checked_key)) for name, content in zip(batch.column(0), batch.column(1), strict=True)]
+            kinds = [pa.string(), pa.list_(pa.string()), pa.date32(), pa.date32(), pa.string(), pa.string()]
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], k) for k in kinds]
+            yield pa.RecordBatch.from_arrays(columns, names=["symbol", "columns", "first_date", "last_date", "error", "checked_through"])
+
+    each = files.mapInArrow(facts, FACTS)
+    # a symbol may be a folder of parts: its dates are theirs, and what can't be read decides
+    unread = F.max(F.when(F.col("error").contains("_error"), F.col("error")))
+    out = each.groupBy("symbol").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("columns")))).alias("columns"), F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"), unread.alias("unread"), F.max("error").alias("other"), F.max("checked_through").alias("checked_through")
+    )
+    return out.select("symbol", "columns", "first_date", "last_date", F.coalesce("unread", F.when(F.col("last_date").isNull(), F.col("other"))).alias("error"), "checked_through")
+
+
+def _facts(content: pa.Buffer, checked_key: str) -> tuple:
+    """(columns, first date, last date, error, checked_through) of one Parquet file."""
+    try:
+        file = pq.ParquetFile(pa.BufferReader(content))
+        names = file.schema_arrow.names
+        footer = {k.decode(): v.decode() for k, v in (file.metadata.metadata or {}).items()}
+        checked = footer.get(checked_key)
+        for field in json.loads(footer.get("org.apache.spark.sql.parquet.row.metadata", '{"fields": []}'))["fields"]:
+            if field["name"] == "date":
+                checked = checked or field["metadata"].get(checked_key)
+    except Exception as error:  # whatever is wrong with the file is its fact
+        return [], None, None, f"schema_error: {type(error).__name__}", None
+    if "date" not in names:
+        return names, None, None, "empty", checked
+    try:
+        dates = file.read(columns=["date"]).column("date")
+        dates = pd.to_datetime(dates.to_pandas(), errors="coerce").dropna()
+    except Exception as error:
+        return names, None, None, f"read_error: {type(error).__name__}", checked
+    if dates.empty:
+        return names, None, None, "no_valid_date", checked
+    return names, dates.min().date(), dates.max().date(), None, checked
+
+
 def wide_weights(weights: DataFrame, symbols: list[str]) -> DataFrame:
     """One row per date and a column per symbol; the symbols are given, so no pass is needed to find them."""
     return weights.groupBy("date").pivot("symbol", symbols).agg(F.first("weight"))

@@ -59,25 +59,36 @@ def merge_stream(bars: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return bars.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-STATE = T.StructType([T.StructField("symbols", T.ArrayType(T.StringType())), T.StructField("weights", T.ArrayType(T.DoubleType()))])
-DAILY = "run_id string, date date, gross_return double, turnover double"
+STATE = T.StructType([T.StructField("segment", T.StringType()), T.StructField("symbols", T.ArrayType(T.StringType())), T.StructField("weights", T.ArrayType(T.DoubleType()))])
+DAILY = "run_id string, segment string, date date, gross_return double, turnover double"
 
 
 def _turnover(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """A run's daily return and turnover; the last weights are carried from batch to batch, one run's book at a time."""
-    held = dict(zip(*state.get, strict=True)) if state.exists else {}
+    """A run's daily return and turnover; the last weights are carried from batch to batch, one run's book at a time, within a segment."""
+    at, held = None, {}
+    if state.exists:
+        at, symbols, weights = state.get
+        held = dict(zip(symbols, weights, strict=True))
     rows = pd.concat(list(frames), ignore_index=True).sort_values(["date", "symbol"], kind="stable")
     out = []
     for date, day in rows.groupby("date", sort=True):
+        if day["segment"].iloc[0] != at:
+            # at the border of a segment what was held is gone, from the state too
+            at, held = day["segment"].iloc[0], {}
         now = dict(zip(day["symbol"], day["weight"].fillna(0.0), strict=True))
         moved = sum(abs(now.get(s, 0.0) - held.get(s, 0.0)) for s in {*now, *held})
         gross = float((day["weight"].fillna(0.0) * day["return_1d"].fillna(0.0)).sum())
-        out.append((key[0], date, gross, moved))
+        out.append((key[0], at, date, gross, moved))
         held = {s: w for s, w in now.items() if w}
-    state.update((list(held), list(held.values())))
-    yield pd.DataFrame(out, columns=["run_id", "date", "gross_return", "turnover"])
+    state.update((at, list(held), list(held.values())))
+    yield pd.DataFrame(out, columns=["run_id", "segment", "date", "gross_return", "turnover"])
 
 
 def carried_turnover(weights: DataFrame) -> DataFrame:
-    """The stream form of daily turnover: state per run; batches must arrive in date order."""
-    return weights.groupBy("run_id").applyInPandasWithState(_turnover, DAILY, STATE, "append", "NoTimeout")
+    """The stream form of `folds.segment_turnover`: weights (run_id, segment, date, symbol, weight, return_1d) in, daily figures out.
+
+    The state of a run is its last book and the segment that it belongs to;
+    the first day of another segment starts from nothing.  Batches must arrive
+    in date order.
+    """
+    return weights.withColumn("segment", F.col("segment").cast("string")).groupBy("run_id").applyInPandasWithState(_turnover, DAILY, STATE, "append", "NoTimeout")
