@@ -94,10 +94,55 @@ def supported_pairs(pairs: DataFrame, currencies: DataFrame) -> DataFrame:
     return both.join(c.withColumnRenamed("currency", "base"), "base", "left_semi").join(c.withColumnRenamed("currency", "quote"), "quote", "left_semi").drop("base", "quote")
 
 
-def tracked_symbols(local: DataFrame, manifest: DataFrame, whitelist: DataFrame) -> DataFrame:
-    """Symbols with local files, with what the manifest knows of them, and the whitelist's."""
-    codes = local.select("code").union(whitelist.select("code")).distinct()
-    return codes.join(manifest, "code", "left").withColumns({"name": F.coalesce("name", "code"), "market": F.coalesce("market", F.lit("unknown"))})
+# An exchange's generic code.
+GENERIC_CODE = "^[0-9]{4,6}[A-Z]{0,2}$"
+
+
+def symbol_record(raw: Column, asset: str, local: bool = False) -> Column:
+    """struct(code, tickers) of a bare symbol or ticker of an asset class (`crypto`, `forex`, `tw` or another); null if there is none.
+
+    Coins are quoted in dollars, pairs end in =X, and shares of the exchange
+    in .TW (or as given); with `local` a generic code of the exchange has both
+    of its endings, and none if its kind is not listed.
+    """
+    upper = F.nullif(F.upper(F.trim(raw)), F.lit(""))
+    record = lambda code, tickers: F.struct(code.alias("code"), tickers.alias("tickers"))
+    if asset == "crypto":
+        coin = F.regexp_replace(upper, "-USD$", "")
+        coin = F.when(upper.endswith("-USD"), coin).when(upper.endswith("USD") & (F.length(upper) > 3), F.regexp_replace(upper, "USD$", "")).otherwise(upper)
+        out = record(F.concat(coin, F.lit("USD")), F.concat(coin, F.lit("-USD")))
+    elif asset == "forex":
+        pair = F.regexp_replace(upper, "=X$", "")
+        out = record(pair, F.concat(pair, F.lit("=X")))
+    elif asset == "tw":
+        given = upper.rlike("[.]TWO?$")
+        out = F.when(given, record(F.substring_index(upper, ".", 1), upper)).otherwise(record(upper, F.concat(upper, F.lit(".TW"))))
+        if local:
+            both = record(upper, F.concat(upper, F.lit(".TW,"), upper, F.lit(".TWO")))
+            out = F.when(~upper.rlike(GENERIC_CODE), out).when(upper.rlike(LISTED_CODE), both)
+    else:
+        out = record(upper, upper)
+    return F.when(upper.isNotNull(), out)
+
+
+def tracked_symbols(local: DataFrame, manifest: DataFrame, whitelist: DataFrame, asset: str = "stock") -> DataFrame:
+    """(code, name, market, tickers, origin) of the symbols with local files, and of the whitelist's that have none.
+
+    local: (code); whitelist: (ticker); manifest: (code, name, market,
+    tickers).  The manifest's record goes before one made from the code or
+    ticker alone.  Pairs whose local files no manifest knows are left out, for
+    they come from other sources.
+    """
+    known = manifest.select("code", F.col("name").alias("_name"), F.col("market").alias("_market"), F.col("tickers").alias("_tickers")).dropDuplicates(["code"])
+    own = local.select(F.nullif(F.upper(F.trim("code")), F.lit("")).alias("code")).where("code is not null").distinct()
+    own = own.join(known, "code", "left").withColumn("_r", symbol_record(F.col("code"), asset, local=True) if asset != "forex" else F.lit(None).cast("struct<code:string,tickers:string>"))
+    own = own.where("_tickers is not null or _r is not null").withColumns({"origin": F.lit("local"), "code": F.when(F.col("_tickers").isNotNull(), F.col("code")).otherwise(F.col("_r.code"))})
+    wanted = whitelist.select(symbol_record(F.col("ticker"), asset).alias("_r")).where("_r is not null")
+    # of tickers of one code the first in their order
+    wanted = wanted.groupBy(F.col("_r.code").alias("code")).agg(F.min("_r").alias("_r")).join(own.select("code").distinct(), "code", "left_anti")
+    wanted = wanted.join(known, "code", "left").withColumn("origin", F.lit("whitelist"))
+    out = own.unionByName(wanted)
+    return out.select("code", F.coalesce("_name", "code").alias("name"), F.coalesce("_market", F.lit(asset)).alias("market"), F.coalesce("_tickers", F.col("_r.tickers")).alias("tickers"), "origin")
 
 
 def prioritised_union(lists: list[DataFrame], limit: int | None = None) -> DataFrame:

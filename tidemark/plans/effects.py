@@ -157,10 +157,11 @@ def q_lag_scores(spark, d):
 
 
 @query(
-    _LAGS_SQL + f""", val_rows AS (SELECT *, exp(score - max(score) OVER w) AS e FROM scored WHERE split = 'val' WINDOW w AS (PARTITION BY fold_id, date)),
-    cells AS (SELECT fold_id, date, symbol, i, score, score - b[i] * x[i] AS s, e / sum(e) OVER (PARTITION BY fold_id, date, i) AS w FROM val_rows, range(1, {_P + 1}) t(i)),
-    moved AS (SELECT *, exp(s - max(s) OVER c) AS e FROM cells WINDOW c AS (PARTITION BY fold_id, date, i)),
-    deltas AS (SELECT fold_id, i, abs(score - s) AS ds, abs(e / sum(e) OVER (PARTITION BY fold_id, date, i) - w) AS dw FROM moved)
+    _LAGS_SQL + f""", val_rows AS (SELECT fold_id, date, symbol, score, exp(score - max(score) OVER w) AS e, list_transform(list_zip(x, b), lambda z: z[1] * z[2]) AS lost FROM scored WHERE split = 'val' WINDOW w AS (PARTITION BY fold_id, date)),
+    weighed AS (SELECT fold_id, date, score, e / sum(e) OVER (PARTITION BY fold_id, date) AS w, lost FROM val_rows),
+    cells AS (SELECT fold_id, date, score, w, unnest(lost) AS p, unnest(range(1, {_P + 1})) AS i FROM weighed),
+    moved AS (SELECT *, exp(score - p - max(score - p) OVER c) AS e FROM cells WINDOW c AS (PARTITION BY fold_id, date, i)),
+    deltas AS (SELECT fold_id, i, abs(p) AS ds, abs(e / sum(e) OVER (PARTITION BY fold_id, date, i) - w) AS dw FROM moved)
     --result SELECT fold_id::INT AS fold_id, ({_L - 1} - (i - 1) // {len(_N)})::INT AS lag, {_N}[1 + (i - 1) % {len(_N)}] AS feature, avg(ds) AS score_abs_delta, avg(dw) AS weight_abs_delta FROM deltas GROUP BY fold_id, i""",
     "score_abs_delta weight_abs_delta",
 )

@@ -253,11 +253,40 @@ def q_supported_pairs(spark, d):
     return U.supported_pairs(pairs, table(spark, d, "supplier").select(name(F.col("s_nationkey")).alias("currency")))
 
 
-@query(_SUPP + "--result SELECT code, CASE WHEN n % 2 = 0 THEN name ELSE code END AS name, CASE WHEN n % 2 = 0 AND k != 4 THEN 'M' || k ELSE 'unknown' END AS market FROM s WHERE n % 3 = 0 OR n % 5 = 0")
+_TRACKED = """WITH c AS (SELECT c_custkey AS k, translate((c_custkey % 700)::VARCHAR, '0123456789', 'abcdefghij') AS w FROM customer),
+    l AS (
+      SELECT 'crypto' AS asset, w || 'usd' AS code, k FROM c WHERE k % 2 = 0 UNION ALL SELECT 'forex', w || 'xyz', k FROM c WHERE k % 2 = 0 UNION ALL SELECT 'tw', ' ' || lpad((k % 3000)::VARCHAR, 4 + (k % 3)::INT, '0'), k FROM c WHERE k % 2 = 0 UNION ALL SELECT 'stock', w, k FROM c WHERE k % 2 = 0
+    ), own AS (SELECT DISTINCT asset, upper(trim(code)) AS code FROM l),
+    m AS (SELECT DISTINCT asset, code, 'Name of ' || code AS name, 'M' AS market, code || '-M' AS tickers FROM own WHERE length(code) % 2 = 0),
+    listed AS (SELECT o.asset, o.code, coalesce(m.name, o.code) AS name, coalesce(m.market, o.asset) AS market,
+        coalesce(m.tickers, CASE o.asset WHEN 'crypto' THEN replace(o.code || '|', 'USD|', '-USD') WHEN 'tw' THEN o.code || '.TW,' || o.code || '.TWO' ELSE o.code END) AS tickers, 'local' AS origin
+      FROM own o LEFT JOIN m USING (asset, code) WHERE m.code IS NOT NULL OR o.asset IN ('crypto', 'stock') OR o.asset = 'tw' AND regexp_full_match(o.code, '[0-9]{4}[A-Z]?|00[0-9A-Z]{3,4}')),
+    given AS (
+      SELECT DISTINCT 'crypto' AS asset, upper(w) || 'USD' AS code, upper(w) || '-USD' AS tickers FROM c WHERE k % 3 = 0 UNION SELECT 'forex', upper(w) || 'EUR', upper(w) || 'EUR=X' FROM c WHERE k % 3 = 0
+      UNION SELECT 'tw', (k % 2000)::VARCHAR, min((k % 2000)::VARCHAR || CASE WHEN k % 2 = 0 THEN '.TWO' ELSE '.TW' END) FROM c WHERE k % 3 = 0 GROUP BY ALL UNION SELECT 'stock', upper(w), upper(w) FROM c WHERE k % 3 = 0
+    ), wanted AS (SELECT g.asset, g.code, coalesce(m.name, g.code) AS name, coalesce(m.market, g.asset) AS market, coalesce(m.tickers, g.tickers) AS tickers, 'whitelist' AS origin FROM given g ANTI JOIN listed USING (asset, code) LEFT JOIN m USING (asset, code))
+    --result SELECT asset, code, name, market, tickers, origin FROM listed UNION ALL SELECT asset, code, name, market, tickers, origin FROM wanted"""
+
+
+@query(_TRACKED)
 def q_tracked_symbols(spark, d):
-    s = supplier_symbols(spark, d)
-    manifest = s.where("n % 2 = 0").select("code", "name", F.when(F.col("k") != 4, F.concat(F.lit("M"), "k")).alias("market"))
-    return U.tracked_symbols(s.where("n % 3 = 0"), manifest, s.where("n % 5 = 0"))
+    """Coins, pairs, an exchange's codes and shares: files at hand, a manifest that knows half of them, and a whitelist of tickers."""
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.translate((F.col("c_custkey") % 700).cast("string"), "0123456789", "abcdefghij").alias("w"))
+    k, w = F.col("k"), F.col("w")
+    even, third = c.where("k % 2 = 0"), c.where("k % 3 = 0")
+    files_at_hand = {"crypto": F.concat(w, F.lit("usd")), "forex": F.concat(w, F.lit("xyz")), "tw": F.concat(F.lit(" "), F.lpad((k % 3000).cast("string"), (k % 3 + 4).cast("int"), F.lit("0"))), "stock": w}
+    tickers = {
+        "crypto": F.when(k % 2 == 0, F.concat(w, F.lit("-usd"))).otherwise(w), "forex": F.concat(w, F.lit("eur"), F.when(k % 2 == 0, "=X").otherwise("")),
+        "tw": F.concat((k % 2000).cast("string"), F.when(k % 2 == 0, ".two").otherwise("")), "stock": w,
+    }
+    out = None
+    for asset in files_at_hand:
+        local = even.select(files_at_hand[asset].alias("code"))
+        code = F.upper(F.trim("code"))
+        manifest = local.select(code.alias("code"), F.concat(F.lit("Name of "), code).alias("name"), F.lit("M").alias("market"), F.concat(code, F.lit("-M")).alias("tickers")).where(F.length("code") % 2 == 0)
+        part = U.tracked_symbols(local, manifest, third.select(tickers[asset].alias("ticker")), asset).withColumn("asset", F.lit(asset))
+        out = part if out is None else out.unionByName(part)
+    return out.select("asset", "code", "name", "market", "tickers", "origin")
 
 
 @query(S.with_(*S.PANEL, S.BOOK) + "--result SELECT symbol, avg(abs(weight)) + 0.05 * avg(abs(score)) AS value FROM book GROUP BY symbol HAVING bool_or(tradable) ORDER BY value DESC, symbol LIMIT 8", "value")
