@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 
+from tidemark.llm import common
 from tidemark.llm import decontamination as D
 from tidemark.llm import embedding_dedup as E
 from tidemark.llm import ngram_join as J
@@ -87,6 +88,32 @@ def test_jaccard_components(spark):
     assert len(set(want.values())) < len(want) - 40
 
 
+@pytest.mark.parametrize("words", [1, 2, 1 << 20])
+def test_key_filter_misses_no_key(spark, monkeypatch, words):
+    """Every key passes, however full the filter is; with room, few others do."""
+    monkeypatch.setattr(common, "FILTER_WORDS", words)
+    keys = spark.range(3000).selectExpr("if(id % 100 = 0, null, id * 7) as k")
+    rows = spark.range(42000).selectExpr("if(id % 1000 = 1, null, id) as id", "id % 3 as tidemark", "'x' as k")
+    got = common.KeyFilter(keys, "k").marked(rows, "id")
+    assert got.columns == ["id", "tidemark", "k", "tidemark_maybe"] and got.count() == 42000
+    passed = {r.id for r in got.where("tidemark_maybe").collect()}
+    want = {i * 7 for i in range(3000) if i % 100} & {i for i in range(42000) if i % 1000 != 1}
+    assert want <= passed and None not in passed and (words < 3 or len(passed) < len(want) + 500)
+    assert common.KeyFilter(keys.limit(0), "k").passing(rows, "id").count() == 0
+
+
+def test_decontamination_with_many_items(spark, monkeypatch):
+    """The same rows above the broadcast's bound, where shingles pass the filter and are joined by a shuffle."""
+    rng = random.Random(4)
+    words = [f"v{i}" for i in range(800)]
+    items = [(i, " ".join(rng.choices(words, k=rng.choice([2, 7, 25])))) for i in range(40)]
+    docs = [(i, " ".join(rng.choices(words, k=60) + items[i % 40][1].split() * (i % 3 == 0))) for i in range(200)]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = sorted(map(tuple, D.contaminated(df, bench).collect()))
+    monkeypatch.setattr(D, "BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, D.contaminated(df, bench).collect())) == want and len(want) >= 60
+
+
 def test_keep_one(spark):
     rows = [(1, "a b c d e", "en", "s", 1), (2, "A b c d e", "en", "s", 1), (3, "x y z q r", "en", "s", 1), (3, "x y z q r", "en", "s", 1), (4, None, "en", "s", 0), (5, None, None, None, None)]
     got = sorted(J.keep_one(spark.createDataFrame(rows, DOCS)).collect(), key=lambda r: r.doc_id)

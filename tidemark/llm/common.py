@@ -88,6 +88,49 @@ def temporary(spark: SparkSession) -> Iterator[None]:
         spark._jvm.System.gc()
 
 
+#: Words of a key filter at most (two numbers each when broadcast), and its bits for each key while there is room.
+FILTER_WORDS = 1 << 20
+KEY_BITS = 16
+KEY_PROBES = 3
+
+
+class KeyFilter:
+    """A Bloom filter of keys, of bounded size, as column expressions: it tells the rows that need no join.
+
+    Each key sets a few bits of one 64-bit word.  The words are broadcast,
+    FILTER_WORDS of them at most however many keys there are; more keys than
+    that holds give more false positives, and no key is ever missed.  So a
+    large table meets a list of keys of any length with one plan: most rows
+    stay where they are, and only those that pass are shuffled to be joined.
+    """
+
+    def __init__(self, keys: DataFrame, key: str):
+        hashes = keys.select(F.xxhash64(key).alias("tidemark_hash")).where(F.col(key).isNotNull())
+        self.words = max(1, min(FILTER_WORDS, -(-hashes.count() * KEY_BITS // 64)))
+        marks = hashes.select(self._word().alias("tidemark_word"), self._bits().alias("tidemark_bits"))
+        self.table = written(marks.groupBy("tidemark_word").agg(F.bit_or("tidemark_bits").alias("tidemark_bits")), keep=True)
+
+    def _word(self) -> F.Column:
+        return F.pmod(F.col("tidemark_hash"), F.lit(self.words))
+
+    @staticmethod
+    def _bits() -> F.Column:
+        """The key's bits, from a second hash."""
+        one = [f"shiftleft(1L, int(shiftright(xxhash64(tidemark_hash), {6 * i}) & 63))" for i in range(KEY_PROBES)]
+        return F.expr(" | ".join(one))
+
+    def marked(self, rows: DataFrame, key: str) -> DataFrame:
+        """`rows` with `tidemark_maybe`: false where the key is surely not in the filter."""
+        x = rows.withColumn("tidemark_hash", F.xxhash64(key))
+        x = x.withColumns({"tidemark_word": self._word(), "tidemark_mine": self._bits()}).join(F.broadcast(self.table), "tidemark_word", "left")
+        hit = F.coalesce(F.col("tidemark_bits").bitwiseAND(F.col("tidemark_mine")) == F.col("tidemark_mine"), F.lit(False)) & F.col(key).isNotNull()
+        return x.withColumn("tidemark_maybe", hit).drop("tidemark_hash", "tidemark_word", "tidemark_mine", "tidemark_bits")
+
+    def passing(self, rows: DataFrame, key: str) -> DataFrame:
+        """The rows whose key may be in the filter."""
+        return self.marked(rows, key).where("tidemark_maybe").drop("tidemark_maybe")
+
+
 #: Bytes of a batch on its way to a Python worker, about.
 BATCH_BYTES = 8 << 20
 

@@ -20,13 +20,13 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import KeyFilter, written
 from tidemark.llm.license_scan import BREAKS
 
 WIDTH = 5
 THRESHOLD = 0.8
 MISS = 1e-9
-#: Up to so many sampled shingles (16 bytes each) are broadcast; more are joined by a shuffle.
+#: Up to so many sampled shingles (16 bytes each) are broadcast; more are joined by a shuffle of what a filter lets pass.
 BROADCAST_ROWS = 1 << 20
 
 
@@ -86,12 +86,16 @@ def _found(docs: DataFrame, benchmark: DataFrame, threshold: float, width: int,
     rows = sample.count()
     probes = docs.select("tidemark_key", shingles(F.col("text"), widths).alias("s"))
     probes = probes.select("tidemark_key", F.size("s").alias("n"), F.explode("s").alias("shingle"))
-    met = probes.join(F.broadcast(sample) if rows <= BROADCAST_ROWS else sample, "shingle")
+    if rows <= BROADCAST_ROWS:
+        met = probes.join(F.broadcast(sample), "shingle")
+    else:
+        # the few shingles that may be sampled ones are all that is shuffled
+        met = KeyFilter(sample, "shingle").passing(probes, "shingle").join(sample, "shingle")
     met = met.where(F.col("n") >= F.ceil(F.col("size") * threshold - 1e-9))
     candidates = written(met.groupBy("tidemark_key", "item").agg(F.count("*").alias("hits")))
-    # written tables have known sizes, so the planner broadcasts the candidates only if they are small
-    sides = candidates.select("tidemark_key", "item").join(items, "item")
-    pairs = docs.join(written(sides), "tidemark_key")
+    sides = written(candidates.select("tidemark_key", "item").join(items, "item"))
+    # only texts that may be candidates leave their place
+    pairs = KeyFilter(candidates, "tidemark_key").passing(docs, "tidemark_key").join(sides, "tidemark_key")
     # runs of different widths have different hashes, so one intersection serves all widths
     inside = F.size(F.array_intersect(shingles(F.col("text"), widths), "set")).cast("long")
     exact = pairs.select("doc_id", "tidemark_key", F.col("item.item_id").alias("item_id"), F.col("size").cast("long").alias("n_item"), inside.alias("n_contained"))
@@ -107,9 +111,12 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THR
     told apart by id and text, and a row without id goes like any other: an id
     that stands for two texts loses only the one that leaks, and repeated rows
     go or stay together.  Extra columns are kept, and an empty table stays
-    empty.
+    empty.  Names
+    that begin with tidemark_ are the operator's own.
     """
     found = written(_found(docs, benchmark, threshold, WIDTH, MISS, least_words).select(F.col("doc_id").alias("tidemark_id"), F.col("tidemark_key").alias("tidemark_found")).distinct())
-    rows = docs.withColumn("tidemark_key", F.xxhash64("text"))
-    same = (rows["tidemark_key"] == found["tidemark_found"]) & rows["doc_id"].eqNullSafe(found["tidemark_id"])
-    return rows.join(found, same, "left_anti").select(docs.columns)
+    rows = KeyFilter(found, "tidemark_found").marked(docs.withColumn("tidemark_key", F.xxhash64("text")), "tidemark_key")
+    # rows that the filter clears stay where they are, however many others go
+    suspects = rows.where("tidemark_maybe")
+    same = (suspects["tidemark_key"] == found["tidemark_found"]) & suspects["doc_id"].eqNullSafe(found["tidemark_id"])
+    return rows.where("not tidemark_maybe").select(docs.columns).unionAll(suspects.join(found, same, "left_anti").select(docs.columns))

@@ -17,7 +17,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.spans import match_spans
+from tidemark.llm.spans import BLOCK, let, match_spans
 
 # The base phrases and their labels.
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
@@ -204,6 +204,113 @@ PHRASES = (
     ("proprietary", "reverse engineer", 4, 0.7, r"you may not reverse engineer decompile or disassemble"),
     ("all-rights-reserved", "rights reserved", 4, 0.7, r"all rights reserved"),
     ("all-rights-reserved", "may be reproduced", 4, 0.7, r"no part of this (?:publication|book|work) may be reproduced"),
+    ("mit", "sublicense", 3, 0.85, r"to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+    ("mit", "persons to whom", 3, 0.85, r"to permit persons to whom the software is furnished to do so"),
+    ("mit", "tort or otherwise", 4, 0.7, r"whether in an action of contract tort or otherwise arising from out of or in connection with the software"),
+    ("bsd", "consequential damages", 4, 0.7, r"be liable for any direct indirect incidental special exemplary or consequential damages"),
+    ("bsd", "substitute goods", 5, 0.6, r"procurement of substitute goods or services loss of use data or profits or business interruption"),
+    ("bsd", "possibility of such", 5, 0.6, r"even if advised of the possibility of such damage"),
+    ("bsd", "regents", 3, 0.8, r"(?:copyright|by) the regents of the university of california"),
+    ("bsd-3", "without specific prior", 3, 0.8, r"products derived from this software without specific prior written permission"),
+    ("bsd-4", "display the following", 2, 0.9, r"must display the following acknowledge?ment"),
+    ("isc", "whatsoever", 4, 0.7, r"any damages whatsoever resulting from loss of use data or profits"),
+    ("isc", "implied warranties", 4, 0.7, r"including all implied warranties of merchantability and fitness"),
+    ("apache-2", "perpetual", 3, 0.8, r"a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license"),
+    ("apache-2", "patent litigation", 3, 0.85, r"if you institute patent litigation against any entity"),
+    ("apache-2", "applicable law", 2, 0.9, r"unless required by applicable law or agreed to in writing software distributed under the license"),
+    ("apache-2", "prominent notices", 3, 0.8, r"you must cause any modified files to carry prominent notices stating that you changed the files"),
+    ("apache-2", "contribution intentionally", 3, 0.8, r"any contribution intentionally submitted for inclusion in the work by you to the licensor"),
+    ("apache-2", "trade names", 3, 0.75, r"does not grant permission to use the trade names trademarks service marks or product names of the licensor"),
+    ("gpl", "absolutely no", 3, 0.75, r"comes with absolutely no warranty"),
+    ("gpl", "certain conditions", 3, 0.75, r"this is free software and you are welcome to redistribute it under certain conditions"),
+    ("gpl", "in the hope", 3, 0.8, r"distributed in the hope that it will be useful but without any warranty"),
+    ("gpl", "verbatim copies", 4, 0.7, r"everyone is permitted to copy and distribute verbatim copies of this license document"),
+    ("gpl-2", "mere aggregation", 3, 0.8, r"mere aggregation of another work not based on the program with the program"),
+    ("gpl-2", "written offer", 3, 0.75, r"accompany it with a written offer valid for at least three years"),
+    ("gpl-2", "derived from the program", 3, 0.8, r"that in whole or in part contains or is derived from the program or any part thereof"),
+    ("gpl-3", "corresponding source", 3, 0.8, r"the corresponding source for a work in object code form"),
+    ("gpl-3", "user product", 3, 0.8, r"a user product is either 1 a consumer product"),
+    ("gpl-3", "installation information", 3, 0.8, r"installation information for a user product means any methods procedures authorization keys"),
+    ("gpl-3", "downstream recipients", 3, 0.8, r"automatic licensing of downstream recipients"),
+    ("lgpl", "based on the library", 3, 0.85, r"a work based on the library means either the library or any derivative work"),
+    ("lgpl-3", "combined work", 3, 0.85, r"you may convey a combined work under terms of your choice"),
+    ("agpl-3", "must prominently offer", 2, 0.9, r"your modified version must prominently offer all users interacting with it"),
+    ("gfdl", "version of the document", 3, 0.8, r"you may copy and distribute a modified version of the document under the conditions"),
+    ("gfdl", "opaque copies", 3, 0.8, r"if you publish or distribute opaque copies of the document numbering more than 100"),
+    ("mpl-2", "covered software", 3, 0.8, r"covered software is provided under this license on an as is basis"),
+    ("mpl-2", "larger work", 3, 0.75, r"you may create and distribute a larger work under terms of your choice"),
+    ("mpl-2", "secondary licenses", 2, 0.9, r"this source code form is incompatible with secondary licenses"),
+    ("mpl-1.1", "initial developer", 2, 0.85, r"the initial developer of the original code is"),
+    ("mpl-1.1", "rights and limitations", 3, 0.8, r"for the specific language governing rights and limitations under the license"),
+    ("epl", "commercial contributor", 3, 0.8, r"such contributor commercial contributor hereby agrees to defend and indemnify"),
+    ("epl", "agreement steward", 3, 0.8, r"the eclipse foundation is the initial agreement steward"),
+    ("cpl-1", "agreement steward", 3, 0.85, r"ibm is the initial agreement steward"),
+    ("cddl-1", "cddl header", 1, 0.95, r"cddl header (?:start|end)"),
+    ("eupl", "european commission", 3, 0.8, r"the european commission may publish (?:other linguistic versions|new versions) of this licen[cs]e"),
+    ("ms-pl", "to reproduce its contribution", 3, 0.8, r"grants you a non exclusive worldwide royalty free copyright license to reproduce its contribution"),
+    ("zlib", "arising from the use", 3, 0.85, r"in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("zlib", "freely subject", 3, 0.85, r"to alter it and redistribute it freely subject to the following restrictions"),
+    ("libpng", "png reference library", 2, 0.9, r"the png reference library is supplied as is"),
+    ("libpng", "contributing authors", 3, 0.8, r"the contributing authors and group 42 inc disclaim all warranties"),
+    ("boost-1", "accompanying documentation", 2, 0.9, r"obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("artistic-1", "freely available", 3, 0.8, r"place your modifications in the public domain or otherwise make them freely available"),
+    ("artistic-2", "standard version", 3, 0.8, r"you may distribute verbatim copies of the source form of the standard version"),
+    ("ofl-1.1", "reserved font", 2, 0.9, r"no modified version of the font software may use the reserved font name"),
+    ("ofl-1.1", "sold by itself", 2, 0.9, r"in original or modified versions may be sold by itself"),
+    ("odbl", "derivative database", 3, 0.8, r"any derivative database that you publicly use must be only under the terms of"),
+    ("psf", "psf is making", 2, 0.9, r"psf is making python available to licensee on an as is basis"),
+    ("psf", "mathematisch centrum", 3, 0.75, r"stichting mathematisch centrum amsterdam"),
+    ("psf", "beopen", 2, 0.85, r"beopen python open source license agreement"),
+    ("cc0", "affirmer", 2, 0.9, r"affirmer hereby overtly fully permanently irrevocably and unconditionally waives"),
+    ("cc-by", "appropriate credit", 3, 0.7, r"you must give appropriate credit provide a link to the license and indicate if changes were made"),
+    ("cc-by-sa", "license as the original", 3, 0.8, r"distribute your contributions under the same license as the original"),
+    ("cc-by-nc", "commercial advantage", 3, 0.8, r"primarily intended for or directed towards? commercial advantage or (?:private )?monetary compensation"),
+    ("cc-by-nd", "share adapted material", 3, 0.75, r"you do not have permission under this public license to share adapted material"),
+    ("cc", "creative commons corporation", 3, 0.6, r"creative commons corporation is not a law firm"),
+    ("unlicense", "any and all copyright", 2, 0.9, r"dedicate any and all copyright interest in the software to the public domain"),
+    ("unlicense", "public at large", 3, 0.85, r"we make this dedication for the benefit of the public at large"),
+    ("wtfpl", "changing it is allowed", 3, 0.85, r"changing it is allowed as long as the name is changed"),
+    ("beerware", "beer ware", 1, 0.95, r"the beer ware licen[cs]e(?: revision 42)?"),
+    ("ncsa", "ncsa", 1, 0.95, r"university of illinois ncsa open source licen[cs]e"),
+    ("afl-3", "academic free", 2, 0.9, r"academic free licen[cs]e(?: version)?(?: 3 0)?"),
+    ("osl-3", "open software", 2, 0.9, r"open software licen[cs]e (?:version |v )?3 0"),
+    ("cecill-2", "cecill", 2, 0.9, r"cecill(?: free software)? licen[cs]e"),
+    ("cecill-2", "french law", 2, 0.85, r"governed by the cecill license under french law"),
+    ("ecl-2", "educational community", 2, 0.9, r"educational community licen[cs]e(?: version 2 0)?"),
+    ("qpl", "q public", 2, 0.9, r"q public licen[cs]e(?: version 1 0)?"),
+    ("sleepycat", "sleepycat", 2, 0.9, r"sleepycat licen[cs]e"),
+    ("vim", "vim", 2, 0.85, r"vim licen[cs]e"),
+    ("tcl", "tcl tk", 2, 0.85, r"tcl tk licen[cs]e terms"),
+    ("w3c", "w3c", 2, 0.9, r"w3c software (?:notice and |and document notice and )?licen[cs]e"),
+    ("unicode", "unicode", 2, 0.85, r"unicode licen[cs]e (?:v3|agreement)"),
+    ("icu", "icu", 2, 0.85, r"icu licen[cs]e icu 1 8 1 and later"),
+    ("imagemagick", "imagemagick", 2, 0.9, r"imagemagick licen[cs]e"),
+    ("freetype", "freetype", 2, 0.9, r"(?:the )?freetype (?:project )?licen[cs]e"),
+    ("ijg", "independent jpeg", 2, 0.9, r"this software is based in part on the work of the independent jpeg group"),
+    ("blueoak-1", "blue oak", 2, 0.95, r"blue oak model licen[cs]e(?: 1 0 0)?"),
+    ("mulan-2", "mulan", 2, 0.9, r"mulan (?:psl|permissive software licen[cs]e)(?: v2)?"),
+    ("polyform", "polyform", 2, 0.9, r"polyform (?:noncommercial|shield|strict|small business) licen[cs]e"),
+    ("parity-7", "parity public", 2, 0.9, r"parity public licen[cs]e"),
+    ("hippocratic", "hippocratic", 2, 0.9, r"hippocratic licen[cs]e"),
+    ("openrail", "openrail", 2, 0.9, r"openrail(?: m| s)?(?: licen[cs]e)?"),
+    ("llama", "community license agreement", 3, 0.8, r"llama [0-9](?: [0-9])? community license agreement"),
+    ("etalab-2", "licence ouverte", 2, 0.9, r"licence ouverte(?: open licence)?(?: version)? 2 0"),
+    ("ogl-uk-3", "open government", 2, 0.9, r"open government licen[cs]e(?: v3 0)?"),
+    ("dl-de-by-2", "datenlizenz", 2, 0.9, r"datenlizenz deutschland namensnennung(?: version)? 2 0"),
+    ("cdla-permissive", "community data", 2, 0.9, r"community data license agreement permissive(?: version)? (?:2|1) 0"),
+    ("cdla-sharing", "community data", 2, 0.9, r"community data license agreement sharing(?: version)? 1 0"),
+    ("fair", "usage of the works", 2, 0.9, r"usage of the works is permitted provided that this instrument is retained with the works"),
+    ("upl", "universal permissive", 2, 0.9, r"universal permissive licen[cs]e(?: version 1 0)?"),
+    ("ogl", "open game", 2, 0.9, r"open game licen[cs]e(?: version 1 0a?)?"),
+    ("proprietary", "prior written", 4, 0.7, r"without the (?:express )?prior written (?:permission|consent) of the (?:copyright owner|publisher|author)"),
+    ("proprietary", "internal use", 4, 0.6, r"for internal use only"),
+    ("proprietary", "licensed not sold", 4, 0.8, r"(?:this|the) software is licensed not sold"),
+    ("shareware", "shareware", 4, 0.6, r"this (?:program|software) is shareware"),
+    ("freeware", "freeware", 4, 0.6, r"this (?:program|software) is freeware"),
+    ("personal-use", "personal use", 4, 0.6, r"for personal use only"),
+    ("all-rights-reserved", "tous droits", 4, 0.7, r"tous droits réservés"),
+    ("all-rights-reserved", "rechte vorbehalten", 4, 0.7, r"alle rechte vorbehalten"),
+    ("all-rights-reserved", "derechos reservados", 4, 0.7, r"todos los derechos reservados"),
     ("copyright", "copyright", 6, 0.3, r"copyright (?:c )?(?:19|20)[0-9]{2}"),
 )
 
@@ -231,6 +338,46 @@ def _whole(pattern: str) -> str:
     return rf"(?<![^ ])(?:{pattern})(?![^ ])"
 
 
+def _standing(spans: Column) -> Column:
+    """The distinct spans that no other one suppresses, in order; base ones (rank 0) always stand.
+
+    A span falls if another one holds it and ranks before it, or holds it, is
+    longer and ranks alike.  One sweep in the order of starts, longer ones
+    first, sees every holder before what it holds, so the greatest end met
+    under each rank decides.  Spans are swept in blocks, so no array grows by
+    the span over more than a block.
+    """
+    swept = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("less"), s["rank"].alias("rank"), s["label"].alias("label"), s["sure"].alias("sure")))
+    item = "struct<start:int,less:int,rank:int,label:string,sure:double>"
+    ends = F.array(*(F.lit(-1) for _ in range(max(r[2] for r in rules()) + 1)))
+    blank = F.struct(F.lit(-1).alias("start"), F.lit(0).alias("less"), F.lit(-1).alias("rank"), F.lit("").alias("label"), F.lit(0.0).alias("sure"))
+    fresh = F.struct(ends.alias("ends"), blank.alias("last"), F.lit(True).alias("stood"), F.from_json(F.lit("[]"), f"array<{item}>").alias("out"))
+
+    def see(state: Column, s: Column) -> Column:
+        last = state["last"]
+        # the same interval and rank under another label falls or stands alike
+        same = (last["start"] == s["start"]) & (last["less"] == s["less"]) & (last["rank"] == s["rank"])
+        stands = F.when(same, state["stood"]).otherwise((s["rank"] == 0) | (F.element_at(state["ends"], s["rank"] + 1) < -s["less"]))
+        ends = F.transform(state["ends"], lambda e, r: F.when(r >= s["rank"], F.greatest(e, -s["less"])).otherwise(e))
+        # repeated spans stand side by side
+        keep = stands & (last != s)
+        return F.struct(ends.alias("ends"), s.alias("last"), stands.alias("stood"), F.when(keep, F.concat(state["out"], F.array(s))).otherwise(state["out"]).alias("out"))
+
+    def sweep(ordered: Column) -> Column:
+        firsts = F.when(F.size(ordered) > 0, F.sequence(F.lit(1), F.greatest(F.size(ordered), F.lit(1)), F.lit(BLOCK))).otherwise(F.array().cast("array<int>"))
+        none = F.from_json(F.lit("[]"), f"array<array<{item}>>")
+        start = F.struct(fresh.alias("at"), none.alias("out"))
+
+        def block(state: Column, first: Column) -> Column:
+            begin = F.struct(state["at"]["ends"].alias("ends"), state["at"]["last"].alias("last"), state["at"]["stood"].alias("stood"), F.from_json(F.lit("[]"), f"array<{item}>").alias("out"))
+            return let(F.aggregate(F.slice(ordered, first, F.lit(BLOCK)), begin, see), lambda end: F.struct(end.alias("at"), F.concat(state["out"], F.array(end["out"])).alias("out")))
+
+        return F.aggregate(firsts, start, block, lambda s: F.flatten(s["out"]))
+
+    kept = let(F.array_sort(swept), sweep)
+    return F.array_sort(F.transform(kept, lambda s: F.struct(s["start"].alias("start"), (-s["less"]).alias("end"), s["label"].alias("label"), s["rank"].alias("rank"), s["sure"].alias("sure"))))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """`docs` with n_words, n_base, first_word, last_word, base_labels, labels, score and `detections`.
 
@@ -264,23 +411,16 @@ def scan(docs: DataFrame) -> DataFrame:
     hits = F.flatten(F.transform(open_rules, lambda r: found(match_spans(w, r["regex"]), r["label"], r["rank"], r["sure"])))
     out = out.withColumn("tidemark_hits", hits)
 
-    def inside(a: Column, b: Column) -> Column:
-        """b holds a, and is longer or ranks before it."""
-        holds = (b["start"] <= a["start"]) & (b["end"] >= a["end"])
-        longer = (b["end"] - b["start"]) > (a["end"] - a["start"])
-        return holds & ((longer & (b["rank"] <= a["rank"])) | (b["rank"] < a["rank"]))
-
-    everything = F.concat(F.col("tidemark_base"), F.col("tidemark_hits"))
-    kept = F.filter(F.col("tidemark_hits"), lambda a: ~F.exists(everything, lambda b: inside(a, b)))
-    out = out.withColumn("detections", F.array_sort(F.array_distinct(F.concat(F.col("tidemark_base"), kept))))
+    out = out.withColumn("detections", _standing(F.concat(F.col("tidemark_base"), F.col("tidemark_hits"))))
 
     names = lambda spans: F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
-    starts = F.transform("tidemark_base", lambda s: blanks(F.substring(w, F.lit(1), s["start"])).cast("long"))
+    starts = F.transform("tidemark_base", lambda s: s["start"])
+    before = lambda start: blanks(F.substring(w, F.lit(1), start)).cast("long")
     out = out.withColumns(
         {
             "n_base": F.size("tidemark_base").cast("long"),
-            "first_word": F.array_min(starts),
-            "last_word": F.array_max(starts),
+            "first_word": before(F.array_min(starts)),
+            "last_word": before(F.array_max(starts)),
             "base_labels": names(F.col("tidemark_base")),
             "labels": names(F.col("detections")),
             "score": F.coalesce(F.array_max(F.transform("detections", lambda s: s["sure"])), F.lit(0.0)),

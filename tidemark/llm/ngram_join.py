@@ -37,14 +37,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import bounded_batches, group_runs, group_starts, mix, shingle_sets, temporary, tidy, written
+from tidemark.llm.common import KeyFilter, bounded_batches, group_runs, group_starts, mix, shingle_sets, temporary, tidy, written
 from tidemark.llm.components import components
 
 SKETCH_BITS = 22
 #: At most so many sketch cells are marked as common: a fixed bound of the broadcast.
 COMMON_CELLS = 1 << 18
-#: Rows of two or three numbers are broadcast up to this count to find their texts (a fourth of it: their bitmaps
-#: and the texts' places in pairs); more are joined by a shuffle.
+#: A fourth of this count of rows of two or three numbers is broadcast to find bitmaps and texts' places in pairs; more
+#: are joined by a shuffle.
 BROADCAST_ROWS = 1 << 20
 #: A hub's text is sent once for about so many partners.
 PARTNERS = 512
@@ -368,8 +368,8 @@ def _linked(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
     def texts(pairs: DataFrame) -> DataFrame:
         need = pairs.select(F.col("u").alias("fp")).unionAll(pairs.select(F.col("v").alias("fp"))).distinct()
         need = written(need.join(owners, "fp").select("fp", F.col("doc_id").alias("id"), "h"))
-        need = F.broadcast(need) if need.count() <= BROADCAST_ROWS else need
-        found = docs.join(need, (F.xxhash64("text") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("id")))
+        texts = KeyFilter(need, "h").passing(docs.select("doc_id", "text", F.xxhash64("text").alias("key")), "key")
+        found = texts.join(need, (F.col("key") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("id")))
         return written(found.groupBy("fp").agg(F.first("text").alias("text")))
 
     have = under.select("fp").unionAll(under.select(F.col("g").alias("fp"))).distinct()
@@ -429,19 +429,21 @@ def keep_one(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     the copies among them.  Rows without id come last, and rows of one id are
     taken in the order of their text's hash.  Null and blank texts are similar
     to nothing and stay; rows with equal doc_id and text count as one.  Extra
-    columns are kept and an empty table stays empty.
+    columns are kept and an empty table stays empty.  Names
+    that begin with tidemark_ are the operator's own.
     """
     with temporary(docs.sparkSession):
         marked = written(_marked(*_linked(docs, width, percent)), keep=True)
-    few = marked.count() <= BROADCAST_ROWS
     marked = marked.select(F.col("doc_id").alias("tidemark_id"), F.col("h").alias("tidemark_h"), F.col("rows").alias("tidemark_rows"))
-    marked = F.broadcast(marked) if few else marked
     names = docs.columns
-    same = F.col("doc_id").eqNullSafe(F.col("tidemark_id")) & (F.xxhash64("text") == F.col("tidemark_h"))
-    left = docs.join(marked, same, "left")
+    rows = KeyFilter(marked, "tidemark_h").marked(docs.withColumn("tidemark_key", F.xxhash64("text")), "tidemark_key")
+    # rows that the filter clears stay where they are, however many others go
+    suspects = rows.where("tidemark_maybe").drop("tidemark_maybe")
+    same = F.col("doc_id").eqNullSafe(F.col("tidemark_id")) & (F.col("tidemark_key") == F.col("tidemark_h"))
+    left = written(suspects.join(marked, same, "left"))
     order = Window.partitionBy("tidemark_id", "tidemark_h").orderBy(F.xxhash64(*names))
     again = left.where("tidemark_rows > 1").withColumn("tidemark_row", F.row_number().over(order)).where("tidemark_row = 1")
-    return left.where("tidemark_rows is null").select(names).unionAll(again.select(names))
+    return rows.where("not tidemark_maybe").select(names).unionAll(left.where("tidemark_rows is null").select(names)).unionAll(again.select(names))
 
 
 def _marked(sig: DataFrame, comp: DataFrame) -> DataFrame:

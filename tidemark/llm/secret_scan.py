@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.spans import let, match_spans
+from tidemark.llm.spans import between, highest_before, let, match_spans, pieces
 
 # The patterns of the three base kinds, in the order in which they are listed.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -195,19 +195,22 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """
     names = docs.columns
     out = docs.withColumn("tidemark_spans", spans_of(F.coalesce(F.col("text"), F.lit(""))))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    changed = F.size("tidemark_spans") > 0
 
-    def add(state: Column, span: Column) -> Column:
-        # a span that overlaps what is already replaced only extends it
-        fresh = span["start"] >= state["at"]
-        gap = F.substring(F.col("text"), state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
-        return F.struct(F.greatest(span["end"], state["at"]).alias("at"), F.when(fresh, F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"]).alias("out"))
+    def rewritten(row: Column) -> Column:
+        """What lies before each span that begins beyond all ends before it, a mark after each, and the rest; row: (spans, reached, parts)."""
 
-    def whole(state: Column) -> Column:
-        return F.concat(state["out"], F.substring(F.col("text"), state["at"] + 1, F.greatest(F.length("text") - state["at"], F.lit(0))))
+        def piece(s: Column, i: Column) -> Column:
+            before = F.element_at(row["reached"], i + 1)
+            # a span that overlaps what is already replaced only extends it
+            return F.when(s["start"] >= before, F.concat(between(row["parts"], before, s["start"]), F.lit(mark))).otherwise("")
 
-    changed = F.size("tidemark_spans") > 0
-    out = out.withColumn("tidemark_text", F.when(changed, F.aggregate("tidemark_spans", start, add, whole)).otherwise(F.col("text")))
+        last = F.array_max(F.transform(row["spans"], lambda s: s["end"]))
+        return F.concat(F.array_join(F.transform(row["spans"], piece), ""), between(row["parts"], last, F.length("text")))
+
+    spans = F.col("tidemark_spans")
+    row = F.struct(spans.alias("spans"), highest_before(F.transform(spans, lambda s: s["end"])).alias("reached"), pieces(F.col("text")).alias("parts"))
+    out = out.withColumn("tidemark_text", F.when(changed, let(row, rewritten)).otherwise(F.col("text")))
     columns = {"text": F.col("tidemark_text")}
     if "n_chars" in names:
         columns["n_chars"] = F.when(changed, F.length("tidemark_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))

@@ -49,3 +49,39 @@ def match_spans(text: Column, pattern: Column | str) -> Column:
         return F.aggregate(blocks, nothing, follow, lambda s: F.flatten(s["out"]))
 
     return let(pairs, lambda pairs: F.when(F.size(pairs) <= BLOCK, F.aggregate(pairs, none, add, lambda s: s["out"])).otherwise(in_blocks(pairs)))
+
+
+#: Code points of a piece of text that a place is looked up in.
+PIECE = 4096
+
+
+def pieces(text: Column) -> Column:
+    """The text in pieces of PIECE code points, so that a place in a long text is found without counting from its start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def between(parts: Column, start: Column, end: Column) -> Column:
+    """The text from code point `start` to `end`, from its `pieces`; empty if end is not above start."""
+    first = F.floor(start / PIECE).cast("int")
+    count = F.greatest(F.floor((end - 1) / PIECE).cast("int") - first + 1, F.lit(1))
+    own = F.array_join(F.slice(parts, first + 1, count), "")
+    return F.when(end > start, F.substring(own, start - first * PIECE + 1, end - start)).otherwise("")
+
+
+def highest_before(values: Column) -> Column:
+    """Of each number, the greatest of those before it and 0; in blocks, so that arrays never grow by the number over more than one."""
+
+    def step(state: Column, v: Column) -> Column:
+        return F.struct(F.greatest(state["top"], v).alias("top"), F.concat(state["out"], F.array(state["top"])).alias("out"))
+
+    def in_blocks(values: Column) -> Column:
+        firsts = F.when(F.size(values) > 0, F.sequence(F.lit(1), F.greatest(F.size(values), F.lit(1)), F.lit(BLOCK))).otherwise(F.array().cast("array<int>"))
+
+        def block(state: Column, first: Column) -> Column:
+            begin = F.struct(state["top"].alias("top"), F.array().cast("array<int>").alias("out"))
+            return let(F.aggregate(F.slice(values, first, F.lit(BLOCK)), begin, step), lambda b: F.struct(b["top"].alias("top"), F.concat(state["out"], F.array(b["out"])).alias("out")))
+
+        start = F.struct(F.lit(0).alias("top"), F.array().cast("array<array<int>>").alias("out"))
+        return F.aggregate(firsts, start, block, lambda s: F.flatten(s["out"]))
+
+    return let(values, in_blocks)

@@ -31,6 +31,8 @@ SHOWN = 24_000
 LEAST_TEXTS = 3
 #: The sample of labelled documents that the classifier is fitted on holds at most so many of each class.
 SAMPLE = {1: 3000, 0: 5000}
+#: Bytes of the longest text in that sample: with SAMPLE it bounds what the driver holds (usually a thirtieth of it).
+LONGEST = 1 << 16
 #: Bytes of a passage.
 PASSAGE = 256
 SCALE = 64.0
@@ -163,11 +165,11 @@ def _bags(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return buckets, times.astype(np.float32)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = None) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = None, longest: int = LONGEST) -> Model:
     """Learn from labels (doc_id, toxic) and the texts of `docs`.
 
     At most `sample` documents of each class are used, the first by a hash of
-    the id; labels other than 0 and 1 teach nothing, and an id that is labelled
+    the id, and of these the ones of at most `longest` bytes; labels other than 0 and 1 teach nothing, and an id that is labelled
     twice counts as toxic if either label is.
     """
     sample = sample or SAMPLE
@@ -178,7 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = None
         part = known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
         chosen = part if chosen is None else chosen.unionAll(part)
     # the chosen ids are bounded by `sample`
-    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").select("toxic", "text").toArrow()
+    rows = docs.select("doc_id", "text").where(F.octet_length("text") <= longest).join(F.broadcast(chosen), "doc_id").select("toxic", "text").toArrow()
     rows = rows.sort_by([("toxic", "ascending"), ("text", "ascending")])
     toxic = rows.column("toxic").to_numpy()
     # the bags lie in two flat arrays, which are given back whole
