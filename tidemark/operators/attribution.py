@@ -73,15 +73,33 @@ def aux_dimensions(rows: DataFrame, vector: str) -> DataFrame:
     return shares(x, "dimension").withColumnRenamed("value", "mean_abs")
 
 
+# Rules and thresholds.
+STABILITY_RULES = {"untradable_weight": 1e-5, "max_weight": 0.35, "turnover": 1.5, "top_feature_share": 0.55, "top_lookback_share": 0.70, "correlation": 0.75, "zero_fraction": 0.95}
+#: What a warning says; net exposure is warned of without a rule row.
+WARNINGS = {
+    "untradable_weight": "weight lies on symbols that cannot be traded", "net_exposure": "mean absolute net exposure is high", "max_weight": "one symbol holds much of a day's weight", "turnover": "turnover is high, positions may flip daily",
+    "top_feature_share": "one feature dominates the attribution", "top_lookback_share": "one lookback day dominates the attribution", "correlation": "a feature and a score or weight are strongly correlated", "zero_fraction": "auxiliary outputs are close to zero",
+}
+NET_EXPOSURE = 0.25
+
+
 def stability_flags(metrics: DataFrame) -> DataFrame:
-    """(rule, value, threshold, status) for the columns of a one-row table of metrics."""
-    # Rules and thresholds.
-    rules = (("untradable_weight", 1e-5), ("max_weight", 0.35), ("turnover", 1.5), ("top_feature_share", 0.55), ("top_lookback_share", 0.70), ("correlation", 0.75), ("zero_fraction", 0.95))
-    have = [(n, t) for n, t in rules if n in metrics.columns]
-    rows = F.array(*(F.struct(F.lit(n).alias("rule"), F.col(n).cast("double").alias("value"), F.lit(t).alias("threshold"), F.when(F.abs(F.col(n)) > t, "warn").otherwise("pass").alias("status")) for n, t in have))
+    """(rule, value, threshold, status) for the columns of a one-row table of metrics; a missing value passes."""
+    have = [(n, t) for n, t in STABILITY_RULES.items() if n in metrics.columns]
+    warn = lambda n, t: F.when(F.coalesce(F.abs(F.col(n)) > t, F.lit(False)), "warn").otherwise("pass")
+    rows = F.array(*(F.struct(F.lit(n).alias("rule"), F.col(n).cast("double").alias("value"), F.lit(t).alias("threshold"), warn(n, t).alias("status")) for n, t in have))
     return metrics.select(F.inline(rows))
 
 
+def stability_warnings(metrics: DataFrame) -> DataFrame:
+    """(place, warning) of a one-row table of metrics: what its flags warn of, in the order of the rules, or that nothing was found."""
+    thresholds = {"untradable_weight": STABILITY_RULES["untradable_weight"], "net_exposure": NET_EXPOSURE, **STABILITY_RULES}
+    said = [F.when(F.abs(F.col(n)) > thresholds[n], F.lit(text)) for n, text in WARNINGS.items() if n in metrics.columns]
+    found = F.filter(F.array(*said), lambda w: w.isNotNull()) if said else F.array().cast("array<string>")
+    none = F.array(F.lit("no rule of thumb was broken; look at the tables all the same"))
+    return metrics.select(F.posexplode(F.when(F.size(found) > 0, found).otherwise(none)).alias("place", "warning"))
+
+
 def sample_dates(panel: DataFrame, how: str, n: int) -> DataFrame:
     """Rows of n dates: the first, the last, or evenly spread ones, from the first to the last; all dates if there are no more."""
     dates = panel.select("date").distinct()

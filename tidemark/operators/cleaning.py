@@ -237,6 +237,7 @@ def event_targets(moves: DataFrame) -> DataFrame:
     return moves.select("symbol", F.explode(F.array("raw_date", "raw_next_date")).alias("date")).where("date is not null").distinct()
 
 
+# Fixed value: the reason given for symbols without a rule.
 UNCLASSIFIED = "No curated repair rule yet; inspect before mutating source data."
 
 

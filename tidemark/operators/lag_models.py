@@ -95,11 +95,12 @@ def solve_ridge(centred: np.ndarray, alpha: float) -> np.ndarray:
     return np.linalg.solve(centred[:p, :p] + alpha * np.eye(p), centred[:p, p])
 
 
-def solve_elastic_net(centred: np.ndarray, n: float, alpha: float, l1_ratio: float, sweeps: int = 2000, tolerance: float = 1e-8) -> np.ndarray:
+def solve_elastic_net(centred: np.ndarray, n: float, alpha: float, l1_ratio: float, start: np.ndarray | None = None, sweeps: int = 2000, tolerance: float = 1e-7) -> np.ndarray:
     """b that minimises |y - Xb|^2 / 2n + alpha (l1 |b|_1 + (1 - l1) |b|^2 / 2), by coordinate descent on the products."""
     p = len(centred) - 1
     gram, target = centred[:p, :p] / n, centred[:p, p] / n
-    b, slope = np.zeros(p), target.copy()  # slope: X'(y - Xb) / n
+    b = np.zeros(p) if start is None else start.copy()
+    slope = target - gram @ b  # X'(y - Xb) / n
     one, two = alpha * l1_ratio, alpha * (1 - l1_ratio)
 
     def sweep(columns) -> float:
@@ -135,7 +136,7 @@ def fold_coefficients(spark: SparkSession, moments: DataFrame, folds: DataFrame,
     # one matrix per year
     for r in moments.toLocalIterator():
         years.setdefault(r["year"], np.zeros((p + 2, p + 2)))[r["i"]] = r["products"]
-    out = []
+    out, b = [], None
     for fold in folds.select("fold_id", "val_year").orderBy("fold_id").toLocalIterator():
         total = sum((m for y, m in years.items() if y < fold["val_year"]), np.zeros((p + 2, p + 2)))
         n = total[0, 0]
@@ -143,7 +144,7 @@ def fold_coefficients(spark: SparkSession, moments: DataFrame, folds: DataFrame,
             continue
         mean = total[0, 1:] / n
         centred = total[1:, 1:] - n * np.outer(mean, mean)
-        b = solve_ridge(centred, alpha) if l1_ratio is None else solve_elastic_net(centred, n, alpha, l1_ratio)
+        b = solve_ridge(centred, alpha) if l1_ratio is None else solve_elastic_net(centred, n, alpha, l1_ratio, b)
         level = float(mean[p] - mean[:p] @ b)
         out += [(fold["fold_id"], length - 1 - k // len(names), names[k % len(names)], float(b[k]), level) for k in range(p)]
     return spark.createDataFrame(out, COEFFICIENTS)

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from tidemark.functions.scratch import cut
 from tidemark.operators import attribution as A
 from tidemark.operators import features as P
+from tidemark.operators import folds as W
 from tidemark.operators import graph as G
 from tidemark.operators import lag_models as L
 from tidemark.operators import portfolio as B
 from tidemark.plans import sqlparts as S
 from tidemark.plans.adapters import bars
-from tidemark.plans.queries import MODEL, panel, query
+from tidemark.plans.queries import FIGURES, MODEL, panel, query
 
 #: What q_edge_metrics scores by, and the shocks that move it.
 SCORED = ["close_logret_1d", "trading_volume_logret_1d", "intraday_range"]
@@ -170,3 +171,24 @@ def q_lag_importance(spark, d):
     x, folds, coefficients = lag_folds(spark, d)
     scored = lag_scored(x, folds, coefficients).where("split = 'val'")
     return L.cell_importance(scored, coefficients, _N, _L)
+
+
+@query(
+    _LAGS_SQL + """, runs AS (SELECT fold_id || '/' || split AS run_id, date, symbol, score, return_1d FROM scored),
+    ranked AS (SELECT *, row_number() OVER (w ORDER BY score DESC, symbol DESC) AS p, count(*) OVER w AS n, row_number() OVER (w ORDER BY score, symbol) AS i, row_number() OVER (w ORDER BY return_1d, symbol) AS j FROM runs WINDOW w AS (PARTITION BY run_id, date)),
+    grid AS (SELECT * FROM (SELECT DISTINCT run_id, date FROM runs) JOIN (SELECT DISTINCT run_id, symbol FROM runs) USING (run_id)),
+    held AS (SELECT g.run_id, g.date, g.symbol, CASE WHEN p <= 5 THEN 1.0::DOUBLE / least(n, 5) ELSE 0.0 END AS weight, return_1d FROM grid g LEFT JOIN ranked USING (run_id, date, symbol)),
+    moves AS (SELECT *, weight - lag(weight, 1, 0.0) OVER (PARTITION BY run_id, symbol ORDER BY date) AS d FROM held),
+    bench AS (SELECT run_id, date, avg(return_1d) AS benchmark_return FROM runs GROUP BY ALL),
+    daily AS MATERIALIZED (SELECT run_id, date, sum(weight * coalesce(return_1d, 0)) - 0.001 * sum(greatest(d, 0)) - 0.003 * sum(greatest(-d, 0)) AS strategy_return, sum(abs(d)) AS turnover, any_value(benchmark_return) AS benchmark_return FROM moves JOIN bench USING (run_id, date) GROUP BY run_id, date),
+    figures AS (""" + S.metrics("run_id") + """),
+    ics AS (SELECT run_id, date, CASE WHEN any_value(n) >= 2 THEN 1 - 6.0 * sum(pow(i - j, 2)) / (any_value(n) * (pow(any_value(n), 2) - 1)) ELSE 0 END AS ic FROM ranked GROUP BY run_id, date),
+    ic AS (SELECT run_id, avg(ic) AS ic_mean, avg((ic > 0)::INT) AS ic_positive FROM ics GROUP BY run_id)
+    --result SELECT split_part(run_id, '/', 1)::INT AS fold_id, split_part(run_id, '/', 2) AS split, figures.* EXCLUDE (run_id, cumulative_return, excess), ln(1 + cumulative_return) AS log_return, ic_mean, ic_positive FROM figures JOIN ic USING (run_id)""",
+    " ".join(f for f in FIGURES.split() if f not in ("cumulative_return", "excess")) + " log_return ic_mean ic_positive",
+)
+def q_lag_report(spark, d):
+    """Figures and rank correlation of each fold's ridge on lagged features, for its validation year and the years after."""
+    out = W.fold_report(lag_scored(*lag_folds(spark, d)).select("fold_id", "split", "date", "symbol", "score", "return_1d"), 5, 0.001, 0.003)
+    # an invented market's returns compound to numbers that no rounding can compare
+    return out.withColumn("log_return", F.log1p("cumulative_return")).drop("cumulative_return", "excess")

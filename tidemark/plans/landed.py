@@ -372,15 +372,35 @@ def q_compose_flow(spark, d):
     return G.compose_flow(into, out, e.withColumn("capture", F.lit("direct")))
 
 
+_FIGURES = {
+    "untradable_weight": "min(weight) / sum(weight) / 100", "net_exposure": "min(weight) / max(weight) + 0.26", "max_weight": "max(weight) / avg(weight)", "turnover": "sum(weight) / avg(weight) / 400",
+    "top_feature_share": "avg(weight) / max(weight)", "top_lookback_share": "max(weight) / sum(weight) + 0.6", "correlation": "min(weight) / avg(weight) + 0.7", "zero_fraction": "max(weight) / sum(weight)",
+}
+
+
+def figures(spark, d):
+    return flat_edges(spark, d).agg(*(F.expr(e).alias(n) for n, e in _FIGURES.items()))
+
+
+_FIGURES_SQL = f", m AS (SELECT {', '.join(f'{e} AS {n}' for n, e in _FIGURES.items())} FROM flat)"
+
+
 @query(
-    _EDGES + """, m AS (SELECT max(weight) / avg(weight) AS max_weight, sum(weight) / avg(weight) AS turnover, max(weight) / sum(weight) AS zero_fraction FROM flat)
-    --result SELECT 'max_weight' AS rule, max_weight AS value, 0.35::DOUBLE AS threshold, CASE WHEN max_weight > 0.35 THEN 'warn' ELSE 'pass' END AS status FROM m UNION ALL SELECT 'turnover', turnover, 1.5, CASE WHEN turnover > 1.5 THEN 'warn' ELSE 'pass' END FROM m
-    UNION ALL SELECT 'zero_fraction', zero_fraction, 0.95, CASE WHEN zero_fraction > 0.95 THEN 'warn' ELSE 'pass' END FROM m""",
+    _EDGES + _FIGURES_SQL + "--result " + " UNION ALL ".join(f"SELECT '{n}' AS rule, {n} AS value, {t}::DOUBLE AS threshold, CASE WHEN abs({n}) > {t} THEN 'warn' ELSE 'pass' END AS status FROM m" for n, t in A.STABILITY_RULES.items()),
     "value threshold",
 )
 def q_stability_flags(spark, d):
-    w = F.col("weight")
-    return A.stability_flags(flat_edges(spark, d).agg((F.max(w) / F.avg(w)).alias("max_weight"), (F.sum(w) / F.avg(w)).alias("turnover"), (F.max(w) / F.sum(w)).alias("zero_fraction")))
+    """All seven rules on figures of a trade graph."""
+    return A.stability_flags(figures(spark, d))
+
+
+@query(
+    _EDGES + _FIGURES_SQL + ", w AS ("
+    + " UNION ALL ".join(f"SELECT {i} AS i, '{text.replace(chr(39), chr(39) * 2)}' AS warning FROM m WHERE abs({n}) > {A.STABILITY_RULES.get(n, A.NET_EXPOSURE)}" for i, (n, text) in enumerate(A.WARNINGS.items()))
+    + ")--result SELECT (row_number() OVER (ORDER BY i) - 1)::INT AS place, warning FROM w"
+)
+def q_stability_warnings(spark, d):
+    return A.stability_warnings(figures(spark, d))
 
 
 # ---- streams -------------------------------------------------------------------

@@ -273,9 +273,13 @@ def q_report_order(spark, d):
     path = scratch_path(spark, "report")
     x = table(spark, d, "orders").select(F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("root"), F.col("o_orderkey").alias("code"))
     files.write_report(x.repartition(7), path, ["status", "root", "code"], ["status", "root", "code"])
-    # files in the order of their names are the report
-    back = spark.read.option("header", "true").csv(path).select("*", F.struct(F.col("_metadata.file_name").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("at"))
-    return back.select(F.row_number().over(B.Window.orderBy("at")).cast("long").alias("line"), "status", "root", "code")
+    # files in the order of their names are the report: lines count within a file, from the lines of the files before
+    meta = [F.col("_metadata.file_name").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")]
+    back = cut(spark.read.option("header", "true").csv(path).select("*", *meta))
+    before = F.sum("n").over(B.Window.orderBy("f").rowsBetween(B.Window.unboundedPreceding, -1))  # one row per file
+    offsets = back.groupBy("f").agg(F.count("*").alias("n")).select("f", F.coalesce(before, F.lit(0)).alias("before"))
+    place = F.row_number().over(B.Window.partitionBy("f").orderBy("b", "i"))
+    return back.join(offsets, "f").select((F.col("before") + place).alias("line"), "status", "root", "code")
 
 
 @query()
