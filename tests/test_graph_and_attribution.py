@@ -32,6 +32,34 @@ def test_triangles_and_cores(spark):
     assert {r.node: r.core for r in G.core_number(edges(spark, TRIANGLE)).collect()} == {"a": 2, "b": 2, "c": 2, "d": 1, "e": 1, "f": 1}
 
 
+def shuffled_rows(df):
+    """Rows that the exchanges of a table's plan write, once it has run."""
+    df.collect()
+    todo, total = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        p = todo.pop()
+        name = p.nodeName()
+        if name == "Exchange":
+            total += p.metrics().apply("shuffleRecordsWritten").value()
+        kids = p.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+        todo += [p.executedPlan()] if name == "AdaptiveSparkPlan" else [p.plan()] if name.endswith("QueryStage") else []
+    return total
+
+
+def test_triangles_shuffle_no_wedges(spark):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = [(f"a{i}", f"b{j}", 1) for i in range(40) for j in range(40)]  # 31,200 wedges or more, no triangle
+        got = G.triangle_count(edges(spark, [*pairs, ("c", "c", 1), ("a0", "a1", 1)]))
+        assert shuffled_rows(got) < 5 * len(pairs)
+        want = {"c": 0} | {f"a{i}": 40 if i < 2 else 0 for i in range(40)} | {f"b{j}": 1 for j in range(40)}
+        assert {r.node: r.triangles for r in got.collect()} == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
 def test_core_number_by_peeling(spark):
     import random
 

@@ -958,9 +958,10 @@ def shipment_edges(spark: SparkSession, d: str) -> DataFrame:
 
 
 def part_edges(spark: SparkSession, d: str) -> DataFrame:
-    """Customers, suppliers and parts that meet in an order line."""
-    x = trade_lines(spark, d)
-    return linked(x.select("customer", "supplier"), x.select("customer", "part"), x.select("supplier", "part"))
+    """Customers, suppliers and parts that meet in an order line, as often as they do."""
+    ends = [("customer", "supplier"), ("customer", "part"), ("supplier", "part")]
+    links = F.array(*(F.struct(F.col(a).alias("source"), F.col(b).alias("target")) for a, b in ends))
+    return trade_lines(spark, d).select(F.inline(links))
 
 
 _TRADE = """WITH RECURSIVE trade AS (SELECT o_custkey * 3 AS c, l_suppkey * 3 + 1 AS s, l_returnflag = 'R' AS back FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
