@@ -812,13 +812,13 @@ def q_update_symbol_list(spark, d):
 
 
 def edges(spark: SparkSession, d: str) -> DataFrame:
-    """Trade between nations: revenue from the supplier's to the customer's, one edge per market segment."""
+    """Trade between nations: revenue from the supplier's to the customer's, one edge per market segment, written once for all uses."""
     lines = table(spark, d, "lineitem").select("l_orderkey", "l_suppkey", (F.col("l_extendedprice").cast("double") * (1 - F.col("l_discount").cast("double"))).alias("v"))
     s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.concat(F.lit("N"), F.col("s_nationkey")).alias("source"))
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.concat(F.lit("N"), F.col("c_nationkey")).alias("target"), F.col("c_mktsegment").alias("shock"))
     o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     x = lines.join(o, "l_orderkey").join(s, "l_suppkey").join(c, "o_custkey")
-    return x.groupBy("shock", "source", "target").agg((F.sum("v") / 1e6).alias("weight"))
+    return cut(x.groupBy("shock", "source", "target").agg((F.sum("v") / 1e6).alias("weight")))
 
 
 _EDGES = "WITH edges AS MATERIALIZED (SELECT c_mktsegment AS shock, 'N' || s_nationkey AS source, 'N' || c_nationkey AS target, sum(l_extendedprice::DOUBLE * (1 - l_discount::DOUBLE)) / 1e6 AS weight FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN supplier ON s_suppkey = l_suppkey JOIN customer ON c_custkey = o_custkey GROUP BY ALL), flat AS MATERIALIZED (SELECT source, target, sum(weight) AS weight FROM edges GROUP BY ALL)"
