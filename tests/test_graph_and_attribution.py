@@ -108,6 +108,11 @@ def test_flows_read_the_order_lines_once(spark):
     assert "l_suppkey" not in plan and "weight" in plan
 
 
+def test_shocks_read_the_order_lines_once(spark):
+    plan = registry.QUERIES["q_shock_edges"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_suppkey" not in plan and "close_logret_1d" in plan
+
+
 def test_roles(spark):
     rows = [("a", 4.0, 0.0, 0.4, 0.0, 0.0, 0.1), ("b", 3.0, 1.0, 0.3, 0.1, 9.0, 0.1), ("c", 2.0, 3.0, 0.2, 0.3, 0.0, 0.5), ("d", 1.0, 1.0, 0.1, 0.1, 0.0, 0.1), ("e", 0.0, 5.0, 0.0, 0.5, 0.0, 0.2)]
     df = spark.createDataFrame(rows, "node string, out_degree double, in_degree double, hub_share double, authority_share double, betweenness double, pagerank double")

@@ -50,12 +50,13 @@ def query(sql: str | None = None, doubles: str = "", name: str | None = None):
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.features(bars(spark, sf_dir))
+    """Features of the daily bars, written once for all uses: a row per symbol and day, however many trades there are."""
+    return cut(P.features(bars(spark, sf_dir)))
 
 
 def momentum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label, mask and score of the panel, written once for all that is derived from them."""
-    return cut(panel(spark, sf_dir).select("date", "symbol", "return_1d", "tradable", F.col("close_logret_1d").alias("score")))
+    return cut(P.features(bars(spark, sf_dir)).select("date", "symbol", "return_1d", "tradable", F.col("close_logret_1d").alias("score")))
 
 
 def book_of(x: DataFrame) -> DataFrame:
@@ -572,7 +573,7 @@ def q_segment_turnover(spark, d):
 
 @query()
 def q_fold_report(spark, d):
-    x = cut(panel(spark, d))
+    x = panel(spark, d)
     return W.fold_report(W.fold_scores(x, B.expanding_year_folds(x), MODEL), 5, 0.001, 0.003)
 
 
