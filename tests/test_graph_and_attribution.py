@@ -259,3 +259,45 @@ def test_fold_report_against_loops(spark):
             n = len(one)
             ics.append(np.corrcoef([one[s] for s in one], [two[s] for s in one])[0, 1] if n >= 2 else 0.0)
         assert r.days == len(days) and r.cumulative_return == pytest.approx(math.expm1(sum(returns)), abs=1e-9) and r.ic_mean == pytest.approx(np.mean(ics), abs=1e-9)
+
+
+def test_graph_iterations_against_plain_loops(spark):
+    import random
+
+    rng = random.Random(11)
+    # three parts, with repeated edges, one-way chains and a node that has only a loop
+    pairs = [(10 * rng.randrange(30) + k, 10 * rng.randrange(30) + k) for k in range(3) for _ in range(45)]
+    pairs += pairs[:20] + [(999, 999)] + [(500 + i, 501 + i) for i in range(12)]
+    ways = collections.defaultdict(set)
+    for a, b in pairs:
+        ways[a].add(b), ways[b]
+    near = collections.defaultdict(set)
+    for a, b in pairs:
+        near[a].add(b), near[b].add(a)
+    df = edges(spark, [(f"{a:03d}", f"{b:03d}", 1) for a, b in pairs])
+    far, both = reached(ways, ways), reached(near, near)
+    assert {int(r.node): int(r.component) for r in G.weak_components(df).collect()} == {n: min(r) for n, r in both.items()}
+    assert {int(r.node): int(r.component) for r in G.strong_components(df).collect()} == {n: min(m for m in r if n in far[m]) for n, r in far.items()}
+    assert {r.node: r.core for r in G.core_number(df).collect()}["999"] == 0
+
+
+def written_tables(monkeypatch, run):
+    """How many intermediate tables an operator on graphs writes, and their plans."""
+    plans = []
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return kept(df)
+
+    kept = G._cut
+    monkeypatch.setattr(G, "_cut", noted)
+    run().collect()
+    return plans
+
+
+@pytest.mark.parametrize("name", ["q_weak_components", "q_strong_components", "q_core_number"])
+def test_graph_iterations_read_the_order_lines_once(spark, monkeypatch, name):
+    plans = written_tables(monkeypatch, lambda: QUERIES[name](spark, SF))
+    # the lines are gathered in one table, and no aggregate of links precedes it but the operator's own
+    first = [p for p in plans if "l_suppkey" in p]
+    assert len(first) == 1 and first[0].count("Aggregate") <= (name != "q_weak_components")

@@ -939,23 +939,16 @@ def trade_lines(spark: SparkSession, d: str) -> DataFrame:
     return lines.join(o, "l_orderkey").select((F.col("o_custkey") * 3).alias("customer"), (F.col("l_suppkey") * 3 + 1).alias("supplier"), (F.col("l_partkey") * 3 + 2).alias("part"), (F.col("l_returnflag") == "R").alias("returned"))
 
 
-def linked(*links: DataFrame) -> DataFrame:
-    """Links of several kinds as edges of weight one, each once."""
-    out = links[0]
-    for x in links[1:]:
-        out = out.union(x)
-    return out.toDF("source", "target").distinct().withColumn("weight", F.lit(1.0))
-
-
 def trade_edges(spark: SparkSession, d: str) -> DataFrame:
-    """Customers and the suppliers of their orders."""
-    return linked(trade_lines(spark, d).select("customer", "supplier"))
+    """Customers and the suppliers of their orders, as often as they met."""
+    return trade_lines(spark, d).select(F.col("customer").alias("source"), F.col("supplier").alias("target"))
 
 
 def shipment_edges(spark: SparkSession, d: str) -> DataFrame:
     """The same, by where the goods went: to the customer, and back to the supplier if they were returned."""
-    x = trade_lines(spark, d)
-    return linked(x.select("supplier", "customer"), x.where("returned").select("customer", "supplier"))
+    c, s = F.col("customer"), F.col("supplier")
+    way = lambda a, b: F.struct(a.alias("source"), b.alias("target"))
+    return trade_lines(spark, d).select(F.inline(F.when(F.col("returned"), F.array(way(s, c), way(c, s))).otherwise(F.array(way(s, c)))))
 
 
 def part_edges(spark: SparkSession, d: str) -> DataFrame:
