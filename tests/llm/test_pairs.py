@@ -121,6 +121,52 @@ def test_keep_one(spark):
     assert J.jaccard_components(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_keep_one_shuffles_no_text_that_goes(spark, monkeypatch):
+    """Copies that go, and the ones that stay for them, are settled by id and hash; their texts stay where they are."""
+    rng = random.Random(11)
+    texts = [" ".join(rng.choices([f"v{i}" for i in range(500)], k=30)) for _ in range(305)]
+    rows = [(i, texts[i % 5] if i < 500 else texts[i - 495]) for i in range(800)]
+    sent = []
+
+    def counted(df, *args, **kwargs):
+        out = common.written(df, *args, **kwargs)
+        if "text" in out.columns and "doc_id" in out.columns:
+            sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(J, "written", counted)
+    got = J.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(r.doc_id for r in got.collect()) == [*range(5), *range(500, 800)]
+    assert sum(sent) < 40
+
+
+def test_meetings_keep_every_similar_pair(spark):
+    """Sets that share enough shingles still meet; most of the chance meetings are gone."""
+    rng = random.Random(12)
+    n, least = 400, J.least_shared(340, 85)
+    sent = {}
+    for i in range(120):
+        own = sent[i] = {}
+        for _ in range(rng.randint(1, 25)):
+            g = rng.randrange(150)
+            own[g] = own.get(g, 0) + 1
+        if i % 2:
+            # shares its shingles with the one before in a few groups, just enough of them in all
+            for g in rng.sample(range(150), rng.choice([1, 2, least])):
+                for j in (i - 1, i):
+                    sent[j][g] = sent[j].get(g, 0) + least
+    rows = [(g, n, i, n, k) for i, own in sent.items() for g, k in own.items()]
+    rows += [(1000, n, 500, n, least - 1), (1001, n, 500, n, 1), (1002, n, 501, n, least)]
+    got = {(r.fp, r.g) for r in J.meetings(spark.createDataFrame(rows, "g long, m long, fp long, n long, k long"), 85).collect()}
+    assert got <= {(r[2], r[0]) for r in rows}
+    kept = {i: {g for f, g in got if f == i} for i in sent}
+    for i in sent:
+        for j in range(i):
+            if sum(min(k, sent[j].get(g, 0)) for g, k in sent[i].items()) >= least:
+                assert kept[i] & kept[j]
+    assert not any(f >= 500 for f, _ in got) and len(got) < 0.8 * len(rows)
+
+
 def test_tiles_of_large_mixed_groups(spark, monkeypatch):
     """Groups above the tile size go through the banded tiles and lose no pair."""
     monkeypatch.setattr(J, "TILE", 4)

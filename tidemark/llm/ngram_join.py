@@ -16,8 +16,10 @@ reaches `percent` / 100.  The join is exact (sets are compared as sorted
    the others are its edited copies.  Components are taken, so groups of near
    copies of any size collapse in one linear step.
 4. Shingles are put together by their hub, so that documents which share many
-   shingles meet once and not under each of them.  Groups that still hold
-   several components are cut into tiles by size band; within a tile pair, bit
+   shingles meet once and not under each of them.  In one order of all groups,
+   a document leaves the last ones as long as it sent fewer than l shingles
+   there: similar documents share l, so both still stand in the first group
+   that they have in common.  Groups that still hold several components are cut into tiles by size band; within a tile pair, bit
    counts of hashed bitmaps bound the overlap of documents of different
    components from above.  In the first of two rounds a document goes on with
    its first possible partner only, which keeps clusters of variants linear;
@@ -164,6 +166,32 @@ def signatures(docs: DataFrame, width: int, percent: int, common: np.ndarray) ->
     return docs.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(make, schema)
 
 
+def _key_of(doc_id: str, h: str) -> Column:
+    """A hash of a row's id and its text's hash: copies of a text under other ids have other keys."""
+    return F.xxhash64(F.col(doc_id).cast("long"), h)
+
+
+def meetings(under: DataFrame, percent: int) -> DataFrame:
+    """The rows of `under` (g, m, fp, n, k) in which a set fp can still meet all similar ones.
+
+    k is the number of shingles that the set fp (size n) sent to the group g.
+    Similar sets share l of them, so a set with fewer goes, and a group with
+    one set says nothing.  Of the rest, a set leaves the last groups of one
+    common order while it loses fewer than l shingles: in the first group that
+    two similar sets share, both still have all the shingles they share, l or
+    more, at that place or later.  Groups too wide for one tile come last, then
+    those to which their sets sent few shingles each.
+    """
+    least = least_shared(F.floor((F.col("n") * percent + 99) / 100), percent)
+    sets = Window.partitionBy("fp")
+    under = written(under.withColumn("sent", F.sum("k").over(sets)).where(F.col("sent") >= least).drop("sent"))
+    groups = under.groupBy("g").agg(F.count("*").alias("c"), (F.sum("k") / F.count("*")).alias("mean")).where("c > 1")
+    groups = groups.select("g", (F.col("c") > TILE).alias("wide"), "mean")
+    later = sets.orderBy(F.desc("wide"), "mean", F.desc("g")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    kept = under.join(groups, "g").withColumn("sent", F.sum("k").over(later)).where(F.col("sent") >= least)
+    return written(kept.select("g", "m", "fp", "n"))
+
+
 def _dealt(pairs: DataFrame, payload: DataFrame) -> DataFrame:
     """(u, t, member, fp, payload...) sorted so that a hub u comes before its partners.
 
@@ -309,7 +337,7 @@ def _tile_pairs(rows: DataFrame, maps: DataFrame, leaders: bool, percent: int) -
     large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     large = large.select("g", "b", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "fp", "component", "band")
     keys = ["g", "b", "i", "j"]
-    dealt = small.unionAll(large).join(maps, "fp").repartition(*keys).sortWithinPartitions(*keys, F.desc("share"), "fp")
+    dealt = small.unionAll(large).join(maps.select("fp", "n", "bits", "share"), "fp").repartition(*keys).sortWithinPartitions(*keys, F.desc("share"), "fp")
 
     @tidy
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,7 +376,9 @@ def _linked(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
     own = sig.where("keys is not null")
     member = F.struct("share", "fp", "n")
     group = Window.partitionBy("key")
-    rare = own.select(F.explode("keys").alias("key"), "fp", "n", "share")
+    # dealt before the window is set up, so that a row holds three numbers on its way
+    rare = own.select(F.explode("keys").alias("key"), "fp", (F.col("n") * 256 + F.col("share")).alias("size")).repartition("key")
+    rare = rare.select("key", "fp", F.shiftright("size", 8).alias("n"), F.col("size").bitwiseAND(255).cast("int").alias("share"))
     rare = rare.withColumn("lo", F.min("fp").over(group)).withColumn("hub", F.max(member).over(group)).withColumn("hi", F.max("fp").over(group)).where("lo != hi")
     # keys in common cells may be in any share of all rows: these are joined to aggregates only
     hot = own.select(F.explode("hot").alias("key"), "fp", "n", "share")
@@ -356,27 +386,25 @@ def _linked(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
     under = rare.select("hub", "fp", "n").unionAll(hot.join(hubs, "key").select("hub", "fp", "n"))
     # documents that meet under several shingles of one hub meet there once
     under = under.groupBy(F.col("hub.fp").alias("g"), F.col("hub.n").alias("m"), "fp", "n").agg(F.count("*").alias("k"))
-    under = written(under)
-    smaller = F.floor((F.col("n") * percent + 99) / 100)
-    enough = written(under.groupBy("fp", "n").agg(F.sum("k").alias("k")).where(F.col("k") >= least_shared(smaller, percent)).select("fp"))
-    under = written(under.where("g != fp").join(enough, "fp").select("g", "m", "fp", "n"))
+    met = meetings(written(under), percent)
+    under = met.where("g != fp")
 
-    # the row that stands for a set: the least id, null ids last
-    owner = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("o")
-    owners = sig.where("fp is not null").groupBy("fp").agg(owner).select("fp", "o.doc_id", "o.h")
+    # one row of each set that meets others; any row of a set stands for it
+    maps = KeyFilter(met.select("fp").distinct(), "fp").passing(own.select("doc_id", "h", "fp", "n", "share", "bits"), "fp")
+    maps = written(maps.groupBy("fp").agg(*(F.first(c).alias(c) for c in ("n", "share", "bits")), F.max(F.struct("h", "doc_id")).alias("row")))
 
     def texts(pairs: DataFrame) -> DataFrame:
         need = pairs.select(F.col("u").alias("fp")).unionAll(pairs.select(F.col("v").alias("fp"))).distinct()
-        need = written(need.join(owners, "fp").select("fp", F.col("doc_id").alias("id"), "h"))
-        texts = KeyFilter(need, "h").passing(docs.select("doc_id", "text", F.xxhash64("text").alias("key")), "key")
-        found = texts.join(need, (F.col("key") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("id")))
-        return written(found.groupBy("fp").agg(F.first("text").alias("text")))
-
-    have = under.select("fp").unionAll(under.select(F.col("g").alias("fp"))).distinct()
-    maps = own.select("fp", "n", "share", "bits").groupBy("fp").agg(*(F.first(c).alias(c) for c in ("n", "share", "bits")))
-    maps = written(maps.join(have, "fp", "left_semi"))
+        need = maps.select("fp", "row.h", "row.doc_id").join(need, "fp").select("fp", "h", _key_of("doc_id", "h").alias("key"))
+        need = written(need)
+        found = KeyFilter(need, "key").passing(docs.select("text", F.xxhash64("text").alias("h"), "doc_id").withColumn("key", _key_of("doc_id", "h")), "key")
+        # a text is shuffled once: what the join deals by is also what its copies are put together by
+        found = found.select("key", "h", "text").join(need, ["key", "h"]).groupBy("key", "h", "fp").agg(F.first("text").alias("text"))
+        return written(found.select("fp", "text"))
+
     near = 100 * F.least("m", "n") >= percent * F.greatest("m", "n")
-    pairs = under.where(near).join(enough.withColumnRenamed("fp", "g"), "g", "left_semi").select(F.col("g").alias("u"), F.col("fp").alias("v"))
+    hubs = met.where("g = fp").select("g")
+    pairs = under.where(near).join(hubs, "g", "left_semi").select(F.col("g").alias("u"), F.col("fp").alias("v"))
     known = written(plausible(pairs, maps, percent))
     links = written(verified(known, texts(known), width, percent))
     comp = written(components(links))
@@ -433,15 +461,24 @@ def keep_one(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     that begin with tidemark_ are the operator's own.
     """
     with temporary(docs.sparkSession):
-        marked = written(_marked(*_linked(docs, width, percent)), keep=True)
-    marked = marked.select(F.col("doc_id").alias("tidemark_id"), F.col("h").alias("tidemark_h"), F.col("rows").alias("tidemark_rows"))
+        sig, comp = _linked(docs, width, percent)
+        marked = written(_marked(sig, comp).withColumn("key", _key_of("doc_id", "h")), keep=True)
+        some = KeyFilter(marked, "key")
+        # the keys that pass the filter and don't just go, found without texts
+        stay = some.passing(sig.select("doc_id", "h").withColumn("key", _key_of("doc_id", "h")), "key").alias("s")
+        gone = marked.where("rows = 0").alias("m")
+        stay = stay.join(gone, F.expr("s.key = m.key and s.h = m.h and s.doc_id <=> m.doc_id"), "left_anti")
+        few = KeyFilter(written(stay.select("key").distinct()), "key")
+    marked = marked.select(F.col("doc_id").alias("tidemark_id"), F.col("h").alias("tidemark_m"), F.col("rows").alias("tidemark_rows"))
     names = docs.columns
-    rows = KeyFilter(marked, "tidemark_h").marked(docs.withColumn("tidemark_key", F.xxhash64("text")), "tidemark_key")
-    # rows that the filter clears stay where they are, however many others go
-    suspects = rows.where("tidemark_maybe").drop("tidemark_maybe")
-    same = F.col("doc_id").eqNullSafe(F.col("tidemark_id")) & (F.col("tidemark_key") == F.col("tidemark_h"))
+    rows = docs.withColumn("tidemark_h", F.xxhash64("text")).withColumn("tidemark_key", _key_of("doc_id", "tidemark_h"))
+    rows = some.marked(rows, "tidemark_key")
+    # rows that the first filter clears stay where they are, however many others go; of these, only rows that may stay
+    # after all are shuffled
+    suspects = few.passing(rows.where("tidemark_maybe").drop("tidemark_maybe"), "tidemark_key")
+    same = F.col("doc_id").eqNullSafe(F.col("tidemark_id")) & (F.col("tidemark_h") == F.col("tidemark_m"))
     left = written(suspects.join(marked, same, "left"))
-    order = Window.partitionBy("tidemark_id", "tidemark_h").orderBy(F.xxhash64(*names))
+    order = Window.partitionBy("tidemark_id", "tidemark_m").orderBy(F.xxhash64(*names))
     again = left.where("tidemark_rows > 1").withColumn("tidemark_row", F.row_number().over(order)).where("tidemark_row = 1")
     return rows.where("not tidemark_maybe").select(names).unionAll(left.where("tidemark_rows is null").select(names)).unionAll(again.select(names))
 
