@@ -19,6 +19,18 @@ def test_round_half_up(spark):
     assert [g[0] for g in got] == [1.0, 2.68, -1.5, None, None]
 
 
+def test_prices_beyond_longs(spark):
+    """A reference divided by many reverse splits is rounded as a double; a long would end at 9.2e18."""
+    up, down = X.limit_price(F.col("x"), 1.1), X.limit_price(F.col("x"), 0.9)
+    got = values(spark, [(99.5 * 2.0**60,), (-99.5 * 2.0**60,), (2.0**70,)], "x double", X.round_half_up(F.col("x"), 2), up, down)
+    for x, row in zip((99.5 * 2.0**60, -99.5 * 2.0**60, 2.0**70), got):
+        assert row[0] == pytest.approx(x, rel=1e-12)
+        if x > 0:
+            assert row[1:] == (pytest.approx(1.1 * x, rel=1e-12), pytest.approx(0.9 * x, rel=1e-12))
+    (zero,) = values(spark, [(-0.001,)], "x double", X.round_half_up(F.col("x"), 2))[0]
+    assert zero == 0 and math.copysign(1, zero) == 1
+
+
 def test_limit_prices(spark):
     closes = [9.95, 10, 49.8, 50, 99.9, 100, 499, 500, 999, 1000]
     got = values(spark, [(float(c),) for c in closes], "x double", X.limit_price(F.col("x"), 1.1), X.limit_price(F.col("x"), 0.9))

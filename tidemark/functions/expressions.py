@@ -16,11 +16,16 @@ def finite(x: Column) -> Column:
     return F.when(~F.isnan(x) & (F.abs(x) != float("inf")), x)
 
 
+def floor(x: Column) -> Column:
+    """The whole number at or below x, as a double: Spark's own is a long, which ends at 2^63; from 2^52 on, doubles are whole."""
+    return F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).otherwise(x)
+
+
 def round_half_up(x: Column, digits: int | Column) -> Column:
     """Half away from zero in binary arithmetic: floor(x 10^d + 0.5) / 10^d, mirrored below zero."""
     scale = F.pow(F.lit(10.0), digits if isinstance(digits, Column) else F.lit(float(digits)))
     scaled = finite(x) * scale
-    return F.when(scaled >= 0, F.floor(scaled + 0.5) / scale).otherwise(F.ceil(scaled - 0.5) / scale)
+    return F.when(scaled >= 0, floor(scaled + 0.5) / scale).otherwise((0.0 - floor(0.5 - scaled)) / scale)
 
 
 def price_decimals(symbol: Column, market: Column | None = None) -> Column:
@@ -56,7 +61,7 @@ def tick_size(price: Column) -> Column:
 def limit_price(reference: Column, ratio: float) -> Column:
     raw = reference * F.lit(ratio)
     tick = tick_size(raw)
-    return round_half_up(F.floor(raw / tick + 1e-12) * tick, 2)
+    return round_half_up(floor(raw / tick + 1e-12) * tick, 2)
 
 
 def reference_price(previous: Column, dividend: Column | None = None, split: Column | None = None) -> Column:
