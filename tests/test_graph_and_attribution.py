@@ -61,6 +61,38 @@ def test_triangles_shuffle_no_wedges(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
 
 
+def test_triangles_free_the_disk(spark, monkeypatch):
+    """Classes of nodes give whole counts, and neither shuffle files nor tables of steps are left."""
+    import itertools
+    import pathlib
+    import random
+    import time
+
+    root = spark.conf.get("spark.checkpoint.dir")
+    dirs = [pathlib.Path(str(d)) for d in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+    shuffles = lambda: {f.name.split("_")[1] for d in dirs for f in d.glob("*/shuffle_*")}
+    tables = lambda: {p.name for p in pathlib.Path(root).glob("*")}
+    rng = random.Random(9)
+    links = [(int(60 * rng.random() ** 2), rng.randrange(60)) for _ in range(900)]
+    near = {n: {b for a, b in links + [(b, a) for a, b in links] if a == n and b != n} for p in links for n in p}
+    want = {n: sum(m in near[k] for k, m in itertools.combinations(near[n], 2)) for n in near}
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold",)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(G, "CLASS_EDGES", 200, raising=False)
+    try:
+        shuffled, written = shuffles(), tables()
+        got = G.triangle_count(edges(spark, [(f"n{a}", f"n{b}", 1) for a, b in links]))
+        until = time.time() + 30
+        while shuffles() - shuffled and time.time() < until:
+            time.sleep(0.5)
+        assert not shuffles() - shuffled
+        assert not [t for t in tables() - written if t.startswith("triangles") and any(pathlib.Path(root, t).rglob("*.parquet"))]
+        assert {int(r.node[1:]): r.triangles for r in got.collect()} == want and sum(want.values()) > 1000
+    finally:
+        for c, v in kept.items():
+            spark.conf.set(c, v)
+
+
 def test_core_number_by_peeling(spark):
     import random
 
